@@ -8,6 +8,7 @@ Levenshtein ratio.  LCS uses the bit-parallel recurrence on Python integers.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 
@@ -62,7 +63,7 @@ def best_match_udf(choices: list[str]):
     """pandas UDF: name -> struct(idx int, score double) over a bounded choice list."""
     prepared = [sort_tokens(c) for c in choices]
 
-    @pandas_udf("idx int, score double")
+    @pandas_udf(T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("score", T.DoubleType())]))
     def _best(names: pd.Series) -> pd.DataFrame:
         idx, score = [], []
         for n in names:

@@ -51,3 +51,252 @@ def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(fmt == 10, rel)
             .otherwise(kw))
     return ev.withColumn("fmt", fmt).withColumn("raw_date", raw)
+
+
+# --- payload bodies ----------------------------------------------------------
+ENTRIES_PER_PAGE = 8
+FEED_ITEMS_PER_PAGE = 16
+NEWS_SOURCES = ["click", "error", "purchase", "signup", "view"]   # events.event_type, registry order
+
+
+def _pages(df: DataFrame, page_col: str, order_col: str, piece: str, head: str, tail: str,
+           sep: str = "") -> DataFrame:
+    """Group rows into payload pages of bounded size; pieces concatenated in id order."""
+    g = df.groupBy(page_col).agg(F.sort_array(F.collect_list(F.struct(order_col, piece))).alias("_ps"))
+    body = F.concat(F.lit(head), F.array_join(F.transform("_ps", lambda s: s[piece]), sep), F.lit(tail))
+    return g.select(F.col(page_col).alias("page"), body.alias("body"))
+
+
+def _payload(df: DataFrame, kind: str, source_name, url, status=None, rank=None) -> DataFrame:
+    status = F.lit(200) if status is None else status
+    rank = F.lit(0) if rank is None else rank
+    src = source_name if not isinstance(source_name, str) else F.lit(source_name)
+    u = url if not isinstance(url, str) else F.lit(url)
+    return df.select(u.alias("url"), src.alias("source_name"), F.lit(kind).alias("kind"),
+                     status.cast("int").alias("status_code"), "body",
+                     F.lit(None).cast("string").alias("error"), rank.cast("int").alias("source_rank"),
+                     F.col("page").cast("long").alias("page"))
+
+
+def atom_paper_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> Atom pages of 8 entries.  Orders with key % 11 == 0 lack <id>."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    ks = k.cast("string")
+    repo_in_abstract = F.when(k % 3 == 0, F.concat(F.lit(" Code at https://github.com/c"), F.col("o_custkey").cast("string"),
+                                                   F.lit("/r"), ks, F.lit(".")))
+    comment = F.when(k % 5 == 1, F.concat(F.lit("<arxiv:comment>Repo: https://github.com/x/y"), ks,
+                                          F.lit(")</arxiv:comment>"))).otherwise(F.lit(""))
+    entry = F.concat(
+        F.lit("<entry>"),
+        F.when(k % 11 != 0, F.concat(F.lit("<id>http://arxiv.example.org/abs/"), ks, F.lit("</id>"))).otherwise(F.lit("")),
+        F.lit("<title>  Paper "), F.col("o_orderpriority"), F.lit("\n   on\t "), F.col("o_orderstatus"), F.lit("  </title>"),
+        F.lit("<published>"), F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit("</published>"),
+        F.lit("<summary>Abstract  for\n order "), ks, F.coalesce(repo_in_abstract, F.lit("")), F.lit("</summary>"),
+        F.lit("<author><name>Author "), F.col("o_custkey").cast("string"), F.lit("</name></author>"),
+        F.lit("<author><name> Clerk "), (k % 7).cast("string"), F.lit(" </name></author>"),
+        comment, F.lit("</entry>"))
+    rows = o.select((k / ENTRIES_PER_PAGE).cast("long").alias("pg"), k.alias("o"), entry.alias("piece"))
+    pages = _pages(rows, "pg", "o", "piece",
+                   '<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" '
+                   'xmlns:arxiv="http://arxiv.org/schemas/atom">', "</feed>")
+    return _payload(pages, "atom_papers", "arxiv",
+                    F.concat(F.lit("https://export.arxiv.example.org/api/query?page="), F.col("page").cast("string")))
+
+
+def news_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> RSS (even pages) / Atom (odd pages) feeds of 16 items, one source per
+    event type.  Every 7th page of a source failed to fetch (status 503)."""
+    d = raw_dates(spark, sf_dir)
+    eid = F.col("event_id").cast("string")
+    link = F.concat(F.lit("https://news.example.com/"), F.col("event_type"), F.lit("/"), F.col("user_id").cast("string"))
+    desc = F.concat(F.lit("&lt;p&gt;Event &lt;b&gt;"), eid, F.lit("&lt;/b&gt; "), F.col("event_type"),
+                    F.lit("&lt;/p&gt;"))
+    pub = F.coalesce(F.col("raw_date"), F.lit(""))
+    page = (F.col("event_id") / FEED_ITEMS_PER_PAGE).cast("long")
+    rss_item = F.concat(F.lit("<item><title>Story "), eid, F.lit("</title><link>"), link, F.lit("</link><pubDate>"), pub,
+                        F.lit("</pubDate><dc:creator>user "), F.col("user_id").cast("string"),
+                        F.lit("</dc:creator><description>"), desc, F.lit("</description></item>"))
+    atom_entry = F.concat(F.lit("<entry><title>Story "), eid, F.lit("</title><link href=\""), link,
+                          F.lit("\"/><updated>"), pub, F.lit("</updated><author><name>user "),
+                          F.col("user_id").cast("string"), F.lit("</name></author><summary>"), desc,
+                          F.lit("</summary></entry>"))
+    rows = d.select("event_type", page.alias("pg"), F.col("event_id").alias("o"),
+                    F.when(page % 2 == 0, rss_item).otherwise(atom_entry).alias("piece"))
+    g = rows.groupBy("event_type", "pg").agg(F.sort_array(F.collect_list(F.struct("o", "piece"))).alias("_ps"))
+    inner = F.array_join(F.transform("_ps", lambda s: s["piece"]), "")
+    body = F.when(F.col("pg") % 2 == 0,
+                  F.concat(F.lit('<rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'
+                                 '<title>feed</title>'), inner, F.lit("</channel></rss>"))) \
+            .otherwise(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), inner, F.lit("</feed>")))
+    rank = F.array_position(F.array(*[F.lit(s) for s in NEWS_SOURCES]), F.col("event_type")) - 1
+    status = F.when(F.col("page") % 7 == 3, F.lit(503)).otherwise(F.lit(200))
+    out = g.select("event_type", F.col("pg").alias("page"), body.alias("body"))
+    return _payload(out, "news_feed", F.col("event_type"),
+                    F.concat(F.lit("https://news.example.com/"), F.col("event_type"), F.lit("/feed?page="),
+                             F.col("page").cast("string")), status, rank)
+
+
+def news_registry(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [(s, "news_feed", f"https://news.example.com/{s}/feed", i) for i, s in enumerate(NEWS_SOURCES)],
+        "source_name string, kind string, url string, rank int")
+
+
+# --- company names, roles ----------------------------------------------------
+ROLE_TITLES = ["Senior Machine Learning Engineer", "AI Researcher", "Backend Developer", "Product Manager",
+               "Growth Marketing Lead", "Office Coordinator", "Research Scientist, LLM", "Data Scientist"]
+ROLE_NOTES = ["Software development role", "Fulfillment team", None, "Great team"]
+NAME_VARIANTS = 6   # exact, suffixed upper, alias key, tokens reversed, one char dropped, unrelated
+
+
+def company_name(k) -> "F.Column":
+    """A company name rendered from a key: a seed entity in one of six spellings."""
+    from ..operators.resolve import KNOWN_ALIASES, SEED_ENTITIES
+    seeds = F.array(*[F.lit(s) for s in SEED_ENTITIES])
+    alias_keys = F.array(*[F.lit(a) for a in KNOWN_ALIASES])
+    seed = F.element_at(seeds, (k % len(SEED_ENTITIES) + 1).cast("int"))
+    variant = (k / len(SEED_ENTITIES)).cast("long") % NAME_VARIANTS
+    return (F.when(variant == 0, seed)
+             .when(variant == 1, F.concat(F.upper(seed), F.lit(", Inc.")))
+             .when(variant == 2, F.element_at(alias_keys, (k % len(KNOWN_ALIASES) + 1).cast("int")))
+             .when(variant == 3, F.array_join(F.reverse(F.split(seed, " ")), " "))
+             .when(variant == 4, F.concat(F.substring(seed, 1, 1), F.substring(seed, 3, 1000)))
+             .otherwise(F.concat(F.lit("Company "), k.cast("string"))))
+
+
+def _jstr(c) -> "F.Column":
+    """JSON string literal of a column (escaped)."""
+    j = F.to_json(F.array(c))
+    return F.substring(j, F.lit(2), F.length(j) - 2)
+
+
+def _jobj(*pairs) -> "F.Column":
+    """JSON object text from (key, json-fragment-or-null) pairs; null fragments are omitted."""
+    frags = [F.when(v.isNotNull(), F.concat(F.lit(f'"{k}":'), v)) for k, v in pairs]
+    return F.concat(F.lit("{"), F.concat_ws(",", *frags), F.lit("}"))
+
+
+def job_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> job API pages of 8 (list bodies on even pages, {"jobs": [...]} on odd)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    role = F.element_at(F.array(*[F.lit(r) for r in ROLE_TITLES]), (k % len(ROLE_TITLES) + 1).cast("int"))
+    note = F.element_at(F.array(*[F.lit(r) for r in ROLE_NOTES]), (k % len(ROLE_NOTES) + 1).cast("int"))
+    company = F.when(k % 13 == 0, F.lit("")).otherwise(company_name(F.col("o_custkey")))
+    url = F.concat(F.lit("https://jobs.example.com/o/"), k.cast("string"))
+    date = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    loc = F.when(k % 3 == 0, F.lit("Berlin")).when(k % 3 == 1, F.lit(""))
+    item = _jobj(("company", _jstr(company)),
+                 ("position", F.when(k % 2 == 0, _jstr(role))),
+                 ("title", F.when(k % 2 == 1, _jstr(role))),
+                 ("url", F.when(k % 4 < 2, _jstr(url))),
+                 ("apply_url", F.when(k % 4 >= 2, _jstr(url))),
+                 ("date", F.when(k % 5 != 0, _jstr(date))),
+                 ("publication_date", F.when(k % 5 == 0, _jstr(date))),
+                 ("location", F.when(loc.isNotNull(), _jstr(loc))),
+                 ("description", F.when(note.isNotNull(), _jstr(note))))
+    rows = o.select((k / ENTRIES_PER_PAGE).cast("long").alias("pg"), k.alias("o"), item.alias("piece"))
+    g = rows.groupBy("pg").agg(F.sort_array(F.collect_list(F.struct("o", "piece"))).alias("_ps"))
+    arr = F.concat(F.lit("["), F.array_join(F.transform("_ps", lambda s: s["piece"]), ","), F.lit("]"))
+    body = F.when(F.col("pg") % 2 == 0, arr).otherwise(F.concat(F.lit('{"jobs":'), arr, F.lit("}")))
+    out = g.select(F.col("pg").alias("page"), body.alias("body"))
+    return _payload(out, "jobs_json", "JobBoardAPI",
+                    F.concat(F.lit("https://jobs.example.com/api?page="), F.col("page").cast("string")))
+
+
+def job_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> RSS job feeds of 16 items (title shapes: 'R at C', 'C: R', 'R')."""
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    role = F.element_at(F.array(*[F.lit(r) for r in ROLE_TITLES]), (F.col("l_partkey") % len(ROLE_TITLES) + 1).cast("int"))
+    comp = F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string"))
+    title = (F.when(ln <= 3, F.concat(role, F.lit(" at "), comp))
+              .when(ln <= 5, F.concat(comp, F.lit(": "), role))
+              .otherwise(role))
+    link = F.concat(F.lit("https://jobs.example.com/l/"), F.col("l_orderkey").cast("string"), F.lit("/"), ln.cast("string"))
+    desc = F.concat(F.lit("&lt;b&gt;"), F.col("l_returnflag"), F.lit("&lt;/b&gt; role"))
+    seq = F.col("l_orderkey") * 8 + ln
+    item = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), link, F.lit("</link><pubDate>"),
+                    F.date_format(F.col("l_shipdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+                    F.lit("</pubDate><description>"), desc, F.lit("</description></item>"))
+    rows = li.select((seq / FEED_ITEMS_PER_PAGE).cast("long").alias("pg"), seq.alias("o"), item.alias("piece"))
+    pages = _pages(rows, "pg", "o", "piece", "<rss><channel><title>jobs</title>", "</channel></rss>")
+    return _payload(pages, "jobs_feed", "JobFeed",
+                    F.concat(F.lit("https://jobs.example.com/feed?page="), F.col("page").cast("string")))
+
+
+def startup_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> company-directory JSON pages of 8 objects with mixed field types."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    name = F.when(k % 17 == 0, F.lit("")).otherwise(company_name(k))
+    website = F.when(k % 3 == 0, F.concat(F.lit("https://c"), ks, F.lit(".example.com"))).when(k % 3 == 1, F.lit(""))
+    one = F.when(k % 4 == 0, F.concat(F.lit("One liner "), F.col("c_mktsegment"))).when(k % 4 == 1, F.lit(""))
+    long_d = F.when(k % 5 == 0, F.repeat(F.concat(F.lit("Long text "), F.col("c_name"), F.lit(" ")), 20)) \
+              .when(k % 5 == 1, F.lit("Short long"))
+    team = (F.when(k % 6 == 0, (k % 300).cast("string")).when(k % 6 == 1, F.lit('"12"'))
+             .when(k % 6 == 2, F.lit("0")).when(k % 6 == 3, F.lit("-5")).when(k % 6 == 4, F.lit("3.5")))
+    secs = (F.lit(1_000_000_000) + k * 86400 * 7)
+    launched = (F.when(k % 5 == 0, secs.cast("string")).when(k % 5 == 1, F.concat(secs.cast("string"), F.lit(".5")))
+                 .when(k % 5 == 2, F.lit("0")).when(k % 5 == 3, F.lit('"1451606400"')))
+    tags = F.when(k % 7 == 0, F.lit("[]")).otherwise(
+        F.concat(F.lit('["tag'), (k % 3).cast("string"), F.lit('","ai"]')))
+    inds = F.when(k % 7 == 0, F.lit("[]")).otherwise(F.to_json(F.array(F.lit("ai"), F.col("c_mktsegment"))))
+    item = _jobj(("name", _jstr(name)), ("website", F.when(website.isNotNull(), _jstr(website))),
+                 ("one_liner", F.when(one.isNotNull(), _jstr(one))),
+                 ("long_description", F.when(long_d.isNotNull(), _jstr(long_d))),
+                 ("all_locations", _jstr(F.when(k % 2 == 0, F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")))
+                                          .otherwise(F.lit("")))),
+                 ("team_size", team), ("launched_at", launched),
+                 ("stage", _jstr(F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise(F.lit("")))),
+                 ("tags", tags), ("industries", inds),
+                 ("url", F.when(k % 2 == 0, _jstr(F.concat(F.lit("https://directory.example.com/companies/"), ks)))))
+    rows = c.select((k / ENTRIES_PER_PAGE).cast("long").alias("pg"), k.alias("o"), item.alias("piece"))
+    pages = _pages(rows, "pg", "o", "piece", "[", "]", ",")
+    return _payload(pages, "startups_json", "CompanyDirectory",
+                    F.concat(F.lit("https://directory.example.com/api/tag?page="), F.col("page").cast("string")))
+
+
+def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part -> app-listing JSON pages of 8 objects."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    owner = F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")))
+    lname = F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("-"), (k % 97).cast("string"))
+    lid = F.when(k % 10 == 0, F.concat(F.lit("noslash"), ks)).otherwise(F.concat(owner, F.lit("/"), lname))
+    likes = F.when(k % 4 != 0, F.col("p_size").cast("string"))
+    sdk = F.when(k % 3 == 0, F.lit("gradio")).when(k % 3 == 1, F.lit("streamlit"))
+    tags = (F.when(k % 5 == 0, F.lit("[]")).when(k % 5 == 1, F.lit(None))
+             .otherwise(F.to_json(F.array(F.col("p_type"), F.lit("t1"), F.lit("t2"), F.lit("t3"), F.lit("t4"), F.lit("t5")))))
+    card = (F.when(k % 6 == 1, F.lit("{}"))
+             .when(k % 6 == 2, _jobj(("title", _jstr(F.col("p_name"))),
+                                     ("short_description", _jstr(F.concat(F.lit("Desc "), F.col("p_type")))),
+                                     ("license", _jstr(F.lit("MIT")))))
+             .when(k % 6 == 3, _jobj(("title", _jstr(lname)), ("license", _jstr(F.lit("apache-2.0")))))
+             .when(k % 6 == 4, _jobj(("title", _jstr(F.concat(F.lit("T "), F.col("p_name")))),
+                                     ("license", _jstr(F.lit("proprietary")))))
+             .when(k % 6 == 5, F.lit('{"license":null}')))
+    item = _jobj(("id", _jstr(lid)), ("likes", likes), ("sdk", F.when(sdk.isNotNull(), _jstr(sdk))),
+                 ("tags", tags), ("cardData", card))
+    rows = p.select((k / ENTRIES_PER_PAGE).cast("long").alias("pg"), k.alias("o"), item.alias("piece"))
+    pages = _pages(rows, "pg", "o", "piece", "[", "]", ",")
+    return _payload(pages, "products_json", "AppListings",
+                    F.concat(F.lit("https://listings.example.com/api/spaces?page="), F.col("page").cast("string")))
+
+
+def star_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> one repo API body per order; star count typed by key % 4."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    body = (F.when(k % 4 == 0, F.concat(F.lit('{"stargazers_count":'), (k % 5000).cast("string"), F.lit("}")))
+             .when(k % 4 == 1, F.lit('{"stargazers_count":"many"}'))
+             .when(k % 4 == 2, F.lit('{"stargazers_count":12.5}'))
+             .otherwise(F.lit('{"name":"x"}')))
+    url = F.concat(F.lit("https://api.github.com/repos/c"), F.col("o_custkey").cast("string"), F.lit("/r"), k.cast("string"))
+    return o.select(url.alias("url"), F.lit("GitHubAPI").alias("source_name"), F.lit("repo_json").alias("kind"),
+                    F.lit(200).alias("status_code"), body.alias("body"), F.lit(None).cast("string").alias("error"),
+                    F.lit(0).alias("source_rank"), k.alias("page"))
