@@ -300,3 +300,28 @@ def star_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(url.alias("url"), F.lit("GitHubAPI").alias("source_name"), F.lit("repo_json").alias("kind"),
                     F.lit(200).alias("status_code"), body.alias("body"), F.lit(None).cast("string").alias("error"),
                     F.lit(0).alias("source_rank"), k.alias("page"))
+
+
+# --- pages with embedded dates ------------------------------------------------
+HTML_DATE_KINDS = 6   # JSON-LD, meta property, meta name, <time datetime>, <time>relative</time>, none
+
+
+def pages_with_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages -> html with one embedded publication date chosen by page_id (ts = 2024-01-01 + id hours)."""
+    p = table(spark, sf_dir, "pages")
+    k = F.col("page_id")
+    ts = F.timestamp_micros(F.lit(1_704_067_200_000_000) + k * F.lit(3_600_000_000))
+    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    kind = k % HTML_DATE_KINDS
+    head_add = (F.when(kind == 0, F.concat(F.lit('<script type="application/ld+json">{"@type": "NewsArticle", '
+                                                 '"datePublished": "'), iso, F.lit('"}</script>')))
+                 .when(kind == 1, F.concat(F.lit('<meta property="article:published_time" content="'), iso, F.lit('">')))
+                 .when(kind == 2, F.concat(F.lit('<meta name="date" content="'), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
+                                           F.lit('">')))
+                 .otherwise(F.lit("")))
+    body_add = (F.when(kind == 3, F.concat(F.lit('<time datetime="'), iso, F.lit('">later</time>')))
+                 .when(kind == 4, F.concat(F.lit("<time> "), (k % 48).cast("string"), F.lit(" hours ago </time>")))
+                 .otherwise(F.lit("")))
+    html = F.replace(F.replace(F.col("html"), F.lit("</head>"), F.concat(head_add, F.lit("</head>"))),
+                     F.lit("<article>"), F.concat(F.lit("<article>"), body_add))
+    return p.select("page_id", "url", html.alias("html"))
