@@ -48,6 +48,14 @@ TAB_COLUMNS = {
 # ---------------------------------------------------------------------------
 
 
+def py_json_list(c: Column) -> Column:
+    """JSON text of a string list with Python's default separators (", ")."""
+    def item(x):
+        j = F.to_json(F.array(x))
+        return F.substring(j, F.lit(2), F.length(j) - 2)
+    return F.when(c.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(c, item), ", "), F.lit("]")))
+
+
 def _render(c: Column, rule: str, dtype: str) -> Column:
     s = c.cast("string")
     if rule == "or":
@@ -58,7 +66,7 @@ def _render(c: Column, rule: str, dtype: str) -> Column:
     if rule == "opt":
         return F.coalesce(s, F.lit(""))
     if rule == "json":
-        return F.coalesce(F.to_json(c), F.lit("[]"))
+        return F.coalesce(py_json_list(c), F.lit("[]"))
     if rule == "str":
         return F.when(c.isNull(), F.lit("None")).when(c, F.lit("True")).otherwise(F.lit("False"))
     return s
