@@ -33,6 +33,7 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from . import q_dates, q_dedup, q_extract, q_jobs, q_ops, q_resolve, q_scans, q_text  # noqa: F401
+    from . import q_stream  # noqa: F401  (after q_jobs: reuses its oracles)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
