@@ -77,8 +77,11 @@ def export_tab(df: DataFrame, tab: str) -> DataFrame:
     types = dict(df.dtypes)
     cols = []
     for header, src, rule in TAB_COLUMNS[tab]:
-        c = F.col(src) if src in types else F.lit(None)
-        cols.append(_render(c, rule, types.get(src, "string")).alias(header))
+        if src not in types:  # column absent from this table: render the empty value of the rule
+            empty = {"json": "[]", "str": "None"}.get(rule, "")
+            cols.append(F.lit(empty).alias(header))
+            continue
+        cols.append(_render(F.col(src), rule, types[src]).alias(header))
     return df.select(*cols)
 
 
