@@ -116,12 +116,27 @@ def _rfc_body(s: Column) -> Column:
     return F.when(s.rlike(core), F.timestamp_micros(utc_us))
 
 
+_ISO_T = r"^\d{4}-\d{1,2}-\d{1,2}T"
+_ISO_SPACE = r"^\d{4}-\d{1,2}-\d{1,2} "
+_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_COMPACT_OFFSET = r"[+-]\d{4}$"
+
+
+def _iso_rfc_body(s: Column) -> Column:
+    """Parse an already-stripped string.  Each pattern is only tried when a cheap
+    anchored test says it can match (a failing parse is costly), and RFC-2822
+    only when no ISO shape applies."""
+    iso_t = s.rlike(_ISO_T)
+    iso = (F.when(iso_t & s.rlike(_COMPACT_OFFSET), F.try_to_timestamp(s, F.lit(ISO_PATTERNS[1])))
+            .when(iso_t, F.try_to_timestamp(s, F.lit(ISO_PATTERNS[0])))
+            .when(s.rlike(_ISO_SPACE), F.try_to_timestamp(s, F.lit(ISO_PATTERNS[2])))
+            .when(s.rlike(_ISO_DATE), F.try_to_timestamp(s, F.lit(ISO_PATTERNS[3]))))
+    return F.when(s != "", F.coalesce(iso, F.when(~iso_t, rfc2822_date(s))))
+
+
 def iso_or_rfc_date(col) -> Column:
     """Strict ISO-8601 shapes first, then RFC-2822; null if nothing parses."""
-    def body(s):
-        iso = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in ISO_PATTERNS])
-        return F.when(s != "", F.coalesce(iso, rfc2822_date(s)))
-    return F.when(_c(col).isNotNull(), let(py_strip(col), body))
+    return F.when(_c(col).isNotNull(), let(py_strip(col), _iso_rfc_body))
 
 
 def relative_date(col, reference_time) -> Column:
@@ -147,6 +162,19 @@ def _relative_body(t: Column, ref: Column) -> Column:
              .otherwise(ago))
 
 
+def with_parsed_date(df, raw: str, reference_time, out: str = "parsed_at", html_ts: Column | None = None):
+    """DataFrame form of :func:`normalize_date`: the stripped text is computed once
+    in its own projection and the parsers reference it by name (whole-stage codegen,
+    no per-row lambda)."""
+    r = F.col(raw)
+    d = df.withColumn("_s", F.when(r.isNotNull() & (r != ""), py_strip(r)))
+    d = d.withColumn("_abs", _iso_rfc_body(F.col("_s"))).withColumn("_low", F.lower(F.col("_s")))
+    rel = _relative_body(F.col("_low"), ts_literal(reference_time))
+    d = d.withColumn(out, F.coalesce(F.col("_abs"), rel, html_ts) if html_ts is not None
+                     else F.coalesce(F.col("_abs"), rel))
+    return d.drop("_s", "_abs", "_low")
+
+
 def normalize_date(raw, reference_time, html_ts: Column | None = None) -> Column:
     """Raw string (ISO/RFC, then relative), else a date taken from the page HTML."""
     r = _c(raw)
@@ -201,8 +229,8 @@ def with_freshness(df, raw: str, reference_time, max_age_hours: float = 24.0,
         missing = missing & (F.col(html).isNull() | (F.col(html) == ""))
         df = df.withColumn("_html_ts", html_date(F.col(html), reference_time))
         html_ts = F.col("_html_ts")
-    df = (df.withColumn("_missing", missing)
-            .withColumn("_pub", F.when(~F.col("_missing"), normalize_date(r, reference_time, html_ts))))
+    df = with_parsed_date(df.withColumn("_missing", missing), raw, reference_time, "_pub", html_ts)
+    df = df.withColumn("_pub", F.when(~F.col("_missing"), F.col("_pub")))
     df = df.withColumn(out, verdict_struct("_pub", "_missing", reference_time, max_age_hours))
     return df.drop("_pub", "_missing", "_html_ts")
 

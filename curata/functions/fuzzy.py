@@ -59,20 +59,29 @@ def best_match(name: str, prepared: list[str]):
     return best_i, best
 
 
-def best_match_udf(choices: list[str]):
-    """pandas UDF: name -> struct(idx int, score double) over a bounded choice list."""
+def best_match_udf(choices: list[str], memo_size: int = 65536):
+    """pandas UDF: (name, wanted) -> struct(idx int, score double) over a bounded choice list.
+
+    Rows with ``wanted`` false get null without scoring.  Scores are memoised
+    per task (bounded), so a name repeated across many rows is scored once.
+    """
     prepared = [sort_tokens(c) for c in choices]
+    memo: dict[str, tuple[int, float]] = {}
 
     @pandas_udf(T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("score", T.DoubleType())]))
-    def _best(names: pd.Series) -> pd.DataFrame:
+    def _best(names: pd.Series, wanted: pd.Series) -> pd.DataFrame:
         idx, score = [], []
-        for n in names:
-            if n is None or not prepared:
+        for n, w in zip(names, wanted):
+            if n is None or not w or not prepared:
                 idx.append(None)
                 score.append(None)
-            else:
-                i, s = best_match(n, prepared)
-                idx.append(i)
-                score.append(s)
+                continue
+            hit = memo.get(n)
+            if hit is None:
+                if len(memo) >= memo_size:
+                    memo.clear()
+                hit = memo[n] = best_match(n, prepared)
+            idx.append(hit[0])
+            score.append(hit[1])
         return pd.DataFrame({"idx": pd.array(idx, dtype="Int32"), "score": pd.array(score, dtype="Float64")})
     return _best

@@ -56,12 +56,21 @@ def enrich_article(news: DataFrame, pages: DataFrame, url: str = "article_url")
                     (F.length("_text") > ARTICLE_MIN_CHARS).alias("content_enriched"))
 
 
-def attach_canonical(df: DataFrame, resolved: DataFrame, name: str, out: str) -> DataFrame:
-    """Join the resolution of ``name`` (distinct-name table) back as column ``out``."""
+def attach_canonical(df: DataFrame, name: str, out: str, resolved: DataFrame | None = None) -> DataFrame:
+    """Canonical name of ``name`` as column ``out`` (and ``out``_method).
+
+    Without ``resolved`` the resolution runs row by row (broadcast lookups, no
+    shuffle); with a distinct-name table ``resolved`` it is joined back.
+    """
+    if resolved is None:
+        from .resolve import resolve_entities
+        tmp = f"_{name}_src"
+        r = resolve_entities(df.withColumn(tmp, F.col(name)), tmp)
+        return (r.withColumnRenamed("canonical_name", out).withColumnRenamed("match_method", f"{out}_method")
+                 .drop("confidence", tmp))
     r = resolved.select(F.col(name).alias("_rn"), F.col("canonical_name").alias(out),
                         F.col("match_method").alias(f"{out}_method"))
-    j = df.join(r, df[name].eqNullSafe(r["_rn"]), "left").drop("_rn")
-    return j
+    return df.join(r, df[name].eqNullSafe(r["_rn"]), "left").drop("_rn")
 
 
 def anti_join_store(df: DataFrame, store: DataFrame, key: str = "dedup_key") -> DataFrame:

@@ -1,10 +1,11 @@
 """Entity resolution: exact -> alias -> fuzzy (token-sort) -> unresolved.
 
-Work is done once per *distinct* raw name and joined back, so a hot name that
-holds a third of the rows costs one scoring call.  Seed and alias tables are
-small fixed lists and are broadcast only below a checked size; the
-distinct-name table is joined back with whatever strategy AQE picks from its
-runtime size.
+``resolve_entities`` works row by row without any shuffle: the exact and alias
+lookups are broadcast hash joins against the seed and alias tables (fixed
+lists, broadcast only below a checked size), and the fuzzy scorer is an Arrow
+UDF that only scores rows left unresolved and memoises per task, so a hot name
+holding a third of the rows is scored once per task.  ``resolve_names`` gives
+the same answer per distinct name (a shuffle on the name) for audit tables.
 """
 from __future__ import annotations
 
@@ -83,29 +84,18 @@ def alias_lookup(spark: SparkSession, aliases=None) -> DataFrame:
     return spark.createDataFrame(list(aliases.items()), "norm string, alias_canonical string")
 
 
-def resolve_names(names: DataFrame, name: str = "raw_name", seeds=None, aliases=None,
-                  threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Distinct names -> (name, canonical_name, match_method, confidence)."""
-    spark = names.sparkSession
-    seeds = list(seeds or SEED_ENTITIES)
-    aliases = dict(aliases or KNOWN_ALIASES)
-    d = (names.select(F.col(name).alias("_raw")).distinct()
-              .withColumn("_norm", normalize_name("_raw"))
-              .withColumn("_blank", is_blank("_raw")))
+def _resolve_columns(d: DataFrame, name: str, seeds, aliases, threshold: float) -> DataFrame:
+    spark = d.sparkSession
     ex = _maybe_broadcast(seed_lookup(spark, seeds).withColumnRenamed("norm", "_norm"), len(seeds))
     al = _maybe_broadcast(alias_lookup(spark, aliases).withColumnRenamed("norm", "_norm"), len(aliases))
-    d = d.join(ex, "_norm", "left").join(al, "_norm", "left")
+    d = (d.withColumn("_norm", normalize_name(name)).withColumn("_blank", is_blank(name))
+          .join(ex, "_norm", "left").join(al, "_norm", "left"))
     needs_fuzzy = ~F.col("_blank") & F.col("exact_canonical").isNull() & F.col("alias_canonical").isNull()
     seed_arr = F.array(*[F.lit(s) for s in seeds]) if seeds else F.array().cast("array<string>")
-    fz = (d.filter(needs_fuzzy)
-           .withColumn("_m", best_match_udf(seeds)(F.col("_raw")))
-           .withColumn("_fz_name", F.get(seed_arr, F.col("_m.idx")))
-           .withColumn("_fz_score", F.col("_m.score")).drop("_m"))
-    rest = (d.filter(~needs_fuzzy)
-             .withColumn("_fz_name", F.lit(None).cast("string"))
-             .withColumn("_fz_score", F.lit(None).cast("double")))
-    u = fz.unionByName(rest)
-    fuzzy_ok = F.col("_fz_score") >= F.lit(float(threshold))
+    d = d.withColumn("_m", best_match_udf(seeds)(F.col(name), needs_fuzzy))
+    fz_name = F.get(seed_arr, F.col("_m.idx"))
+    fz_score = F.col("_m.score")
+    fuzzy_ok = F.coalesce(fz_score >= F.lit(float(threshold)), F.lit(False))
     method = (F.when(F.col("_blank"), F.lit("NONE"))
                .when(F.col("exact_canonical").isNotNull(), F.lit("EXACT"))
                .when(F.col("alias_canonical").isNotNull(), F.lit("ALIAS"))
@@ -114,23 +104,34 @@ def resolve_names(names: DataFrame, name: str = "raw_name", seeds=None, aliases=
     canonical = (F.when(F.col("_blank"), F.lit(UNRESOLVED_BLANK))
                   .when(F.col("exact_canonical").isNotNull(), F.col("exact_canonical"))
                   .when(F.col("alias_canonical").isNotNull(), F.col("alias_canonical"))
-                  .when(fuzzy_ok, F.col("_fz_name"))
-                  .otherwise(py_strip("_raw")))
+                  .when(fuzzy_ok, fz_name)
+                  .otherwise(py_strip(name)))
     conf = (F.when(F.col("_blank"), F.lit(0.0))
              .when(F.col("exact_canonical").isNotNull() | F.col("alias_canonical").isNotNull(), F.lit(100.0))
-             .otherwise(F.coalesce(F.col("_fz_score"), F.lit(0.0))))
-    return u.select(F.col("_raw").alias(name), canonical.alias("canonical_name"),
-                    method.alias("match_method"), conf.alias("confidence"))
+             .otherwise(F.coalesce(fz_score, F.lit(0.0))))
+    return (d.withColumn("canonical_name", canonical).withColumn("match_method", method)
+             .withColumn("confidence", conf)
+             .drop("_norm", "_blank", "exact_canonical", "alias_canonical", "_m"))
+
+
+def resolve_names(names: DataFrame, name: str = "raw_name", seeds=None, aliases=None,
+                  threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """Distinct names -> (name, canonical_name, match_method, confidence)."""
+    seeds = list(seeds or SEED_ENTITIES)
+    aliases = dict(aliases or KNOWN_ALIASES)
+    d = names.select(name).distinct()
+    return _resolve_columns(d, name, seeds, aliases, threshold)
 
 
 def resolve_entities(df: DataFrame, name: str = "raw_name", seeds=None, aliases=None,
                      threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Adds canonical_name, match_method, confidence to every row of ``df``."""
-    r = resolve_names(df, name, seeds, aliases, threshold)
-    key = "_rk"
-    r = r.withColumn(key, F.col(name)).drop(name)
-    out = df.join(r, df[name].eqNullSafe(r[key]), "left").drop(key)
-    return out
+    """Adds canonical_name, match_method, confidence to every row of ``df`` (no shuffle)."""
+    seeds = list(seeds or SEED_ENTITIES)
+    aliases = dict(aliases or KNOWN_ALIASES)
+    for c in ("canonical_name", "match_method", "confidence"):
+        if c in df.columns:
+            raise ValueError(f"column {c} already present")
+    return _resolve_columns(df, name, seeds, aliases, threshold)
 
 
 def mapping_log(resolved: DataFrame, name: str = "raw_name", source_url: str | None = "source_url",

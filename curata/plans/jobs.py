@@ -19,8 +19,8 @@ from ..operators.extract import (extract_batch, merge_news, merge_product, merge
 from ..operators.resolve import resolve_names
 from ..operators.validate import validate_entities, with_violations
 from ..schemas import RECORD_TYPE_OF
-from ..sources.payloads import (scan_jobs_feed, scan_jobs_json, scan_news_feed, scan_papers_atom,
-                                scan_products_json, scan_startups_json, scan_stars_json)
+from ..sources.payloads import (job_text, news_text, scan_jobs_feed, scan_jobs_json, scan_news_feed,
+                                scan_papers_atom, scan_products_json, scan_startups_json, scan_stars_json)
 
 
 def _finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str) -> DataFrame:
@@ -57,8 +57,7 @@ def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=
     s = with_violations(scan_startups_json(payloads), "startup")
     s = s.withColumn("is_valid", F.size("violations") == 0).drop("violations")
     s = dedup_name_priority(s, "name", "ord", "is_valid").drop("is_valid")
-    r = resolve_names(s, "name")
-    s = attach_canonical(s, r, "name", "canonical_name").drop("canonical_name_method")
+    s = attach_canonical(s, "name", "canonical_name").drop("canonical_name_method")
     s = s.withColumn("dedup_key", dedup_key("startup", name=F.col("name"), canonical_name=F.col("canonical_name"),
                                             website_url=F.col("website_url"), source_url=F.col("source_url")))
     s = dedup_first(s, "dedup_key", "ord")
@@ -98,14 +97,15 @@ def product_company_log(payloads: DataFrame) -> DataFrame:
 
 def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
              providers=None, max_age_hours: float = 24.0, collected_at: str = "") -> DataFrame:
-    n = with_freshness(scan_news_feed(payloads), "pub_date_raw", reference_time, max_age_hours, out="fresh")
+    n = with_freshness(scan_news_feed(payloads, html_text=False), "pub_date_raw", reference_time, max_age_hours,
+                       out="fresh")
     n = n.filter(F.col("fresh.is_fresh"))
     n = (n.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
           .withColumn("published_at", F.col("fresh.published_at"))
           .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
     valid, _rejected = validate_entities(n, "news")
     k = valid.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
-    k = dedup_first(k, "dedup_key", "ord")            # before the page join: less work, same result
+    k = news_text(dedup_first(k, "dedup_key", "ord"))  # dedup before the Python step and the page join
     if pages is not None:
         k = enrich_article(k, pages, "article_url")
     k = k.withColumn("extraction_status", needs_extraction("news", raw_text="content"))
@@ -116,19 +116,21 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
 
 def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
              store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str = "") -> DataFrame:
-    j = scan_jobs_json(json_payloads)
+    j = scan_jobs_json(json_payloads).withColumn("desc_raw", F.lit(None).cast("string"))
     if feed_payloads is not None:
-        j = j.unionByName(scan_jobs_feed(feed_payloads))
+        j = j.unionByName(scan_jobs_feed(feed_payloads, html_text=False), allowMissingColumns=True)
     j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh").filter(F.col("fresh.is_fresh"))
     j = (j.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
           .withColumn("published_at", F.col("fresh.published_at"))
           .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
-    r = resolve_names(j, "company_name")
-    j = attach_canonical(j, r, "company_name", "canonical_company_name").drop("canonical_company_name_method")
+    j = attach_canonical(j, "company_name", "canonical_company_name").drop("canonical_company_name_method")
     valid, _rejected = validate_entities(j, "job")
     k = valid.withColumn("dedup_key", dedup_key("job", company_name=F.col("company_name"),
                                                 role_title=F.col("role_title"), job_url=F.col("job_url")))
     k = dedup_first(k, "dedup_key", "ord")
+    # JSON items carry a plain description; feed items get their tags stripped now (fewer rows)
+    k = job_text(k.withColumn("_plain", F.col("description"))).withColumn(
+        "description", F.when(F.col("_plain").isNotNull(), F.col("_plain")).otherwise(F.col("description"))).drop("_plain")
     return _finish(k, "job", store, collected_at)
 
 

@@ -140,5 +140,4 @@ SELECT 'https://jobs.example.com/o/' || o_orderkey AS job_url, res.canonical_nam
 FROM orders JOIN res ON {company_sql('o_custkey')} = res.raw_name WHERE o_orderkey % 13 <> 0""")
 def q_attach_canonical(spark, sf):
     jobs = scan_jobs_json(job_json_payloads(spark, sf))
-    r = resolve_names(jobs, "company_name")
-    return attach_canonical(jobs, r, "company_name", "canonical_company_name").select("job_url", "canonical_company_name")
+    return attach_canonical(jobs, "company_name", "canonical_company_name").select("job_url", "canonical_company_name")

@@ -102,33 +102,51 @@ def _feed_fields(e: DataFrame) -> DataFrame:
     )
 
 
-def scan_news_feed(payloads: DataFrame, kind: str = "news_feed") -> DataFrame:
-    """RSS <item> (else Atom <entry>) -> news rows; summary is tag-stripped text."""
+def news_text(df: DataFrame) -> DataFrame:
+    """summary = content = visible text of the item description (Python worker)."""
     from ..functions.html import strip_html
+    summary = F.when(blank_to_null(F.col("desc_raw")).isNotNull(), strip_html(F.col("desc_raw")))
+    return df.withColumn("summary", summary).withColumn("content", F.col("summary")).drop("desc_raw")
+
+
+def scan_news_feed(payloads: DataFrame, kind: str = "news_feed", html_text: bool = True) -> DataFrame:
+    """RSS <item> (else Atom <entry>) -> news rows; summary is tag-stripped text.
+
+    ``html_text=False`` keeps the raw description in ``desc_raw`` so a caller can
+    filter first and run :func:`news_text` (the Python step) on fewer rows.
+    """
     f = _feed_fields(_feed_items(payloads, kind, prefer_items=True))
     f = f.filter(F.col("_has_title") & F.col("_has_link") & F.col("link").isNotNull())
-    summary = F.when(blank_to_null(F.col("desc_raw")).isNotNull(), strip_html(F.col("desc_raw")))
-    return f.select(
+    rows = f.select(
         "ord", "title", F.col("link").alias("article_url"), F.col("url").alias("source_url"),
-        F.when(F.col("author") != "", F.col("author")).alias("author"),
-        summary.alias("summary"), summary.alias("content"),
+        F.when(F.col("author") != "", F.col("author")).alias("author"), "desc_raw",
         F.col("pub_date_raw"), F.col("source_name"))
+    return news_text(rows) if html_text else rows
 
 
-def scan_jobs_feed(payloads: DataFrame, kind: str = "jobs_feed") -> DataFrame:
-    """RSS/Atom job feed -> job rows; title split into role / company."""
+def job_text(df: DataFrame) -> DataFrame:
+    """description = visible text of the raw item description (Python worker)."""
     from ..functions.html import strip_html
+    d = F.coalesce(F.col("desc_raw"), F.lit(""))
+    return df.withColumn("description", F.when(d != "", strip_html(d))).drop("desc_raw")
+
+
+def scan_jobs_feed(payloads: DataFrame, kind: str = "jobs_feed", html_text: bool = True) -> DataFrame:
+    """RSS/Atom job feed -> job rows; title split into role / company.
+
+    ``html_text=False`` defers the description's tag stripping (see :func:`job_text`).
+    """
     from ..functions.rules import DEFAULT_LOCATION, role_family, split_job_title
     f = _feed_fields(_feed_items(payloads, kind, prefer_items=False))
     f = f.filter((F.col("title") != "") & F.col("link").isNotNull())
     f = f.withColumn("_split", split_job_title(F.col("title"), F.col("source_name")))
     desc = F.coalesce(F.col("desc_raw"), F.lit(""))
-    return f.select(
+    rows = f.select(
         "ord", F.col("_split.company_name").alias("company_name"), F.col("_split.role_title").alias("role_title"),
         F.col("link").alias("job_url"), F.lit(DEFAULT_LOCATION).alias("location"), F.lit(True).alias("is_remote"),
-        role_family(F.col("_split.role_title"), desc).alias("role_family"),
-        F.when(desc != "", strip_html(desc)).alias("description"),
+        role_family(F.col("_split.role_title"), desc).alias("role_family"), "desc_raw",
         F.col("pub_date_raw"), F.col("source_name"), F.col("url").alias("source_url"))
+    return job_text(rows) if html_text else rows
 
 
 def _json_items(payloads: DataFrame, kind: str, list_key: str | None = None) -> DataFrame:
