@@ -22,7 +22,7 @@ def enrich_stars(papers: DataFrame, stars: DataFrame, url: str = "github_reposit
     p = papers.withColumn("_or", parse_owner_repo(url)) \
               .withColumn("_owner", F.col("_or.owner")).withColumn("_repo", F.col("_or.repo"))
     s = stars.select(F.col("owner").alias("_owner"), F.col("repo").alias("_repo"), F.col("stars").alias("_stars"))
-    s = s.groupBy("_owner", "_repo").agg(F.first("_stars", ignorenulls=True).alias("_stars"))
+    s = s.groupBy("_owner", "_repo").agg(F.max("_stars").alias("_stars"))   # one deterministic count per repo
     j = p.join(s, ["_owner", "_repo"], "left")
     cols = [c for c in papers.columns if c != "github_stars"]
     return j.select(*cols, F.coalesce(F.col("_stars").cast("int"), F.col("github_stars") if "github_stars" in papers.columns
@@ -44,16 +44,22 @@ def enrich_readme(products: DataFrame, readmes: DataFrame, needs: str = "needs_e
 
 
 def enrich_article(news: DataFrame, pages: DataFrame, url: str = "article_url") -> DataFrame:
-    """news ⟕ pages(url, html): content = article text if > 100 chars, else summary."""
+    """news ⟕ pages(url, html): content = article text if > 100 chars, else summary.
+
+    The page table can be far larger than the fresh news: it is first reduced
+    with a semi-join on the news URLs (AQE broadcasts the URL side when its
+    runtime size allows), the Python article extractor runs on the matched pages
+    only, and the small result is joined back.  ``pages`` must be unique on url.
+    """
     from ..functions.html import article_text
-    pg = pages.select(F.col("url").alias("_url"), F.col("html").alias("_html"))
-    j = news.join(pg, news[url] == pg["_url"], "left")
-    text = article_text(F.col("_html"))
-    j = j.withColumn("_text", F.when(F.col("_html").isNotNull(), text))
+    urls = news.select(F.col(url).alias("_url")).distinct()
+    pg = pages.select(F.col("url").alias("_url"), F.col("html").alias("_html")).join(urls, "_url", "left_semi")
+    texts = pg.select("_url", article_text(F.col("_html")).alias("_text"))
+    j = news.join(texts, news[url] == texts["_url"], "left")
     content = F.when(F.length("_text") > ARTICLE_MIN_CHARS, F.col("_text")).otherwise(F.col("summary"))
     cols = [c for c in news.columns if c != "content"]
     return j.select(*cols, content.alias("content"),
-                    (F.length("_text") > ARTICLE_MIN_CHARS).alias("content_enriched"))
+                    F.coalesce(F.length("_text") > ARTICLE_MIN_CHARS, F.lit(False)).alias("content_enriched"))
 
 
 def attach_canonical(df: DataFrame, name: str, out: str, resolved: DataFrame | None = None) -> DataFrame:

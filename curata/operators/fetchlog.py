@@ -5,7 +5,7 @@ Attempt log columns: ``url, source_name, attempt (0-based), status_code
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import _c
@@ -55,12 +55,16 @@ def policy_wait_s(n) -> Column:
 
 
 def backoff_compliance(attempts: DataFrame) -> DataFrame:
-    """Per retry: gap since the previous attempt's response vs the jittered policy window."""
-    w = Window.partitionBy("url").orderBy("attempt")
-    a = (attempts.withColumn("_prev_ts", F.lag("ts").over(w))
-                 .withColumn("_prev_lat", F.lag("latency_ms").over(w))
-                 .withColumn("_prev_attempt", F.lag("attempt").over(w))
-                 .filter(F.col("_prev_ts").isNotNull()))
+    """Per retry: gap since the previous attempt's response vs the jittered policy window.
+
+    The previous attempt is found with an equi-join on (url, attempt - 1) rather
+    than a window over the url, so a url holding a large share of the log is
+    spread over many tasks instead of being sorted in one.
+    """
+    prev = attempts.select(F.col("url").alias("_purl"), (F.col("attempt") + 1).alias("_next"),
+                           F.col("ts").alias("_prev_ts"), F.col("latency_ms").alias("_prev_lat"),
+                           F.col("attempt").alias("_prev_attempt"))
+    a = attempts.join(prev, (attempts["url"] == prev["_purl"]) & (attempts["attempt"] == prev["_next"]), "inner")
     gap_us = F.unix_micros(F.col("ts")) - F.unix_micros(F.col("_prev_ts"))
     wait = policy_wait_s(F.col("_prev_attempt"))
     sleep_ms = gap_us / F.lit(1000.0) - F.coalesce(F.col("_prev_lat"), F.lit(0.0))

@@ -167,9 +167,11 @@ def company_name(k) -> "F.Column":
 
 
 def _jstr(c) -> "F.Column":
-    """JSON string literal of a column (escaped)."""
-    j = F.to_json(F.array(c))
-    return F.substring(j, F.lit(2), F.length(j) - 2)
+    """JSON string literal of a column: backslash, quote and control characters escaped."""
+    e = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for ch, rep in (('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        e = F.replace(e, F.lit(ch), F.lit(rep))
+    return F.concat(F.lit('"'), e, F.lit('"'))
 
 
 def _jobj(*pairs) -> "F.Column":

@@ -153,3 +153,19 @@ def q_enrich_article(spark, sf):
     e = enrich_article(news, pages.drop("ord"))
     return e.select("title", "article_url", F.length("content").cast("long").alias("content_len"),
                     "content_enriched")
+
+
+@register("parse_owner_repo", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 4 THEN 'c' || o_custkey END AS owner,
+       CASE WHEN o_orderkey % 5 <> 4 THEN 'r' || o_orderkey END AS repo
+FROM orders""")
+def q_parse_owner_repo(spark, sf):
+    from ..functions.rules import parse_owner_repo
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    suffix = (F.when(k % 5 == 0, F.lit("")).when(k % 5 == 1, F.lit("/")).when(k % 5 == 2, F.lit(".git"))
+               .otherwise(F.lit(".git/")))
+    url = F.when(k % 5 == 4, F.lit("not_a_github_url")).otherwise(
+        F.concat(F.lit("https://github.com/c"), F.col("o_custkey").cast("string"), F.lit("/r"), k.cast("string"), suffix))
+    r = o.select("o_orderkey", parse_owner_repo(url).alias("r"))
+    return r.select("o_orderkey", F.col("r.owner").alias("owner"), F.col("r.repo").alias("repo"))

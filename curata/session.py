@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "curata",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Local/test session builder.  On a cluster use the cluster's own session
     and call :func:`prepare` on it instead."""
     b = SparkSession.builder.appName(app)
@@ -22,6 +22,8 @@ def build_session(master: str | None = None, app: str = "curata",
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:   # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     prepare(spark)
     return spark
