@@ -5,6 +5,8 @@ to the driver.  Order of work is chosen for cost: cheap filters and dedup run
 before joins and Python-worker steps (freshness before the page join, dedup
 before enrichment).  Each returns the rows that are new to ``store`` (a
 DataFrame with a ``dedup_key`` column, e.g. the curated Parquet table).
+``checkpoint=True`` cuts the lineage after the parse/freshness stage with a
+reliable checkpoint in ``spark.checkpoint.dir``.
 """
 from __future__ import annotations
 
@@ -19,6 +21,7 @@ from ..operators.extract import (extract_batch, merge_news, merge_product, merge
 from ..operators.resolve import resolve_names
 from ..operators.validate import validate_entities, with_violations
 from ..schemas import RECORD_TYPE_OF
+from ..session import cut_lineage
 from ..sources.payloads import (job_text, news_text, scan_jobs_feed, scan_jobs_json, scan_news_feed,
                                 scan_papers_atom, scan_products_json, scan_startups_json, scan_stars_json)
 
@@ -96,10 +99,10 @@ def product_company_log(payloads: DataFrame) -> DataFrame:
 
 
 def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
-             providers=None, max_age_hours: float = 24.0, collected_at: str = "") -> DataFrame:
+             providers=None, max_age_hours: float = 24.0, collected_at: str = "", checkpoint: bool = False) -> DataFrame:
     n = with_freshness(scan_news_feed(payloads, html_text=False), "pub_date_raw", reference_time, max_age_hours,
                        out="fresh")
-    n = n.filter(F.col("fresh.is_fresh"))
+    n = cut_lineage(n.filter(F.col("fresh.is_fresh")), checkpoint)
     n = (n.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
           .withColumn("published_at", F.col("fresh.published_at"))
           .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
@@ -115,11 +118,13 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
 
 
 def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
-             store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str = "") -> DataFrame:
+             store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str = "",
+             checkpoint: bool = False) -> DataFrame:
     j = scan_jobs_json(json_payloads).withColumn("desc_raw", F.lit(None).cast("string"))
     if feed_payloads is not None:
         j = j.unionByName(scan_jobs_feed(feed_payloads, html_text=False), allowMissingColumns=True)
     j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh").filter(F.col("fresh.is_fresh"))
+    j = cut_lineage(j, checkpoint)
     j = (j.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
           .withColumn("published_at", F.col("fresh.published_at"))
           .withColumn("freshness_verified", F.lit(True)).drop("fresh"))

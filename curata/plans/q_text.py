@@ -69,9 +69,10 @@ def q_chunk_text(spark, sf):
 
 @register("first_chunk")
 def q_first_chunk(spark, sf):
-    """Only chunk 0 of each document goes to extraction."""
-    c = _chunks(spark, sf).filter(F.col("chunk_no") == 0)
-    return c.select("doc_id", F.length("chunk").cast("long").alias("chars"))
+    """Only chunk 0 of each document goes to extraction (the chunker stops there)."""
+    d = table(spark, sf, "documents")
+    c = d.select("doc_id", F.get(chunk_udf(first_only=True)(F.col("text")), 0).alias("chunk"))
+    return c.filter(F.col("chunk").isNotNull()).select("doc_id", F.length("chunk").cast("long").alias("chars"))
 
 
 _STARTUP_ROWS_SQL = """

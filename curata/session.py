@@ -58,3 +58,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cut_lineage(df, enabled: bool = True):
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local checkpoint).
+
+    Used between the expensive scan/parse stage of a job and its joins so that a
+    lost executor costs a re-read of the checkpoint, not a re-parse of payloads.
+    """
+    if not enabled:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
