@@ -148,3 +148,29 @@ def job_export(tables: dict[str, DataFrame], target_dir: str | None = None) -> D
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def job_metrics(outputs: dict[str, DataFrame], discovered: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The run counters from the job outputs in one pass: every output is narrowed
+    to (entity, stars?, status?), the narrow rows are unioned once and folded by a
+    single global aggregate, so no job is evaluated more than once."""
+    from ..operators.reports import METRIC_NAMES
+    parts = []
+    for entity, df in outputs.items():
+        cols = set(df.columns)
+        parts.append(df.select(
+            F.lit(entity).alias("entity"),
+            (F.col("github_stars").isNotNull() if "github_stars" in cols else F.lit(False)).alias("stars"),
+            (F.col("extraction_status") if "extraction_status" in cols else F.lit("skipped")).alias("status")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    fresh = F.col("entity").isin("news", "job")
+    m = u.agg(F.count(F.lit(1)).alias("records_processed"),
+              F.count_if(fresh).alias("fresh_records"),
+              F.count_if(F.col("stars")).alias("github_stars_enriched"),
+              F.count_if(F.col("status") != "attempt").alias("deterministic_extractions"),
+              F.count_if(F.col("status") == "attempt").alias("llm_extractions_attempted"),
+              F.count_if(F.col("status") == "skipped").alias("llm_extractions_skipped"))
+    present = set(m.columns)
+    return m.select(*[(F.col(n) if n in present else F.lit(0)).cast("long").alias(n) for n in METRIC_NAMES])

@@ -140,3 +140,23 @@ def test_chunk_query_matches_brute_force(spark):
     assert got == want
     firsts = {r.doc_id: r.chars for r in queries()["first_chunk"](spark, sf).collect()}
     assert firsts == {k[0]: v for k, v in want.items() if k[1] == 0}
+
+
+def test_stream_early_dedup_and_checkpointed_job(spark):
+    import os
+    import uuid
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    from curata.plans.derive import REFERENCE_TIME, news_feed_payloads
+    from curata.plans.jobs import job_news
+    from curata.plans.q_stream import _land
+    from curata.session import scratch_path
+    from curata.streaming.streams import stream_news
+    base = scratch_path(spark, f"t_{uuid.uuid4().hex}")
+    _land(news_feed_payloads(spark, sf), f"{base}/p")
+    q = stream_news(spark, f"{base}/p", f"{base}/s", f"{base}/c", REFERENCE_TIME, early_dedup=True)
+    q.awaitTermination()
+    streamed = {r.dedup_key for r in spark.read.parquet(f"{base}/s").select("dedup_key").collect()}
+    batch = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, checkpoint=True)
+    assert streamed == {r.dedup_key for r in batch.select("dedup_key").collect()}
