@@ -19,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .strings import _c, is_blank, py_strip
+from .strings import _c, py_strip
 
 # --- fixed values -----------------------------------------------------------
 # Accepted ISO-8601 shapes, as Spark datetime patterns (fraction: 1-6 digits).

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fuzzy import best_match_udf
 from ..functions.rules import normalize_name
-from ..functions.strings import _c, is_blank, py_strip
+from ..functions.strings import is_blank, py_strip
 
 # --- fixed values -----------------------------------------------------------
 # Seed canonical entities, in list order (ties in fuzzy scoring keep the first).

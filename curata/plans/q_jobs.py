@@ -11,7 +11,6 @@ from .q_dates import _EXPECTED
 from .q_resolve import LOG_TS, resolve_sql
 from .q_scans import PAPERS_SQL, PRODUCTS_SQL, STARTUPS_SQL
 from .sqlfrag import company_sql, role_sql
-from .tables import table
 
 JOBS_REFERENCE_TIME = "1996-06-15 12:00:00"
 

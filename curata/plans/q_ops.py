@@ -14,7 +14,7 @@ from ..operators.sinks import append_mapping_log, export_tab
 from ..session import scratch_path
 from ..sources.payloads import scan_papers_atom, scan_products_json, scan_table
 from .catalog import register
-from .derive import REFERENCE_TIME, atom_paper_payloads, product_payloads
+from .derive import atom_paper_payloads, product_payloads
 from .q_resolve import JOINED as RESOLVED_SQL, _resolved, LOG_TS
 from .q_scans import PAPERS_SQL, PRODUCTS_SQL
 from .tables import TABLES, table

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import LEGAL_SUFFIXES, normalize_name
 from ..operators.enrich import attach_canonical
-from ..operators.resolve import (KNOWN_ALIASES, SEED_ENTITIES, count_matches, mapping_log,
-                                 resolve_entities, resolve_names)
+from ..operators.resolve import KNOWN_ALIASES, SEED_ENTITIES, count_matches, mapping_log, resolve_entities
 from ..sources.payloads import scan_jobs_json
 from .catalog import register
 from .derive import REFERENCE_TIME, company_name, job_json_payloads

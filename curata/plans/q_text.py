@@ -5,13 +5,12 @@ from pyspark.sql import functions as F
 
 from ..functions.chunking import chunk_udf, estimate_tokens
 from ..functions.html import article_text, html_date
-from ..functions.rules import url_is_http
 from ..operators.enrich import enrich_article, enrich_readme, enrich_stars
 from ..operators.extract import needs_extraction
 from ..operators.validate import with_violations
-from ..sources.payloads import scan_news_feed, scan_papers_atom, scan_stars_json
+from ..sources.payloads import scan_papers_atom, scan_stars_json
 from .catalog import register
-from .derive import (REFERENCE_TIME, atom_paper_payloads, news_feed_payloads, pages_with_dates, star_payloads)
+from .derive import REFERENCE_TIME, atom_paper_payloads, pages_with_dates, star_payloads
 from .tables import table
 
 

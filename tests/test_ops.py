@@ -160,3 +160,16 @@ def test_stream_early_dedup_and_checkpointed_job(spark):
     streamed = {r.dedup_key for r in spark.read.parquet(f"{base}/s").select("dedup_key").collect()}
     batch = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, checkpoint=True)
     assert streamed == {r.dedup_key for r in batch.select("dedup_key").collect()}
+
+
+def test_strip_html_native_path_matches_parser(spark):
+    import random
+    from curata.functions.html import strip_html
+    rnd = random.Random(3)
+    bits = ["Hello", " world ", "<b>", "</b>", "<p>", "</p>", "<br/>", "<a href=x>", "</a>", "\n", "  ", "a < b",
+            "x > y", "&amp;", "<!-- c -->", "<script>s()</script>", "<i class='q'>", "</i>", "<em>", "\t", "ñ"]
+    frags = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 8))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(frags)], "i int, h string")
+    got = {r.i: r.t for r in df.select("i", strip_html("h").alias("t")).collect()}
+    bad = [(f, got[i], visible_text(f)) for i, f in enumerate(frags) if got[i] != visible_text(f)]
+    assert not bad, bad[:5]

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from curata.schemas import PAYLOAD
 from curata.sources.payloads import (scan_jobs_feed, scan_jobs_json, scan_news_feed, scan_papers_atom,
                                      scan_products_json, scan_stars_json, scan_startups_json)
