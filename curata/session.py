@@ -19,7 +19,9 @@ def build_session(master: str | None = None, app: str = "curata",
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # CPU-heavy parse stages follow small shuffles: keep them spread over the cores
+          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:   # local mode: the driver JVM is the only executor
@@ -70,3 +72,15 @@ def cut_lineage(df, enabled: bool = True):
         return df
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def with_parallelism(df, min_partitions: int | None = None):
+    """Round-robin repartition when a scan yields fewer partitions than the cluster
+    has cores (e.g. one small single-row-group file), so per-row CPU work is not
+    serialised in one task.  Large inputs already have many more partitions than
+    cores and are returned untouched (no extra shuffle)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
