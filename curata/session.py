@@ -79,8 +79,10 @@ def with_parallelism(df, min_partitions: int | None = None):
     has cores (e.g. one small single-row-group file), so per-row CPU work is not
     serialised in one task.  Large inputs already have many more partitions than
     cores and are returned untouched (no extra shuffle)."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min_partitions or sc.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave partitioning to AQE
+        return df
+    return df.repartition(want) if have < want else df
