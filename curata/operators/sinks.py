@@ -122,3 +122,21 @@ def write_new(spark: SparkSession, incoming: DataFrame, store_path: str, key: st
 def append_mapping_log(log: DataFrame, path: str) -> None:
     """Append every resolution row (no dedup)."""
     log.write.mode("append").parquet(path)
+
+
+def write_bucketed_store(df: DataFrame, table_name: str, buckets: int, key: str = "dedup_key",
+                         mode: str = "append") -> None:
+    """Write the curated store as a table bucketed (and sorted) by ``key``.
+
+    With the store bucketed, the insert-if-absent anti-join reads the stored keys
+    in bucket order without an exchange; only the (much smaller) incoming batch is
+    shuffled into the same number of partitions.
+    """
+    (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table_name))
+
+
+def new_rows_vs_bucketed_store(spark: SparkSession, incoming: DataFrame, table_name: str,
+                               key: str = "dedup_key", order: str = "ord") -> DataFrame:
+    """insert_if_absent against a bucketed store table (see :func:`write_bucketed_store`)."""
+    store = spark.table(table_name).select(key)
+    return insert_if_absent(incoming, store, key, order)

@@ -173,3 +173,25 @@ def test_strip_html_native_path_matches_parser(spark):
     got = {r.i: r.t for r in df.select("i", strip_html("h").alias("t")).collect()}
     bad = [(f, got[i], visible_text(f)) for i, f in enumerate(frags) if got[i] != visible_text(f)]
     assert not bad, bad[:5]
+
+
+def test_bucketed_store_anti_join_reads_store_without_exchange(spark):
+    import uuid
+    from curata.operators.sinks import new_rows_vs_bucketed_store, write_bucketed_store
+    name = f"store_{uuid.uuid4().hex[:8]}"
+    stored = spark.range(0, 2000).select(F.sha2(F.col("id").cast("string"), 256).alias("dedup_key"),
+                                         F.col("id").alias("ord"))
+    write_bucketed_store(stored, name, 8)
+    incoming = spark.range(1500, 2600).select(F.sha2(F.col("id").cast("string"), 256).alias("dedup_key"),
+                                              F.col("id").alias("ord"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = new_rows_vs_bucketed_store(spark, incoming, name)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert new.count() == 600
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    store_scan = [ln for ln in plan.splitlines() if "FileScan" in ln and name in ln]
+    assert store_scan and "Bucketed: true" in store_scan[0]
+    assert plan.count("Exchange hashpartitioning") == 1      # only the incoming batch is shuffled
