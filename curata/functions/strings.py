@@ -10,13 +10,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Every code point Python's ``str.strip()`` removes (``str.isspace``), derived by rule.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def py_strip(col) -> Column:
-    """``str.strip()``: drop leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    """``str.strip()``: drop leading/trailing whitespace (Python's exact set)."""
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(col) -> Column:
