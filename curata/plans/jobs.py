@@ -26,6 +26,12 @@ from ..sources.payloads import (job_text, news_text, scan_jobs_feed, scan_jobs_j
                                 scan_papers_atom, scan_products_json, scan_startups_json, scan_stars_json)
 
 
+def _keep(stages: dict | None, **frames) -> None:
+    """Record intermediate DataFrames (for run counters) when the caller asks for them."""
+    if stages is not None:
+        stages.update(frames)
+
+
 def _finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str) -> DataFrame:
     out = df if store is None else dedup_seen(df, store, "dedup_key")
     return (out.withColumn("id", F.sha2(F.col("dedup_key"), 256))
@@ -45,9 +51,10 @@ def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge)
 
 
 def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, store: DataFrame | None = None,
-               collected_at: str = "") -> DataFrame:
+               collected_at: str = "", stages: dict | None = None) -> DataFrame:
     p = scan_papers_atom(payloads)
     valid, _rejected = validate_entities(p, "paper")
+    _keep(stages, discovered=valid, rejected=_rejected)
     keyed = valid.withColumn("dedup_key", dedup_key("paper", paper_url=F.col("paper_url")))
     unique = dedup_first(keyed, "dedup_key", "ord")
     if repo_payloads is not None:
@@ -56,11 +63,14 @@ def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, stor
 
 
 def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=None,
-                 collected_at: str = "") -> DataFrame:
+                 collected_at: str = "", stages: dict | None = None) -> DataFrame:
     s = with_violations(scan_startups_json(payloads), "startup")
-    s = s.withColumn("is_valid", F.size("violations") == 0).drop("violations")
-    s = dedup_name_priority(s, "name", "ord", "is_valid").drop("is_valid")
-    s = attach_canonical(s, "name", "canonical_name").drop("canonical_name_method")
+    s = s.withColumn("is_valid", F.size("violations") == 0)
+    _keep(stages, rejected=s.filter(~F.col("is_valid")))
+    s = dedup_name_priority(s.drop("violations"), "name", "ord", "is_valid").drop("is_valid")
+    s = attach_canonical(s, "name", "canonical_name")
+    _keep(stages, discovered=s, resolutions=s.select(F.col("canonical_name_method").alias("match_method")))
+    s = s.drop("canonical_name_method")
     s = s.withColumn("dedup_key", dedup_key("startup", name=F.col("name"), canonical_name=F.col("canonical_name"),
                                             website_url=F.col("website_url"), source_url=F.col("source_url")))
     s = dedup_first(s, "dedup_key", "ord")
@@ -71,12 +81,17 @@ def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=
 
 
 def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: DataFrame | None = None,
-                 providers=None, collected_at: str = "") -> DataFrame:
+                 providers=None, collected_at: str = "", stages: dict | None = None) -> DataFrame:
     p = dedup_listing_id(scan_products_json(payloads), "listing_id", "ord")
     # the creator company is resolved for the audit log only; canonical_name = listing name
     p = p.withColumn("canonical_name", F.when(F.col("company_name").isNotNull() & (F.col("company_name") != ""),
                                               F.col("name")))
     valid, _rejected = validate_entities(p, "product")
+    if stages is not None:
+        comp = valid.filter(F.col("company_name").isNotNull() & (F.col("company_name") != ""))
+        log = attach_canonical(comp.select("company_name"), "company_name", "_company_canonical")
+        _keep(stages, discovered=valid, rejected=_rejected,
+              resolutions=log.select(F.col("_company_canonical_method").alias("match_method")))
     k = valid.withColumn("dedup_key", dedup_key("product", name=F.col("name"), canonical_name=F.col("canonical_name"),
                                                 product_url=F.col("product_url"), source_url=F.col("source_url")))
     k = dedup_first(k, "dedup_key", "ord")
@@ -99,14 +114,17 @@ def product_company_log(payloads: DataFrame) -> DataFrame:
 
 
 def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
-             providers=None, max_age_hours: float = 24.0, collected_at: str = "", checkpoint: bool = False) -> DataFrame:
+             providers=None, max_age_hours: float = 24.0, collected_at: str = "", checkpoint: bool = False,
+             stages: dict | None = None) -> DataFrame:
     n = with_freshness(scan_news_feed(payloads, html_text=False), "pub_date_raw", reference_time, max_age_hours,
                        out="fresh")
+    _keep(stages, stale=n.filter(F.col("fresh.verdict") == "STALE"))
     n = cut_lineage(n.filter(F.col("fresh.is_fresh")), checkpoint)
     n = (n.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
           .withColumn("published_at", F.col("fresh.published_at"))
           .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
     valid, _rejected = validate_entities(n, "news")
+    _keep(stages, discovered=n, rejected=_rejected)
     k = valid.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
     k = news_text(dedup_first(k, "dedup_key", "ord"))  # dedup before the Python step and the page join
     if pages is not None:
@@ -119,17 +137,21 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
 
 def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
              store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str = "",
-             checkpoint: bool = False) -> DataFrame:
+             checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
     j = scan_jobs_json(json_payloads).withColumn("desc_raw", F.lit(None).cast("string"))
     if feed_payloads is not None:
         j = j.unionByName(scan_jobs_feed(feed_payloads, html_text=False), allowMissingColumns=True)
-    j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh").filter(F.col("fresh.is_fresh"))
-    j = cut_lineage(j, checkpoint)
+    j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh")
+    _keep(stages, stale=j.filter(F.col("fresh.verdict") == "STALE"))
+    j = cut_lineage(j.filter(F.col("fresh.is_fresh")), checkpoint)
     j = (j.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
           .withColumn("published_at", F.col("fresh.published_at"))
           .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
-    j = attach_canonical(j, "company_name", "canonical_company_name").drop("canonical_company_name_method")
+    j = attach_canonical(j, "company_name", "canonical_company_name")
+    _keep(stages, discovered=j, resolutions=j.select(F.col("canonical_company_name_method").alias("match_method")))
+    j = j.drop("canonical_company_name_method")
     valid, _rejected = validate_entities(j, "job")
+    _keep(stages, rejected=_rejected)
     k = valid.withColumn("dedup_key", dedup_key("job", company_name=F.col("company_name"),
                                                 role_title=F.col("role_title"), job_url=F.col("job_url")))
     k = dedup_first(k, "dedup_key", "ord")
@@ -150,27 +172,54 @@ def job_export(tables: dict[str, DataFrame], target_dir: str | None = None) -> D
     return out
 
 
-def job_metrics(outputs: dict[str, DataFrame], discovered: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The run counters from the job outputs in one pass: every output is narrowed
-    to (entity, stars?, status?), the narrow rows are unioned once and folded by a
-    single global aggregate, so no job is evaluated more than once."""
+def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None = None) -> DataFrame:
+    """The 13 run counters from the job outputs (and, when given, the stage frames
+    each job recorded through ``stages=``) in one pass: every frame is narrowed to
+    (counter, flag) rows, the narrow rows are unioned once and folded by a single
+    global aggregate, so no job is evaluated more than once per frame.
+
+    discovered: records a job accepted from its source (news and jobs: fresh ones);
+    duplicates: discovered minus saved; rejected: validation failures; stale: stale
+    verdicts; entity_matches: resolutions whose method is not UNRESOLVED.
+    """
     from ..operators.reports import METRIC_NAMES
     parts = []
+
+    def add(kind, df, flag=F.lit(True), status=F.lit(None).cast("string")):
+        parts.append(df.select(F.lit(kind).alias("kind"), flag.alias("flag"), status.alias("status")))
+
     for entity, df in outputs.items():
         cols = set(df.columns)
-        parts.append(df.select(
-            F.lit(entity).alias("entity"),
-            (F.col("github_stars").isNotNull() if "github_stars" in cols else F.lit(False)).alias("stars"),
-            (F.col("extraction_status") if "extraction_status" in cols else F.lit("skipped")).alias("status")))
+        status = F.col("extraction_status") if "extraction_status" in cols else F.lit("skipped")
+        add("saved", df, F.lit(entity in ("news", "job")), status)
+        if "github_stars" in cols:
+            add("stars", df, F.col("github_stars").isNotNull())
+    for entity, st in (stages or {}).items():
+        if "discovered" in st:
+            add("discovered", st["discovered"])
+        if "rejected" in st:
+            add("rejected", st["rejected"])
+        if "stale" in st:
+            add("stale", st["stale"])
+        if "resolutions" in st:
+            add("resolution", st["resolutions"], F.col("match_method") != "UNRESOLVED")
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    fresh = F.col("entity").isin("news", "job")
-    m = u.agg(F.count(F.lit(1)).alias("records_processed"),
-              F.count_if(fresh).alias("fresh_records"),
-              F.count_if(F.col("stars")).alias("github_stars_enriched"),
-              F.count_if(F.col("status") != "attempt").alias("deterministic_extractions"),
-              F.count_if(F.col("status") == "attempt").alias("llm_extractions_attempted"),
-              F.count_if(F.col("status") == "skipped").alias("llm_extractions_skipped"))
+    k, flag, status = F.col("kind"), F.col("flag"), F.col("status")
+    saved = F.count_if(k == "saved")
+    discovered = F.count_if(k == "discovered")
+    m = u.agg(
+        discovered.alias("records_discovered"),
+        saved.alias("records_processed"),
+        F.count_if(k == "rejected").alias("records_rejected"),
+        (discovered - saved if stages else F.lit(0)).alias("duplicates"),
+        F.count_if((k == "saved") & flag).alias("fresh_records"),
+        F.count_if(k == "stale").alias("stale_records"),
+        F.count_if((k == "resolution") & flag).alias("entity_matches"),
+        F.count_if((k == "stars") & flag).alias("github_stars_enriched"),
+        F.count_if((k == "saved") & (status != "attempt")).alias("deterministic_extractions"),
+        F.count_if((k == "saved") & (status == "attempt")).alias("llm_extractions_attempted"),
+        F.count_if((k == "saved") & (status == "skipped")).alias("llm_extractions_skipped"))
     present = set(m.columns)
     return m.select(*[(F.col(n) if n in present else F.lit(0)).cast("long").alias(n) for n in METRIC_NAMES])

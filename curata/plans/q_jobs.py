@@ -94,12 +94,16 @@ def q_job_jobs(spark, sf):
                     F.unix_micros("published_at").alias("published_us"), "dedup_key")
 
 
-def _all_jobs(spark, sf):
-    papers = job_papers(atom_paper_payloads(spark, sf), star_payloads(spark, sf), None, LOG_TS)
-    startups = job_startups(startup_payloads(spark, sf), None, None, LOG_TS)
-    products = job_products(product_payloads(spark, sf), None, None, None, LOG_TS)
-    news = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, None, None, None, 24.0, LOG_TS)
-    jobs = job_jobs(job_json_payloads(spark, sf), job_feed_payloads(spark, sf), JOBS_REFERENCE_TIME, None, 24.0, LOG_TS)
+def _all_jobs(spark, sf, stages=None):
+    st = stages if stages is not None else {}
+    for e in ("paper", "startup", "product", "news", "job"):
+        st.setdefault(e, {})
+    papers = job_papers(atom_paper_payloads(spark, sf), star_payloads(spark, sf), None, LOG_TS, stages=st["paper"])
+    startups = job_startups(startup_payloads(spark, sf), None, None, LOG_TS, stages=st["startup"])
+    products = job_products(product_payloads(spark, sf), None, None, None, LOG_TS, stages=st["product"])
+    news = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, None, None, None, 24.0, LOG_TS, stages=st["news"])
+    jobs = job_jobs(job_json_payloads(spark, sf), job_feed_payloads(spark, sf), JOBS_REFERENCE_TIME, None, 24.0, LOG_TS,
+                    stages=st["job"])
     return papers, startups, products, news, jobs
 
 
@@ -118,8 +122,10 @@ def q_job_export(spark, sf):
 @register("run_metrics")
 def q_run_metrics(spark, sf):
     """The 13 run counters over the five jobs (one row, one pass over each job)."""
-    papers, startups, products, news, jobs = _all_jobs(spark, sf)
-    return job_metrics({"paper": papers, "startup": startups, "product": products, "news": news, "job": jobs})
+    stages: dict = {}
+    papers, startups, products, news, jobs = _all_jobs(spark, sf, stages)
+    return job_metrics({"paper": papers, "startup": startups, "product": products, "news": news, "job": jobs},
+                       stages)
 
 
 def _count_oracles():
@@ -134,7 +140,31 @@ def _count_oracles():
                          for n in ("job_startups", "job_products"))
     total = " + ".join(sub.values())
     from ..operators.reports import METRIC_NAMES
-    vals = {"records_processed": total, "fresh_records": f"{sub['job_news']} + {sub['job_jobs']}",
+    cnt = lambda sql: f"(SELECT count(*) FROM ({sql}))"
+    startups_p = _ST + " SELECT * FROM p"
+    startups_bad = (f"SELECT * FROM ({STARTUPS_SQL}) WHERE founding_year IS NOT NULL "
+                    f"AND founding_year NOT BETWEEN 1800 AND 2026")
+    listings = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY partkey) AS rn "
+                f"FROM ({PRODUCTS_SQL})) WHERE rn = 1")
+    fresh_news = _EXPECTED + " SELECT * FROM g WHERE verdict = 'FRESH' AND (event_id // 16) % 7 <> 3"
+    stale_news = _EXPECTED + " SELECT * FROM g WHERE verdict = 'STALE' AND (event_id // 16) % 7 <> 3"
+    stale_jobs = (f"SELECT * FROM ({_JOBS_ROWS}) WHERE "
+                  f"(epoch_us(TIMESTAMP '{JOBS_REFERENCE_TIME}') - epoch_us(ts)) / 3600000000.0 > 24")
+
+    def matches(names_sql):
+        return (f"(SELECT count(*) FROM ({resolve_sql(names_sql)} SELECT 1 FROM names JOIN res "
+                f"ON names.raw_name = res.raw_name WHERE res.match_method <> 'UNRESOLVED'))")
+    discovered = " + ".join([sub["job_papers"], cnt(startups_p), cnt(listings), cnt(fresh_news), cnt(_FRESH_JOBS)])
+    vals = {"records_discovered": discovered,
+            "records_processed": total,
+            "records_rejected": cnt(startups_bad),
+            "duplicates": f"({discovered}) - ({total})",
+            "fresh_records": f"{sub['job_news']} + {sub['job_jobs']}",
+            "stale_records": f"{cnt(stale_news)} + {cnt(stale_jobs)}",
+            "entity_matches": " + ".join([
+                matches(f"SELECT name AS raw_name FROM ({startups_p})"),
+                matches(f"SELECT company_name AS raw_name FROM ({listings}) WHERE company_name <> ''"),
+                matches(f"SELECT company_name AS raw_name FROM ({_FRESH_JOBS})")]),
             "github_stars_enriched": stars, "deterministic_extractions": total,
             "llm_extractions_attempted": "0",
             "llm_extractions_skipped": f"{sub['job_papers']} + {sub['job_news']} + {sub['job_jobs']} + {skipped}"}
