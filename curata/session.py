@@ -31,11 +31,43 @@ def build_session(master: str | None = None, app: str = "curata",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``curata`` importable in every Python worker (UDFs reference its
+    functions): zip the package once per application and ``addPyFile`` it."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext access: rely on the deployment
+        return
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    import curata
+    pkg = os.path.dirname(os.path.abspath(curata.__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="curata-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session clock to UTC (all date rules are UTC) and keep AQE on."""
+    """Pin the session clock to UTC (all date rules are UTC), keep AQE on and make
+    the package importable by the Python workers."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    ship_package(spark)
     return spark
 
 
