@@ -58,7 +58,43 @@ def _chunks(spark, sf):
     return c.select("doc_id", F.posexplode("chunks").alias("chunk_no", "chunk"))
 
 
-@register("chunk_text")
+def _ws_class() -> str:
+    """Python's whitespace set as an RE2 character class body."""
+    from ..functions.strings import PY_WHITESPACE
+    return "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE)
+
+
+def _chunks_sql(budget: int = 2000, overlap_chars: int = 600) -> str:
+    """Greedy paragraph packing stated in DuckDB: pieces = text and separators
+    interleaved, folded left with a struct accumulator (chunks, current, used)."""
+    ws = _ws_class()
+    sep = f"(\\n[{ws}]*\\n|\\n)"
+    strip = lambda x: f"regexp_replace({x}, '^[{ws}]+|[{ws}]+$', '', 'g')"
+    est = lambda x: f"(CASE WHEN {x} = '' THEN 0 ELSE length({x}) // 4 + 1 END)"
+    done = strip("acc.cur")
+    tail = f"(CASE WHEN length({done}) > {overlap_chars} THEN right({done}, {overlap_chars}) ELSE '' END)"
+    step = (f"CASE WHEN acc.has AND acc.used + {est('x')} > {budget} THEN "
+            f"{{'out': CASE WHEN {done} <> '' THEN list_append(acc.out, {done}) ELSE acc.out END, "
+            f"'cur': {tail} || x, 'has': true, 'used': {est(tail + ' || x')}}} "
+            f"ELSE {{'out': acc.out, 'cur': acc.cur || x, 'has': true, 'used': acc.used + {est('x')}}} END")
+    return f"""
+WITH p AS (SELECT doc_id, text, regexp_split_to_array(text, '{sep}') AS t, regexp_extract_all(text, '{sep}') AS s
+           FROM documents),
+q AS (SELECT doc_id, text, flatten(list_transform(range(1, len(t) + 1),
+        lambda i: CASE WHEN i <= len(s) THEN [t[i], s[i]] ELSE [t[i]] END)) AS parts FROM p),
+r AS (SELECT doc_id, text, list_reduce(parts, lambda acc, x: {step},
+        {{'out': []::VARCHAR[], 'cur': '', 'has': false, 'used': 0::BIGINT}}) AS st FROM q),
+c AS (SELECT doc_id, CASE WHEN text IS NULL OR {strip('text')} = '' THEN []::VARCHAR[]
+                          WHEN {est('text')} <= {budget} THEN [{strip('text')}]
+                          WHEN {strip('st.cur')} <> '' THEN list_append(st.out, {strip('st.cur')})
+                          ELSE st.out END AS chunks FROM r),
+u AS (SELECT doc_id, generate_subscripts(chunks, 1) AS i, unnest(chunks) AS ch FROM c)
+"""
+
+
+@register("chunk_text", _chunks_sql() + """
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_no, CAST(length(ch) AS BIGINT) AS chars,
+       CAST(CASE WHEN ch = '' THEN 0 ELSE length(ch) // 4 + 1 END AS BIGINT) AS est_tokens FROM u""")
 def q_chunk_text(spark, sf):
     """(doc_id, chunk_no, chars, est_tokens) for every chunk of every document."""
     c = _chunks(spark, sf)
@@ -66,7 +102,7 @@ def q_chunk_text(spark, sf):
                     F.length("chunk").cast("long").alias("chars"), estimate_tokens("chunk").alias("est_tokens"))
 
 
-@register("first_chunk")
+@register("first_chunk", _chunks_sql() + " SELECT doc_id, CAST(length(ch) AS BIGINT) AS chars FROM u WHERE i = 1")
 def q_first_chunk(spark, sf):
     """Only chunk 0 of each document goes to extraction (the chunker stops there)."""
     d = table(spark, sf, "documents")
