@@ -174,9 +174,11 @@ def job_export(tables: dict[str, DataFrame], target_dir: str | None = None) -> D
 
 def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None = None) -> DataFrame:
     """The 13 run counters from the job outputs (and, when given, the stage frames
-    each job recorded through ``stages=``) in one pass: every frame is narrowed to
-    (counter, flag) rows, the narrow rows are unioned once and folded by a single
-    global aggregate, so no job is evaluated more than once per frame.
+    each job recorded through ``stages=``).
+
+    Every frame is reduced to a one-row partial count of its own (so each heavy
+    branch ends at its own small aggregate and no stage carries the whole job
+    graph), the one-row parts are unioned and folded by a final global aggregate.
 
     discovered: records a job accepted from its source (news and jobs: fresh ones);
     duplicates: discovered minus saved; rejected: validation failures; stale: stale
@@ -185,8 +187,11 @@ def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None =
     from ..operators.reports import METRIC_NAMES
     parts = []
 
-    def add(kind, df, flag=F.lit(True), status=F.lit(None).cast("string")):
-        parts.append(df.select(F.lit(kind).alias("kind"), flag.alias("flag"), status.alias("status")))
+    def add(kind, df, flag=F.lit(True), status=F.lit("skipped")):
+        parts.append(df.agg(F.count(F.lit(1)).alias("n"), F.count_if(flag).alias("f"),
+                            F.count_if(status == "attempt").alias("att"),
+                            F.count_if(status == "skipped").alias("skp"))
+                       .select(F.lit(kind).alias("kind"), "n", "f", "att", "skp"))
 
     for entity, df in outputs.items():
         cols = set(df.columns)
@@ -195,31 +200,29 @@ def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None =
         if "github_stars" in cols:
             add("stars", df, F.col("github_stars").isNotNull())
     for entity, st in (stages or {}).items():
-        if "discovered" in st:
-            add("discovered", st["discovered"])
-        if "rejected" in st:
-            add("rejected", st["rejected"])
-        if "stale" in st:
-            add("stale", st["stale"])
+        for kind in ("discovered", "rejected", "stale"):
+            if kind in st:
+                add(kind, st[kind])
         if "resolutions" in st:
             add("resolution", st["resolutions"], F.col("match_method") != "UNRESOLVED")
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    k, flag, status = F.col("kind"), F.col("flag"), F.col("status")
-    saved = F.count_if(k == "saved")
-    discovered = F.count_if(k == "discovered")
+
+    def total(kind, col="n"):
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(col))), F.lit(0))
+    saved, discovered = total("saved"), total("discovered")
     m = u.agg(
         discovered.alias("records_discovered"),
         saved.alias("records_processed"),
-        F.count_if(k == "rejected").alias("records_rejected"),
+        total("rejected").alias("records_rejected"),
         (discovered - saved if stages else F.lit(0)).alias("duplicates"),
-        F.count_if((k == "saved") & flag).alias("fresh_records"),
-        F.count_if(k == "stale").alias("stale_records"),
-        F.count_if((k == "resolution") & flag).alias("entity_matches"),
-        F.count_if((k == "stars") & flag).alias("github_stars_enriched"),
-        F.count_if((k == "saved") & (status != "attempt")).alias("deterministic_extractions"),
-        F.count_if((k == "saved") & (status == "attempt")).alias("llm_extractions_attempted"),
-        F.count_if((k == "saved") & (status == "skipped")).alias("llm_extractions_skipped"))
+        total("saved", "f").alias("fresh_records"),
+        total("stale").alias("stale_records"),
+        total("resolution", "f").alias("entity_matches"),
+        total("stars", "f").alias("github_stars_enriched"),
+        (saved - total("saved", "att")).alias("deterministic_extractions"),
+        total("saved", "att").alias("llm_extractions_attempted"),
+        total("saved", "skp").alias("llm_extractions_skipped"))
     present = set(m.columns)
     return m.select(*[(F.col(n) if n in present else F.lit(0)).cast("long").alias(n) for n in METRIC_NAMES])

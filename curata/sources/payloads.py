@@ -25,7 +25,12 @@ FEED_ITEM = ("title string, link array<struct<_VALUE string, _href string>>, "
              "`dc:creator` string, author string, creator string, "
              "description string, summary string, content string")
 MIN_LIKES = 3
+# Candidate tags per field; the first one present in document order wins.
+FEED_DATE_TAGS = ["pubDate", "published", "dc:date", "updated"]
+FEED_AUTHOR_TAGS = ["dc:creator", "author", "creator"]
+FEED_TEXT_TAGS = ["description", "summary", "content"]
 # ---------------------------------------------------------------------------
+_RECORD_RE = {tag: rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in ("item", "entry")}
 
 ATOM_SCHEMA = f"entry array<struct<{ENTRY_FIELDS}>>"
 FEED_SCHEMA = (f"channel struct<item array<struct<{FEED_ITEM}>>>, item array<struct<{FEED_ITEM}>>, "
@@ -73,23 +78,44 @@ def scan_papers_atom(payloads: DataFrame, kind: str = "atom_papers") -> DataFram
 
 
 def _feed_items(payloads: DataFrame, kind: str, prefer_items: bool) -> DataFrame:
+    """One row per feed record: parsed fields ``e`` plus the record's raw XML ``raw``
+    (both lists are in document order, so they are zipped by position)."""
     p = successful(payloads, kind).select("url", "source_name", "source_rank", "page",
-                                          F.from_xml("body", FEED_SCHEMA).alias("x"))
+                                          F.from_xml("body", FEED_SCHEMA).alias("x"),
+                                          F.regexp_extract_all("body", F.lit(_RECORD_RE["item"]), 0).alias("ri"),
+                                          F.regexp_extract_all("body", F.lit(_RECORD_RE["entry"]), 0).alias("re"))
     items = F.concat(F.coalesce(F.col("x.channel.item"), F.array()), F.coalesce(F.col("x.item"), F.array()))
     entries = F.coalesce(F.col("x.entry"), F.array())
     if prefer_items:   # RSS items if any, else Atom entries
         chosen = F.when(F.size(items) > 0, items).otherwise(entries)
+        raws = F.when(F.size(items) > 0, F.col("ri")).otherwise(F.col("re"))
     else:              # both kinds of record
         chosen = F.concat(items, entries)
-    return p.select("url", "source_name", "source_rank", "page", F.posexplode(chosen).alias("pos", "e"))
+        raws = F.concat(F.col("ri"), F.col("re"))
+    zipped = F.arrays_zip(chosen.alias("e"), raws.alias("raw"))
+    z = p.select("url", "source_name", "source_rank", "page", F.posexplode(zipped).alias("pos", "z"))
+    return z.select("url", "source_name", "source_rank", "page", "pos", F.col("z.e").alias("e"),
+                    F.col("z.raw").alias("raw")).filter(F.col("e").isNotNull())
+
+
+def _first_in_document(fields: list[str]) -> Column:
+    """Value of whichever candidate tag occurs first in the record's XML; the fixed
+    candidate order is only the fallback when the raw record is not available."""
+    alternation = "|".join(fields)
+    first = F.lower(F.regexp_extract(F.col("raw"), rf"(?i)<({alternation})[\s/>]", 1))
+    fallback = F.coalesce(*[F.col(f"e.`{f}`") for f in fields])
+    out = F.lit(None).cast("string")
+    for f in reversed(fields):
+        out = F.when(first == f.lower(), F.col(f"e.`{f}`")).otherwise(out)
+    return F.when(F.coalesce(first, F.lit("")) != "", out).otherwise(fallback)
 
 
 def _feed_fields(e: DataFrame) -> DataFrame:
     link0 = F.get(F.col("e.link"), 0)
     link = py_or(py_strip(link0["_VALUE"]), link0["_href"])
-    pub = F.coalesce(F.col("e.pubDate"), F.col("e.published"), F.col("e.`dc:date`"), F.col("e.updated"))
-    author = F.coalesce(F.col("e.`dc:creator`"), F.col("e.author"), F.col("e.creator"))
-    desc = F.coalesce(F.col("e.description"), F.col("e.summary"), F.col("e.content"))
+    pub = _first_in_document(FEED_DATE_TAGS)
+    author = _first_in_document(FEED_AUTHOR_TAGS)
+    desc = _first_in_document(FEED_TEXT_TAGS)
     return e.select(
         "url", "source_name", _ord(F.col("pos")).alias("ord"),
         F.col("e.title").isNotNull().alias("_has_title"),

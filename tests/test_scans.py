@@ -104,3 +104,14 @@ def test_stars(spark):
                                ("https://api.github.com/repos/o/s", "gh", "repo_json", 200, '{"stargazers_count": "x"}',
                                 None, None, None, 0, 1)], PAYLOAD)
     assert sorted((r.repo, r.stars) for r in scan_stars_json(p).collect()) == [("r", 4200), ("s", None)]
+
+
+def test_first_tag_in_document_order_wins(spark):
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>A</title><link href="https://n/a"/>'
+            '<updated>2026-08-15T11:00:00Z</updated><published>2020-01-01T00:00:00Z</published>'
+            '<content>full text</content><summary>short</summary></entry>'
+            '<entry><title>B</title><link href="https://n/b"/><published>2026-08-15T09:00:00Z</published>'
+            '<updated>2020-01-01T00:00:00Z</updated><summary>s &amp; t</summary></entry></feed>')
+    rows = scan_news_feed(payloads(spark, "news_feed", atom)).orderBy("title").collect()
+    assert [r.pub_date_raw for r in rows] == ["2026-08-15T11:00:00Z", "2026-08-15T09:00:00Z"]
+    assert [r.summary for r in rows] == ["full text", "s & t"]
