@@ -168,7 +168,7 @@ def with_parsed_date(df, raw: str, reference_time, out: str = "parsed_at", html_
     no per-row lambda)."""
     r = F.col(raw)
     d = df.withColumn("_s", F.when(r.isNotNull() & (r != ""), py_strip(r)))
-    d = d.withColumn("_abs", _iso_rfc_body(F.col("_s"))).withColumn("_low", F.lower(F.col("_s")))
+    d = d.withColumns({"_abs": _iso_rfc_body(F.col("_s")), "_low": F.lower(F.col("_s"))})
     rel = _relative_body(F.col("_low"), ts_literal(reference_time))
     d = d.withColumn(out, F.coalesce(F.col("_abs"), rel, html_ts) if html_ts is not None
                      else F.coalesce(F.col("_abs"), rel))
@@ -230,7 +230,8 @@ def with_freshness(df, raw: str, reference_time, max_age_hours: float = 24.0,
         df = df.withColumn("_html_ts", html_date(F.col(html), reference_time))
         html_ts = F.col("_html_ts")
     df = with_parsed_date(df.withColumn("_missing", missing), raw, reference_time, "_pub", html_ts)
-    df = df.withColumn("_pub", F.when(~F.col("_missing"), F.col("_pub")))
+    pub = F.when(~F.col("_missing"), F.col("_pub"))
+    df = df.withColumn("_pub", pub)
     df = df.withColumn(out, verdict_struct("_pub", "_missing", reference_time, max_age_hours))
     return df.drop("_pub", "_missing", "_html_ts")
 

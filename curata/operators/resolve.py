@@ -88,7 +88,7 @@ def _resolve_columns(d: DataFrame, name: str, seeds, aliases, threshold: float)
     spark = d.sparkSession
     ex = _maybe_broadcast(seed_lookup(spark, seeds).withColumnRenamed("norm", "_norm"), len(seeds))
     al = _maybe_broadcast(alias_lookup(spark, aliases).withColumnRenamed("norm", "_norm"), len(aliases))
-    d = (d.withColumn("_norm", normalize_name(name)).withColumn("_blank", is_blank(name))
+    d = (d.withColumns({"_norm": normalize_name(name), "_blank": is_blank(name)})
           .join(ex, "_norm", "left").join(al, "_norm", "left"))
     needs_fuzzy = ~F.col("_blank") & F.col("exact_canonical").isNull() & F.col("alias_canonical").isNull()
     seed_arr = F.array(*[F.lit(s) for s in seeds]) if seeds else F.array().cast("array<string>")
@@ -109,8 +109,7 @@ def _resolve_columns(d: DataFrame, name: str, seeds, aliases, threshold: float)
     conf = (F.when(F.col("_blank"), F.lit(0.0))
              .when(F.col("exact_canonical").isNotNull() | F.col("alias_canonical").isNotNull(), F.lit(100.0))
              .otherwise(F.coalesce(fz_score, F.lit(0.0))))
-    return (d.withColumn("canonical_name", canonical).withColumn("match_method", method)
-             .withColumn("confidence", conf)
+    return (d.withColumns({"canonical_name": canonical, "match_method": method, "confidence": conf})
              .drop("_norm", "_blank", "exact_canonical", "alias_canonical", "_m"))
 
 

@@ -34,9 +34,8 @@ def _keep(stages: dict | None, **frames) -> None:
 
 def _finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str) -> DataFrame:
     out = df if store is None else dedup_seen(df, store, "dedup_key")
-    return (out.withColumn("id", F.sha2(F.col("dedup_key"), 256))
-               .withColumn("collected_at", F.lit(collected_at))
-               .withColumn("record_type", F.lit(RECORD_TYPE_OF[entity])))
+    return out.withColumns({"id": F.sha2(F.col("dedup_key"), 256), "collected_at": F.lit(collected_at),
+                            "record_type": F.lit(RECORD_TYPE_OF[entity])})
 
 
 def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge) -> DataFrame:
@@ -120,9 +119,9 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
                        out="fresh")
     _keep(stages, stale=n.filter(F.col("fresh.verdict") == "STALE"))
     n = cut_lineage(n.filter(F.col("fresh.is_fresh")), checkpoint)
-    n = (n.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
-          .withColumn("published_at", F.col("fresh.published_at"))
-          .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
+    n = n.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
+                       "published_at": F.col("fresh.published_at"),
+                       "freshness_verified": F.lit(True)}).drop("fresh")
     valid, _rejected = validate_entities(n, "news")
     _keep(stages, discovered=n, rejected=_rejected)
     k = valid.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
@@ -144,9 +143,9 @@ def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, referenc
     j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh")
     _keep(stages, stale=j.filter(F.col("fresh.verdict") == "STALE"))
     j = cut_lineage(j.filter(F.col("fresh.is_fresh")), checkpoint)
-    j = (j.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
-          .withColumn("published_at", F.col("fresh.published_at"))
-          .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
+    j = j.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
+                       "published_at": F.col("fresh.published_at"),
+                       "freshness_verified": F.lit(True)}).drop("fresh")
     j = attach_canonical(j, "company_name", "canonical_company_name")
     _keep(stages, discovered=j, resolutions=j.select(F.col("canonical_company_name_method").alias("match_method")))
     j = j.drop("canonical_company_name_method")

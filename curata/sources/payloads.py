@@ -80,24 +80,36 @@ def scan_papers_atom(payloads: DataFrame, kind: str = "atom_papers") -> DataFram
 def _feed_items(payloads: DataFrame, kind: str, prefer_items: bool) -> DataFrame:
     """One row per feed record: parsed fields ``e`` plus the record's raw XML ``raw``
     (both lists are in document order, so they are zipped by position)."""
-    p = successful(payloads, kind).select("url", "source_name", "source_rank", "page",
-                                          F.from_xml("body", FEED_SCHEMA).alias("x"),
-                                          F.regexp_extract_all("body", F.lit(_RECORD_RE["item"]), 0).alias("ri"),
-                                          F.regexp_extract_all("body", F.lit(_RECORD_RE["entry"]), 0).alias("re"))
+    p = successful(payloads, kind).select("url", "source_name", "source_rank", "page", "body",
+                                          F.from_xml("body", FEED_SCHEMA).alias("x"))
     items = F.concat(F.coalesce(F.col("x.channel.item"), F.array()), F.coalesce(F.col("x.item"), F.array()))
     entries = F.coalesce(F.col("x.entry"), F.array())
+    ri = F.regexp_extract_all("body", F.lit(_RECORD_RE["item"]), 0)
+    re_ = F.regexp_extract_all("body", F.lit(_RECORD_RE["entry"]), 0)
     if prefer_items:   # RSS items if any, else Atom entries
         chosen = F.when(F.size(items) > 0, items).otherwise(entries)
-        raws = F.when(F.size(items) > 0, F.col("ri")).otherwise(F.col("re"))
+        raws = F.when(F.size(items) > 0, ri).otherwise(re_)
     else:              # both kinds of record
         chosen = F.concat(items, entries)
-        raws = F.concat(F.col("ri"), F.col("re"))
-    zipped = F.arrays_zip(chosen.alias("e"), raws.alias("raw"))
+        raws = F.concat(ri, re_)
+    # the raw record text is only needed when a record has several candidate tags for a field
+    raws = F.when(F.exists(chosen, _ambiguous), raws)
+    zipped = F.arrays_zip(chosen.alias("e"), F.coalesce(raws, F.array().cast("array<string>")).alias("raw"))
     z = p.select("url", "source_name", "source_rank", "page", F.posexplode(zipped).alias("pos", "z"))
     return z.select("url", "source_name", "source_rank", "page", "pos", F.col("z.e").alias("e"),
                     F.col("z.raw").alias("raw")).filter(F.col("e").isNotNull())
 
 
+def _ambiguous(e: Column) -> Column:
+    """True when the record carries two or more candidate tags for some field."""
+    def present(fields):
+        n = F.lit(0)
+        for f in fields:
+            n = n + F.when(e[f].isNotNull(), F.lit(1)).otherwise(F.lit(0))
+        return n
+    return ((present(FEED_DATE_TAGS) > 1) | (present(FEED_AUTHOR_TAGS) > 1) | (present(FEED_TEXT_TAGS) > 1))
+
+
 def _first_in_document(fields: list[str]) -> Column:
     """Value of whichever candidate tag occurs first in the record's XML; the fixed
     candidate order is only the fallback when the raw record is not available."""
