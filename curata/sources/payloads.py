@@ -292,10 +292,12 @@ def scan_stars_json(payloads: DataFrame, kind: str = "repo_json") -> DataFrame:
 def multi_source_union(payloads: DataFrame, registry: DataFrame, scans: dict) -> DataFrame:
     """Successful payloads of the registered sources, parsed per kind, in registry order.
 
-    ``registry``: (source_name, kind, url, rank) — a small table, broadcast.
+    ``registry``: (source_name, kind, url, rank).  It is normally a handful of
+    rows, but it is caller-supplied, so no broadcast is forced: AQE broadcasts it
+    from its runtime size.
     ``scans``: kind -> scan function (all with the same output columns).
     """
-    reg = F.broadcast(registry.select("source_name", F.col("rank").alias("source_rank")))
+    reg = registry.select("source_name", F.col("rank").alias("source_rank"))
     p = successful(payloads).drop("source_rank").join(reg, "source_name", "inner")
     out = None
     for kind, fn in scans.items():
