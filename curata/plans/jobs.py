@@ -32,9 +32,11 @@ def _keep(stages: dict | None, **frames) -> None:
         stages.update(frames)
 
 
-def _finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str) -> DataFrame:
+def _finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str | None) -> DataFrame:
     out = df if store is None else dedup_seen(df, store, "dedup_key")
-    return out.withColumns({"id": F.sha2(F.col("dedup_key"), 256), "collected_at": F.lit(collected_at),
+    # collected_at: the caller's run timestamp, else the query's own (one value per query)
+    ts = F.lit(collected_at) if collected_at else iso_utc_string(F.current_timestamp())
+    return out.withColumns({"id": F.sha2(F.col("dedup_key"), 256), "collected_at": ts,
                             "record_type": F.lit(RECORD_TYPE_OF[entity])})
 
 
@@ -50,7 +52,7 @@ def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge)
 
 
 def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, store: DataFrame | None = None,
-               collected_at: str = "", stages: dict | None = None) -> DataFrame:
+               collected_at: str | None = None, stages: dict | None = None) -> DataFrame:
     p = scan_papers_atom(payloads)
     valid, _rejected = validate_entities(p, "paper")
     _keep(stages, discovered=valid, rejected=_rejected)
@@ -62,7 +64,7 @@ def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, stor
 
 
 def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=None,
-                 collected_at: str = "", stages: dict | None = None) -> DataFrame:
+                 collected_at: str | None = None, stages: dict | None = None) -> DataFrame:
     s = with_violations(scan_startups_json(payloads), "startup")
     s = s.withColumn("is_valid", F.size("violations") == 0)
     _keep(stages, rejected=s.filter(~F.col("is_valid")))
@@ -80,7 +82,7 @@ def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=
 
 
 def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: DataFrame | None = None,
-                 providers=None, collected_at: str = "", stages: dict | None = None) -> DataFrame:
+                 providers=None, collected_at: str | None = None, stages: dict | None = None) -> DataFrame:
     p = dedup_listing_id(scan_products_json(payloads), "listing_id", "ord")
     # the creator company is resolved for the audit log only; canonical_name = listing name
     p = p.withColumn("canonical_name", F.when(F.col("company_name").isNotNull() & (F.col("company_name") != ""),
@@ -113,7 +115,7 @@ def product_company_log(payloads: DataFrame) -> DataFrame:
 
 
 def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
-             providers=None, max_age_hours: float = 24.0, collected_at: str = "", checkpoint: bool = False,
+             providers=None, max_age_hours: float = 24.0, collected_at: str | None = None, checkpoint: bool = False,
              stages: dict | None = None) -> DataFrame:
     n = with_freshness(scan_news_feed(payloads, html_text=False), "pub_date_raw", reference_time, max_age_hours,
                        out="fresh")
@@ -135,7 +137,7 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
 
 
 def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
-             store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str = "",
+             store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str | None = None,
              checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
     j = scan_jobs_json(json_payloads).withColumn("desc_raw", F.lit(None).cast("string"))
     if feed_payloads is not None:
