@@ -21,13 +21,24 @@ HEADLINE = [
 ]
 
 
+def _default_driver_memory() -> str:
+    """About 60% of physical memory, capped at 16g (local mode: the driver is the executor)."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal:"))
+        gb = max(1, min(16, int(kb / 1024 / 1024 * 0.6)))
+        return f"{gb}g"
+    except Exception:  # noqa: BLE001
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from curata.plans.catalog import queries
     from curata.session import build_session
     spark = build_session(f"local[{cpus}]", app="curata-bench", shuffle_partitions=max(8, cpus * 2),
-                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", _default_driver_memory()))
     spark.sparkContext.setLogLevel("ERROR")
     qs = queries()
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
