@@ -195,3 +195,25 @@ def test_bucketed_store_anti_join_reads_store_without_exchange(spark):
     store_scan = [ln for ln in plan.splitlines() if "FileScan" in ln and name in ln]
     assert store_scan and "Bucketed: true" in store_scan[0]
     assert plan.count("Exchange hashpartitioning") == 1      # only the incoming batch is shuffled
+
+
+def test_article_text_rules():
+    long_a, long_b = "A" * 120, "B" * 110
+    # boilerplate inside <article> is removed; short paragraphs (<= 20 chars) are dropped
+    html = (f"<article><nav><p>{'N' * 50}</p></nav><p>{long_a}</p><aside><p>{'S' * 60}</p></aside>"
+            f"<p>tiny</p><p>{long_b}</p></article>")
+    assert main_text(html) == long_a + "\n\n" + long_b
+    # an <article> whose text is too short falls back to <main>
+    html = f"<article><p>{'x' * 30}</p></article><main><p>{long_a}</p><p>{long_b}</p></main>"
+    assert main_text(html) == long_a + "\n\n" + long_b
+    # no container: all paragraphs longer than 40 chars
+    html = f"<div><p>{'y' * 41}</p><p>{'z' * 40}</p></div>"
+    assert main_text(html) == "y" * 41
+    # entities are decoded and pieces stripped; the result is capped at 5000 chars
+    html = "<article><p>" + "Tom &amp; Jerry " * 500 + "</p></article>"
+    out = main_text(html)
+    assert out.startswith("Tom & Jerry") and len(out) == 5000
+    # unclosed paragraphs nest: the outer one contains the inner text as well
+    html = f"<article><p>{long_a}<p>{long_b}</p></article>"
+    assert main_text(html) == long_a + long_b + "\n\n" + long_b
+    assert main_text("") == "" and main_text("<p>short</p>") == ""
