@@ -5,8 +5,10 @@ to the driver.  Order of work is chosen for cost: cheap filters and dedup run
 before joins and Python-worker steps (freshness before the page join, dedup
 before enrichment).  Each returns the rows that are new to ``store`` (a
 DataFrame with a ``dedup_key`` column, e.g. the curated Parquet table).
-``checkpoint=True`` cuts the lineage after the parse/freshness stage with a
-reliable checkpoint in ``spark.checkpoint.dir``.
+``checkpoint=True`` cuts the lineage right after the parse (and freshness)
+stage with a reliable checkpoint in ``spark.checkpoint.dir``: a lost executor
+then re-reads parsed records instead of re-parsing payloads, and plans that
+branch off several counters from one job stay small.
 """
 from __future__ import annotations
 
@@ -52,8 +54,8 @@ def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge)
 
 
 def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, store: DataFrame | None = None,
-               collected_at: str | None = None, stages: dict | None = None) -> DataFrame:
-    p = scan_papers_atom(payloads)
+               collected_at: str | None = None, stages: dict | None = None, checkpoint: bool = False) -> DataFrame:
+    p = cut_lineage(scan_papers_atom(payloads), checkpoint)
     valid, _rejected = validate_entities(p, "paper")
     _keep(stages, discovered=valid, rejected=_rejected)
     keyed = valid.withColumn("dedup_key", dedup_key("paper", paper_url=F.col("paper_url")))
@@ -64,8 +66,8 @@ def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, stor
 
 
 def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=None,
-                 collected_at: str | None = None, stages: dict | None = None) -> DataFrame:
-    s = with_violations(scan_startups_json(payloads), "startup")
+                 collected_at: str | None = None, stages: dict | None = None, checkpoint: bool = False) -> DataFrame:
+    s = cut_lineage(with_violations(scan_startups_json(payloads), "startup"), checkpoint)
     s = s.withColumn("is_valid", F.size("violations") == 0)
     _keep(stages, rejected=s.filter(~F.col("is_valid")))
     s = dedup_name_priority(s.drop("violations"), "name", "ord", "is_valid").drop("is_valid")
@@ -82,8 +84,9 @@ def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=
 
 
 def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: DataFrame | None = None,
-                 providers=None, collected_at: str | None = None, stages: dict | None = None) -> DataFrame:
-    p = dedup_listing_id(scan_products_json(payloads), "listing_id", "ord")
+                 providers=None, collected_at: str | None = None, stages: dict | None = None,
+                 checkpoint: bool = False) -> DataFrame:
+    p = cut_lineage(dedup_listing_id(scan_products_json(payloads), "listing_id", "ord"), checkpoint)
     # the creator company is resolved for the audit log only; canonical_name = listing name
     p = p.withColumn("canonical_name", F.when(F.col("company_name").isNotNull() & (F.col("company_name") != ""),
                                               F.col("name")))
@@ -119,8 +122,9 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
              stages: dict | None = None) -> DataFrame:
     n = with_freshness(scan_news_feed(payloads, html_text=False), "pub_date_raw", reference_time, max_age_hours,
                        out="fresh")
+    n = cut_lineage(n, checkpoint)
     _keep(stages, stale=n.filter(F.col("fresh.verdict") == "STALE"))
-    n = cut_lineage(n.filter(F.col("fresh.is_fresh")), checkpoint)
+    n = n.filter(F.col("fresh.is_fresh"))
     n = n.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
                        "published_at": F.col("fresh.published_at"),
                        "freshness_verified": F.lit(True)}).drop("fresh")
@@ -143,8 +147,12 @@ def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, referenc
     if feed_payloads is not None:
         j = j.unionByName(scan_jobs_feed(feed_payloads, html_text=False), allowMissingColumns=True)
     j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh")
+    if stages is not None or checkpoint:
+        # keep only what the counters and the rest of the job need before cutting lineage
+        j = j.filter(F.col("fresh.verdict").isin("FRESH", "STALE"))
+    j = cut_lineage(j, checkpoint)
     _keep(stages, stale=j.filter(F.col("fresh.verdict") == "STALE"))
-    j = cut_lineage(j.filter(F.col("fresh.is_fresh")), checkpoint)
+    j = j.filter(F.col("fresh.is_fresh"))
     j = j.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
                        "published_at": F.col("fresh.published_at"),
                        "freshness_verified": F.lit(True)}).drop("fresh")

@@ -98,12 +98,16 @@ def _all_jobs(spark, sf, stages=None):
     st = stages if stages is not None else {}
     for e in ("paper", "startup", "product", "news", "job"):
         st.setdefault(e, {})
-    papers = job_papers(atom_paper_payloads(spark, sf), star_payloads(spark, sf), None, LOG_TS, stages=st["paper"])
-    startups = job_startups(startup_payloads(spark, sf), None, None, LOG_TS, stages=st["startup"])
-    products = job_products(product_payloads(spark, sf), None, None, None, LOG_TS, stages=st["product"])
-    news = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, None, None, None, 24.0, LOG_TS, stages=st["news"])
+    # each job's parsed records are checkpointed once: the counters branch off them
+    papers = job_papers(atom_paper_payloads(spark, sf), star_payloads(spark, sf), None, LOG_TS, stages=st["paper"],
+                        checkpoint=True)
+    startups = job_startups(startup_payloads(spark, sf), None, None, LOG_TS, stages=st["startup"], checkpoint=True)
+    products = job_products(product_payloads(spark, sf), None, None, None, LOG_TS, stages=st["product"],
+                            checkpoint=True)
+    news = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, None, None, None, 24.0, LOG_TS, stages=st["news"],
+                    checkpoint=True)
     jobs = job_jobs(job_json_payloads(spark, sf), job_feed_payloads(spark, sf), JOBS_REFERENCE_TIME, None, 24.0, LOG_TS,
-                    stages=st["job"])
+                    stages=st["job"], checkpoint=True)
     return papers, startups, products, news, jobs
 
 
