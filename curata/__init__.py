@@ -4,6 +4,21 @@ Every public operator is a function ``DataFrame -> DataFrame`` (use it with
 ``df.transform``) or a ``Column`` builder.  Python workers are only used for
 HTML parsing, chunking, fuzzy scoring and user-supplied extraction callables,
 always through Arrow-batched pandas UDFs.
+
+Common entry points::
+
+    from curata import build_session, job_news, job_jobs, stream_news
+    spark = build_session("local[8]")
+    fresh = job_news(payloads, reference_time="2026-08-15 12:00:00")
 """
 
 __version__ = "0.1.0"
+
+from .functions.dates import iso_or_rfc_date, normalize_date, relative_date, with_freshness  # noqa: E402,F401
+from .operators.dedup import dedup_first, dedup_key, dedup_seen  # noqa: E402,F401
+from .operators.resolve import resolve_entities, resolve_names  # noqa: E402,F401
+from .operators.sinks import export_tabs, insert_if_absent, write_new  # noqa: E402,F401
+from .plans.jobs import (job_export, job_jobs, job_metrics, job_news, job_papers,  # noqa: E402,F401
+                         job_products, job_startups)
+from .session import build_session, checkpoint_dir, prepare  # noqa: E402,F401
+from .streaming.streams import stream_jobs, stream_news  # noqa: E402,F401
