@@ -67,6 +67,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # CPU-heavy parse stages follow small shuffles; only adjust an untouched default
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    if spark.conf.get(key, "1MB") in ("1MB", "1m", "1048576", "1048576b"):
+        spark.conf.set(key, "64k")
     ship_package(spark)
     return spark
 
