@@ -36,8 +36,15 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``curata`` importable in every Python worker (UDFs reference its
-    functions): zip the package once per application and ``addPyFile`` it."""
+    functions): zip the package once per application and ``addPyFile`` it.
+
+    The zip holds code only; it is staged on the driver and served to executors
+    by Spark.  Deployments that already ship the package (``--py-files``) can
+    turn this off with ``spark.curata.shipPackage=false``.
+    """
     try:
+        if str(spark.conf.get("spark.curata.shipPackage", "true")).lower() == "false":
+            return
         sc = spark.sparkContext
         app = sc.applicationId
     except Exception:  # noqa: BLE001 - no SparkContext access: rely on the deployment
