@@ -102,21 +102,26 @@ def insert_if_absent(incoming: DataFrame, store: DataFrame | None, key: str = "d
 
 
 def write_new(spark: SparkSession, incoming: DataFrame, store_path: str, key: str = "dedup_key",
-              order: str = "ord") -> int:
+              order: str = "ord", partition_by_ingest_date: bool = True) -> int:
     """Append only new keys to the Parquet store at ``store_path``; returns the count saved.
 
-    The rows are written once to the store and counted from the written files
-    (no second evaluation of the input).
+    The store is append-only and (by default) partitioned by ``ingest_date``; each
+    run stamps its rows with a ``batch_id`` (provenance), and the saved count is
+    read back from the written batch, so the input is evaluated once.  Only the
+    key column of the store is read for the anti-join.
     """
     try:
         store = spark.read.parquet(store_path)
     except Exception:  # noqa: BLE001 - first write: no store yet
         store = None
     new = insert_if_absent(incoming, store, key, order)
-    batch_col = "_batch"
     batch_id = spark.range(1).select(F.uuid()).first()[0]
-    new.withColumn(batch_col, F.lit(batch_id)).write.mode("append").parquet(store_path)
-    return spark.read.parquet(store_path).filter(F.col(batch_col) == batch_id).count()
+    out = new.withColumns({"batch_id": F.lit(batch_id), "ingest_date": F.current_date()})
+    w = out.write.mode("append")
+    if partition_by_ingest_date:
+        w = w.partitionBy("ingest_date")
+    w.parquet(store_path)
+    return spark.read.parquet(store_path).filter(F.col("batch_id") == batch_id).count()
 
 
 def append_mapping_log(log: DataFrame, path: str) -> None:
