@@ -5,20 +5,34 @@ Every public operator is a function ``DataFrame -> DataFrame`` (use it with
 HTML parsing, chunking, fuzzy scoring and user-supplied extraction callables,
 always through Arrow-batched pandas UDFs.
 
-Common entry points::
+Common entry points (imported lazily, so Python workers that unpickle a UDF
+only load the module it lives in)::
 
     from curata import build_session, job_news, job_jobs, stream_news
     spark = build_session("local[8]")
     fresh = job_news(payloads, reference_time="2026-08-15 12:00:00")
 """
+from __future__ import annotations
+
+import importlib
 
 __version__ = "0.1.0"
 
-from .functions.dates import iso_or_rfc_date, normalize_date, relative_date, with_freshness  # noqa: E402,F401
-from .operators.dedup import dedup_first, dedup_key, dedup_seen  # noqa: E402,F401
-from .operators.resolve import resolve_entities, resolve_names  # noqa: E402,F401
-from .operators.sinks import export_tabs, insert_if_absent, write_new  # noqa: E402,F401
-from .plans.jobs import (job_export, job_jobs, job_metrics, job_news, job_papers,  # noqa: E402,F401
-                         job_products, job_startups)
-from .session import build_session, checkpoint_dir, prepare  # noqa: E402,F401
-from .streaming.streams import stream_jobs, stream_news  # noqa: E402,F401
+_EXPORTS = {
+    "iso_or_rfc_date": "functions.dates", "normalize_date": "functions.dates",
+    "relative_date": "functions.dates", "with_freshness": "functions.dates",
+    "dedup_first": "operators.dedup", "dedup_key": "operators.dedup", "dedup_seen": "operators.dedup",
+    "resolve_entities": "operators.resolve", "resolve_names": "operators.resolve",
+    "export_tabs": "operators.sinks", "insert_if_absent": "operators.sinks", "write_new": "operators.sinks",
+    "job_export": "plans.jobs", "job_jobs": "plans.jobs", "job_metrics": "plans.jobs", "job_news": "plans.jobs",
+    "job_papers": "plans.jobs", "job_products": "plans.jobs", "job_startups": "plans.jobs",
+    "build_session": "session", "checkpoint_dir": "session", "prepare": "session",
+    "stream_jobs": "streaming.streams", "stream_news": "streaming.streams",
+}
+__all__ = sorted(_EXPORTS)
+
+
+def __getattr__(name: str):
+    if name in _EXPORTS:
+        return getattr(importlib.import_module(f".{_EXPORTS[name]}", __name__), name)
+    raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
