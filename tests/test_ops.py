@@ -43,7 +43,9 @@ def test_insert_twice(spark):
     df = spark.createDataFrame([("k1", 1, "A"), ("k1", 2, "A2")], "dedup_key string, ord int, name string")
     assert write_new(spark, df, store) == 1
     assert write_new(spark, df, store) == 0
-    assert spark.read.parquet(store).count() == 1
+    stored = spark.read.parquet(store)
+    assert stored.count() == 1 and {"batch_id", "ingest_date"} <= set(stored.columns)
+    assert any(d.startswith("ingest_date=") for d in os.listdir(store))
 
 
 def test_injection_stripped(spark):
