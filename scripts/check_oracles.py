@@ -1,6 +1,9 @@
 """Run every registered query and its DuckDB oracle; compare like the driver does.
 
 usage: python scripts/check_oracles.py [sf_dir] [name ...]
+
+Runs every query in one session (like the driver).  CHECK_DRIVER_MEMORY sets the
+driver heap (default: Spark's 1 GB) to test memory headroom.
 """
 from __future__ import annotations
 
