@@ -41,6 +41,11 @@ def test_scans_prune_columns_and_push_filters(spark):
 
 
 def test_backoff_check_uses_no_window(spark):
-    plan = _plan(queries()["backoff_compliance"](spark, SF))
-    # the attempt log itself is derived with a window; the check is a join on (url, attempt)
-    assert plan.count("Window ") <= 2 and ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan)
+    import datetime as dt
+    from curata.operators.fetchlog import backoff_compliance
+    t0 = dt.datetime(2026, 8, 15)
+    log = spark.createDataFrame([("u", a, t0 + dt.timedelta(seconds=2 * a), 5.0) for a in range(4)],
+                                "url string, attempt int, ts timestamp, latency_ms double")
+    plan = _plan(backoff_compliance(log))
+    # the previous attempt comes from an equi-join on (url, attempt - 1), not a window over the url
+    assert "Window" not in plan and ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan)
