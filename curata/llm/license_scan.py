@@ -6,18 +6,20 @@ words, so a copied notice always has a text window that one template window cove
 for its ends.  A window's signature is one MinHash per band; an equal band retrieves the
 template.  With the settings below a window that shares half of its shingles with a
 template window (the worst alignment of the shortest, 5-word notice) collides with
-probability 1 - 0.5^12 > 0.9997 (:func:`collision_probability`), an exact one always.
+probability 1 - 0.5^10 > 0.999 (:func:`collision_probability`), an exact one always.
 Each retrieved place is then verified exactly: the share of the template's shingles
 found in the words around it.  Only DataFrame expressions are used.
 """
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let
 
-WINDOW, STRIDE, BANDS, ROWS = 6, 3, 12, 1
+WINDOW, STRIDE, BANDS, ROWS = 6, 3, 10, 1
 #: Bytes of template text that may be broadcast to every task.
 MAX_TEMPLATE_BYTES = 4 << 20
 
@@ -61,14 +63,20 @@ def windows(df: DataFrame, stride: int, window: int = WINDOW) -> DataFrame:
         .filter(F.col("start") < F.size("hashes"))
 
 
-def band_keys(window: int = WINDOW, bands: int = BANDS, rows: int = ROWS) -> Column:
-    """Band keys of the window at ``start``: each hashes ``rows`` minima over its shingles."""
+def with_band_keys(df: DataFrame, window: int = WINDOW, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """Adds ``keys``: one band key per band for the window at ``start``, each from ``rows``
+    minima over the window's shingles under different hash functions.  (A projection of its
+    own before any explode, so that the shingles are fetched once for all bands.)"""
     first = F.get("hashes", F.col("start"))
     own = [F.coalesce(F.get("hashes", F.col("start") + j), first) for j in range(window - 1)]
 
-    def minimum(seed: int) -> Column:
-        return F.least(*(F.xxhash64(h, F.lit(seed)) for h in own))
-    return F.array(*(F.xxhash64(F.lit(b), *(minimum(b * rows + r) for r in range(rows))) for b in range(bands)))
+    def minimum(k: int) -> Column:
+        seed = int.from_bytes(hashlib.sha256(f"band {k}".encode()).digest()[:8], "big", signed=True)
+        return F.least(*(F.xxhash64(h.bitwiseXOR(F.lit(seed))) for h in own))
+
+    def key(b: int) -> Column:
+        return minimum(b) if rows == 1 else F.xxhash64(F.lit(b), *(minimum(b * rows + r) for r in range(rows)))
+    return df.select("*", F.array(*(key(b) for b in range(bands))).alias("keys"))
 
 
 def scan_licenses(df: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -89,12 +97,12 @@ def scan_licenses(df: DataFrame, templates: DataFrame | None = None, id_col: str
     size = own.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     if size > MAX_TEMPLATE_BYTES:
         raise ValueError(f"{size} bytes of templates; {MAX_TEMPLATE_BYTES} can be broadcast")
-    keyed = windows(own.select("license_id", shingles(F.col("t")).alias("hashes")), 1)
+    keyed = with_band_keys(windows(own.select("license_id", shingles(F.col("t")).alias("hashes")), 1))
     keyed = keyed.select("license_id", F.array_distinct("hashes").alias("t_set"), F.size("hashes").alias("t_size"),
-                         F.col("start").alias("t_start"), F.explode(F.array_distinct(band_keys())).alias("band")) \
+                         F.col("start").alias("t_start"), F.explode(F.array_distinct("keys")).alias("band")) \
         .dropDuplicates(["license_id", "t_start", "band"])
     docs = windows(df.select(F.col(id_col).alias("doc_id"), shingles(F.col(text_col)).alias("hashes")), STRIDE)
-    found = (docs.select("doc_id", "hashes", "start", F.explode(band_keys()).alias("band"))
+    found = (with_band_keys(docs).select("doc_id", "hashes", "start", F.explode("keys").alias("band"))
              .join(F.broadcast(keyed), "band"))
     slack = F.ceil(F.col("t_size") * 0.2).cast("int") + STRIDE
     base = F.col("start") - F.col("t_start")
