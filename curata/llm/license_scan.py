@@ -101,7 +101,10 @@ def scan_licenses(df: DataFrame, templates: DataFrame | None = None, id_col: str
     keyed = keyed.select("license_id", F.array_distinct("hashes").alias("t_set"), F.size("hashes").alias("t_size"),
                          F.col("start").alias("t_start"), F.explode(F.array_distinct("keys")).alias("band")) \
         .dropDuplicates(["license_id", "t_start", "band"])
-    docs = windows(df.select(F.col(id_col).alias("doc_id"), shingles(F.col(text_col)).alias("hashes")), STRIDE)
+    # the one-element explode keeps filters on the hashes from being pushed below and
+    # hashing every text once more for each of them
+    texts = df.select(F.col(id_col).alias("doc_id"), F.explode(F.array(shingles(F.col(text_col)))).alias("hashes"))
+    docs = windows(texts, STRIDE)
     found = (with_band_keys(docs).select("doc_id", "hashes", "start", F.explode("keys").alias("band"))
              .join(F.broadcast(keyed), "band"))
     slack = F.ceil(F.col("t_size") * 0.2).cast("int") + STRIDE

@@ -38,7 +38,48 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymize(read_table(spark, sf_dir, "documents"), DEMO_KEY)
 
 
-_ALL = [op1_quality_rules, op2_chat_format, op3_license_scan, op4_pii]
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import jaccard_components
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return identify(read_table(spark, sf_dir, "documents"), fold == 2)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shuffle_into_shards
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+    return shuffle_into_shards(docs, 16).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import resample
+    out = resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.filter("kept")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    return mix(read_table(spark, sf_dir, "documents"), words).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+_ALL = [op1_quality_rules, op2_chat_format, op3_license_scan, op4_pii, op5_jaccard_join, op6_decontaminate,
+        op7_language_id, op8_sharding, op9_importance, op10_mixing]
+
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
