@@ -1,15 +1,63 @@
-"""Corpus pipeline: documents through stages, each written as Parquet and reread by the next."""
+"""Corpus pipeline: documents through five stages, each written as Parquet and reread by the next.
+
+quality classifier -> n-gram Jaccard join -> benchmark decontamination -> mixing -> sharding.
+A stage's decision is taken per doc_id and takes effect on the rows it read; all but the
+last return the columns of ``documents``.
+"""
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curata.llm.common import materialize, read_table
+from curata.llm.decontaminate import find_leaks
+from curata.llm.importance import resample
+from curata.llm.jaccard_join import jaccard_components
+from curata.llm.mixing import mixed_rows
+from curata.llm.sharding import shuffle_into_shards
 from curata.session import prepare
 
+SHARDS = 16
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance resampling draws; rows of one id (null too) stand or fall together."""
+    drawn = resample(docs, read_table(spark, sf_dir, "labels")).filter("kept").select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(drawn, docs["doc_id"].eqNullSafe(drawn["id"]), "left_semi")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies (five words, Jaccard 0.8): the smallest id, one row of
+    it.  Rows with a null id belong to no group and stay."""
+    first = jaccard_components(docs, width=5, percent=80).filter(F.col("doc_id") == F.col("component_id")).select("doc_id")
+    known = docs.filter(F.col("doc_id").isNotNull())
+    return known.join(first.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns) \
+        .unionAll(docs.filter(F.col("doc_id").isNull()))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item occurs."""
+    leaks = find_leaks(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["id"]), "left_anti")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: none, once or up to three times."""
+    return mixed_rows(docs, F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row in a shard of exact size: the columns of documents, shard and slot."""
+    return shuffle_into_shards(docs, SHARDS)
+
+
 #: (name, function) of each stage; a function takes (spark, docs, sf_dir).
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+    ("mixing", mixing), ("sharding", sharding),
+]
 
 #: No plain SQL states the sampled stages; tests compare each stage with brute force.
 ORACLE_SQL = None

@@ -62,14 +62,13 @@ class Block:
         self.seen[slot(self.keys)] = True
 
 
-def banded_edits(pattern: bytes, region: bytes) -> int:
-    """Least edits from ``pattern`` to any stretch of ``region``, within the diagonals that
-    the region leaves (its length minus the pattern's, plus one)."""
+def banded_edits(pattern: bytes, region: bytes, k: int) -> int:
+    """Least edits from ``pattern`` to any stretch of ``region``, along the diagonals the region
+    allows and k more to either side (enough for any alignment with at most k edits)."""
     p, m = np.frombuffer(pattern, np.uint8), len(pattern)
-    width = max(1, len(region) - m + 1)
-    r = np.zeros(m + width, np.uint16)
-    r[:] = 256  # beyond the region nothing matches
-    r[:len(region)] = np.frombuffer(region, np.uint8)
+    width = max(1, len(region) - m + 1) + 2 * k
+    r = np.full(m + width, 256, np.uint16)  # outside the region nothing matches
+    r[k:k + len(region)] = np.frombuffer(region, np.uint8)
     steps, row = np.arange(width), np.zeros(width, np.int64)
     for i in range(m):
         new = row + (r[i:i + width] != p[i])
@@ -118,7 +117,7 @@ def find(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, int, int]
         begin = max(0, low - k)
         region = texts[t][begin:max(0, low + 2 * (k + 1) + len(pattern) + k)]
         at = region.find(pattern)
-        edits = 0 if at >= 0 else banded_edits(pattern, region) if len(region) >= len(pattern) - k else k + 1
+        edits = 0 if at >= 0 else banded_edits(pattern, region, k) if len(region) >= len(pattern) - k else k + 1
         if edits <= k and ((t, i) not in best or edits < best[t, i][0]):
             best[t, i] = (edits, begin + max(0, at))
     for (t, i), (edits, at) in best.items():

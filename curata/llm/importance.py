@@ -116,18 +116,19 @@ def target_sample(labels: DataFrame, id_col: str, is_target: Column, bound: int)
 
 def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_id_col: str = "doc_id", is_target: Column | None = None, k: int | None = None,
-             keep_targets: float = 0.995, max_labelled: int = MAX_LABELLED, seed: str = "gumbel-1") -> DataFrame:
+             keep_targets: float = 0.995, temperature: float = 0.2, max_labelled: int = MAX_LABELLED,
+             seed: str = "gumbel-1") -> DataFrame:
     """All rows with ``log_weight``, ``key`` (weight plus noise) and ``kept`` (drawn into the sample).
 
     ``k``: sample size.  By default as many as there are texts whose weight per n-gram is not below
     all but ``1 - keep_targets`` of the labelled target texts', so that target-like texts of any
     length are drawn.  For that the ranking uses the weight above that bar, summed over the
-    text; Gumbel noise is a function of id and text, so a rerun draws the same sample.
+    text; Gumbel noise of scale ``temperature`` (1: in proportion to the weights, lower: closer
+    to the k best) is a function of id and text, so a rerun draws the same sample.
     Rows with equal keys (repeated rows) stand or fall together.  Null and texts without a
     token are never drawn.  Without labelled targets there is no ratio: all texts are kept.
     Null ids are rows like any other; other columns are not read.  Empty table: no rows.
     """
-    spark = df.sparkSession
     want = is_target if is_target is not None else (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     sample = materialize(target_sample(labels, label_id_col, want, max_labelled), "labelled")  # bounded: 20,000 ids
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -148,7 +149,7 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     per = F.col("log_weight") / F.col("n_grams")
     bar = scored.filter(F.col("good") & (F.col("n_grams") > 0)).agg(F.percentile(per, F.lit(1 - keep_targets))).first()[0]
     bar = 0.0 if bar is None else bar
-    gumbel = -F.log(-F.log("u"))
+    gumbel = F.lit(-float(temperature)) * F.log(-F.log("u"))
     keyed = scored.filter(F.col("n_grams") > 0).withColumn(
         "key", F.col("log_weight") - F.lit(float(bar)) * F.col("n_grams") + gumbel)
     if k is None:
@@ -156,7 +157,6 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     least = kth_largest(keyed, "key", k)
     n_rows = keyed.count()
     kept = F.lit(k >= n_rows) if least is None else F.col("key") >= F.lit(least)
-    del spark
     none = scored.filter(F.col("n_grams") == 0)
     return keyed.select("doc_id", "log_weight", "key", kept.alias("kept")).unionAll(
         none.select("doc_id", "log_weight", F.lit(None).cast("double"), F.lit(False)))

@@ -228,5 +228,5 @@ def identify(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     by_bin = F.array(*(F.lit(float(s)) for _, s in table))
     return scored.select(
         "doc_id", "held_out", F.coalesce("best", F.lit("und")).alias("lang_pred"),
-        F.coalesce(F.get(by_bin, F.col("bin")), F.lit(0.0)).alias("score"), F.col("entropy").alias("cross_entropy"),
+        F.when(F.col("best").isNull(), F.lit(0.0)).otherwise(F.get(by_bin, F.col("bin"))).alias("score"), F.col("entropy").alias("cross_entropy"),
         F.coalesce(F.col("entropy") > limit, F.col("best").isNull()).alias("rejected"))

@@ -18,6 +18,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -122,42 +123,67 @@ def balance(units: DataFrame) -> DataFrame:
     return done if done is not None else units.select("uid", "p").limit(0)
 
 
-def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source",
-        weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target and ``copies`` (0 .. ceil(cap)).
-
-    Rows that agree in id, source and size are one unit: of m such rows, whole copies are
-    given to as many as the expectation asks for and only the last fraction is drawn, so a row
-    repeated any number of times is still one unit.  Null id, null source (the last one), size 0
-    (never drawn, r undefined) are allowed.  Draws depend on the rows' values alone, not
-    on partitions: reruns agree.  The number of sources must be modest (their sizes come to
-    the driver, one number each).  Other columns are not read.  Empty table: no rows.
-    """
-    spark = df.sparkSession
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                     F.coalesce(size, F.lit(0)).cast("long").alias("size"))
+def mix_units(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """Per unit (doc_id, source, size) of ``rows``: m equal rows, ``whole`` copies for each and one
+    more for ``plus`` of them; source_size and target of its source."""
     units = materialize(rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m")), "mix-units")
     sizes = [(r["source"], r["n"]) for r in units.groupBy("source").agg(
         F.sum(F.col("size") * F.col("m")).alias("n")).collect()]
     goal = targets(sizes, weights, cap)
-    schema = "source string, source_no int, source_size long, target double"
-    facts = spark.createDataFrame([(s, i, n, float(goal[s])) for i, (s, n) in enumerate(sorted(
-        sizes, key=lambda x: (x[0] is None, x[0] or "")))], schema)
-    facts = facts.withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
-                             .otherwise(0.0)).withColumnRenamed("source", "source_name")
+    order = sorted(sizes, key=lambda x: (x[0] is None, x[0] or ""))
+    facts = rows.sparkSession.createDataFrame(
+        [(s, i, n, float(goal[s])) for i, (s, n) in enumerate(order)],
+        "source_name string, source_no int, source_size long, target double")
+    ratio = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     known = units.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("source_name"))).select(
-        "doc_id", "source", "size", "m", "source_no", "source_size", "target",
-        F.when(F.col("size") > 0, F.floor("ratio")).otherwise(0).alias("whole"),
-        F.when(F.col("size") > 0, F.col("m") * (F.col("ratio") - F.floor("ratio"))).otherwise(0.0).alias("extra"),
+        "doc_id", "source", "size", "m", "source_no", "source_size", "target", F.floor(ratio).alias("whole"),
+        (F.col("m") * (ratio - F.floor(ratio))).alias("extra"),
         F.to_json(F.struct("doc_id", "source", "size"), {"ignoreNullFields": "false"}).alias("uid"))
     known = known.withColumn("sure", F.floor(F.col("extra") + EPS)).withColumn(
         "p", F.greatest(F.lit(0.0), F.col("extra") - F.col("sure")))
-    drawn = balance(known.filter(_open(F.col("p")) & (F.col("p") > EPS)).select(
+    drawn = balance(known.filter((F.col("p") > EPS) & (F.col("p") < 1)).select(
         "uid", "source_no", F.col("size").cast("double").alias("x"), "p"))
-    taken = known.drop("p").join(drawn, "uid", "left").withColumn(
-        "plus", F.col("sure") + F.coalesce(F.col("p"), F.lit(0.0)).cast("long"))
+    return known.drop("p").join(drawn, "uid", "left").select(
+        "doc_id", "source", "size", "m", "source_size", "target", "whole",
+        (F.col("sure") + F.coalesce(F.col("p"), F.lit(0.0)).cast("long")).alias("plus"))
+
+
+def _rows(df: DataFrame, size: Column, id_col: str, source_col: str) -> DataFrame:
+    return df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                     F.coalesce(size, F.lit(0)).cast("long").alias("size"))
+
+
+def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source",
+        weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target and ``copies`` (0 .. ceil(cap)).
+
+    Rows that agree in id, source and size are one unit: of m such rows, whole copies are
+    given to as many as the expectation asks for and only the last fraction is drawn, so a row
+    repeated any number of times is still one unit.  Null id, null source (the last one) and size 0
+    (never drawn) are allowed.  Draws depend on the rows' values alone, not on partitions: reruns
+    agree.  The number of sources must be modest (their sizes come to the driver, one number
+    each).  Other columns are not read.  Empty table: no rows.
+    """
+    units = mix_units(_rows(df, size, id_col, source_col), weights, cap)
     # the first ``plus`` of a unit's m equal rows get one copy more
-    return taken.select("doc_id", "source", "size", "source_size", "target", "whole", "plus",
-                        F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("no")).select(
+    return units.withColumn("no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m")))).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("whole") + F.when(F.col("no") <= F.col("plus"), 1).otherwise(0)).cast("long").alias("copies"))
+
+
+def mixed_rows(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source",
+               weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """The mix itself: the rows of ``df``, each as often as :func:`mix` says, with its columns.
+
+    Equal units (id, source, size) are told apart by the order of their row hashes."""
+    units = mix_units(_rows(df, size, id_col, source_col), weights, cap).select(
+        F.col("doc_id").alias("u_id"), F.col("source").alias("u_source"), F.col("size").alias("u_size"), "whole", "plus")
+    sized = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+                      F.coalesce(size, F.lit(0)).cast("long").alias("n"))
+    key = [F.col(f"row.`{id_col}`"), F.col(f"row.`{source_col}`"), F.col("n")]
+    joined = sized.join(units, key[0].eqNullSafe(F.col("u_id")) & key[1].eqNullSafe(F.col("u_source"))
+                        & (F.col("n") == F.col("u_size")))
+    place = F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("row")))
+    copies = F.col("whole") + F.when(F.col("plus") >= F.col("no"), 1).otherwise(0)
+    return joined.withColumn("no", place).filter(copies > 0).select(
+        "row", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long")))).select("row.*")

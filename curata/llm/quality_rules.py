@@ -1,7 +1,7 @@
 """Operator 1, quality rules: weak supervision over rules that vote or abstain.
 
-Seven rules look at a text and vote good (1), bad (-1) or abstain (0).  The rows
-are grouped into vote patterns (at most 3^7, whatever the input size) and
+Nine rules look at a text and vote good (1), bad (-1) or abstain (0).  The rows
+are grouped into vote patterns (at most 3^9, whatever the input size) and
 expectation-maximisation over that small table estimates, for each rule, how
 often it is right about good and about bad texts, and the share of good texts.
 The posterior probability of "good" given a row's votes replaces all-must-pass
@@ -80,6 +80,9 @@ def votes() -> dict[str, Column]:
     return {
         "length": _vote(n < 50, n >= 100),
         "symbols": F.when(some, _vote(c("n_symbols") * 10 > n, c("n_symbols") * 50 <= n)).otherwise(0),
+        "markup": F.when(some, _vote(c("n_symbols") * 25 > c("word_chars"), c("n_symbols") * 250 <= c("word_chars")))
+        .otherwise(0),
+        "decoration": F.when(some, _vote(c("n_symbols") * 4 > n, c("n_symbols") * 100 <= n)).otherwise(0),
         "capitals": F.when(some, _vote(c("n_upper") * 10 > c("word_chars") * 3, c("n_upper") * 10 < c("word_chars")))
         .otherwise(0),
         "dup_lines": F.when(c("n_lines") > 1, _vote(c("n_dup_lines") * 10 > c("n_lines") * 3, c("n_dup_lines") == 0))

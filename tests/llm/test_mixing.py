@@ -5,16 +5,17 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from curata.llm import mixing
-from curata.llm.mixing import flight, mix, targets
+from curata.llm.mixing import flight, mix, mixed_rows, targets
 
-SIZE = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+def words():
+    return F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
 
 
 def test_targets_share_out_all_sizes():
     assert targets([("a", 100), ("b", 100), ("c", 100)]) == {"a": 187.5, "b": 75.0, "c": 37.5}
     t = targets([("a", 10), ("b", 200), (None, 100), ("d", 0)])
     assert t["a"] == 30 and t["d"] == 0 and abs(sum(t.values()) - 310) < 1e-9
-    assert abs(t["b"] / t[None] - 2 / 5) > 0  # null source is last and weighs 5 (fourth)
+    assert abs(t["b"] / t[None] - 2 / 5) < 1e-9  # the null source is last: fourth, so it weighs 5 again
     assert targets([]) == {}
 
 
@@ -44,23 +45,32 @@ def check(rows, tolerance):
 
 
 def test_documents_meet_their_targets_and_reruns_agree(documents, monkeypatch):
-    a = sorted(map(tuple, mix(documents, SIZE).collect()))
-    assert a == sorted(map(tuple, mix(documents.repartition(5), SIZE).collect()))
-    check(mix(documents, SIZE).collect(), 2)
+    a = sorted(map(tuple, mix(documents, words()).collect()))
+    assert a == sorted(map(tuple, mix(documents.repartition(5), words()).collect()))
+    check(mix(documents, words()).collect(), 2)
     monkeypatch.setattr(mixing, "BLOCK", 8)  # several levels of blocks
-    check(mix(documents, SIZE).collect(), 2)
+    check(mix(documents, words()).collect(), 2)
 
 
 def test_repeated_rows_are_one_unit(spark):
     df = spark.createDataFrame([(1, "a b c", "s")] * 90 + [(2, "d", "s"), (3, "e f", "t"), (4, None, "t"), (None, "x", None)],
                                "doc_id long, text string, source string")
-    out = mix(df, SIZE).collect()
+    out = mix(df, words()).collect()
     assert len(out) == 94
     check(out, 2)
 
 
 def test_hostile_and_empty(hostile, hostile_rows, no_rows):
-    out = mix(hostile, SIZE).collect()
+    out = mix(hostile, words()).collect()
     assert len(out) == len(hostile_rows)
     check(out, 2)
-    assert mix(no_rows, SIZE).collect() == []
+    assert mix(no_rows, words()).collect() == []
+
+
+def test_the_mix_repeats_rows_as_decided(hostile):
+    want, have = defaultdict(int), defaultdict(int)
+    for r in mix(hostile, words()).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    for r in mixed_rows(hostile, words()).withColumn("size", words()).collect():
+        have[r.doc_id, r.source, r.size] += 1
+    assert dict(have) == {k: v for k, v in want.items() if v}
