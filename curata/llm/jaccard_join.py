@@ -6,14 +6,16 @@ threshold t only a part of the product is ever formed:
 
 * equal sets are one row (their class is linked whatever else happens);
 * column block 1 is the lowest ``SHARE`` of the hash space.  A row whose entries there include more
-  single-row columns than a link can miss is discarded;
-* the others keep a prefix, the n - ceil(t n) + 1 rarest entries (columns of block 1 by
-  row count, then the rest by hash): two linked rows share a prefix column;
+  single-row columns than a link can miss, or no shared one at all, is discarded;
+* for the rows left all columns are counted.  Single-row columns drop out, rows are discarded
+  by the same bound again, and the others keep a prefix: the n - ceil(t n) + 1 rarest entries
+  (columns by row count), of which two linked rows share at least one;
 * each column first contributes one star, its most central row with every other one.
   Verified star links already join whole groups of copies;
-* then a column contributes products only between rows of different components.  Overlap
-  counts are accumulated per pair, and a pair is discarded when its count plus what lies
-  beyond the shorter prefix stays below ceil(t / (1 + t) * (n + m));
+* then a column contributes products only between rows of different components whose sizes
+  and single-row entries leave room for a link: the symmetric difference holds at least both
+  rows' single entries.  Overlap counts are accumulated per pair, and a pair is discarded when
+  its count plus what lies beyond the shorter prefix stays below ceil(t / (1 + t) * (n + m));
 * the pairs left are verified on their whole sets, and components are closed.
 
 So a group of copies costs a star, not its square, and no link between different texts is lost.
@@ -73,7 +75,7 @@ def _sets(df: DataFrame, width: int, percent: int) -> DataFrame:
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 own = np.unique(s >> np.uint64(16)).view(np.int64)
                 inside = int(np.searchsorted(own, edge))
-                prefix = len(s) - least_overlap(len(s), percent) + 1
+                prefix = len(own) - least_overlap(len(own), percent) + 1
                 low.append(own[:max(inside, prefix)] if len(s) else own)
                 singles.append(inside)
             flat = np.concatenate([*low, np.zeros(0, np.int64)])
@@ -117,14 +119,14 @@ def _whole_sets(df: DataFrame, bits: np.ndarray, width: int) -> DataFrame:
             at = batch.column(2).to_numpy(zero_copy_only=False)
             chosen = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
             batch = batch.take(pa.array(chosen))
-            sets = [shingle_set(t, width) >> np.uint64(16) for t in batch.column(1).to_pylist()]
+            sets = [np.unique(shingle_set(t, width) >> np.uint64(16)) for t in batch.column(1).to_pylist()]
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "entries"])
     kind = dict(df.dtypes)["doc_id"]
     return df.select("doc_id", "text", _slot(F.col("doc_id")).alias("slot")).mapInArrow(
-        run, f"doc_id {kind}, entries array<long>")
+        run, f"doc_id {kind}, entries array<long>").withColumn("row", F.monotonically_increasing_id())
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -175,48 +177,58 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = materialize(named.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(
         "digest", "first.*"), "classes")
     entry = named.join(classes.select("row"), "row", "left_semi").select("row", F.explode("low").alias("h"))
+    shared = entry.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("h")
+    seen = entry.join(shared, "h").groupBy("row").agg(F.count_if(F.col("h") < int(SHARE * TOP)).alias("seen"))
+    miss = F.col("n") - up(F.col("n") * percent, 100)  # entries that a link may lack
+    hopeful = materialize(named.select("row", "doc_id", "n", "inside").join(seen, "row").filter(
+        F.col("inside") - F.col("seen") <= miss).select("doc_id").distinct(), "hopeful")
+    whole = materialize(_whole_sets(docs.filter(F.col("doc_id").isNotNull()), _row_filter(hopeful), width), "whole")
+    if whole.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > 1).limit(1).count():
+        whole = materialize(whole.dropDuplicates(["doc_id", "entries"]).withColumn(
+            "row", F.monotonically_increasing_id()), "whole")  # only where ids repeat
+    entry = whole.select("row", F.explode("entries").alias("h"))
     shared = entry.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-    late = F.col("h") >= int(SHARE * TOP)
-    mine = entry.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
-        late.alias("late"), F.when(~late, F.col("c")).alias("c"), F.col("h").alias("h")))).alias("entries"))
-    alone = F.col("inside") - F.size(F.filter("entries", lambda e: ~e["late"]))
-    room = F.col("n") - up(F.col("n") * percent, 100) + 1 - alone
-    mine = mine.join(named.select("row", "doc_id", "n", "inside"), "row").filter(room > 0).select(
-        "doc_id", "n", (alone / F.col("n")).alias("apart"),
-        F.slice("entries", F.lit(1), F.greatest(room, F.lit(1)).cast("int")).alias("prefix"))
-    prefix = materialize(mine.select("doc_id", "n", "apart", F.explode("prefix.h").alias("h")), "prefix")
-
-    def near(n: str, m: str) -> Column:
-        return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    mine = entry.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("entries"))
+    mine = mine.join(whole.select("row", "doc_id", F.size("entries").cast("long").alias("n")), "row").select(
+        "doc_id", "n", "entries", (F.col("n") - F.size("entries")).alias("alone")).filter(F.col("alone") <= miss)
+    prefix = materialize(mine.select("doc_id", "n", "alone", (F.col("alone") / F.col("n")).alias("apart"), F.explode(
+        F.slice("entries", F.lit(1), (miss + 1 - F.col("alone")).cast("int"))["h"]).alias("h")), "prefix")
+    whole = whole.select("doc_id", "entries")
+
+    def asked(n: str, m: str) -> Column:
+        return up((F.col(n) + F.col(m)) * percent, 100 + percent)
+
+    def near(n: str, m: str, alone_n: str, alone_m: str) -> Column:
+        """Sizes and single entries leave room for a link."""
+        return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & \
+            (F.col(alone_n) + F.col(alone_m) <= F.col(n) + F.col(m) - asked(n, m) * 2)
 
     # stars: every row with the most central row of its columns, the one that leads most of them
-    centre = prefix.groupBy("h").agg(F.min(F.struct("apart", "doc_id", "n")).alias("top"),
+    centre = prefix.groupBy("h").agg(F.min(F.struct("apart", "doc_id", "n", "alone")).alias("top"),
                                      F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
     led = (prefix.join(centre.select("h", F.col("top.doc_id").alias("y"), F.col("top.n").alias("m"),
-                                     F.col("top.apart").alias("apart_y")), "h")
-           .filter((F.col("doc_id") != F.col("y")) & near("n", "m"))
+                                     F.col("top.apart").alias("apart_y"), F.col("top.alone").alias("alone_m")), "h")
+           .filter((F.col("doc_id") != F.col("y")) & near("n", "m", "alone", "alone_m"))
            .groupBy(F.col("doc_id").alias("x"), "y").agg(F.count(F.lit(1)).alias("c"),
                                                          F.min("apart_y").alias("apart_y"))
            .groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("apart_y"), -F.col("y"))).alias("y")))
     stars = materialize(led, "stars")
-    involved = materialize(prefix.select("doc_id").distinct(), "involved")
-    whole = materialize(_whole_sets(docs.filter(F.col("doc_id").isNotNull()), _row_filter(involved), width)
-                        .dropDuplicates(["doc_id", "entries"]), "whole")
     links = materialize(_links(stars, whole, percent), "star-links")
     label = components(links)
     # what the stars left apart: products between different components only
     side = materialize(prefix.join(label, "doc_id", "left").select(
-        "h", "doc_id", "n", F.coalesce("label", "doc_id").alias("label")), "side")
+        "h", "doc_id", "n", "alone", F.coalesce("label", "doc_id").alias("label")), "side")
     open_ = side.groupBy("h").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter(F.col("a") < F.col("b"))
     side = materialize(side.join(open_.select("h"), "h", "left_semi"), "open")
-    left = side.select("h", F.col("doc_id").alias("x"), "n", F.col("label").alias("lx"))
-    right = side.select("h", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"))
-    count = (left.join(right, "h").filter((F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & near("n", "m"))
+    left = side.select("h", F.col("doc_id").alias("x"), "n", "alone", F.col("label").alias("lx"))
+    right = side.select("h", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("alone").alias("alone_m"),
+                        F.col("label").alias("ly"))
+    count = (left.join(right, "h").filter((F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly"))
+                                              & near("n", "m", "alone", "alone_m"))
              .groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m")))
 
     beyond = F.greatest(up(F.col("n") * percent, 100), up(F.col("m") * percent, 100)) - 1
-    asked = up((F.col("n") + F.col("m")) * percent, 100 + percent)
-    pairs = materialize(count.filter(F.col("c") + beyond >= asked).select("x", "y"), "pairs")
+    pairs = materialize(count.filter(F.col("c") + beyond >= asked("n", "m")).select("x", "y"), "pairs")
     # a row follows the representative of its set; an id with several sets ties them together
     follows = materialize(named.join(classes.select("digest", F.col("doc_id").alias("rep")), "digest").select(
         "doc_id", "rep").distinct(), "follows")
