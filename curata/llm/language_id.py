@@ -115,15 +115,15 @@ def kneser_ney(grams: DataFrame, order: int = ORDER) -> DataFrame:
 class Models:
     """Sorted arrays of every language's model."""
 
-    def __init__(self, table, order: int):
-        self.order = order
-        self.unseen = float(table.loc[table.n == 0, "value"].iloc[0])
-        self.langs = sorted(table.lang.dropna().unique())
-        self.arrays = {}
-        for (lang, n, kind), part in table[table.n > 0].groupby(["lang", "n", "kind"]):
-            k = part.key.to_numpy(np.int64).view(np.uint64)
-            o = np.argsort(k)
-            self.arrays[lang, int(n), kind] = (k[o], part.value.to_numpy(np.float32)[o])
+    def __init__(self, langs: list[str], unseen: float, order: int, code: np.ndarray, key: np.ndarray, value: np.ndarray):
+        """``code``: language number * 16 + order * 2 + (1 for back-off weights), per entry."""
+        self.langs, self.unseen, self.order, self.arrays = langs, unseen, order, {}
+        by_code = np.lexsort((key.view(np.uint64), code))
+        code, key, value = code[by_code], key[by_code].view(np.uint64), value[by_code].astype(np.float32)
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        for at, to in zip(first, np.append(first, len(code))[1:], strict=True):
+            c = int(code[at])
+            self.arrays[langs[c // 16], c % 16 // 2, "g" if c % 2 else "p"] = (key[at:to], value[at:to])
 
     def _look(self, lang: str, n: int, kind: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         k, v = self.arrays[lang, n, kind]
@@ -153,7 +153,13 @@ def train(df: DataFrame) -> Models:
     order = max(sizes) if sizes else 0
     while order > 1 and sum(c for n, c in sizes.items() if n <= order) > MAX_ENTRIES:
         order -= 1
-    return Models(table.filter(F.col("n") <= order).toPandas(), order)
+    langs = sorted(r["lang"] for r in table.select("lang").distinct().collect() if r["lang"] is not None)
+    unseen = table.filter("n = 0").agg(F.max("value")).first()[0]
+    numbers = F.array_position(F.array(*(F.lit(x) for x in langs)), F.col("lang")) - 1 if langs else F.lit(0)
+    code = (numbers * 16 + F.col("n") * 2 + F.when(F.col("kind") == "g", 1).otherwise(0)).cast("int")
+    got = table.filter((F.col("n") > 0) & (F.col("n") <= order)).select(
+        code.alias("code"), "key", F.col("value").cast("float").alias("value")).toArrow()
+    return Models(langs, float(unseen or 0.0), order, *(got.column(i).to_numpy() for i in range(3)))
 
 
 def entropies(df: DataFrame, models: Models, keep: list[str]) -> DataFrame:
