@@ -146,6 +146,9 @@ def relative_date(col, reference_time) -> Column:
                   let(F.lower(py_strip(col)), lambda t: _relative_body(t, ref)))
 
 
+FIRST_MICROS = -62_135_596_800_000_000  # 0001-01-01T00:00:00Z
+
+
 def _relative_body(t: Column, ref: Column) -> Column:
     digits = F.regexp_extract(t, RELATIVE_PATTERN, 1)
     unit = F.regexp_extract(t, RELATIVE_PATTERN, 2)
@@ -153,9 +156,9 @@ def _relative_body(t: Column, ref: Column) -> Column:
                 .when(unit.startswith("min"), F.lit(_US["min"]))
                 .when(unit.startswith("hr") | unit.startswith("hour"), F.lit(_US["hr"]))
                 .when(unit.startswith("day") | (unit == "d"), F.lit(_US["day"])))
-    # more than 9 digits would overflow any real calendar: treat as unparseable
-    n = F.when((F.length(digits) > 0) & (F.length(digits) <= 9), (digits).try_cast("long"))
-    ago = F.timestamp_micros(F.unix_micros(ref) - n * unit_us)
+    # an age that leaves the calendar (before year 1, or any overflow) is unparseable
+    micros = F.try_subtract(F.unix_micros(ref), F.try_multiply(digits.try_cast("long"), unit_us))
+    ago = F.when(micros >= F.lit(FIRST_MICROS), F.timestamp_micros(micros))
     return (F.when(t.isin(*NOW_WORDS), ref)
              .when(t == "today", F.date_trunc("day", ref))
              .when(t == "yesterday", F.date_trunc("day", ref - F.expr("INTERVAL 1 DAY")))

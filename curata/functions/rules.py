@@ -127,10 +127,11 @@ def product_description(short_description, card_title, listing_name, sdk) -> Col
 
 
 def founding_year(launched_at) -> Column:
-    """UTC year of a Unix-seconds value; 0 / null -> null."""
+    """UTC year of a Unix-seconds value; 0, null and instants outside years 1 to 9999 -> null."""
     x = _c(launched_at).cast("double")
-    return F.when(x.isNotNull() & (x != 0),
-                  F.year(F.timestamp_micros((x * 1_000_000).cast("long"))))
+    # NaN sorts above every number, so it falls outside too
+    return F.when((x != 0) & (x >= -62_135_596_800) & (x < 253_402_300_800),
+                  F.year(F.timestamp_micros((x * 1_000_000).try_cast("long"))))
 
 
 def url_is_http(col) -> Column:

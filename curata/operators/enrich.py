@@ -25,7 +25,7 @@ def enrich_stars(papers: DataFrame, stars: DataFrame, url: str = "github_reposit
     s = s.groupBy("_owner", "_repo").agg(F.max("_stars").alias("_stars"))   # one deterministic count per repo
     j = p.join(s, ["_owner", "_repo"], "left")
     cols = [c for c in papers.columns if c != "github_stars"]
-    return j.select(*cols, F.coalesce(F.col("_stars").cast("int"), F.col("github_stars") if "github_stars" in papers.columns
+    return j.select(*cols, F.coalesce(F.col("_stars").try_cast("int"), F.col("github_stars") if "github_stars" in papers.columns
                                       else F.lit(None).cast("int")).alias("github_stars"))
 
 

@@ -1,6 +1,7 @@
 """Sinks: insert-if-absent into the curated store, the mapping log, tab exports."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +102,17 @@ def insert_if_absent(incoming: DataFrame, store: DataFrame | None, key: str = "d
     return first if store is None else dedup_seen(first, store, key)
 
 
+def read_store(spark: SparkSession, store_path: str) -> DataFrame | None:
+    """The store, or None before its first write.  Any other failed read (permission,
+    network) is raised: taken for an empty store it would insert every key again."""
+    try:
+        return spark.read.parquet(store_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_new(spark: SparkSession, incoming: DataFrame, store_path: str, key: str = "dedup_key",
               order: str = "ord", partition_by_ingest_date: bool = True) -> int:
     """Append only new keys to the Parquet store at ``store_path``; returns the count saved.
@@ -110,18 +122,16 @@ def write_new(spark: SparkSession, incoming: DataFrame, store_path: str, key: st
     read back from the written batch, so the input is evaluated once.  Only the
     key column of the store is read for the anti-join.
     """
-    try:
-        store = spark.read.parquet(store_path)
-    except Exception:  # noqa: BLE001 - first write: no store yet
-        store = None
-    new = insert_if_absent(incoming, store, key, order)
-    batch_id = spark.range(1).select(F.uuid()).first()[0]
-    out = new.withColumns({"batch_id": F.lit(batch_id), "ingest_date": F.current_date()})
+    new = insert_if_absent(incoming, read_store(spark, store_path), key, order)
+    batch_id, day = spark.range(1).select(F.uuid(), F.current_date()).first()
+    out = new.withColumns({"batch_id": F.lit(batch_id), "ingest_date": F.lit(day)})
     w = out.write.mode("append")
     if partition_by_ingest_date:
         w = w.partitionBy("ingest_date")
     w.parquet(store_path)
-    return spark.read.parquet(store_path).filter(F.col("batch_id") == batch_id).count()
+    # the partition column first: only today's folder is read for the count
+    return spark.read.parquet(store_path).filter((F.col("ingest_date") == F.lit(day))
+                                                 & (F.col("batch_id") == batch_id)).count()
 
 
 def append_mapping_log(log: DataFrame, path: str) -> None:

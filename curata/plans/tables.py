@@ -10,6 +10,6 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Full scan of one driver table, with a parallelism floor (see :func:`with_parallelism`)."""
-    from ..session import with_parallelism
-    return with_parallelism(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    """Full scan of one driver table; its splits are the session's business
+    (``spark.sql.files.minPartitionNum``, ``maxPartitionBytes``)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

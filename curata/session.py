@@ -74,10 +74,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # CPU-heavy parse stages follow small shuffles; only adjust an untouched default
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    if spark.conf.get(key, "1MB") in ("1MB", "1m", "1048576", "1048576b"):
-        spark.conf.set(key, "64k")
     ship_package(spark)
     return spark
 
@@ -85,21 +81,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local runs) do we create one, under
-    the system temp folder of this single machine.
+    Only a ``local[...]`` session (tests, one machine) that names none gets a temporary
+    folder; on a cluster a machine-local folder would lose data, so that is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="curata-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
-            pass
-        spark.sparkContext.setCheckpointDir(d)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
@@ -118,17 +111,3 @@ def cut_lineage(df, enabled: bool = True):
         return df
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def with_parallelism(df, min_partitions: int | None = None):
-    """Round-robin repartition when a scan yields fewer partitions than the cluster
-    has cores (e.g. one small single-row-group file), so per-row CPU work is not
-    serialised in one task.  Large inputs already have many more partitions than
-    cores and are returned untouched (no extra shuffle)."""
-    try:
-        sc = df.sparkSession.sparkContext
-        want = min_partitions or sc.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave partitioning to AQE
-        return df
-    return df.repartition(want) if have < want else df

@@ -242,7 +242,7 @@ def scan_startups_json(payloads: DataFrame, kind: str = "startups_json") -> Data
         startup_description(_vs("one_liner"), _vs("long_description")).alias("description"),
         blank_to_null(_vs("website")).alias("website_url"),
         py_or(_vs("url"), F.col("url")).alias("source_url"),
-        F.when(team_is_int & (team > 0), team.cast("int")).alias("employee_count"),
+        F.when(team_is_int & (team > 0), team.try_cast("int")).alias("employee_count"),
         F.when(launched_num, founding_year(launched)).alias("founding_year"),
         blank_to_null(_vs("all_locations")).alias("headquarters"),
         startup_categories(tags, inds).alias("categories"),

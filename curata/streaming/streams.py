@@ -17,15 +17,14 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import iso_utc_string, with_freshness
 from ..operators.dedup import dedup_first, dedup_key
+from ..operators.sinks import read_store
 from ..schemas import PAYLOAD
 from ..sources.payloads import scan_jobs_feed, scan_jobs_json, scan_news_feed
 
 
 def _store_keys(spark: SparkSession, store_path: str):
-    try:
-        return spark.read.parquet(store_path).select("dedup_key")
-    except Exception:  # noqa: BLE001 - empty store on the first batch
-        return None
+    store = read_store(spark, store_path)
+    return None if store is None else store.select("dedup_key")
 
 
 def _sink(store_path: str, order: str = "ord"):
