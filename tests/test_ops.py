@@ -98,50 +98,32 @@ def test_export_tabs(spark):
     assert export_tab(p, "Research Papers").first()["GitHub Stars"] == "0"
 
 
-def _chunks_brute(text, budget_tokens, overlap_chars):
-    """Independent restatement: walk the pieces, start a new chunk on overflow."""
-    import re
-    if not text or not text.strip():
-        return []
-    est = lambda s: len(s) // 4 + 1 if s else 0
-    if est(text) <= budget_tokens:
-        return [text.strip()]
-    pieces = re.split(r"(\n\s*\n|\n)", text)
-    result, cur = [], ""
-    cur_tokens = 0
-    started = False
-    for p in pieces:
-        if started and cur_tokens + est(p) > budget_tokens:
-            emitted = cur.strip()
-            if emitted:
-                result.append(emitted)
-            carry = emitted[len(emitted) - overlap_chars:] if len(emitted) > overlap_chars else ""
-            cur = carry + p
-            cur_tokens = est(cur)
-        else:
-            cur += p
-            cur_tokens += est(p)
-        started = True
-    if cur.strip():
-        result.append(cur.strip())
-    return result
-
-
-def test_chunk_query_matches_brute_force(spark):
-    import os
-    sf = "/root/testdata/sf0.001"
-    if not os.path.isdir(sf):
-        return
-    from curata.plans.catalog import queries
-    got = {(r.doc_id, r.chunk_no): r.chars for r in queries()["chunk_text"](spark, sf).collect()}
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
-    want = {}
-    for d in docs:
-        for i, c in enumerate(_chunks_brute(d.text, 2000, 600)):
-            want[(d.doc_id, i)] = len(c)
-    assert got == want
-    firsts = {r.doc_id: r.chars for r in queries()["first_chunk"](spark, sf).collect()}
-    assert firsts == {k[0]: v for k, v in want.items() if k[1] == 0}
+def test_chunks_keep_order_budget_and_overlap():
+    """Properties of the chunks: nothing lost, budget kept, overlap as asked, greedy."""
+    import random
+
+    from curata.functions.chunking import split_chunks
+    rnd = random.Random(7)
+    for _ in range(300):
+        lines = ["".join(rnd.choice("abcde ") for _ in range(rnd.randint(0, 900))) for _ in range(rnd.randint(1, 40))]
+        text = "".join(x + rnd.choice(["\n", "\n\n", "\n \n"]) for x in lines)
+        overlap = rnd.choice([20, 60, 150])
+        chunks = split_chunks(text, 1500, 1000, overlap)
+        at = 0
+        for k, c in enumerate(chunks):
+            body = c
+            if k and overlap and len(chunks[k - 1]) > overlap * 4:
+                tail = chunks[k - 1][-overlap * 4:].lstrip()
+                assert c.startswith(tail) or tail.startswith(c)
+                body = c[len(tail):]
+            assert c == c.strip() and c
+            found = text.find(body.strip(), at)
+            assert found >= 0 and not text[at:found].strip()
+            at = found + len(body.strip())
+            pieces = [p for p in body.split("\n") if p]
+            assert len(c) // 4 + 1 <= 500 or len(pieces) <= 1
+        assert not text[at:].strip()
+        assert split_chunks(text, 1500, 1000, overlap, first_only=True) == chunks[:1]
 
 
 def test_stream_early_dedup_and_checkpointed_job(spark):
