@@ -116,13 +116,13 @@ def target_sample(labels: DataFrame, id_col: str, is_target: Column, bound: int)
 
 def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_id_col: str = "doc_id", is_target: Column | None = None, k: int | None = None,
-             keep_targets: float = 0.995, temperature: float = 0.2, max_labelled: int = MAX_LABELLED,
+             keep_targets: float = 0.995, temperature: float = 0.2, bar_share: float = 0.3, max_labelled: int = MAX_LABELLED,
              seed: str = "gumbel-1") -> DataFrame:
     """All rows with ``log_weight``, ``key`` (weight plus noise) and ``kept`` (drawn into the sample).
 
     ``k``: sample size.  By default as many as there are texts whose weight per n-gram is not below
     all but ``1 - keep_targets`` of the labelled target texts', so that target-like texts of any
-    length are drawn.  For that the ranking uses the weight above that bar, summed over the
+    length are drawn; ``bar_share`` of the labelled targets are kept from the model for this.  For that the ranking uses the weight above that bar, summed over the
     text; Gumbel noise of scale ``temperature`` (1: in proportion to the weights, lower: closer
     to the k best) is a function of id and text, so a rerun draws the same sample.
     Rows with equal keys (repeated rows) stand or fall together.  Null and texts without a
@@ -132,8 +132,10 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     want = is_target if is_target is not None else (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     sample = materialize(target_sample(labels, label_id_col, want, max_labelled), "labelled")  # bounded: 20,000 ids
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # the bar is set by target texts that the target model has not seen
+    sample = sample.withColumn("for_bar", F.pmod(F.xxhash64("label_id", F.lit("bar")), F.lit(1000)) < bar_share * 1000)
     flagged = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"), "left")
-    counts = materialize(count_buckets(flagged.select("text", F.coalesce("good", F.lit(False)).alias("is_target"))),
+    counts = materialize(count_buckets(flagged.select("text", (F.coalesce("good", F.lit(False)) & ~F.coalesce("for_bar", F.lit(False))).alias("is_target"))),
                          "buckets").toPandas()
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)  # add-one smoothing
     raw[counts.bucket] += counts.raw
@@ -143,11 +145,11 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         table[:] = 0.0
     hashed = flagged.withColumn("unit", F.sha2(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"),
                                                            F.xxhash64("text").cast("string")), 256)).select(
-        "doc_id", "text", "good", ((F.conv(F.substring("unit", 1, 13), 16, 10).cast("double") + 0.5)
+        "doc_id", "text", "good", "for_bar", ((F.conv(F.substring("unit", 1, 13), 16, 10).cast("double") + 0.5)
                                    / F.lit(float(1 << 52))).alias("u"))
-    scored = materialize(log_ratios(hashed, table, ["doc_id", "good", "u"]), "weights")
+    scored = materialize(log_ratios(hashed, table, ["doc_id", "good", "for_bar", "u"]), "weights")
     per = F.col("log_weight") / F.col("n_grams")
-    bar = scored.filter(F.col("good") & (F.col("n_grams") > 0)).agg(F.percentile(per, F.lit(1 - keep_targets))).first()[0]
+    bar = scored.filter(F.col("good") & (F.col("for_bar") if bar_share else F.lit(True)) & (F.col("n_grams") > 0)).agg(F.percentile(per, F.lit(1 - keep_targets))).first()[0]
     bar = 0.0 if bar is None else bar
     gumbel = F.lit(-float(temperature)) * F.log(-F.log("u"))
     keyed = scored.filter(F.col("n_grams") > 0).withColumn(

@@ -17,7 +17,8 @@ def test_ngrams_per_text():
 def test_weights_are_log_ratios(spark):
     rows = [(1, "good words here"), (2, "bad junk ###"), (3, "good words")]
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, None)], "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r.log_weight for r in resample(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+    got = {r.doc_id: r.log_weight for r in resample(spark.createDataFrame(rows, "doc_id long, text string"), labels,
+                                                    bar_share=0).collect()}
     raw, target = Counter(), Counter()
     for i, t in rows:
         raw.update(buckets([t])[0].tolist())
