@@ -12,10 +12,12 @@ threshold t only a part of the product is ever formed:
   (columns by row count), of which two linked rows share at least one;
 * each column first contributes one star, its most central row with every other one.
   Verified star links already join whole groups of copies;
-* then a column contributes products only between rows of different components whose sizes
-  and single-row entries leave room for a link: the symmetric difference holds at least both
-  rows' single entries.  Overlap counts are accumulated per pair, and a pair is discarded when
-  its count plus what lies beyond the shorter prefix stays below ceil(t / (1 + t) * (n + m));
+* then a column contributes products only between rows of different components whose sizes,
+  single-row entries and parities leave room for a link: the symmetric difference holds both
+  rows' single entries, and in each of 256 bins of the other columns where one row has an odd
+  and the other an even number of entries, one more.  Overlap counts are accumulated per pair,
+  and a pair is discarded when its count plus what lies beyond the shorter prefix stays below
+  ceil(t / (1 + t) * (n + m));
 * the pairs left are verified on their whole sets, and components are closed.
 
 So a group of copies costs a star, not its square, and no link between different texts is lost.
@@ -37,6 +39,8 @@ TOP = 1 << 48
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of the fixed-size row filter that spares unaffected texts the second reading.
 FILTER_BITS = 1 << 25
+#: Four 64-bit words of column parities per row.
+PARITY = ["p0", "p1", "p2", "p3"]
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -129,6 +133,12 @@ def _whole_sets(df: DataFrame, bits: np.ndarray, width: int) -> DataFrame:
         run, f"doc_id {kind}, entries array<long>").withColumn("row", F.monotonically_increasing_id())
 
 
+def _parity(word: int) -> Column:
+    """Aggregate: 64 of the 256 bins of the columns ``h``, each with the parity of its entries."""
+    inside = F.shiftright("h", 6).bitwiseAND(F.lit(3)) == word
+    return F.bit_xor(F.when(inside, F.expr("shiftleft(1L, int(h & 63L))")).otherwise(F.lit(0).cast("long")))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose whole sets reach the threshold."""
     both = (pairs.join(sets.withColumnsRenamed({"doc_id": "x", "entries": "a"}), "x")
@@ -188,27 +198,28 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             "row", F.monotonically_increasing_id()), "whole")  # only where ids repeat
     entry = whole.select("row", F.explode("entries").alias("h"))
     shared = entry.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-    mine = entry.join(shared, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("entries"))
+    mine = entry.join(shared, "h").groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("c", "h"))).alias("entries"), *(_parity(w).alias(p) for w, p in enumerate(PARITY)))
     mine = mine.join(whole.select("row", "doc_id", F.size("entries").cast("long").alias("n")), "row").select(
-        "doc_id", "n", "entries", (F.col("n") - F.size("entries")).alias("alone")).filter(F.col("alone") <= miss)
-    prefix = materialize(mine.select("doc_id", "n", "alone", (F.col("alone") / F.col("n")).alias("apart"), F.explode(
+        "doc_id", "n", "entries", *PARITY, (F.col("n") - F.size("entries")).alias("alone")).filter(F.col("alone") <= miss)
+    prefix = materialize(mine.select("doc_id", "n", "alone", *PARITY, (F.col("alone") / F.col("n")).alias("apart"), F.explode(
         F.slice("entries", F.lit(1), (miss + 1 - F.col("alone")).cast("int"))["h"]).alias("h")), "prefix")
     whole = whole.select("doc_id", "entries")
 
     def asked(n: str, m: str) -> Column:
         return up((F.col(n) + F.col(m)) * percent, 100 + percent)
 
-    def near(n: str, m: str, alone_n: str, alone_m: str) -> Column:
-        """Sizes and single entries leave room for a link."""
+    def near(n: str, m: str, apart: Column) -> Column:
+        """Sizes and the entries known to be of one row only leave room for a link."""
         return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & \
-            (F.col(alone_n) + F.col(alone_m) <= F.col(n) + F.col(m) - asked(n, m) * 2)
+            (apart <= F.col(n) + F.col(m) - asked(n, m) * 2)
 
     # stars: every row with the most central row of its columns, the one that leads most of them
     centre = prefix.groupBy("h").agg(F.min(F.struct("apart", "doc_id", "n", "alone")).alias("top"),
                                      F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
     led = (prefix.join(centre.select("h", F.col("top.doc_id").alias("y"), F.col("top.n").alias("m"),
                                      F.col("top.apart").alias("apart_y"), F.col("top.alone").alias("alone_m")), "h")
-           .filter((F.col("doc_id") != F.col("y")) & near("n", "m", "alone", "alone_m"))
+           .filter((F.col("doc_id") != F.col("y")) & near("n", "m", F.col("alone") + F.col("alone_m")))
            .groupBy(F.col("doc_id").alias("x"), "y").agg(F.count(F.lit(1)).alias("c"),
                                                          F.min("apart_y").alias("apart_y"))
            .groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("apart_y"), -F.col("y"))).alias("y")))
@@ -217,18 +228,19 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     label = components(links)
     # what the stars left apart: products between different components only
     side = materialize(prefix.join(label, "doc_id", "left").select(
-        "h", "doc_id", "n", "alone", F.coalesce("label", "doc_id").alias("label")), "side")
+        "h", "doc_id", "n", "alone", *PARITY, F.coalesce("label", "doc_id").alias("label")), "side")
     open_ = side.groupBy("h").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter(F.col("a") < F.col("b"))
     side = materialize(side.join(open_.select("h"), "h", "left_semi"), "open")
-    left = side.select("h", F.col("doc_id").alias("x"), "n", "alone", F.col("label").alias("lx"))
+    left = side.select("h", F.col("doc_id").alias("x"), "n", "alone", *PARITY, F.col("label").alias("lx"))
     right = side.select("h", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("alone").alias("alone_m"),
-                        F.col("label").alias("ly"))
+                        F.col("label").alias("ly"), *(F.col(p).alias(f"{p}_m") for p in PARITY))
+    odd = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_m"))) for p in PARITY), F.col("alone") + F.col("alone_m"))
     count = (left.join(right, "h").filter((F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly"))
-                                              & near("n", "m", "alone", "alone_m"))
-             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m")))
+                                              & near("n", "m", odd))
+             .groupBy("x", "y", "n", "m").agg(F.count(F.lit(1)).alias("c")))
 
     beyond = F.greatest(up(F.col("n") * percent, 100), up(F.col("m") * percent, 100)) - 1
-    pairs = materialize(count.filter(F.col("c") + beyond >= asked("n", "m")).select("x", "y"), "pairs")
+    pairs = materialize(count.filter(F.col("c") + beyond >= asked("n", "m")).select("x", "y").distinct(), "pairs")
     # a row follows the representative of its set; an id with several sets ties them together
     follows = materialize(named.join(classes.select("digest", F.col("doc_id").alias("rep")), "digest").select(
         "doc_id", "rep").distinct(), "follows")
