@@ -64,19 +64,17 @@ def windows(df: DataFrame, stride: int, window: int = WINDOW) -> DataFrame:
 
 
 def with_band_keys(df: DataFrame, window: int = WINDOW, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Adds ``keys``: one band key per band for the window at ``start``, each from ``rows``
-    minima over the window's shingles under different hash functions.  (A projection of its
-    own before any explode, so that the shingles are fetched once for all bands.)"""
+    """One row per band with its key ``band`` for the window at ``start``, from ``rows`` minima
+    over the window's shingles under different hash functions.  (The bands are rows before
+    they are hashed: all of them in one expression make a method too long for the JIT.)"""
+    seeds = [int.from_bytes(hashlib.sha256(f"band {k}".encode()).digest()[:8], "big", signed=True)
+             for k in range(bands * rows)]
+    per_band = F.array(*(F.array(*(F.lit(x) for x in seeds[b * rows:(b + 1) * rows])) for b in range(bands)))
     first = F.get("hashes", F.col("start"))
     own = [F.coalesce(F.get("hashes", F.col("start") + j), first) for j in range(window - 1)]
-
-    def minimum(k: int) -> Column:
-        seed = int.from_bytes(hashlib.sha256(f"band {k}".encode()).digest()[:8], "big", signed=True)
-        return F.least(*(F.xxhash64(h.bitwiseXOR(F.lit(seed))) for h in own))
-
-    def key(b: int) -> Column:
-        return minimum(b) if rows == 1 else F.xxhash64(F.lit(b), *(minimum(b * rows + r) for r in range(rows)))
-    return df.select("*", F.array(*(key(b) for b in range(bands))).alias("keys"))
+    minima = [F.least(*(F.xxhash64(h.bitwiseXOR(F.get("seeds", F.lit(r)))) for h in own)) for r in range(rows)]
+    return df.select("*", F.explode(per_band).alias("seeds")).select(
+        *df.columns, (minima[0] if rows == 1 else F.xxhash64(*minima)).alias("band"))
 
 
 def scan_licenses(df: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -99,13 +97,13 @@ def scan_licenses(df: DataFrame, templates: DataFrame | None = None, id_col: str
         raise ValueError(f"{size} bytes of templates; {MAX_TEMPLATE_BYTES} can be broadcast")
     keyed = with_band_keys(windows(own.select("license_id", shingles(F.col("t")).alias("hashes")), 1))
     keyed = keyed.select("license_id", F.array_distinct("hashes").alias("t_set"), F.size("hashes").alias("t_size"),
-                         F.col("start").alias("t_start"), F.explode(F.array_distinct("keys")).alias("band")) \
+                         F.col("start").alias("t_start"), "band") \
         .dropDuplicates(["license_id", "t_start", "band"])
     # the one-element explode keeps filters on the hashes from being pushed below and
     # hashing every text once more for each of them
     texts = df.select(F.col(id_col).alias("doc_id"), F.explode(F.array(shingles(F.col(text_col)))).alias("hashes"))
     docs = windows(texts, STRIDE)
-    found = (with_band_keys(docs).select("doc_id", "hashes", "start", F.explode("keys").alias("band"))
+    found = (with_band_keys(docs).select("doc_id", "hashes", "start", "band")
              .join(F.broadcast(keyed), "band"))
     slack = F.ceil(F.col("t_size") * 0.2).cast("int") + STRIDE
     base = F.col("start") - F.col("t_start")
