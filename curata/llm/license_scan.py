@@ -66,7 +66,7 @@ def windows(df: DataFrame, stride: int, window: int = WINDOW) -> DataFrame:
 def with_band_keys(df: DataFrame, window: int = WINDOW, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per band with its key ``band`` for the window at ``start``, from ``rows`` minima
     over the window's shingles under different hash functions.  (The bands are rows before
-    they are hashed: all of them in one expression make a method too long for the JIT.)"""
+    they are hashed: all of them in one expression took seven times the CPU time, presumably a method too long for the JIT.)"""
     seeds = [int.from_bytes(hashlib.sha256(f"band {k}".encode()).digest()[:8], "big", signed=True)
              for k in range(bands * rows)]
     per_band = F.array(*(F.array(*(F.lit(x) for x in seeds[b * rows:(b + 1) * rows])) for b in range(bands)))
