@@ -21,30 +21,34 @@ from .tables import TABLES, table
 
 
 def attempt_log(spark, sf):
-    """events -> crawl attempt log: one URL per user and day, attempts in time order."""
+    """events -> crawl attempt log: one URL per user, crawled again after every four attempts;
+    the URLs of even users lack attempt 2 of each crawl (numbers 0, 1, 3, 4)."""
     e = table(spark, sf, "events")
-    url = F.concat(F.lit("https://feed.example.com/u/"), F.col("user_id").cast("string"), F.lit("/d/"),
-                   F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"))
+    url = F.concat(F.lit("https://feed.example.com/u/"), F.col("user_id").cast("string"))
     t = F.col("event_type")
     status = (F.when(t == "purchase", F.lit(200)).when(t == "click", F.lit(404)).when(t == "signup", F.lit(403))
                .when(t == "view", F.lit(429)))
-    a = e.select("event_id", url.alias("url"), F.concat(F.lit("src"), (F.col("user_id") % 5).cast("string")).alias("source_name"),
+    a = e.select("event_id", (F.col("user_id") % 2 == 0).alias("_gap"), url.alias("url"), F.concat(F.lit("src"), (F.col("user_id") % 5).cast("string")).alias("source_name"),
                  status.cast("int").alias("status_code"),
                  F.when(t == "error", F.lit("ConnectTimeout")).alias("error"),
                  F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("latency_ms"))
     w = Window.partitionBy("url").orderBy("ts", "event_id")
-    return a.withColumn("attempt", (F.row_number().over(w) - 1).cast("int"))
+    n = (F.row_number().over(w) - 1) % 4
+    return a.withColumn("_n", n).withColumn(
+        "attempt", (F.col("_n") + F.when(F.col("_gap") & (F.col("_n") >= 2), 1).otherwise(0)).cast("int")).drop("_n", "_gap")
 
 
 _ATTEMPTS_SQL = """
 WITH a AS (
-  SELECT event_id, 'https://feed.example.com/u/' || user_id || '/d/' || strftime(ts, '%Y-%m-%d') AS url,
+  SELECT event_id, user_id, 'https://feed.example.com/u/' || user_id AS url,
          'src' || (user_id % 5) AS source_name,
          CASE event_type WHEN 'purchase' THEN 200 WHEN 'click' THEN 404 WHEN 'signup' THEN 403 WHEN 'view' THEN 429 END
            AS status_code,
          CASE WHEN event_type = 'error' THEN 'ConnectTimeout' END AS error, ts, value AS latency_ms
   FROM events),
-l AS (SELECT *, CAST(row_number() OVER (PARTITION BY url ORDER BY ts, event_id) - 1 AS INTEGER) AS attempt FROM a),
+n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts, event_id) - 1 AS r FROM a),
+l AS (SELECT *, CAST(r % 4 + CASE WHEN user_id % 2 = 0 AND r % 4 >= 2 THEN 1 ELSE 0 END AS INTEGER) AS attempt,
+             min(epoch_us(ts)) OVER (PARTITION BY url, r // 4) AS crawl FROM n),
 c AS (SELECT *, CASE WHEN status_code = 200 THEN 'success' WHEN status_code IN (404, 403) THEN 'terminal'
                      ELSE 'retryable' END AS cls FROM l)"""
 
@@ -55,10 +59,10 @@ def q_classify_fetch(spark, sf):
 
 
 @register("final_outcome", _ATTEMPTS_SQL + """,
-last AS (SELECT url, n_attempts, attempt AS retries, status_code AS st, error AS er, cls AS cl FROM (
-           SELECT *, row_number() OVER (PARTITION BY url ORDER BY attempt DESC) AS rn,
-                  count(*) OVER (PARTITION BY url) AS n_attempts FROM c) WHERE rn = 1)
-SELECT url, n_attempts, retries,
+last AS (SELECT url, crawl, n_attempts, attempt AS retries, status_code AS st, error AS er, cls AS cl FROM (
+           SELECT *, row_number() OVER (PARTITION BY url, crawl ORDER BY attempt DESC) AS rn,
+                  count(*) OVER (PARTITION BY url, crawl) AS n_attempts FROM c) WHERE rn = 1)
+SELECT url, crawl, n_attempts, retries,
   CASE WHEN cl = 'retryable' AND retries >= 4 THEN 500 ELSE st END AS final_status,
   CASE WHEN cl = 'retryable' AND retries >= 4 THEN 'Failed after 4 retries' ELSE er END AS final_error,
   CASE WHEN cl = 'success' THEN 'success' WHEN cl = 'terminal' THEN 'rejected'
@@ -69,14 +73,14 @@ def q_final_outcome(spark, sf):
 
 
 @register("backoff_compliance", _ATTEMPTS_SQL + """,
-g AS (SELECT url, attempt, ts, lag(ts) OVER w AS pts, lag(latency_ms) OVER w AS plat, lag(attempt) OVER w AS pat
-      FROM c WINDOW w AS (PARTITION BY url ORDER BY attempt))
-SELECT url, attempt, epoch_us(ts) - epoch_us(pts) AS gap_us,
+g AS (SELECT url, crawl, attempt, ts, lag(ts) OVER w AS pts, lag(latency_ms) OVER w AS plat, lag(attempt) OVER w AS pat
+      FROM c WINDOW w AS (PARTITION BY url, crawl ORDER BY attempt))
+SELECT url, crawl, attempt, CAST(attempt - pat - 1 AS BIGINT) AS missing, epoch_us(ts) - epoch_us(pts) AS gap_us,
        least(1.0 * pow(2.0, CAST(pat AS DOUBLE)), 30.0) * 1000.0 AS policy_wait_ms,
-       (CAST(epoch_us(ts) - epoch_us(pts) AS DOUBLE) / 1000.0 - coalesce(plat, 0.0))
-         < least(1.0 * pow(2.0, CAST(pat AS DOUBLE)), 30.0) * 500.0 AS too_early,
-       (CAST(epoch_us(ts) - epoch_us(pts) AS DOUBLE) / 1000.0 - coalesce(plat, 0.0))
-         > least(1.0 * pow(2.0, CAST(pat AS DOUBLE)), 30.0) * 1500.0 AS too_late
+       CASE WHEN attempt - pat = 1 THEN (CAST(epoch_us(ts) - epoch_us(pts) AS DOUBLE) / 1000.0 - coalesce(plat, 0.0))
+         < least(1.0 * pow(2.0, CAST(pat AS DOUBLE)), 30.0) * 500.0 END AS too_early,
+       CASE WHEN attempt - pat = 1 THEN (CAST(epoch_us(ts) - epoch_us(pts) AS DOUBLE) / 1000.0 - coalesce(plat, 0.0))
+         > least(1.0 * pow(2.0, CAST(pat AS DOUBLE)), 30.0) * 1500.0 END AS too_late
 FROM g WHERE pts IS NOT NULL""")
 def q_backoff_compliance(spark, sf):
     return backoff_compliance(attempt_log(spark, sf))
