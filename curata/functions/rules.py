@@ -26,12 +26,9 @@ REPO_URL_TRAILING = ".,;)]"
 OWNER_REPO_PATTERN = r"github\.com/([a-zA-Z0-9_.-]+)/([a-zA-Z0-9_.-]+)"
 LEGAL_SUFFIXES = ["inc", "corp", "corporation", "ltd", "limited", "pbc", "llc", "gmbh", "co", "company"]
 DEFAULT_LOCATION = "Remote"
-STARTUP_MAX_CATEGORIES = 10
 STARTUP_DEFAULT_CATEGORIES = ["AI"]
-PRODUCT_MAX_TAGS = 5
 PRODUCT_DEFAULT_SDK = "unknown"
 PRODUCT_DESC_TEMPLATE = "{title} — AI application built with {sdk}"
-LONG_DESCRIPTION_CHARS = 500
 PRODUCT_URL_PREFIX = "https://huggingface.co/spaces/"
 FOUNDING_YEAR_RANGE = (1800, 2026)
 # ---------------------------------------------------------------------------
@@ -100,21 +97,22 @@ def default_location(col) -> Column:
 
 
 def startup_categories(tags, industries) -> Column:
-    """distinct(tags ++ industries) (first-seen order), at most 10, default ['AI']."""
+    """distinct(tags ++ industries) in first-seen order, all of them; default ['AI']."""
     both = F.array_distinct(F.concat(F.coalesce(_c(tags), F.array().cast("array<string>")),
                                      F.coalesce(_c(industries), F.array().cast("array<string>"))))
-    cut = F.slice(both, 1, STARTUP_MAX_CATEGORIES)
-    return F.when(F.size(cut) > 0, cut).otherwise(F.array(*[F.lit(x) for x in STARTUP_DEFAULT_CATEGORIES]))
+    return F.when(F.size(both) > 0, both).otherwise(F.array(*[F.lit(x) for x in STARTUP_DEFAULT_CATEGORIES]))
 
 
 def startup_description(one_liner, long_description) -> Column:
-    return py_or(one_liner, F.substring(_c(long_description), 1, LONG_DESCRIPTION_CHARS))
+    """The one-liner, else the whole long description."""
+    return py_or(one_liner, _c(long_description))
 
 
 def product_categories(tags, sdk) -> Column:
+    """All tags; without any, the SDK and 'AI'."""
     t = _c(tags)
     sdk_v = F.coalesce(_c(sdk), F.lit(PRODUCT_DEFAULT_SDK))
-    return F.when(t.isNotNull() & (F.size(t) > 0), F.slice(t, 1, PRODUCT_MAX_TAGS)) \
+    return F.when(t.isNotNull() & (F.size(t) > 0), t) \
             .otherwise(F.array(sdk_v, F.lit("AI")))
 
 

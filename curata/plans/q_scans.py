@@ -132,7 +132,7 @@ STARTUPS_SQL = f"""
 WITH c AS (SELECT *, c_custkey AS k, 1000000000 + c_custkey * 604800 AS secs FROM customer)
 SELECT k AS custkey, {company_sql('k')} AS name,
   CASE WHEN k % 4 = 0 THEN 'One liner ' || c_mktsegment
-       WHEN k % 5 = 0 THEN substr(repeat('Long text ' || c_name || ' ', 20), 1, 500)
+       WHEN k % 5 = 0 THEN repeat('Long text ' || c_name || ' ', 20)
        WHEN k % 5 = 1 THEN 'Short long' END AS description,
   CASE WHEN k % 3 = 0 THEN 'https://c' || k || '.example.com' END AS website_url,
   CASE WHEN k % 2 = 0 THEN 'https://directory.example.com/companies/' || k
@@ -180,7 +180,7 @@ SELECT k AS partkey, owner || '/' || lname AS listing_id, CAST(p_size AS BIGINT)
   'https://huggingface.co/spaces/' || owner || '/' || lname AS product_url,
   CASE WHEN k % 6 IN (2, 3) THEN 'FREE' ELSE 'UNKNOWN' END AS pricing_type,
   owner AS company_name,
-  CASE WHEN k % 5 IN (0, 1) THEN sdk || '|AI' ELSE p_type || '|t1|t2|t3|t4' END AS categories
+  CASE WHEN k % 5 IN (0, 1) THEN sdk || '|AI' ELSE p_type || '|t1|t2|t3|t4|t5' END AS categories
 FROM p WHERE k % 10 <> 0 AND k % 4 <> 0 AND p_size >= 3"""
 
 

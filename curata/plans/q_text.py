@@ -28,10 +28,25 @@ def q_html_date(spark, sf):
     return p.select("page_id", F.unix_micros(html_date(F.col("html"), REFERENCE_TIME)).alias("published_us"))
 
 
-@register("article_text")
+def _pages_with_articles(spark, sf):
+    """pages with an article put before their markup: boilerplate and short paragraphs to leave
+    out, an entity to decode, and for every fifth page a text of over 9,000 characters."""
+    n = F.col("page_id").cast("string")
+    long = F.repeat(F.concat(F.lit("Paragraph about page "), n, F.lit(". ")), F.when(F.col("page_id") % 5 == 0, 400).otherwise(10))
+    body = F.concat(F.lit("<html><body><article><nav><p>Links that are long enough to count elsewhere</p></nav><p>"), long,
+                    F.lit("</p><p>short</p><p>Second &amp; last paragraph of page "), n, F.lit(".</p></article>"))
+    return table(spark, sf, "pages").withColumn("html", F.concat(body, F.coalesce("html", F.lit(""))))
+
+
+_ARTICLE_SQL = """
+WITH a AS (SELECT page_id, url, rtrim(repeat('Paragraph about page ' || page_id || '. ', CASE WHEN page_id % 5 = 0 THEN 400 ELSE 10 END))
+             || chr(10) || chr(10) || 'Second & last paragraph of page ' || page_id || '.' AS text FROM pages)"""
+
+
+@register("article_text", _ARTICLE_SQL + """
+SELECT page_id, CAST(length(text) AS BIGINT) AS text_len, sha256(text) AS text_sha256 FROM a""")
 def q_article_text(spark, sf):
-    """Main text of every page (rows-only: needs an HTML parser; unit-tested on fixtures)."""
-    p = table(spark, sf, "pages")
+    p = _pages_with_articles(spark, sf)
     t = p.select("page_id", article_text(F.col("html")).alias("text"))
     return t.select("page_id", F.length("text").cast("long").alias("text_len"),
                     F.sha2(F.col("text"), 256).alias("text_sha256"))
@@ -171,24 +186,32 @@ def q_enrich_readme(spark, sf):
     products = d.select("doc_id", F.concat(F.lit("https://huggingface.co/spaces/"), F.col("source"), F.lit("/d"),
                                           k.cast("string")).alias("source_url"),
                         (k % 4 != 0).alias("needs_extraction"))
-    readmes = d.select(F.concat(F.col("source"), F.lit("/d"), k.cast("string")).alias("listing_id"),
-                       F.col("text").alias("readme"))
+    copy = F.explode(F.array(F.lit(1), F.lit(2)))       # every readme was landed twice; the later copy counts
+    readmes = d.select(F.concat(F.col("source"), F.lit("/d"), k.cast("string")).alias("listing_id"), "text",
+                       copy.alias("fetched_at")).withColumn(
+        "readme", F.when(F.col("fetched_at") == 2, F.col("text")).otherwise(F.lit("~ an older copy " * 9)))
     e = enrich_readme(products, readmes)
     return e.select("doc_id", F.length("readme").cast("long").alias("readme_chars"))
 
 
-@register("enrich_article")
+@register("enrich_article", _ARTICLE_SQL + """,
+last AS (SELECT url, arg_max(text, page_id) AS text FROM a GROUP BY url)
+SELECT 'Story ' || page_id AS title, url AS article_url,
+       CASE WHEN page_id % 4 = 3 THEN 'Short summary.' ELSE last.text END AS content, page_id % 4 <> 3 AS content_enriched
+FROM a JOIN last USING (url)""")
 def q_enrich_article(spark, sf):
-    """One story per page URL ⟕ pages; content = article text when > 100 chars (rows-only)."""
-    from ..operators.dedup import dedup_first
-    pages = dedup_first(table(spark, sf, "pages").select("url", "html", F.col("page_id").alias("ord")), "url", "ord")
+    """One story per page; pages landed twice, the later copy counts; every fourth story's page is missing."""
+    p = _pages_with_articles(spark, sf)
+    at = F.when(F.col("copy") == 2, F.col("page_id")).otherwise(-1)
+    pages = p.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        "url", F.when(F.col("copy") == 2, F.col("html")).otherwise(F.lit("<p>An older copy without a story.</p>")).alias("html"),
+        at.alias("fetched_at"))
+    n = F.col("page_id")
     news = table(spark, sf, "pages").select(
-        F.concat(F.lit("Story "), F.col("page_id").cast("string")).alias("title"),
-        F.col("url").alias("article_url"), F.lit("Short summary.").alias("summary"),
-        F.lit(None).cast("string").alias("content"))
-    e = enrich_article(news, pages.drop("ord"))
-    return e.select("title", "article_url", F.length("content").cast("long").alias("content_len"),
-                    "content_enriched")
+        F.concat(F.lit("Story "), n.cast("string")).alias("title"), F.col("url").alias("article_url"),
+        F.when(n % 4 == 3, F.concat(F.lit("gone:"), F.col("url"))).otherwise(F.col("url")).alias("link"),
+        F.lit("Short summary.").alias("summary"), F.lit(None).cast("string").alias("content"))
+    return enrich_article(news, pages, "link").select("title", "article_url", "content", "content_enriched")
 
 
 @register("parse_owner_repo", """
