@@ -16,41 +16,25 @@ def _nonempty(c) -> Column:
     return _c(c).isNotNull() & (F.length(_c(c)) >= 1)
 
 
-def rules_for(entity: str, cols: set[str]) -> list[tuple[str, Column]]:
-    """(rule name, column that is TRUE when the row breaks the rule)."""
-    r: list[tuple[str, Column]] = []
-
-    def has(c):
-        return c in cols
-    if has("source_url"):
-        r.append(("source_url_http", ~url_is_http("source_url")))
-    if entity in ("startup", "product"):
-        r.append(("name_required", ~_nonempty("name")))
-    if entity == "startup":
-        if has("employee_count"):
-            r.append(("employee_count_nonnegative", F.coalesce(F.col("employee_count") < 0, F.lit(False))))
-        if has("founding_year"):
-            lo, hi = FOUNDING_YEAR_RANGE
-            r.append(("founding_year_range",
-                      F.coalesce(~F.col("founding_year").between(lo, hi), F.lit(False))))
-    if entity == "product" and has("pricing_type"):
-        r.append(("pricing_type_enum",
-                  F.coalesce(~F.col("pricing_type").isin(*PRICING_TYPES), F.lit(False))))
-    if entity == "paper":
-        r.append(("title_required", ~_nonempty("title")))
-        r.append(("paper_url_http", ~url_is_http("paper_url")))
-        if has("github_stars"):
-            r.append(("github_stars_nonnegative", F.coalesce(F.col("github_stars") < 0, F.lit(False))))
-    if entity == "job":
-        r.append(("company_required", ~_nonempty("company_name")))
-        r.append(("role_required", ~_nonempty("role_title")))
-        r.append(("source_name_required", ~_nonempty("source_name")))
-        if has("role_family"):
-            r.append(("role_family_enum",
-                      F.coalesce(~F.col("role_family").isin(*ROLE_FAMILIES), F.lit(False))))
-    if entity == "news":
-        r.append(("title_required", ~_nonempty("title")))
-        r.append(("source_name_required", ~_nonempty("source_name")))
+def rules_for(entity: str, cols: set[str], at=F.col, partial: bool = False) -> list[tuple[str, Column]]:
+    """(rule name, column that is TRUE when the row breaks the rule).
+
+    ``at`` reads a field (a column of the table, or of a parsed response); ``partial`` leaves out
+    the required fields that the record does not carry at all.
+    """
+    required = {"startup": [("name", _nonempty)], "product": [("name", _nonempty)],
+                "paper": [("title", _nonempty), ("paper_url", url_is_http)],
+                "job": [("company_name", _nonempty), ("role_title", _nonempty), ("source_name", _nonempty)],
+                "news": [("title", _nonempty), ("source_name", _nonempty)]}
+    names = {"paper_url": "paper_url_http", "company_name": "company_required", "role_title": "role_required"}
+    optional = {"startup": [("employee_count", "employee_count_nonnegative", lambda c: c >= 0),
+                            ("founding_year", "founding_year_range", lambda c: c.between(*FOUNDING_YEAR_RANGE))],
+                "product": [("pricing_type", "pricing_type_enum", lambda c: c.isin(*PRICING_TYPES))],
+                "paper": [("github_stars", "github_stars_nonnegative", lambda c: c >= 0)],
+                "job": [("role_family", "role_family_enum", lambda c: c.isin(*ROLE_FAMILIES))]}
+    r = [("source_url_http", ~url_is_http(at("source_url")))] if "source_url" in cols else []
+    r += [(names.get(f, f"{f}_required"), ~ok(at(f))) for f, ok in required.get(entity, []) if f in cols or not partial]
+    r += [(name, F.coalesce(~ok(at(f)), F.lit(False))) for f, name, ok in optional.get(entity, []) if f in cols]
     return r
 
 

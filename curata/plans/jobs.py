@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import iso_utc_string, with_freshness
 from ..operators.dedup import dedup_first, dedup_key, dedup_listing_id, dedup_name_priority, dedup_seen
 from ..operators.enrich import attach_canonical, enrich_article, enrich_readme, enrich_stars
-from ..operators.extract import (extract_batch, merge_news, merge_product, merge_startup, needs_extraction,
-                                 parse_responses, validate_responses)
+from ..operators.extract import extract_batch, merge_news, merge_product, merge_startup, needs_extraction
 from ..operators.resolve import resolve_names
 from ..operators.validate import validate_entities, with_violations
 from ..schemas import RECORD_TYPE_OF
@@ -46,8 +45,7 @@ def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge)
     """Run the provider tiers on 'attempt' rows only and merge valid answers back."""
     todo = df.filter(F.col("extraction_status") == "attempt").select("dedup_key", F.col(text).alias("_text"))
     resp = extract_batch(todo, "dedup_key", "_text", entity, providers)
-    parsed = validate_responses(parse_responses(resp, "response"), "parsed", entity)
-    good = parsed.filter("valid").select(F.col("id").alias("dedup_key"), "parsed")
+    good = resp.filter("answered > 0").select(F.col("id").alias("dedup_key"), "parsed")
     j = df.join(good, "dedup_key", "left")
     merged = merge(j)
     return merged.drop("parsed")

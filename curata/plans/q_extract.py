@@ -1,11 +1,9 @@
 """Extraction routing over documents / conversations / events-derived inputs."""
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
-from ..operators.extract import (UNTRUSTED_CLOSE, build_prompts, classify_error, extract_batch, merge_news,
+from ..operators.extract import (UNTRUSTED_CLOSE, build_prompts, classify_error, merge_chunks, merge_news,
                                  merge_product, merge_startup, parse_responses, quota_cutoff, tier_fallback,
                                  validate_responses)
 from .catalog import register
@@ -38,9 +36,12 @@ def q_build_prompts(spark, sf):
 def _responses(spark, sf):
     d = table(spark, sf, "documents")
     k = F.col("doc_id")
-    js = F.to_json(F.struct(F.concat("lang", F.lit("-"), "source").alias("description"),
-                            F.array("source", "lang").alias("categories"),
-                            F.when(k % 3 == 0, F.lit("FREE")).when(k % 3 == 1, F.lit("CHEAP")).alias("pricing_type")))
+    # no name for every seventh document, an empty one for the next; a text where the list belongs for every eleventh
+    fields = [F.concat("lang", F.lit("-"), "source").alias("description"),
+              F.when(k % 7 == 4, F.lit("")).when(k % 7 != 3, F.lit("Some name")).alias("name"),
+              F.when(k % 3 == 0, F.lit("FREE")).when(k % 3 == 1, F.lit("CHEAP")).alias("pricing_type")]
+    js = F.when(k % 11 == 5, F.to_json(F.struct(*fields, F.lit("zz").alias("categories")))) \
+        .otherwise(F.to_json(F.struct(*fields, F.array("source", "lang").alias("categories"))))
     resp = (F.when(k % 5 == 0, F.concat(F.lit("```json\n"), js, F.lit("\n```")))
              .when(k % 5 == 1, js)
              .when(k % 5 == 2, F.concat(F.lit("Here you go: ```"), js, F.lit("``` thanks")))
@@ -51,7 +52,7 @@ def _responses(spark, sf):
 
 @register("parse_responses", """
 SELECT doc_id, CASE WHEN doc_id % 5 IN (0, 1, 2) THEN lang || '-' || source END AS description,
-       CASE WHEN doc_id % 5 IN (0, 1, 2) THEN source || '|' || lang END AS categories
+       CASE WHEN doc_id % 5 IN (0, 1, 2) AND doc_id % 11 <> 5 THEN source || '|' || lang END AS categories
 FROM documents""")
 def q_parse_responses(spark, sf):
     p = parse_responses(_responses(spark, sf), "response")
@@ -60,33 +61,45 @@ def q_parse_responses(spark, sf):
 
 
 @register("validate_responses", """
-SELECT doc_id, (doc_id % 5 IN (0, 1, 2) AND doc_id % 3 <> 1) AS valid FROM documents""")
+SELECT doc_id, (doc_id % 5 IN (0, 1, 2) AND doc_id % 3 <> 1 AND doc_id % 7 NOT IN (3, 4) AND doc_id % 11 <> 5) AS valid FROM documents""")
 def q_validate_responses(spark, sf):
     p = validate_responses(parse_responses(_responses(spark, sf), "response"), "parsed", "product")
     return p.select("doc_id", "valid")
 
 
-def _tier0(prompt: str, entity: str) -> str:
-    body = prompt.split("\n", 1)[1] if "\n" in prompt else prompt
-    if ord(body[0]) % 2 == 1:
-        raise RuntimeError("500 Internal Server Error")
-    return "```json\n" + json.dumps({"description": body[:30]}) + "\n```"
-
-
-def _tier1(prompt: str, entity: str) -> str:
-    return json.dumps({"description": "fallback"})
+def _response_log(spark, sf):
+    """documents -> provider responses for 1 to 3 chunks a document: tier 0 fails, answers with an
+    unknown pricing type, or answers well; tier 1 was asked for what tier 0 left and fails at times."""
+    d = table(spark, sf, "documents")
+    c = d.select("doc_id", "lang", "source",
+                 F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 3).cast("int"))).alias("chunk_no"))
+    m = F.col("doc_id") + F.col("chunk_no")
+    t = c.withColumn("tier", F.explode(F.when(m % 4 < 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    fails = F.when(F.col("tier") == 0, m % 4 == 0).otherwise(m % 8 == 0)
+    answer = F.to_json(F.struct(
+        F.lit("Some name").alias("name"), F.concat("lang", F.lit("-"), F.col("chunk_no").cast("string")).alias("description"),
+        F.array(F.col("source"), F.concat(F.lit("c"), F.col("chunk_no").cast("string"))).alias("categories"),
+        F.when((F.col("tier") == 0) & (m % 4 == 1), F.lit("CHEAP")).otherwise(F.lit("PAID")).alias("pricing_type")))
+    return t.select(F.col("doc_id").alias("id"), "chunk_no", "tier", F.when(~fails, answer).alias("response"),
+                    F.when(fails, F.concat(F.lit("500 at tier "), F.col("tier").cast("string"))).alias("error"),
+                    F.lit(1).alias("calls"))
 
 
 @register("extract_batch", """
-SELECT doc_id AS id,
-  CASE WHEN text IS NULL OR trim(text) = '' THEN NULL WHEN unicode(ltrim(text)) % 2 = 0 THEN 0 ELSE 1 END AS tier,
-  CASE WHEN text IS NULL OR trim(text) = '' THEN 0 WHEN unicode(ltrim(text)) % 2 = 0 THEN 1 ELSE 2 END AS attempts,
-  CASE WHEN text IS NULL OR trim(text) = '' THEN 0 WHEN unicode(ltrim(text)) % 2 = 0 THEN 1 ELSE 2 END AS calls
-FROM documents""")
+WITH c AS (SELECT doc_id, lang, source, unnest(generate_series(0, doc_id % 3)) AS n FROM documents),
+t AS (SELECT *, CASE WHEN (doc_id + n) % 4 >= 2 THEN 0 WHEN (doc_id + n) % 8 <> 0 THEN 1 END AS tier,
+             CASE WHEN (doc_id + n) % 4 >= 2 THEN 1 ELSE 2 END AS asked FROM c)
+SELECT doc_id AS id, CAST(max(tier) AS INTEGER) AS tier, CAST(sum(asked) AS INTEGER) AS attempts,
+       CAST(sum(asked) AS INTEGER) AS calls, count(*) AS chunks, count(tier) AS answered,
+       any_value(lang) || '-' || min(n) FILTER (WHERE tier IS NOT NULL) AS description,
+       any_value(source) || string_agg('|c' || n, '' ORDER BY n) FILTER (WHERE tier IS NOT NULL) AS categories
+FROM t GROUP BY doc_id""")
 def q_extract_batch(spark, sf):
-    d = table(spark, sf, "documents")
-    r = extract_batch(d, "doc_id", "text", "startup", providers=[_tier0, _tier1])
-    return r.select("id", "tier", "attempts", "calls")
+    """Validation, tier fall-through and merging of the chunks over a response table."""
+    r = merge_chunks(_response_log(spark, sf), "product")
+    return r.select("id", "tier", "attempts", "calls", "chunks", "answered",
+                    F.col("parsed.description").alias("description"),
+                    F.array_join("parsed.categories", "|").alias("categories"))
 
 
 @register("tier_fallback", """

@@ -64,7 +64,7 @@ def test_tier_fallback_and_quota(spark):
         raise RuntimeError("429 RESOURCE_EXHAUSTED: Quota exceeded")
 
     def ok(prompt, entity):
-        return json.dumps({"description": "fine"})
+        return json.dumps({"name": "N", "description": "fine"})
 
     df = spark.createDataFrame([(1, "some text"), (2, "more text")], "id int, t string").coalesce(1)
     r = extract_batch(df, "id", "t", "startup", [rate_limited, ok]).orderBy("id").collect()
@@ -193,10 +193,10 @@ def test_article_text_rules():
     # no container: all paragraphs longer than 40 chars
     html = f"<div><p>{'y' * 41}</p><p>{'z' * 40}</p></div>"
     assert main_text(html) == "y" * 41
-    # entities are decoded and pieces stripped; the result is capped at 5000 chars
+    # entities are decoded and pieces stripped; the text is kept whole
     html = "<article><p>" + "Tom &amp; Jerry " * 500 + "</p></article>"
     out = main_text(html)
-    assert out.startswith("Tom & Jerry") and len(out) == 5000
+    assert out == ("Tom & Jerry " * 500).strip()
     # unclosed paragraphs nest: the outer one contains the inner text as well
     html = f"<article><p>{long_a}<p>{long_b}</p></article>"
     assert main_text(html) == long_a + long_b + "\n\n" + long_b
@@ -222,3 +222,35 @@ def test_stream_restart_without_state_inserts_nothing_twice(spark):
     again = spark.read.parquet(f"{base}/s")
     assert first > 0 and again.count() == first
     assert again.select("dedup_key").distinct().count() == first
+
+
+def test_crawls_of_one_url_stay_apart(spark):
+    """Three crawls over two days, one without its attempt 1, and a tail cut off before the first."""
+    from curata.operators.fetchlog import backoff_compliance
+    t0 = dt.datetime(2026, 8, 15, 23, 59, 58)
+    log = [(3, -5, 500), (0, 0, 429), (1, 3, 429), (2, 6, 200), (0, 60, 500), (2, 64, 200), (0, 120, 404)]
+    df = spark.createDataFrame([("u", a, t0 + dt.timedelta(seconds=s), c, None, 0.0) for a, s, c in log],
+                               "url string, attempt int, ts timestamp, status_code int, error string, latency_ms double")
+    out = sorted((r.n_attempts, r.retries, r.outcome) for r in final_outcome(df).collect())
+    assert out == [(1, 0, "rejected"), (1, 3, "pending"), (2, 2, "success"), (3, 2, "success")]
+    gaps = sorted((r.attempt, r.gap_us, r.missing, r.too_early) for r in backoff_compliance(df).collect())
+    assert [g[:3] for g in gaps] == [(1, 3000000, 0), (2, 3000000, 0), (2, 4000000, 1)] and gaps[2][3] is None
+    ids = df.withColumn("crawl_id", F.lit("one"))
+    assert final_outcome(ids).count() == 1
+
+
+def test_every_chunk_is_asked_and_invalid_answers_fall_through(spark):
+    """Tier 0 answers chunk 0 well and the others with a wrong type; tier 1 gets only those."""
+    def first(prompt, entity):
+        return json.dumps({"name": "N", "description": "first", "categories": ["a"] if "AAAA" in prompt else "zz"})
+
+    def second(prompt, entity):
+        assert "AAAA" not in prompt and "JSON schema" in prompt
+        return json.dumps({"name": "M", "description": "second", "categories": ["a", "b"]})
+
+    text = "A" * 7000 + "\n\n" + "B" * 7000 + "\n\n" + "C" * 7000
+    df = spark.createDataFrame([(1, text), (2, None), (3, "  ")], "id int, t string")
+    r = {x.id: x for x in extract_batch(df, "id", "t", "product", [first, second]).collect()}
+    assert r[1].chunks == r[1].answered > 1 and r[1].tier == 1
+    assert r[1].parsed.description == "first" and r[1].parsed.categories == ["a", "b"]
+    assert [(r[i].tier, r[i].calls, r[i].chunks) for i in (2, 3)] == [(None, 0, 0)] * 2
