@@ -225,6 +225,11 @@ def job_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("</pubDate><description>"), desc, F.lit("</description></item>"))
     rows = li.select((seq / FEED_ITEMS_PER_PAGE).cast("long").alias("pg"), seq.alias("o"), item.alias("piece"))
     pages = _pages(rows, "pg", "o", "piece", "<rss><channel><title>jobs</title>", "</channel></rss>")
+    # some feeds are not well-formed: a bare ampersand, an HTML entity, a cut-off end
+    broken = (F.when(F.col("page") % 17 == 2, F.replace("body", F.lit("<title>jobs<"), F.lit("<title>R & D jobs<")))
+               .when(F.col("page") % 17 == 3, F.replace("body", F.lit("<title>jobs<"), F.lit("<title>jobs&nbsp;2024<")))
+               .when(F.col("page") % 17 == 4, F.replace("body", F.lit("</channel></rss>"), F.lit("<item><title>cut"))))
+    pages = pages.withColumn("body", F.coalesce(broken, F.col("body")))
     return _payload(pages, "jobs_feed", "JobFeed",
                     F.concat(F.lit("https://jobs.example.com/feed?page="), F.col("page").cast("string")))
 

@@ -4,8 +4,9 @@ Payload table: ``url, source_name, kind, status_code, body, error, source_rank,
 (one fetched body per row).  Every scan keeps only successful fetches, parses
 the body with a declared schema (``from_xml`` / variant JSON), explodes the
 records with their position and emits ``ord = struct(source_rank, page, pos)``
-so that "first wins" rules have an explicit order.  A malformed body yields no
-rows; a bad record is rejected on its own.
+so that "first wins" rules have an explicit order.  A bad record is rejected on
+its own: a feed that is not well-formed is repaired and parsed record by record,
+and :func:`rejected_feed_records` lists what was lost, with a reason.
 """
 from __future__ import annotations
 
@@ -29,7 +30,13 @@ MIN_LIKES = 3
 FEED_DATE_TAGS = ["pubDate", "published", "dc:date", "updated"]
 FEED_AUTHOR_TAGS = ["dc:creator", "author", "creator"]
 FEED_TEXT_TAGS = ["description", "summary", "content"]
+# Named entities that feeds use though XML does not define them, with their code points.
+HTML_ENTITIES = {"nbsp": 160, "copy": 169, "reg": 174, "laquo": 171, "raquo": 187, "middot": 183, "eacute": 233,
+                 "ndash": 8211, "mdash": 8212, "lsquo": 8216, "rsquo": 8217, "ldquo": 8220, "rdquo": 8221,
+                 "bull": 8226, "hellip": 8230, "euro": 8364, "trade": 8482}
 # ---------------------------------------------------------------------------
+_STRAY_AMPERSAND = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+_CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 _RECORD_RE = {tag: rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in ("item", "entry")}
 
 ATOM_SCHEMA = f"entry array<struct<{ENTRY_FIELDS}>>"
@@ -77,23 +84,72 @@ def scan_papers_atom(payloads: DataFrame, kind: str = "atom_papers") -> DataFram
     )
 
 
+def repair_xml(c: Column) -> Column:
+    """XML text with HTML entities as numbers, stray ampersands escaped and control characters dropped."""
+    for name, code in HTML_ENTITIES.items():
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(f"&#{code};"))
+    return F.regexp_replace(F.regexp_replace(c, _CONTROL, ""), _STRAY_AMPERSAND, "&amp;")
+
+
+def _records(body, tag: str) -> Column:
+    return F.regexp_extract_all(body, F.lit(_RECORD_RE[tag]), 0)
+
+
+def _n_records(tags: str) -> Column:
+    """Records that a body holds by its closing tags (those quoted in CDATA are text)."""
+    plain = F.when(F.contains("body", F.lit("<![CDATA[")), F.regexp_replace("body", r"(?s)<!\[CDATA\[.*?\]\]>", "")) \
+        .otherwise(F.col("body"))
+    return F.coalesce(F.regexp_count(plain, F.lit(rf"(?i)</({tags})\s*>")), F.lit(0))
+
+
+def _parse_records(raws: Column) -> Column:
+    return F.transform(raws, lambda r: F.from_xml(repair_xml(r), FEED_ITEM))
+
+
+def rejected_feed_records(payloads: DataFrame, kind: str) -> DataFrame:
+    """``url, source_name, page, raw, reason`` of what a feed scan cannot read: ``malformed record``,
+    ``cut-off record`` (no closing tag before the end), or ``no records`` for a body without any."""
+    p = successful(payloads, kind).select("url", "source_name", "page", F.coalesce("body", F.lit("")).alias("body"),
+                                          F.from_xml("body", FEED_SCHEMA).alias("x"))
+    parsed = F.coalesce(F.size("x.channel.item"), F.lit(0)) + F.coalesce(F.size("x.item"), F.lit(0)) \
+        + F.coalesce(F.size("x.entry"), F.lit(0))
+    raws = F.concat(_records("body", "item"), _records("body", "entry"))
+    bad = F.filter(raws, lambda r: F.from_xml(repair_xml(r), FEED_ITEM)["title"].isNull())
+    tail = F.regexp_extract("body", r"(?is)(<(?:item|entry)(?:\s[^>]*)?>(?:(?!</(?:item|entry)\s*>).)*)$", 1)
+    lost = F.concat(
+        F.transform(bad, lambda r: F.struct(r.alias("raw"), F.lit("malformed record").alias("reason"))),
+        F.when(tail != "", F.array(F.struct(tail.alias("raw"), F.lit("cut-off record").alias("reason")))).otherwise(F.array()),
+        F.when((F.size(raws) == 0) & (tail == ""),
+               F.array(F.struct(F.col("body").alias("raw"), F.lit("no records").alias("reason")))).otherwise(F.array()))
+    broken = (parsed < _n_records("item|entry")) | (tail != "") | (parsed == 0)
+    return (p.filter(broken).select("url", "source_name", "page", F.explode(lost).alias("l"))
+             .select("url", "source_name", "page", "l.raw", "l.reason"))
+
+
 def _feed_items(payloads: DataFrame, kind: str, prefer_items: bool) -> DataFrame:
     """One row per feed record: parsed fields ``e`` plus the record's raw XML ``raw``
-    (both lists are in document order, so they are zipped by position)."""
+    (both lists are in document order, so they are zipped by position).
+
+    Strict parsing loses records of a feed that is not well-formed; if it finds fewer than the
+    text holds, they are cut out of the text, repaired and parsed one by one."""
     p = successful(payloads, kind).select("url", "source_name", "source_rank", "page", "body",
                                           F.from_xml("body", FEED_SCHEMA).alias("x"))
     items = F.concat(F.coalesce(F.col("x.channel.item"), F.array()), F.coalesce(F.col("x.item"), F.array()))
     entries = F.coalesce(F.col("x.entry"), F.array())
-    ri = F.regexp_extract_all("body", F.lit(_RECORD_RE["item"]), 0)
-    re_ = F.regexp_extract_all("body", F.lit(_RECORD_RE["entry"]), 0)
+    ri, re_ = _records("body", "item"), _records("body", "entry")
     if prefer_items:   # RSS items if any, else Atom entries
-        chosen = F.when(F.size(items) > 0, items).otherwise(entries)
-        raws = F.when(F.size(items) > 0, ri).otherwise(re_)
+        strict = F.when(F.size(items) > 0, items).otherwise(entries)
+        held = F.when(_n_records("item") > 0, _n_records("item")).otherwise(_n_records("entry"))
+        raws = F.when(F.size(ri) > 0, ri).otherwise(re_)
     else:              # both kinds of record
-        chosen = F.concat(items, entries)
+        strict = F.concat(items, entries)
+        held = _n_records("item|entry")
         raws = F.concat(ri, re_)
+    p = p.withColumn("_strict", strict)
+    chosen = F.when(F.size("_strict") >= held, F.col("_strict")).otherwise(_parse_records(raws))
+    p = p.withColumn("_chosen", chosen)
     # the raw record text is only needed when a record has several candidate tags for a field
-    raws = F.when(F.exists(chosen, _ambiguous), raws)
+    chosen, raws = F.col("_chosen"), F.when(F.exists("_chosen", _ambiguous), raws)
     zipped = F.arrays_zip(chosen.alias("e"), F.coalesce(raws, F.array().cast("array<string>")).alias("raw"))
     z = p.select("url", "source_name", "source_rank", "page", F.posexplode(zipped).alias("pos", "z"))
     return z.select("url", "source_name", "source_rank", "page", "pos", F.col("z.e").alias("e"),

@@ -82,7 +82,7 @@ def test_startup_fields(spark):
                                        url="https://dir.example.com/tag")).orderBy("ord").collect()
     a, b = rows
     assert a.employee_count == 2000 and a.founding_year == 2016
-    assert a.description == "x" * 500 and a.headquarters is None and a.funding_stage is None
+    assert a.description == "x" * 600 and a.headquarters is None and a.funding_stage is None
     assert a.categories == ["ai", "b2b", "devtools"] and a.source_url == "https://dir.example.com/tag"
     assert b.employee_count is None and b.founding_year is None
 
@@ -115,3 +115,24 @@ def test_first_tag_in_document_order_wins(spark):
     rows = scan_news_feed(payloads(spark, "news_feed", atom)).orderBy("title").collect()
     assert [r.pub_date_raw for r in rows] == ["2026-08-15T11:00:00Z", "2026-08-15T09:00:00Z"]
     assert [r.summary for r in rows] == ["full text", "s & t"]
+
+
+def test_feeds_that_are_not_well_formed_lose_only_the_bad_record(spark):
+    from curata.sources.payloads import rejected_feed_records, scan_jobs_feed, scan_news_feed
+    def item(i, title="T", tail=""):
+        return f"<item><title>{title} {i}</title><link>https://x/{i}</link><dc:date>2026-08-15T10:00:00Z</dc:date>{tail}</item>"
+    bodies = {"amp": f"<rss><channel><title>R & D</title>{item(1)}{item(2, 'A & B')}</channel></rss>",
+              "nbsp": f"<rss><channel>{item(3, 'non&nbsp;breaking')}{item(4)}</channel></rss>",
+              "cut": f"<rss><channel>{item(5)}{item(6)}<item><title>cut",
+              "bad": f"<rss><channel>{item(7)}{item(8, tail='<b></c>')}{item(9)}</channel></rss>",
+              "none": "plain words", "good": f"<rss><channel>{item(10)}</channel></rss>"}
+    rows = [(f"https://f/{u}", u, "k", 200, b, None, 0, 0) for u, b in bodies.items()] + [("https://f/null", "null", "k", 200, None, None, 0, 0)]
+    p = spark.createDataFrame(rows, "url string, source_name string, kind string, status_code int, body string, "
+                                    "error string, source_rank int, page long")
+    news = {r.article_url: r for r in scan_news_feed(p, "k").collect()}
+    assert sorted(news) == sorted(f"https://x/{i}" for i in (1, 2, 3, 4, 5, 6, 7, 9, 10))
+    assert news["https://x/2"].title == "A & B 2" and news["https://x/3"].title == "non\u00a0breaking 3"
+    assert news["https://x/5"].pub_date_raw == "2026-08-15T10:00:00Z"
+    assert scan_jobs_feed(p, "k").count() == 9
+    lost = sorted((r.source_name, r.reason) for r in rejected_feed_records(p, "k").collect())
+    assert lost == [("bad", "malformed record"), ("cut", "cut-off record"), ("none", "no records"), ("null", "no records")]
