@@ -235,8 +235,11 @@ def with_freshness(df, raw: str, reference_time, max_age_hours: float = 24.0,
     df = with_parsed_date(df.withColumn("_missing", missing), raw, reference_time, "_pub", html_ts)
     pub = F.when(~F.col("_missing"), F.col("_pub"))
     df = df.withColumn("_pub", pub)
-    df = df.withColumn(out, verdict_struct("_pub", "_missing", reference_time, max_age_hours))
-    return df.drop("_pub", "_missing", "_html_ts")
+    # as a generated column the verdict is computed once: a filter on it is not pushed below the
+    # generator, where it would repeat the whole date rule
+    kept = [c for c in df.columns if c not in ("_pub", "_missing", "_html_ts", out)]
+    verdict = verdict_struct("_pub", "_missing", reference_time, max_age_hours)
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.array(verdict)).alias(out))
 
 
 def iso_utc_string(ts) -> Column:

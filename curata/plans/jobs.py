@@ -138,30 +138,35 @@ def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None
     return _finish(k, "news", store, collected_at)
 
 
+def _ranked(jobs: DataFrame, kind_rank: int) -> DataFrame:
+    """``ord`` made unique across kinds and sources: JSON listings before feeds, then source and url."""
+    return jobs.withColumn("ord", F.struct("ord.source_rank", "ord.page", "ord.pos", F.lit(kind_rank).alias("kind_rank"),
+                                           "source_name", "source_url"))
+
+
 def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
              store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str | None = None,
              checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
-    j = scan_jobs_json(json_payloads).withColumn("desc_raw", F.lit(None).cast("string"))
+    j = _ranked(scan_jobs_json(json_payloads), 0).withColumn("desc_raw", F.lit(None).cast("string"))
     if feed_payloads is not None:
-        j = j.unionByName(scan_jobs_feed(feed_payloads, html_text=False), allowMissingColumns=True)
+        j = j.unionByName(_ranked(scan_jobs_feed(feed_payloads, html_text=False), 1), allowMissingColumns=True)
     j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh")
-    if stages is not None or checkpoint:
-        # keep only what the counters and the rest of the job need before cutting lineage
-        j = j.filter(F.col("fresh.verdict").isin("FRESH", "STALE"))
     j = cut_lineage(j, checkpoint)
     _keep(stages, stale=j.filter(F.col("fresh.verdict") == "STALE"))
     j = j.filter(F.col("fresh.is_fresh"))
     j = j.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
                        "published_at": F.col("fresh.published_at"),
                        "freshness_verified": F.lit(True)}).drop("fresh")
-    j = attach_canonical(j, "company_name", "canonical_company_name")
-    _keep(stages, discovered=j, resolutions=j.select(F.col("canonical_company_name_method").alias("match_method")))
-    j = j.drop("canonical_company_name_method")
+    if stages is not None:
+        log = attach_canonical(j.select("company_name"), "company_name", "_canonical")
+        _keep(stages, discovered=j, resolutions=log.select(F.col("_canonical_method").alias("match_method")))
     valid, _rejected = validate_entities(j, "job")
     _keep(stages, rejected=_rejected)
     k = valid.withColumn("dedup_key", dedup_key("job", company_name=F.col("company_name"),
                                                 role_title=F.col("role_title"), job_url=F.col("job_url")))
-    k = dedup_first(k, "dedup_key", "ord")
+    # the key does not use the canonical name, so names are resolved on the rows that stay
+    k = attach_canonical(dedup_first(k, "dedup_key", "ord"), "company_name", "canonical_company_name") \
+        .drop("canonical_company_name_method")
     # JSON items carry a plain description; feed items get their tags stripped now (fewer rows)
     k = job_text(k.withColumn("_plain", F.col("description"))).withColumn(
         "description", F.when(F.col("_plain").isNotNull(), F.col("_plain")).otherwise(F.col("description"))).drop("_plain")

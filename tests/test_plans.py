@@ -49,3 +49,11 @@ def test_backoff_check_sorts_one_crawl_or_day_at_a_time(spark):
     windows = [x for x in _plan(backoff_compliance(log)).splitlines() if x.startswith("Arguments: [lag(") or "last(_start" in x]
     # the attempts themselves are never sorted by url alone
     assert windows and all("crawl" in x or "_day" in x for x in windows)
+
+
+def test_freshness_filter_does_not_repeat_the_date_rule(spark):
+    for name in ("filter_fresh", "job_jobs", "job_news"):
+        plan = queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        filters = [x for x in plan.splitlines() if x.lstrip(" +-:").startswith("Filter")]
+        assert any("is_fresh" in x for x in filters), name
+        assert not any("try_to_timestamp" in x or "is_fresh" in x and "regexp_extract" in x for x in filters), name
