@@ -1,12 +1,16 @@
 """Extraction routing over documents / conversations / events-derived inputs."""
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import functions as F
 
-from ..operators.extract import (UNTRUSTED_CLOSE, build_prompts, classify_error, merge_chunks, merge_news,
-                                 merge_product, merge_startup, parse_responses, quota_cutoff, tier_fallback,
-                                 validate_responses)
+from ..operators.extract import (UNTRUSTED_CLOSE, UNTRUSTED_OPEN, build_prompts, classify_error, extract_batch,
+                                 merge_chunks, merge_news, merge_product, merge_startup, parse_responses, quota_cutoff,
+                                 tier_fallback, validate_responses)
 from .catalog import register
+from .q_text import _chunks_sql
 from .tables import table
 
 _TAG = UNTRUSTED_CLOSE
@@ -102,6 +106,51 @@ def q_extract_batch(spark, sf):
                     F.array_join("parsed.categories", "|").alias("categories"))
 
 
+def _chunk_of(prompt: str) -> str:
+    return prompt.partition(UNTRUSTED_OPEN + "\n")[2].removesuffix("\n" + UNTRUSTED_CLOSE)
+
+
+def _answer(chunk: str, pricing: str) -> str:
+    digest = hashlib.sha256(chunk.encode()).hexdigest()
+    return json.dumps({"name": "Some name", "description": digest, "categories": [digest[:12]], "pricing_type": pricing})
+
+
+def first_provider(prompt: str, entity: str) -> str:
+    """Offline tier 0: by the chunk's length it fails, gives an unknown pricing type or answers well."""
+    chunk = _chunk_of(prompt)
+    if len(chunk) % 4 == 0:
+        raise RuntimeError("500 at tier 0")
+    return _answer(chunk, "CHEAP" if len(chunk) % 4 == 1 else "PAID")
+
+
+def second_provider(prompt: str, entity: str) -> str:
+    """Offline tier 1: fails on every eighth length."""
+    chunk = _chunk_of(prompt)
+    if len(chunk) % 8 == 0:
+        raise RuntimeError("500 at tier 1")
+    return _answer(chunk, "PAID")
+
+
+@register("extract_batch_documents", _chunks_sql() + f""",
+tagged AS (SELECT doc_id, i, replace(ch, '{_TAG}', '') AS t FROM u),
+a AS (SELECT doc_id, i, sha256(t) AS h, CASE WHEN length(t) % 4 < 2 THEN 2 ELSE 1 END AS asked,
+             CASE WHEN length(t) % 4 >= 2 THEN 0 WHEN length(t) % 8 <> 0 THEN 1 END AS tier FROM tagged),
+g AS (SELECT doc_id, max(tier) AS tier, sum(asked) AS asked, count(*) AS chunks, count(tier) AS answered,
+             arg_min(h, i) FILTER (WHERE tier IS NOT NULL) AS description FROM a GROUP BY doc_id),
+k AS (SELECT doc_id, substr(h, 1, 12) AS category, min(i) AS i FROM a WHERE tier IS NOT NULL GROUP BY ALL),
+l AS (SELECT doc_id, string_agg(category, '|' ORDER BY i) AS categories FROM k GROUP BY doc_id)
+SELECT d.doc_id AS id, CAST(g.tier AS INTEGER) AS tier, CAST(coalesce(asked, 0) AS INTEGER) AS attempts,
+       CAST(coalesce(asked, 0) AS INTEGER) AS calls, coalesce(chunks, 0) AS chunks, coalesce(answered, 0) AS answered,
+       description, categories
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN l ON d.doc_id = l.doc_id""")
+def q_extract_batch_documents(spark, sf):
+    """The whole operator on every whole text: chunks, prompts, two offline provider tiers, merge."""
+    r = extract_batch(table(spark, sf, "documents"), "doc_id", "text", "product", [first_provider, second_provider])
+    return r.select("id", "tier", "attempts", "calls", "chunks", "answered",
+                    F.col("parsed.description").alias("description"),
+                    F.array_join("parsed.categories", "|").alias("categories"))
+
+
 @register("tier_fallback", """
 SELECT conv_id AS id, min(turn) AS tier, min(turn) > 0 AS fallback FROM conversations
 WHERE role = 'assistant' AND length(text) > 20 GROUP BY conv_id""")
