@@ -52,6 +52,14 @@ def q_article_text(spark, sf):
                     F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
+@register("article_text_pages")
+def q_article_text_pages(spark, sf):
+    """The article text of every page from its own markup."""
+    t = table(spark, sf, "pages").select("page_id", article_text(F.col("html")).alias("text"))
+    return t.select("page_id", F.length("text").cast("long").alias("text_len"),
+                    F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 @register("filter_content", """
 SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars FROM documents WHERE length(text) > 100""")
 def q_filter_content(spark, sf):
@@ -214,6 +222,17 @@ def q_enrich_article(spark, sf):
     return enrich_article(news, pages, "link").select("title", "article_url", "content", "content_enriched")
 
 
+@register("enrich_article_pages")
+def q_enrich_article_pages(spark, sf):
+    """One story per page, its url's pages as they are; of several pages of a url the last page_id counts."""
+    p = table(spark, sf, "pages")
+    news = p.select(F.concat(F.lit("Story "), F.col("page_id").cast("string")).alias("title"),
+                    F.col("url").alias("article_url"), F.lit("Short summary.").alias("summary"),
+                    F.lit(None).cast("string").alias("content"))
+    pages = p.select("url", "html", F.col("page_id").alias("fetched_at"))
+    return enrich_article(news, pages).select("title", "article_url", "content", "content_enriched")
+
+
 @register("parse_owner_repo", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 4 THEN 'c' || o_custkey END AS owner,
        CASE WHEN o_orderkey % 5 <> 4 THEN 'r' || o_orderkey END AS repo
