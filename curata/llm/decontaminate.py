@@ -7,10 +7,15 @@ q-grams, all of them on k + 1 neighbouring diagonals (text position minus item
 position).  So shared q-grams are counted in overlapping diagonal bands of 2 * (k + 1),
 one every k + 1; bands with too few cannot hold an occurrence, the others are verified
 by a banded alignment.  k is lowered where the lemma would ask for less than one q-gram.
+
+An item longer than ``WINDOW`` bytes also leaks in part: each of its windows of that
+length, one every ``STRIDE`` bytes and one at its end, is looked for by the same lemma,
+bands and alignment, with ``edit_rate`` of the window's length.  So every verbatim
+passage of ``WINDOW + STRIDE - 1`` bytes holds a whole window.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +29,7 @@ BITS = 22
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of benchmark text in one broadcast block; a larger benchmark takes more passes.
 BLOCK_BYTES = 4 << 20
+WINDOW, STRIDE = 200, 25  # bytes: about 30 words
 
 
 def normal(text: str | None) -> bytes:
@@ -42,6 +48,16 @@ def slot(g: np.ndarray) -> np.ndarray:
     return (g * MIX) >> np.uint64(64 - BITS)
 
 
+def budget(m: np.ndarray, edit_rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edits that patterns of m bytes may have, and the q-grams that an occurrence then keeps."""
+    k = np.minimum((m * edit_rate).astype(np.int64), np.maximum(0, (m - Q) // Q))
+    return k, np.maximum(1, m - Q + 1 - k * Q)
+
+
+def window_starts(m: int) -> np.ndarray:
+    return np.append(np.arange(0, m - WINDOW, STRIDE), m - WINDOW)
+
+
 class Block:
     """q-gram index of some items."""
 
@@ -49,8 +65,9 @@ class Block:
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         m = np.array([len(t) for t in self.texts], np.int64)
-        self.k = np.minimum((m * edit_rate).astype(np.int64), np.maximum(0, (m - Q) // Q))
-        self.least = np.maximum(1, m - Q + 1 - self.k * Q)
+        self.k, self.least = budget(m, edit_rate)
+        self.long = m > WINDOW
+        self.window_k, self.window_least = map(int, budget(np.int64(WINDOW), edit_rate))
         own = [grams(t) for t in self.texts]
         all_grams = np.concatenate([*own, np.zeros(0, np.uint64)])
         item = np.repeat(np.arange(len(own)), [len(x) for x in own])
@@ -77,8 +94,33 @@ def banded_edits(pattern: bytes, region: bytes, k: int) -> int:
     return int(row.min())
 
 
+def cells(pair: np.ndarray, diagonal: np.ndarray, step: np.ndarray | int, least: Callable) -> Iterator[tuple]:
+    """(pair, band, hits) of the bands of 2 * ``step`` diagonals, one every ``step``, with enough hits."""
+    band = diagonal // step
+    # a band covers the cells b and b + 1 of ``step`` diagonals each
+    key_pair = np.concatenate([pair, pair])
+    key_band = np.concatenate([band, band - 1])
+    order = np.lexsort((key_band, key_pair))
+    key_pair, key_band = key_pair[order], key_band[order]
+    new = np.flatnonzero(np.concatenate([[True], (key_pair[1:] != key_pair[:-1]) | (key_band[1:] != key_band[:-1])]))
+    count = np.diff(np.append(new, len(key_pair)))
+    keep = count >= least(key_pair[new])
+    for at, n in zip(new[keep].tolist(), count[keep].tolist(), strict=True):
+        yield int(key_pair[at]), int(key_band[at]), order[at:at + n] % len(pair)
+
+
+def verified(text: bytes, pattern: bytes, k: int, low: int) -> tuple[int, int]:
+    """(edits, about where) of ``pattern`` on the 2 * (k + 1) diagonals from ``low`` on."""
+    begin = max(0, low - k)
+    region = text[begin:max(0, low + 2 * (k + 1) + len(pattern) + k)]
+    at = region.find(pattern)
+    edits = 0 if at >= 0 else banded_edits(pattern, region, k) if len(region) >= len(pattern) - k else k + 1
+    return edits, begin + max(0, at)
+
+
 def find(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, int, int]]:
-    """(text number, item number, edits, about where) of every occurrence, best one per pair."""
+    """(text number, item number, edits, about where), one per pair: the best occurrence of the
+    whole item, else of any of its windows."""
     gap = b"\0" * Q
     buf = gap.join(texts) + gap
     starts = np.cumsum([0, *(len(t) + Q for t in texts)])[:-1]
@@ -93,34 +135,41 @@ def find(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, int, int]
     pos = np.repeat(hits, times)
     offset = np.arange(len(pos)) - np.repeat(np.cumsum(times) - times, times)
     index = np.repeat(block.first[where], times) + offset
-    item, diagonal = block.item[index], pos - block.at[index]
-    text = np.searchsorted(starts, pos, "right") - 1
-    step = block.k[item] + 1
+    item, at_item = block.item[index], block.at[index]
     shift = max(map(len, block.texts))  # diagonals may be negative
+    diagonal = pos - at_item + shift
+    text = np.searchsorted(starts, pos, "right") - 1
+    n_items = len(block.texts)
+    pair = text.astype(np.int64) * n_items + item
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    band = (diagonal + shift) // step
-    pair = text.astype(np.int64) * len(block.texts) + item
-    # a band covers the cells b and b + 1 of k + 1 diagonals each
-    key_pair = np.concatenate([pair, pair])
-    key_band = np.concatenate([band, band - 1])
-    order = np.lexsort((key_band, key_pair))
-    key_pair, key_band = key_pair[order], key_band[order]
-    new = np.flatnonzero(np.concatenate([[True], (key_pair[1:] != key_pair[:-1]) | (key_band[1:] != key_band[:-1])]))
-    count = np.diff(np.append(new, len(key_pair)))
-    keep = count >= block.least[key_pair[new] % len(block.texts)]
-    for pr, b in zip(key_pair[new][keep].tolist(), key_band[new][keep].tolist(), strict=True):
-        t, i = divmod(pr, len(block.texts))
-        pattern, k = block.texts[i], int(block.k[i])
+    for pr, b, _ in cells(pair, diagonal, block.k[item] + 1, lambda p: block.least[p % n_items]):
+        t, i = divmod(pr, n_items)
+        k = int(block.k[i])
         if (t, i) in best and best[t, i][0] == 0:
             continue
-        low = b * (k + 1) - shift - int(starts[t])  # first diagonal of the band, in this text
-        begin = max(0, low - k)
-        region = texts[t][begin:max(0, low + 2 * (k + 1) + len(pattern) + k)]
-        at = region.find(pattern)
-        edits = 0 if at >= 0 else banded_edits(pattern, region, k) if len(region) >= len(pattern) - k else k + 1
+        edits, at = verified(texts[t], block.texts[i], k, b * (k + 1) - shift - int(starts[t]))
         if edits <= k and ((t, i) not in best or edits < best[t, i][0]):
-            best[t, i] = (edits, begin + max(0, at))
-    for (t, i), (edits, at) in best.items():
+            best[t, i] = (edits, at)
+    in_part: dict[tuple[int, int], tuple[int, int]] = {}
+    some, k = block.long[item], block.window_k
+    if some.any():
+        at_item = at_item[some]
+        for pr, b, own in cells(pair[some], diagonal[some], k + 1, lambda p: block.window_least):
+            t, i = divmod(pr, n_items)
+            if (t, i) in best or in_part.get((t, i), (1, 0))[0] == 0:
+                continue
+            item_text, low = block.texts[i], b * (k + 1) - shift - int(starts[t])
+            begins, have = window_starts(len(item_text)), np.sort(at_item[own])
+            shared = np.searchsorted(have, begins + WINDOW - Q, "right") - np.searchsorted(have, begins)
+            enough = np.flatnonzero(shared >= block.window_least)
+            for w in enough[np.argsort(-shared[enough], kind="stable")]:  # the likeliest first
+                begin = int(begins[w])
+                edits, at = verified(texts[t], item_text[begin:begin + WINDOW], k, low + begin)
+                if edits <= k and ((t, i) not in in_part or edits < in_part[t, i][0]):
+                    in_part[t, i] = (edits, at)
+                if edits == 0:
+                    break
+    for (t, i), (edits, at) in (in_part | best).items():
         yield t, i, edits, at
 
 
@@ -143,10 +192,10 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, edit_rate: float)
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", edit_rate: float = 0.08) -> DataFrame:
-    """(doc_id, item_id, edits, at): the benchmark items that occur in each text.
+    """(doc_id, item_id, edits, at): the benchmark items that occur in each text, whole or in part.
 
-    ``edits``: of the best occurrence; ``at``: about where it starts in the normalised
-    text.  Whole texts are searched; the benchmark is read in blocks of bounded size,
+    ``edits``: of the best occurrence of the whole item, else of its best window; ``at``:
+    about where that starts in the normalised text.  Whole texts are searched; the benchmark is read in blocks of bounded size,
     each broadcast and matched against all rows in one pass without a shuffle.
     Null and empty texts match nothing; items of fewer than 8 bytes cannot be told
     from chance and are skipped.  Repeated rows are reported each.  Other columns are
