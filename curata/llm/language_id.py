@@ -8,6 +8,10 @@ and probabilities are interpolated down to the uniform distribution.  Probabilit
 n-grams and back-off weights of seen contexts are stored per language and order as sorted
 arrays and looked up by binary search.  The language with the lowest cross-entropy per
 character wins.
+
+All entries that an n-gram needs beyond single characters hold its last but one character,
+so a model too large for one broadcast is cut by (language, that character) into blocks,
+each broadcast and scored in a pass of its own; a text's sums over the blocks are exact.
 """
 from __future__ import annotations
 
@@ -23,9 +27,11 @@ from .common import materialize, slices
 
 ORDER = 4
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-#: Entries (12 bytes each) that may be broadcast; a larger model leaves out its highest order.
+#: Entries (12 bytes each) that may be broadcast at once; a larger model is scored in blocks.
 MAX_ENTRIES = 16_000_000
 BINS = 40
+NOTHING = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
+SIGNS = 1 << 16
 
 
 def encoded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,7 +132,9 @@ class Models:
             self.arrays[langs[c // 16], c % 16 // 2, "g" if c % 2 else "p"] = (key[at:to], value[at:to])
 
     def _look(self, lang: str, n: int, kind: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        k, v = self.arrays[lang, n, kind]
+        k, v = self.arrays.get((lang, n, kind), NOTHING)
+        if not len(k):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
         at = np.minimum(np.searchsorted(k, keys), len(k) - 1)
         return k[at] == keys, v[at]
 
@@ -145,21 +153,88 @@ class Models:
         return out
 
 
+class Table:
+    """The entries of all models as a table, with the number of each entry's part."""
+
+    def __init__(self, df: DataFrame):
+        """From the columns ``lang`` (not null) and ``text``; counts cover every row."""
+        grams = materialize(count_grams(df.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())), "grams")
+        table = materialize(kneser_ney(grams), "models")
+        self.langs = langs = sorted(r["lang"] for r in table.select("lang").distinct().collect() if r["lang"] is not None)
+        unseen, order = table.agg(F.max(F.when(F.col("n") == 0, F.col("value"))), F.max("n")).first()
+        self.unseen, self.order = float(unseen or 0.0), order or 0
+        lang = F.array_position(F.array(*(F.lit(x) for x in langs)), F.col("lang")) - 1 if langs else F.lit(0)
+        sign = F.when(F.col("kind") == "g", F.col("key")).otherwise(F.shiftrightunsigned("key", 16)).bitwiseAND(F.lit(SIGNS - 1))
+        # part: language and last but one character; null for what every n-gram of the language needs
+        self.rows = table.filter("n > 0").select(
+            lang.alias("lang_no"), F.when(F.col("n") > 1, lang * SIGNS + sign).alias("part"),
+            (lang * 16 + F.col("n") * 2 + F.when(F.col("kind") == "g", 1).otherwise(0)).cast("int").alias("code"),
+            "key", F.col("value").cast("float").alias("value"))
+
+    def models(self, first: int = 0, last: int | None = None) -> Models:
+        """The entries of the parts ``first`` to ``last``, brought to the driver."""
+        last = len(self.langs) * SIGNS - 1 if last is None else last
+        mine = F.col("part").between(first, last) | (F.col("part").isNull() & F.col("lang_no").between(first // SIGNS, last // SIGNS))
+        got = self.rows.filter(mine).select("code", "key", "value").toArrow()
+        return Models(self.langs, self.unseen, self.order, *(got.column(i).to_numpy() for i in range(3)))
+
+    def blocks(self) -> list[tuple[int, int]]:
+        """First and last part of blocks of at most ``MAX_ENTRIES`` entries (or one part) that cover all parts."""
+        common, sizes = {}, []
+        for r in self.rows.groupBy("lang_no", "part").agg(F.count(F.lit(1)).alias("c")).collect():
+            if r["part"] is None:
+                common[r["lang_no"]] = r["c"]
+            else:
+                sizes.append((r["part"], r["c"]))
+        starts, size, lang = [0], 0, None
+        for part, c in sorted(sizes):
+            new = c + (common.get(part // SIGNS, 0) if part // SIGNS != lang else 0)
+            if size and size + new > MAX_ENTRIES:
+                starts.append(part)
+                size, new = 0, c + common.get(part // SIGNS, 0)
+            size, lang = size + new, part // SIGNS
+        return list(zip(starts, [*(x - 1 for x in starts[1:]), len(self.langs) * SIGNS - 1], strict=True))
+
+
 def train(df: DataFrame) -> Models:
-    """Models from the columns ``lang`` (not null) and ``text``; counts cover every row."""
-    grams = materialize(count_grams(df.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())), "grams")
-    table = materialize(kneser_ney(grams), "models")
-    sizes = {r["n"]: r["c"] for r in table.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
-    order = max(sizes) if sizes else 0
-    while order > 1 and sum(c for n, c in sizes.items() if n <= order) > MAX_ENTRIES:
-        order -= 1
-    langs = sorted(r["lang"] for r in table.select("lang").distinct().collect() if r["lang"] is not None)
-    unseen = table.filter("n = 0").agg(F.max("value")).first()[0]
-    numbers = F.array_position(F.array(*(F.lit(x) for x in langs)), F.col("lang")) - 1 if langs else F.lit(0)
-    code = (numbers * 16 + F.col("n") * 2 + F.when(F.col("kind") == "g", 1).otherwise(0)).cast("int")
-    got = table.filter((F.col("n") > 0) & (F.col("n") <= order)).select(
-        code.alias("code"), "key", F.col("value").cast("float").alias("value")).toArrow()
-    return Models(langs, float(unseen or 0.0), order, *(got.column(i).to_numpy() for i in range(3)))
+    """Models of full order from the columns ``lang`` (not null) and ``text``, in one piece."""
+    return Table(df).models()
+
+
+def entropies_in_blocks(df: DataFrame, table: Table, keep: list[str]) -> DataFrame:
+    """As :func:`entropies`, from one broadcast and pass per block of the models."""
+    rows = materialize(df.select(*keep, "text", F.monotonically_increasing_id().alias("row_no")), "numbered")
+    texts, sums = rows.select("row_no", "text"), None
+    for first, last in table.blocks():
+        shared = df.sparkSession.sparkContext.broadcast(table.models(first, last))
+
+        def score(batches: Iterator[pa.RecordBatch], shared=shared, first=first, last=last) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            for batch in slices(batches, 4 << 20):
+                keys, starts, n = encoded(batch.column(1).to_pylist())
+                some = n > 0
+                if not some.any():
+                    continue
+                u, inverse = np.unique(keys, return_inverse=True)
+                sign = ((u >> np.uint64(16)) & np.uint64(SIGNS - 1)).astype(np.int64)
+                for i in range(first // SIGNS, last // SIGNS + 1):
+                    own = (i * SIGNS + sign >= first) & (i * SIGNS + sign <= last)
+                    log_p = np.zeros(len(u))
+                    log_p[own] = m.log_p(m.langs[i], u[own])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).filter(pa.array(some)), pa.array(np.full(some.sum(), i, np.int32)), pa.array(n[some]),
+                         pa.array(np.add.reduceat(log_p[inverse], starts[some]))], names=["row_no", "lang_no", "n", "s"])
+        part = texts.mapInArrow(score, "row_no long, lang_no int, n long, s double")
+        sums = part if sums is None else sums.unionAll(part)
+    h = sums.groupBy("row_no", "lang_no").agg(F.max("n").alias("n_signs"), F.sum("s").alias("s")) \
+        .withColumn("at", F.struct((-F.col("s") / F.col("n_signs")).alias("h"), "lang_no"))
+    ranked = h.groupBy("row_no").agg(F.max("n_signs").alias("n_signs"), F.array_sort(F.collect_list("at")).alias("r"))
+    second = F.get("r", F.lit(1))["h"] if len(table.langs) > 1 else F.lit(-table.unseen)
+    names = F.array(*(F.lit(x) for x in table.langs))
+    found = ranked.select("row_no", "n_signs", F.get("r", F.lit(0)).alias("first"), second.alias("second"))
+    return rows.drop("text").join(found, "row_no", "left").select(
+        *keep, F.coalesce("n_signs", F.lit(0).cast("long")).alias("n_signs"), F.get(names, F.col("first.lang_no")).alias("best"),
+        F.col("first.h").alias("entropy"), (F.col("second") - F.col("first.h")).alias("lead"))
 
 
 def entropies(df: DataFrame, models: Models, keep: list[str]) -> DataFrame:
@@ -214,24 +289,26 @@ def identify(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                      F.coalesce(held_out, F.lit(False)).alias("held_out"),
                      F.when(~F.coalesce(held_out, F.lit(False)), F.col(lang_col)).alias("lang"))
-    models = train(rows.filter(~F.col("held_out")).select("lang", "text"))
+    table = Table(rows.filter(~F.col("held_out")).select("lang", "text"))
+    keep = ["doc_id", "held_out", "lang"]
+    found = entropies_in_blocks(rows, table, keep) if len(table.blocks()) > 1 else entropies(rows, table.models(), keep)
     # signs per nat of lead: the evidence grows with the text
-    scored = materialize(entropies(rows, models, ["doc_id", "held_out", "lang"]), "entropies").withColumn(
+    scored = materialize(found, "entropies").withColumn(
         "bin", F.least(F.lit(BINS - 1), F.floor(F.log1p(F.col("lead") * F.col("n_signs")) * 4)).cast("int"))
     own = scored.filter(F.col("lang").isNotNull() & F.col("best").isNotNull())
     bins = {r["bin"]: (r["n"], r["ok"]) for r in own.groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("best") == F.col("lang")).alias("ok")).collect()}
-    score, table = 0.0, []
+    score, shares = 0.0, []
     for b in range(BINS):
         n, ok = bins.get(b, (0, 0))
         score = max(score, (ok + 1) / (n + 2))
-        table.append((b, score))
+        shares.append((b, score))
     limits = {r["best"]: r["m"] + rejects_above * (r["s"] or 0.0) for r in own.groupBy("best").agg(
         F.avg("entropy").alias("m"), F.stddev("entropy").alias("s")).collect()}
     limit = F.lit(None).cast("double")
     for lang, x in limits.items():
         limit = F.when(F.col("best") == lang, F.lit(x)).otherwise(limit)
-    by_bin = F.array(*(F.lit(float(s)) for _, s in table))
+    by_bin = F.array(*(F.lit(float(s)) for _, s in shares))
     return scored.select(
         "doc_id", "held_out", F.coalesce("best", F.lit("und")).alias("lang_pred"),
         F.when(F.col("best").isNull(), F.lit(0.0)).otherwise(F.get(by_bin, F.col("bin"))).alias("score"), F.col("entropy").alias("cross_entropy"),
