@@ -5,8 +5,11 @@ their own format, so that equal values get equal pseudonyms in every document an
 value keeps its meaning:
 
 * payment cards (13 to 19 digits, Luhn-valid, with or without blanks or hyphens): all
-  digits but the last are permuted and the check digit is made right again;
-* phone numbers ``(ddd) ddd-dddd`` and ``ddd-ddd-dddd``: numbers with a valid area and
+  digits but the last are permuted and the check digit is made right again.  Among other
+  digits the longest valid stretch of whole groups counts; there the permutation is
+  repeated (for about one value in ten and rival stretch) while it would make a longer
+  stretch valid, so equal cards may then differ, but every value can be revealed;
+* phone numbers ``(ddd) ddd-dddd`` and ``ddd-ddd-dddd``, with or without a leading 1: numbers with a valid area and
   exchange code stay valid, others permute their ten digits;
 * social security numbers ``ddd-dd-dddd`` that are valid stay valid;
 * IPv4 addresses; dates ``yyyy-mm-dd`` and ``m/d/yyyy`` from 1900-01-01 to 2099-08-04
@@ -26,14 +29,20 @@ from pyspark.sql import functions as F
 from .common import let
 
 ROUNDS = 5  # double rounds: each permutes both halves
+TRIES = 400  # a card among other digits needs another one at most this often; 28 stretches give 0.95^400 at worst
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
-PHONE = r"(?:(?<![\w+])\+?1[ .-]?)?(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])"
+PHONE = (r"(?:(?<![\w+])\+?1[ .-]?)?(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w+-])\+?1[ .-]\d{3}-\d{3}-\d{4}(?![\w-])"
+         r"|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])")
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
+ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?:(?=T\d)|(?![\w-]))"
 US_DATE = r"(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/])"
-CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
+_PRINTED = r"(?:\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})"  # as printed on cards
+_OTHER = "|".join([IPV4, PHONE, SSN, ISO_DATE, US_DATE, r"(?:" + _PRINTED + r"|\d{14,19})(?!\w)"])
+# unbroken, printed form with a short group after it, any other grouping; none goes on into another value
+CARD = (rf"(?<![\w.-])(?:\d{{14,19}}(?![\w-])|{_PRINTED}(?:[ -](?!{_OTHER})\d{{1,3}})?(?![\w-])"
+        rf"|\d(?:(?:[ -](?!{_OTHER}))?\d){{12,18}}(?![\w-]))")
 ANY = "|".join([EMAIL, IPV4, PHONE, SSN, ISO_DATE, US_DATE, CARD])
 KINDS = ["email", "ipv4", "phone", "ssn", "iso_date", "us_date", "card"]
 FIRST_DAY, SIDE = "1900-01-01", 270  # 270 * 270 days
@@ -105,12 +114,36 @@ def _permute_digits(d: Column, key: str, tag: str, reveal: bool) -> Column:
 
 
 def _card(m: Column, key: str, reveal: bool) -> Column:
-    def valid(d: Column) -> Column:
-        n = F.length(d)
-        payload = F.substring(d, F.lit(1), n - 1)
-        return F.when(_luhn_digit(payload) != F.substring(d, n, F.lit(1)), m).otherwise(
-            let(_permute_digits(payload, key, "card", reveal), lambda p: _refill(m, F.concat(p, _luhn_digit(p)))))
-    return let(_digits(m), valid)
+    """``m`` with the longest, then first, Luhn-valid stretch of whole groups replaced."""
+    def valid(x: Column) -> Column:
+        return _luhn_digit(F.substring(x, F.lit(1), F.length(x) - 1)) == F.substring(x, F.length(x), F.lit(1))
+
+    def part(d: Column, w: Column) -> Column:
+        return F.substring(d, w["at"] + 1, -w["less"])
+
+    def first(d: Column, windows: Column) -> Column:
+        return F.get(F.filter(windows, lambda w: valid(part(d, w))), F.lit(0))
+
+    def other(d: Column, w: Column) -> Column:
+        card = part(d, w)
+        payload = F.substring(card, F.lit(1), F.length(card) - 1)
+        return let(_permute_digits(payload, key, "card", reveal), lambda p: F.concat(
+            F.substring(d, F.lit(1), w["at"]), p, _luhn_digit(p), F.substring(d, w["at"] - w["less"] + 1, F.length(d))))
+
+    def walked(d: Column, windows: Column, w: Column) -> Column:
+        # on until the same stretch would be chosen again: so it can be undone
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(TRIES)), F.struct(d.alias("d"), F.lit(False).alias("done")),
+            lambda acc, _: F.when(acc["done"], acc).otherwise(let(other(acc["d"], w), lambda x: F.struct(
+                x.alias("d"), F.coalesce(first(x, windows) == w, F.lit(False)).alias("done")))),
+            lambda acc: acc["d"])
+
+    cuts = F.aggregate(F.split(m, "[ -]"), F.array(F.lit(0)),
+                       lambda acc, g: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(g))))
+    windows = let(cuts, lambda c: F.array_sort(F.flatten(F.transform(c, lambda a: F.transform(
+        F.filter(c, lambda b: (b - a).between(13, 19)), lambda b: F.struct((a - b).alias("less"), a.alias("at")))))))
+    return let(_digits(m), lambda d: let(windows, lambda ws: let(first(d, ws), lambda w: F.when(w.isNull(), m).otherwise(
+        _refill(m, walked(d, ws, w))))))
 
 
 def _phone(m: Column, key: str, reveal: bool) -> Column:
@@ -212,7 +245,7 @@ def _email(m: Column, key: str, reveal: bool) -> Column:
 def kind_of(m: Column) -> Column:
     """Which of ``KINDS`` a found value has the form of."""
     return (F.when(m.contains("@"), "email").when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ipv4")
-            .when(m.rlike(r"^(?:.*\(|\d{3}-\d{3}-\d{4}$)"), "phone").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+            .when(m.rlike(r"^(?:.*\(|(?:\+?1[ .-])?\d{3}-\d{3}-\d{4}$)"), "phone").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
             .when(m.rlike(r"^\d{4}-\d{2}-\d{2}$"), "iso_date").when(m.contains("/"), "us_date").otherwise("card"))
 
 
