@@ -2,7 +2,8 @@
 
 Each derivation is deterministic in the row ids, so an oracle can state the
 expected answer from the original columns without re-implementing a parser.
-Formats are *chosen* by id arithmetic; no row is ever filtered out by it.
+Formats are *chosen* by id arithmetic, and so are missing ids and names and failed pages:
+the scans drop those rows, in the column queries that read these payloads too.
 """
 from __future__ import annotations
 
