@@ -77,9 +77,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-_ALL = [op1_quality_rules, op2_chat_format, op3_license_scan, op4_pii, op5_jaccard_join, op6_decontaminate,
-        op7_language_id, op8_sharding, op9_importance, op10_mixing]
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+_ALL = [op1_quality_rules, op2_chat_format, op3_license_scan, op4_pii, op5_jaccard_join, op6_decontaminate,
+        op7_language_id, op8_sharding, op9_importance, op10_mixing, op11_whitening, op12_line_dedup, op13_collocations]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
