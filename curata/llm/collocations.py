@@ -6,6 +6,8 @@ cut to the next and on over the next ``max_words`` - 1 words, the overlap.  The
 distinct chunks, with the number of times each was parsed, replaces the text.  N-grams are
 counted inside distinct chunks, weighted by that number, and only those that start before the
 overlap: an n-gram that starts in the overlap belongs to the next chunk, so each is counted once.
+Words are counted first, then pairs of frequent words, then what only holds frequent pairs, and so
+on, which leaves most rare n-grams out of the shuffle and loses no frequent one.
 
 Tasks count in bounded dictionaries and Spark adds the counts up, pre-aggregated, so a word pair
 held by a third of all texts costs a row per task.  Scores are exact decimal arithmetic.
@@ -14,7 +16,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -25,6 +29,11 @@ from .common import materialize, slices
 TRIGGER = 16
 #: Entries of a task's dictionary before it is handed on.
 HELD = 1 << 18
+#: Bytes of chunks in which a task counts at once.
+GATHERED = 8 << 20
+#: Bits of the filter of frequent shorter grams, of fixed size; only the work depends on it.
+FILTER_BITS = 1 << 24
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Parts in which a language's candidates are ranked before the last ranking.
 PARTS = 256
 #: Piece ends become newlines, tabs blanks.
@@ -86,30 +95,111 @@ def dictionary(texts: DataFrame, max_words: int) -> DataFrame:
         .groupBy("lang", "own", "chunk").agg(F.sum("c").alias("c"))
 
 
-def ngram_counts(chunks: DataFrame, max_words: int) -> DataFrame:
-    """(lang, size, gram, f): every n-gram of up to ``max_words`` words and its occurrences."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = defaultdict(int)
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``GATHERED`` bytes: what is counted together need not be sent twice."""
+    held, size = [], 0
+    for batch in slices(batches, GATHERED):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHERED:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+class _Words(dict):
+    """Words of one language -> numbers in a list that all languages of a batch share."""
+    def __init__(self, lang: bytes, words: list[bytes], hashes: list[int]):
+        self.lang, self.words, self.hashes = xxhash.xxh64_intdigest(lang), words, hashes
+
+    def __missing__(self, word: bytes) -> int:
+        out = self[word] = len(self.words)
+        self.words.append(word)
+        self.hashes.append(xxhash.xxh64_intdigest(word, self.lang))
+        return out
 
-        def flush() -> pa.RecordBatch:
-            out = _table(counts, ["lang", "size", "gram"], [pa.string(), pa.int32(), pa.string()])
-            counts.clear()
-            return out
-        for batch in slices(batches, 4 << 20):
-            columns = [batch.column(0).cast(pa.binary()), batch.column(1), batch.column(2).cast(pa.binary()), batch.column(3)]
-            for lang, own, chunk, c in zip(*(x.to_pylist() for x in columns), strict=True):
-                words = chunk.split(b" ")
-                for start in range(own):
-                    gram = words[start]
-                    counts[lang, 1, gram] += c
-                    for size, word in enumerate(words[start + 1:start + max_words], 2):
-                        gram += b" " + word
-                        counts[lang, size, gram] += c
-                    if len(counts) >= HELD:
-                        yield flush()
-        yield flush()
-    return chunks.mapInArrow(run, "lang string, size int, gram string, c long") \
-        .groupBy("lang", "size", "gram").agg(F.sum("c").alias("f"))
+
+def _slots(words: np.ndarray, size: int, bits: int) -> np.ndarray:
+    """The filter bit of the ``size``-gram at each start in an array of word hashes."""
+    h = words[:max(0, len(words) - size + 1)].copy()
+    for j in range(1, size):
+        h = (h ^ (h >> np.uint64(32))) * MIX + words[j:len(words) - size + 1 + j]
+    h = (h ^ (h >> np.uint64(29))) * MIX
+    return (h >> np.uint64(24)) % np.uint64(bits)
+
+
+def ngram_counts(chunks: DataFrame, size: int, shorter: np.ndarray | None) -> DataFrame:
+    """(lang, gram, f): the n-grams of ``size`` words and their occurrences, without some that hold a
+    shorter gram missing from the filter ``shorter`` (all, if None)."""
+    known = None if shorter is None else chunks.sparkSession.sparkContext.broadcast(shorter)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _gathered(batches):
+            words, hashes, numbers, ids, lens = [], [], {}, [], []
+            for lang, chunk in zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (0, 2)), strict=True):
+                if lang not in numbers:
+                    numbers[lang] = _Words(lang, words, hashes)
+                before = len(ids)
+                ids.extend(map(numbers[lang].__getitem__, chunk.split(b" ")))
+                lens.append(len(ids) - before)
+            ids, lens = np.array(ids), np.array(lens)
+            own, weight = (batch.column(i).to_numpy() for i in (1, 3))
+            place = np.arange(len(ids)) - np.repeat(np.cumsum(lens) - lens, lens)
+            good = (place < np.repeat(own, lens)) & (place + size <= np.repeat(lens, lens))
+            if known is not None and size > 1:
+                bits = known.value
+                slot = _slots(np.array(hashes, np.uint64)[ids], size - 1, len(bits) * 8)
+                held = np.zeros(len(ids) + 1, bool)
+                held[:len(slot)] = bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
+                good &= held[:-1] & held[1:]
+            at = np.flatnonzero(good)
+            code = ids[at]
+            for j in range(1, size):
+                if int(code.max(initial=0)) >= (1 << 62) // len(words):
+                    code = np.unique(code, return_inverse=True)[1]
+                code = code * len(words) + ids[at + j]
+            order = np.argsort(code, kind="stable")
+            code, at, weight = code[order], at[order], np.repeat(weight, lens)[at[order]]
+            first = np.flatnonzero(np.diff(code, prepend=-1))
+            f = np.add.reduceat(weight, first) if len(first) else weight
+            at = at[first]
+            grams = [b" ".join(g) for g in zip(*([words[i] for i in ids[at + j]] for j in range(size)), strict=True)]
+            langs = batch.column(0).take(pa.array(np.repeat(np.arange(len(lens)), lens)[at]))
+            yield pa.RecordBatch.from_arrays(
+                [langs, pa.array(grams, pa.binary()).cast(pa.string()), pa.array(f, pa.int64())], ["lang", "gram", "c"])
+    return chunks.mapInArrow(run, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("f"))
+
+
+def gram_filter(grams: DataFrame, size: int, bits: int) -> np.ndarray:
+    """Bitmap of the ``size``-grams of ``grams`` (lang, gram), of ``bits`` bits whatever there is:
+    a gram of the table is always found, and few others are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [xxhash.xxh64_intdigest(w, xxhash.xxh64_intdigest(lang)) for lang, g in zip(
+                *(c.cast(pa.binary()).to_pylist() for c in batch.columns), strict=True) for w in g.split(b" ")]
+            slot = _slots(np.array(hashes, np.uint64), size, bits)[::size]
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64))], ["slot"])
+    rows = grams.select("lang", "gram").mapInArrow(run, "slot long").groupBy(F.shiftright("slot", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(slot & 63L))")).alias("word"))
+    out = np.zeros(bits // 64, "<i8")
+    for r in rows.toLocalIterator():  # at most bits / 64 rows
+        out[r["at"]] = r["word"]
+    return out.view(np.uint8)
+
+
+def frequent_ngrams(chunks: DataFrame, max_words: int, min_count: int, bits: int = FILTER_BITS) -> DataFrame:
+    """(lang, size, gram, f): all n-grams of up to ``max_words`` words that occur ``min_count`` times.
+
+    Shortest first: an n-gram is at most as frequent as the shorter ones inside it, so
+    one with a rarer part is not counted (the filter lets some through, the last test does not)."""
+    shorter, out = None, []
+    for size in range(1, max_words + 1):
+        grams = materialize(ngram_counts(chunks, size, shorter).filter(F.col("f") >= min_count), f"grams-{size}")
+        out.append(grams.select("lang", F.lit(size).alias("size"), "gram", "f"))
+        if size < max_words:
+            shorter = gram_filter(grams, size, bits)
+    return reduce(DataFrame.unionAll, out)
 
 
 def collocations(df: DataFrame, max_words: int = 3, min_count: int = 10, top: int = 2000, inside_percent: int = 50,
@@ -129,7 +219,7 @@ def collocations(df: DataFrame, max_words: int = 3, min_count: int = 10, top: in
     chunks = materialize(dictionary(texts, max_words), "chunks")
     words = chunks.groupBy("lang").agg(F.sum(F.col("c") * F.col("own")).alias("n"))
     # the parts of a candidate are at least as frequent as it is
-    grams = materialize(ngram_counts(chunks, max_words).filter(F.col("f") >= min_count), "grams")
+    grams = frequent_ngrams(chunks, max_words, min_count)
     known = grams.select("lang", F.col("gram").alias("part"), "f")
     candidate = grams.filter(F.col("size") > 1).select("lang", "size", F.col("gram").alias("phrase"), F.col("f").alias("a"))
     word = F.split("phrase", " ")

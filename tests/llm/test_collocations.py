@@ -68,9 +68,22 @@ def test_flushes_do_not_change_counts(spark, monkeypatch):
     df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
     monkeypatch.setattr(module, "PARTS", 1)
     monkeypatch.setattr(module, "HELD", 7)
+    monkeypatch.setattr(module, "GATHERED", 500)
     assert got(df) == brute([r[1:] for r in rows])
 
 
+def test_full_filter_lets_everything_through_and_changes_nothing(spark):
+    rows = made_rows(seed=4, n=60)
+    texts = spark.createDataFrame([("und" if r[1] is None else r[1], r[2]) for r in rows], "lang string, text string")
+    chunks = module.dictionary(texts, 4)
+    a, b = (sorted(tuple(r) for r in module.frequent_ngrams(chunks, 4, 3, bits).collect()) for bits in (64, 1 << 16))
+    assert a == b and {r[1] for r in a} == {1, 2, 3, 4}
+    pairs = module.ngram_counts(chunks, 2, None)
+    fewer = module.ngram_counts(chunks, 2, module.gram_filter(
+        module.ngram_counts(chunks, 1, None).filter("f >= 3"), 1, 1 << 16))
+    assert fewer.count() < pairs.count()
+
+
 def test_hostile_table(hostile, hostile_rows, no_rows):
     rows = [(r[2], r[1]) for r in hostile_rows]
     assert got(hostile, min_count=2) == brute(rows, min_count=2)
