@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,15 +137,20 @@ def ngram_counts(chunks: DataFrame, size: int, shorter: np.ndarray | None) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
-            words, hashes, numbers, ids, lens = [], [], {}, [], []
-            for lang, chunk in zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (0, 2)), strict=True):
-                if lang not in numbers:
-                    numbers[lang] = _Words(lang, words, hashes)
-                before = len(ids)
-                ids.extend(map(numbers[lang].__getitem__, chunk.split(b" ")))
-                lens.append(len(ids) - before)
-            ids, lens = np.array(ids), np.array(lens)
-            own, weight = (batch.column(i).to_numpy() for i in (1, 3))
+            words, hashes, parts, rows = [], [], [], []
+            lang_of = batch.column(0).dictionary_encode()
+            code = lang_of.indices.to_numpy()
+            for i, lang in enumerate(lang_of.dictionary.cast(pa.binary()).to_pylist()):
+                rows.append(np.flatnonzero(code == i))
+                text = b" \n ".join(batch.column(2).take(pa.array(rows[-1])).cast(pa.binary()).to_pylist()).split(b" ")
+                number = _Words(lang, words, hashes)
+                number[b"\n"] = -1  # between chunks
+                parts += [np.fromiter(map(number.__getitem__, text), np.int64, len(text)), np.full(1, -1)]
+            rows = np.concatenate(rows)
+            ids = np.concatenate(parts)
+            lens = np.diff(np.flatnonzero(ids < 0), prepend=-1) - 1
+            ids = ids[ids >= 0]
+            own, weight = (batch.column(i).to_numpy()[rows] for i in (1, 3))
             place = np.arange(len(ids)) - np.repeat(np.cumsum(lens) - lens, lens)
             good = (place < np.repeat(own, lens)) & (place + size <= np.repeat(lens, lens))
             if known is not None and size > 1:
@@ -164,10 +170,12 @@ def ngram_counts(chunks: DataFrame, size: int, shorter: np.ndarray | None) -> Da
             first = np.flatnonzero(np.diff(code, prepend=-1))
             f = np.add.reduceat(weight, first) if len(first) else weight
             at = at[first]
-            grams = [b" ".join(g) for g in zip(*([words[i] for i in ids[at + j]] for j in range(size)), strict=True)]
-            langs = batch.column(0).take(pa.array(np.repeat(np.arange(len(lens)), lens)[at]))
+            word = pa.array(words, pa.binary()).cast(pa.string())
+            grams = [word.take(pa.array(ids[at + j])) for j in range(size)]
+            grams = pc.binary_join_element_wise(*grams, " ") if size > 1 else grams[0]
+            langs = batch.column(0).take(pa.array(rows[np.repeat(np.arange(len(lens)), lens)[at]]))
             yield pa.RecordBatch.from_arrays(
-                [langs, pa.array(grams, pa.binary()).cast(pa.string()), pa.array(f, pa.int64())], ["lang", "gram", "c"])
+                [langs, grams, pa.array(f, pa.int64())], ["lang", "gram", "c"])
     return chunks.mapInArrow(run, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("f"))
 
 
