@@ -31,6 +31,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, name: str) -> None:
+    """Delete the folder ``name`` of working tables that ``materialize`` wrote as ``name``/..."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

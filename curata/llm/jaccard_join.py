@@ -5,8 +5,10 @@ hashes, in one global order), and the entries of M * M^T are the overlaps.  For
 threshold t only a part of the product is ever formed:
 
 * equal sets are one row (their class is linked whatever else happens);
-* column block 1 is the lowest ``SHARE`` of the hash space.  A row whose entries there include more
-  single-row columns than a link can miss, or no shared one at all, is discarded;
+* column block 1 is the lowest part of the hash space, half as large again as the share of its
+  entries that a link may lack.  A row whose entries there include more single-row columns than
+  that is discarded.  A column is of a single row if the least and the largest row number in it are
+  one, so the entries are exchanged once, pre-aggregated, and never joined;
 * for the rows left all columns are counted.  Single-row columns drop out, rows are discarded
   by the same bound again, and the others keep a prefix: the n - ceil(t n) + 1 rarest entries
   (columns by row count), of which two linked rows share at least one;
@@ -24,6 +26,7 @@ So a group of copies costs a star, not its square, and no link between different
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import materialize, remove, slices
 
-SHARE = 0.2
 TOP = 1 << 48
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of the fixed-size row filter that spares unaffected texts the second reading.
@@ -65,31 +67,37 @@ def least_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-percent * n // 100)
 
 
-def _sets(df: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, digest of the set, and ``low``: its entries in column block 1 (with as many
-    of the next ones as the prefix may need)."""
-    edge = int(SHARE * TOP)
+def _block(percent: int) -> int:
+    """Upper edge of column block 1: rows that share nothing must have more entries below it than a
+    link may lack, (100 - ``percent``) % of all, by a clear margin."""
+    return TOP * min(100, 3 * (100 - percent) // 2 + 1) // 100
 
+
+def _sets(df: DataFrame, width: int) -> DataFrame:
+    """doc_id, n, and digest of the set (null if empty)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 8 << 20):
-            n, digests, low, singles = [], [], [], []
-            for t in batch.column(1).to_pylist():
-                s = shingle_set(t, width)
-                n.append(len(s))
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                own = np.unique(s >> np.uint64(16)).view(np.int64)
-                inside = int(np.searchsorted(own, edge))
-                prefix = len(own) - least_overlap(len(own), percent) + 1
-                low.append(own[:max(inside, prefix)] if len(s) else own)
-                singles.append(inside)
-            flat = np.concatenate([*low, np.zeros(0, np.int64)])
-            ends = np.cumsum([0, *map(len, low)]).astype(np.int32)
+            sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(singles, pa.int64())],
-                ["doc_id", "n", "digest", "low", "inside"])
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())],
+                ["doc_id", "n", "digest"])
     kind = dict(df.dtypes)["doc_id"]
-    return df.mapInArrow(run, f"doc_id {kind}, n long, digest binary, low array<long>, inside long")
+    return df.mapInArrow(run, f"doc_id {kind}, n long, digest binary")
+
+
+def _low(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, h): the entries of each text (doc_id, text) in column block 1."""
+    edge = _block(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4 << 20):
+            sets = [np.unique(shingle_set(t, width) >> np.uint64(16)).view(np.int64) for t in batch.column(1).to_pylist()]
+            low = [s[:np.searchsorted(s, edge)] for s in sets]
+            at = np.repeat(np.arange(len(low)), [len(x) for x in low])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at)), pa.array(np.concatenate([*low, np.zeros(0, np.int64)]))], ["doc_id", "h"])
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, h long")
 
 
 def up(value: Column, by: int) -> Column:
@@ -115,6 +123,19 @@ def _slot(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS)).cast("long")
 
 
+def _chosen(df: DataFrame, bits: np.ndarray) -> DataFrame:
+    """The rows (doc_id, text) whose id the filter lets through."""
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            chosen = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(chosen)) for c in batch.columns[:2]], ["doc_id", "text"])
+    kind = dict(df.dtypes)["doc_id"]
+    return df.select("doc_id", "text", _slot(F.col("doc_id")).alias("slot")).mapInArrow(run, f"doc_id {kind}, text string")
+
+
 def _whole_sets(df: DataFrame, bits: np.ndarray, width: int) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
@@ -149,21 +170,21 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(common * 100 >= (F.col("n") + F.col("m") - common) * percent).select("x", "y")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, work: str = "") -> DataFrame:
     """(doc_id, label): the smallest id reachable over ``links`` (x, y), for every linked id.
 
     Minimum-label steps over the links with pointer jumping; every step is written to the
     shared folder and only the number of changed labels comes to the driver."""
-    edges = materialize(links.unionAll(links.select("y", "x")).distinct(), "edges")
+    edges = materialize(links.unionAll(links.select("y", "x")).distinct(), work + "edges")
     labels = materialize(edges.select(F.col("x").alias("doc_id")).distinct().withColumn("label", F.col("doc_id")),
-                         "labels")
+                         work + "labels")
     while True:
         near = edges.join(labels, F.col("y") == F.col("doc_id")).groupBy("x").agg(F.min("label").alias("near"))
         step = labels.join(near, F.col("doc_id") == F.col("x")).select(
             "doc_id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         far = step.select(F.col("doc_id").alias("at"), F.col("label").alias("far"))
         new = materialize(step.join(far, F.col("label") == F.col("at"), "left").select(
-            "doc_id", "old", F.least("label", "far").alias("label")), "labels")
+            "doc_id", "old", F.least("label", "far").alias("label")), work + "labels")
         labels = new.select("doc_id", "label")
         if not new.filter(F.col("old") != F.col("label")).limit(1).count():
             return labels
@@ -181,21 +202,25 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     read.  Empty table: no rows.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # a number per row: equal ids with different sets stay different rows of the matrix
-    sets = materialize(_sets(docs, width, percent).withColumn("row", F.monotonically_increasing_id()), "sets")
+    work = f"jaccard-{uuid.uuid4().hex}/"  # what is not needed after the components are found
+    sets = materialize(_sets(docs, width), "sets")
     named = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = materialize(named.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(
-        "digest", "first.*"), "classes")
-    entry = named.join(classes.select("row"), "row", "left_semi").select("row", F.explode("low").alias("h"))
-    shared = entry.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("h")
-    seen = entry.join(shared, "h").groupBy("row").agg(F.count_if(F.col("h") < int(SHARE * TOP)).alias("seen"))
+    # one row of each set: the smallest id's
+    classes = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), work + "classes")
     miss = F.col("n") - up(F.col("n") * percent, 100)  # entries that a link may lack
-    hopeful = materialize(named.select("row", "doc_id", "n", "inside").join(seen, "row").filter(
-        F.col("inside") - F.col("seen") <= miss).select("doc_id").distinct(), "hopeful")
-    whole = materialize(_whole_sets(docs.filter(F.col("doc_id").isNotNull()), _row_filter(hopeful), width), "whole")
+    # a column is of a single id if the least and the largest id in it are one
+    alone = _low(_chosen(docs, _row_filter(classes)), width, percent).groupBy("h").agg(
+        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).filter(F.col("doc_id") == F.col("last")) \
+        .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
+    # an id with several sets is not judged by their sum: it stays
+    several = named.groupBy("doc_id").agg((F.min(F.xxhash64("digest")) < F.max(F.xxhash64("digest"))).alias("several"))
+    hopeful = materialize(classes.groupBy("doc_id").agg(F.max("n").alias("n")).join(several, "doc_id").join(
+        alone, "doc_id", "left").filter(F.col("several") | (F.coalesce("alone", F.lit(0)) <= miss)).select("doc_id"),
+        work + "hopeful")
+    whole = materialize(_whole_sets(docs.filter(F.col("doc_id").isNotNull()), _row_filter(hopeful), width), work + "whole")
     if whole.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > 1).limit(1).count():
         whole = materialize(whole.dropDuplicates(["doc_id", "entries"]).withColumn(
-            "row", F.monotonically_increasing_id()), "whole")  # only where ids repeat
+            "row", F.monotonically_increasing_id()), work + "whole")  # only where ids repeat
     entry = whole.select("row", F.explode("entries").alias("h"))
     shared = entry.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
     mine = entry.join(shared, "h").groupBy("row").agg(
@@ -203,7 +228,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mine = mine.join(whole.select("row", "doc_id", F.size("entries").cast("long").alias("n")), "row").select(
         "doc_id", "n", "entries", *PARITY, (F.col("n") - F.size("entries")).alias("alone")).filter(F.col("alone") <= miss)
     prefix = materialize(mine.select("doc_id", "n", "alone", *PARITY, (F.col("alone") / F.col("n")).alias("apart"), F.explode(
-        F.slice("entries", F.lit(1), (miss + 1 - F.col("alone")).cast("int"))["h"]).alias("h")), "prefix")
+        F.slice("entries", F.lit(1), (miss + 1 - F.col("alone")).cast("int"))["h"]).alias("h")), work + "prefix")
     whole = whole.select("doc_id", "entries")
 
     def asked(n: str, m: str) -> Column:
@@ -222,15 +247,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
            .filter((F.col("doc_id") != F.col("y")) & near("n", "m", F.col("alone") + F.col("alone_m")))
            .groupBy(F.col("doc_id").alias("x"), "y").agg(F.count(F.lit(1)).alias("c"),
                                                          F.min("apart_y").alias("apart_y"))
-           .groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("apart_y"), -F.col("y"))).alias("y")))
-    stars = materialize(led, "stars")
-    links = materialize(_links(stars, whole, percent), "star-links")
-    label = components(links)
+           .groupBy("x").agg(F.min_by("y", F.struct(-F.col("c"), "apart_y", "y")).alias("y")))
+    stars = materialize(led, work + "stars")
+    links = materialize(_links(stars, whole, percent), work + "star-links")
+    label = components(links, work)
     # what the stars left apart: products between different components only
     side = materialize(prefix.join(label, "doc_id", "left").select(
-        "h", "doc_id", "n", "alone", *PARITY, F.coalesce("label", "doc_id").alias("label")), "side")
+        "h", "doc_id", "n", "alone", *PARITY, F.coalesce("label", "doc_id").alias("label")), work + "side")
     open_ = side.groupBy("h").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter(F.col("a") < F.col("b"))
-    side = materialize(side.join(open_.select("h"), "h", "left_semi"), "open")
+    side = materialize(side.join(open_.select("h"), "h", "left_semi"), work + "open")
     left = side.select("h", F.col("doc_id").alias("x"), "n", "alone", *PARITY, F.col("label").alias("lx"))
     right = side.select("h", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("alone").alias("alone_m"),
                         F.col("label").alias("ly"), *(F.col(p).alias(f"{p}_m") for p in PARITY))
@@ -240,14 +265,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
              .groupBy("x", "y", "n", "m").agg(F.count(F.lit(1)).alias("c")))
 
     beyond = F.greatest(up(F.col("n") * percent, 100), up(F.col("m") * percent, 100)) - 1
-    pairs = materialize(count.filter(F.col("c") + beyond >= asked("n", "m")).select("x", "y").distinct(), "pairs")
+    pairs = materialize(count.filter(F.col("c") + beyond >= asked("n", "m")).select("x", "y").distinct(), work + "pairs")
     # a row follows the representative of its set; an id with several sets ties them together
     follows = materialize(named.join(classes.select("digest", F.col("doc_id").alias("rep")), "digest").select(
         "doc_id", "rep").distinct(), "follows")
     ties = follows.join(follows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > 1), "doc_id",
                         "left_semi").filter(F.col("doc_id") != F.col("rep")).select(
         F.col("doc_id").alias("x"), F.col("rep").alias("y"))
-    label = components(links.unionAll(_links(pairs, whole, percent)).unionAll(ties))
+    label = materialize(components(links.unionAll(_links(pairs, whole, percent)).unionAll(ties), work), "components")
+    remove(docs.sparkSession, work)
     found = follows.join(label.withColumnRenamed("doc_id", "rep"), "rep", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("label", "rep")).alias("component_id"))
     return sets.select("doc_id", "n").join(found, "doc_id", "left").select(

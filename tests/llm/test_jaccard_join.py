@@ -74,3 +74,18 @@ def test_ids_with_several_texts_tie_their_components(spark):
     rows = [(9, a), (9, b), (5, a), (3, b), (3, b), (7, "x"), (7, None)]
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(
         (False, i, n, c) for i, n, c in [(9, 5, 3), (9, 5, 3), (5, 5, 3), (3, 5, 3), (3, 5, 3), (7, 1, 7), (7, 0, 7)])
+
+
+def test_string_ids(spark, document_rows):
+    rows = [(f"d{r[0]:06d}", r[1]) for r in document_rows]
+    want = sorted((f"d{i:06d}", n, f"d{c:06d}") for _, i, n, c in brute([(r[0], r[1]) for r in document_rows]))
+    df = spark.createDataFrame(rows + [(None, "a b c d e")], "doc_id string, text string")
+    assert sorted(tuple(r) for r in jaccard_components(df).collect() if r[0]) == want
+
+
+def test_working_tables_are_removed(spark, documents):
+    import os
+    from curata.session import checkpoint_dir
+    folder = os.path.join(checkpoint_dir(spark), "llm")
+    jaccard_components(documents, width=5, percent=80).count()
+    assert not [f for f in os.listdir(folder) if f.startswith("jaccard-")]
