@@ -1,12 +1,16 @@
 """Dedup keys, keep-first, store anti-joins, name/listing priority, provenance."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.dedup import (dedup_first, dedup_key, dedup_listing_id, dedup_name_priority,
                                dedup_seen, provenance_check)
 from ..operators.enrich import anti_join_store
 from ..operators.sinks import insert_if_absent
+from ..operators.store import commit_batch, read_store
+from ..session import scratch_path
 from .catalog import register
 from .tables import table
 
@@ -113,6 +117,29 @@ def q_insert_if_absent(spark, sf):
     return insert_if_absent(j.drop("o_orderdate"), store, "dedup_key", "ord").select("dedup_key", "o_orderkey")
 
 
+_STORE_SQL = """
+WITH k AS (SELECT event_id, ts, sha256('news:https://news.example.com/u/' || user_id || '/' || (event_id % 100)) AS dedup_key
+           FROM events),
+a AS (SELECT dedup_key, min(event_id) AS event_id, 'first' AS batch_id FROM k WHERE ts < TIMESTAMP '2024-01-16' GROUP BY dedup_key),
+b AS (SELECT dedup_key, min(event_id) AS event_id, 'second' AS batch_id FROM k WHERE ts >= TIMESTAMP '2024-01-10'
+      AND dedup_key NOT IN (SELECT dedup_key FROM a) GROUP BY dedup_key)
+SELECT dedup_key, event_id, batch_id, (SELECT count(*) FROM a) AS saved_first, CAST(0 AS BIGINT) AS saved_again,
+       (SELECT count(*) FROM b) AS saved_second FROM (SELECT * FROM a UNION ALL SELECT * FROM b)"""
+
+
+@register("insert_if_absent_store", _STORE_SQL)
+def q_insert_if_absent_store(spark, sf):
+    """A store that gets one batch twice and an overlapping one: its rows, and what each write saved."""
+    store = scratch_path(spark, f"store_{uuid.uuid4().hex}")
+    news = _event_news(spark, sf).withColumn("ord", F.col("event_id"))
+    day = lambda s: F.lit(s).cast("timestamp_ntz")
+    first = news.filter(F.col("ts") < day("2024-01-16")).withColumn("batch_id", F.lit("first"))
+    second = news.filter(F.col("ts") >= day("2024-01-10")).withColumn("batch_id", F.lit("second"))
+    saved = [commit_batch(first, store, "first"), commit_batch(first, store, "first"), commit_batch(second, store, "second")]
+    return read_store(spark, store).select("dedup_key", "event_id", "batch_id", *(
+        F.lit(n).cast("long").alias(f"saved_{name}") for n, name in zip(saved, ("first", "again", "second"))))
+
+
 def _event_news(spark, sf):
     e = table(spark, sf, "events")
     url = F.concat(F.lit("https://news.example.com/u/"), F.col("user_id").cast("string"), F.lit("/"),
