@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import LEGAL_SUFFIXES, normalize_name
 from ..operators.enrich import attach_canonical
+from ..operators.fuzzy_join import resolve_with_tables
 from ..operators.resolve import KNOWN_ALIASES, SEED_ENTITIES, count_matches, mapping_log, resolve_entities
 from ..sources.payloads import scan_jobs_json
 from .catalog import register
@@ -118,6 +119,26 @@ def q_resolve_entities(spark, sf):
     return _resolved(spark, sf).select("custkey", "canonical_name", "match_method", "confidence")
 
 
+def _lookup_tables(spark):
+    """The fixed seeds and aliases as tables."""
+    return (spark.createDataFrame(list(enumerate(SEED_ENTITIES)), "seed_pos int, seed string"),
+            spark.createDataFrame(list(KNOWN_ALIASES.items()), "alias string, canonical string"))
+
+
+@register("resolve_entities_tables", f"SELECT custkey, canonical_name, match_method, confidence FROM ({JOINED})")
+def q_resolve_entities_tables(spark, sf):
+    """The same resolution with seeds and aliases as tables, by the similarity join."""
+    r = resolve_with_tables(_names(spark, sf), "raw_name", *_lookup_tables(spark))
+    return r.select("custkey", "canonical_name", "match_method", "confidence")
+
+
+@register("match_fuzzy_tables", f"SELECT custkey, canonical_name, confidence FROM ({JOINED}) WHERE match_method = 'FUZZY'")
+def q_match_fuzzy_tables(spark, sf):
+    """The fuzzy matches alone, by the similarity join; unmatched names are not scored."""
+    r = resolve_with_tables(_names(spark, sf), "raw_name", *_lookup_tables(spark), score_unresolved=False)
+    return r.filter(F.col("match_method") == "FUZZY").select("custkey", "canonical_name", "confidence")
+
+
 @register("mapping_log", f"SELECT raw_name, canonical_name, match_method, confidence, source_url, "
                          f"'{LOG_TS}' AS timestamp FROM ({JOINED})")
 def q_mapping_log(spark, sf):
