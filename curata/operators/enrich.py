@@ -6,7 +6,7 @@ snapshot or page table that grows with the data falls back to a shuffle join.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import PRODUCT_URL_PREFIX, parse_owner_repo
@@ -51,7 +51,7 @@ def enrich_readme(products: DataFrame, readmes: DataFrame, needs: str = "needs_e
     A readme landed several times counts once (its latest copy), so the row count never changes.
     Rows that need nothing go around the join.
     """
-    r = _latest(readmes, "listing_id", "readme", fetched_at).filter(F.length("readme") > README_MIN_CHARS) \
+    r = filter_content(_latest(readmes, "listing_id", "readme", fetched_at), "readme", README_MIN_CHARS) \
         .select(F.col("listing_id").alias("_lid"), F.col("readme"))
     p = products.drop("readme")
     need = F.coalesce(F.col(needs), F.lit(False)) if needs in products.columns else F.lit(True)
@@ -59,6 +59,16 @@ def enrich_readme(products: DataFrame, readmes: DataFrame, needs: str = "needs_e
     return joined.unionByName(p.filter(~need).withColumn("readme", F.lit(None).cast("string")))
 
 
+def has_content(text, min_chars: int = ARTICLE_MIN_CHARS) -> Column:
+    """More than ``min_chars`` characters; a null text has none."""
+    return F.coalesce(F.length(text) > min_chars, F.lit(False))
+
+
+def filter_content(df: DataFrame, text: str = "content", min_chars: int = ARTICLE_MIN_CHARS) -> DataFrame:
+    """Rows whose text is long enough to be content."""
+    return df.filter(has_content(text, min_chars))
+
+
 def enrich_article(news: DataFrame, pages: DataFrame, url: str = "article_url",
                    fetched_at: str = "fetched_at") -> DataFrame:
     """news ⟕ pages(url, html): content = article text if > 100 chars, else summary.
@@ -75,10 +85,10 @@ def enrich_article(news: DataFrame, pages: DataFrame, url: str = "article_url",
     pg = _latest(pg, "_url", "_html", fetched_at)
     texts = pg.select("_url", article_text(F.col("_html")).alias("_text"))
     j = news.join(texts, news[url] == texts["_url"], "left")
-    content = F.when(F.length("_text") > ARTICLE_MIN_CHARS, F.col("_text")).otherwise(F.col("summary"))
+    content = F.when(has_content("_text"), F.col("_text")).otherwise(F.col("summary"))
     cols = [c for c in news.columns if c != "content"]
     return j.select(*cols, content.alias("content"),
-                    F.coalesce(F.length("_text") > ARTICLE_MIN_CHARS, F.lit(False)).alias("content_enriched"))
+                    has_content("_text").alias("content_enriched"))
 
 
 def attach_canonical(df: DataFrame, name: str, out: str, resolved: DataFrame | None = None) -> DataFrame:

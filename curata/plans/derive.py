@@ -2,8 +2,10 @@
 
 Each derivation is deterministic in the row ids, so an oracle can state the
 expected answer from the original columns without re-implementing a parser.
-Formats are *chosen* by id arithmetic, and so are missing ids and names and failed pages:
-the scans drop those rows, in the column queries that read these payloads too.
+Formats are *chosen* by id arithmetic, and so are missing ids and names and failed pages,
+whose rows the scans drop.  Those are for the queries about scans, filters and jobs; with
+``complete`` every row of the table gets a record that its scan keeps, for the queries
+about columns.
 """
 from __future__ import annotations
 
@@ -79,8 +81,9 @@ def _payload(df: DataFrame, kind: str, source_name, url, status=None, rank=None)
                      F.col("page").cast("long").alias("page"))
 
 
-def atom_paper_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders -> Atom pages of 8 entries.  Orders with key % 11 == 0 lack <id>."""
+def atom_paper_payloads(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
+    """orders -> Atom pages of 8 entries.  Orders with key % 11 == 0 lack <id> (``complete``: have
+    one that is no web address)."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     ks = k.cast("string")
@@ -90,7 +93,8 @@ def atom_paper_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.lit(")</arxiv:comment>"))).otherwise(F.lit(""))
     entry = F.concat(
         F.lit("<entry>"),
-        F.when(k % 11 != 0, F.concat(F.lit("<id>http://arxiv.example.org/abs/"), ks, F.lit("</id>"))).otherwise(F.lit("")),
+        F.when(k % 11 != 0, F.concat(F.lit("<id>http://arxiv.example.org/abs/"), ks, F.lit("</id>"))).otherwise(
+            F.concat(F.lit("<id>urn:paper:"), ks, F.lit("</id>")) if complete else F.lit("")),
         F.lit("<title>  Paper "), F.col("o_orderpriority"), F.lit("\n   on\t "), F.col("o_orderstatus"), F.lit("  </title>"),
         F.lit("<published>"), F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         F.lit("</published>"),
@@ -106,9 +110,9 @@ def atom_paper_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("https://export.arxiv.example.org/api/query?page="), F.col("page").cast("string")))
 
 
-def news_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news_feed_payloads(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
     """events -> RSS (even pages) / Atom (odd pages) feeds of 16 items, one source per
-    event type.  Every 7th page of a source failed to fetch (status 503)."""
+    event type.  Every 7th page of a source failed to fetch (status 503; ``complete``: none did)."""
     d = raw_dates(spark, sf_dir)
     eid = F.col("event_id").cast("string")
     link = F.concat(F.lit("https://news.example.com/"), F.col("event_type"), F.lit("/"), F.col("user_id").cast("string"))
@@ -132,7 +136,7 @@ def news_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  '<title>feed</title>'), inner, F.lit("</channel></rss>"))) \
             .otherwise(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), inner, F.lit("</feed>")))
     rank = F.array_position(F.array(*[F.lit(s) for s in NEWS_SOURCES]), F.col("event_type")) - 1
-    status = F.when(F.col("page") % 7 == 3, F.lit(503)).otherwise(F.lit(200))
+    status = F.lit(200) if complete else F.when(F.col("page") % 7 == 3, F.lit(503)).otherwise(F.lit(200))
     out = g.select("event_type", F.col("pg").alias("page"), body.alias("body"))
     return _payload(out, "news_feed", F.col("event_type"),
                     F.concat(F.lit("https://news.example.com/"), F.col("event_type"), F.lit("/feed?page="),
@@ -181,13 +185,15 @@ def _jobj(*pairs) -> "F.Column":
     return F.concat(F.lit("{"), F.concat_ws(",", *frags), F.lit("}"))
 
 
-def job_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders -> job API pages of 8 (list bodies on even pages, {"jobs": [...]} on odd)."""
+def job_json_payloads(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
+    """orders -> job API pages of 8 (list bodies on even pages, {"jobs": [...]} on odd).  Every 13th
+    has no company (``complete``: none)."""
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     role = F.element_at(F.array(*[F.lit(r) for r in ROLE_TITLES]), (k % len(ROLE_TITLES) + 1).cast("int"))
     note = F.element_at(F.array(*[F.lit(r) for r in ROLE_NOTES]), (k % len(ROLE_NOTES) + 1).cast("int"))
-    company = F.when(k % 13 == 0, F.lit("")).otherwise(company_name(F.col("o_custkey")))
+    company = company_name(F.col("o_custkey"))
+    company = company if complete else F.when(k % 13 == 0, F.lit("")).otherwise(company)
     url = F.concat(F.lit("https://jobs.example.com/o/"), k.cast("string"))
     date = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     loc = F.when(k % 3 == 0, F.lit("Berlin")).when(k % 3 == 1, F.lit(""))
@@ -235,12 +241,13 @@ def job_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("https://jobs.example.com/feed?page="), F.col("page").cast("string")))
 
 
-def startup_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> company-directory JSON pages of 8 objects with mixed field types."""
+def startup_payloads(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
+    """customer -> company-directory JSON pages of 8 objects with mixed field types.  Every 17th
+    has no name (``complete``: none)."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     ks = k.cast("string")
-    name = F.when(k % 17 == 0, F.lit("")).otherwise(company_name(k))
+    name = company_name(k) if complete else F.when(k % 17 == 0, F.lit("")).otherwise(company_name(k))
     website = F.when(k % 3 == 0, F.concat(F.lit("https://c"), ks, F.lit(".example.com"))).when(k % 3 == 1, F.lit(""))
     one = F.when(k % 4 == 0, F.concat(F.lit("One liner "), F.col("c_mktsegment"))).when(k % 4 == 1, F.lit(""))
     long_d = F.when(k % 5 == 0, F.repeat(F.concat(F.lit("Long text "), F.col("c_name"), F.lit(" ")), 20)) \
@@ -268,15 +275,19 @@ def startup_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("https://directory.example.com/api/tag?page="), F.col("page").cast("string")))
 
 
-def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part -> app-listing JSON pages of 8 objects."""
+def product_payloads(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
+    """part -> app-listing JSON pages of 8 objects.  Some lack an owner or likes (``complete``: none)."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     ks = k.cast("string")
     owner = F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")))
     lname = F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("-"), (k % 97).cast("string"))
-    lid = F.when(k % 10 == 0, F.concat(F.lit("noslash"), ks)).otherwise(F.concat(owner, F.lit("/"), lname))
-    likes = F.when(k % 4 != 0, F.col("p_size").cast("string"))
+    lid, likes = F.concat(owner, F.lit("/"), lname), F.col("p_size")
+    if complete:
+        likes = (likes + 3).cast("string")
+    else:
+        lid = F.when(k % 10 == 0, F.concat(F.lit("noslash"), ks)).otherwise(lid)
+        likes = F.when(k % 4 != 0, likes.cast("string"))
     sdk = F.when(k % 3 == 0, F.lit("gradio")).when(k % 3 == 1, F.lit("streamlit"))
     tags = (F.when(k % 5 == 0, F.lit("[]")).when(k % 5 == 1, F.lit(None))
              .otherwise(F.to_json(F.array(F.col("p_type"), F.lit("t1"), F.lit("t2"), F.lit("t3"), F.lit("t4"), F.lit("t5")))))

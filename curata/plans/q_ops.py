@@ -12,11 +12,13 @@ from ..operators.reports import (coverage_report, pricing_breakdown, source_brea
                                  table_counts)
 from ..operators.sinks import append_mapping_log, export_tab
 from ..session import scratch_path
-from ..sources.payloads import scan_papers_atom, scan_products_json, scan_table
+from ..operators.enrich import enrich_stars
+from ..operators.validate import with_violations
+from ..sources.payloads import scan_papers_atom, scan_products_json, scan_stars_json, scan_table
 from .catalog import register
-from .derive import atom_paper_payloads, product_payloads
+from .derive import atom_paper_payloads, product_payloads, star_payloads
 from .q_resolve import JOINED as RESOLVED_SQL, _resolved, LOG_TS
-from .q_scans import PAPERS_SQL, PRODUCTS_SQL
+from .q_scans import ALL_PAPERS_SQL, ALL_PRODUCTS_SQL
 from .tables import TABLES, table
 
 
@@ -113,22 +115,26 @@ def q_source_samples(spark, sf):
 
 @register("pricing_breakdown", """
 WITH e AS (SELECT * FROM (VALUES ('FREE'), ('FREEMIUM'), ('PAID'), ('ENTERPRISE'), ('UNKNOWN')) t(pricing_type)),
-p AS (""" + PRODUCTS_SQL + """)
+p AS (""" + ALL_PRODUCTS_SQL + """)
 SELECT e.pricing_type, CAST(count(p.partkey) AS BIGINT) AS records FROM e LEFT JOIN p ON e.pricing_type = p.pricing_type
 GROUP BY e.pricing_type""")
 def q_pricing_breakdown(spark, sf):
-    return pricing_breakdown(scan_products_json(product_payloads(spark, sf)))
+    return pricing_breakdown(scan_products_json(product_payloads(spark, sf, complete=True)))
 
 
 @register("coverage_report", """
-WITH p AS (""" + PAPERS_SQL + """)
-SELECT count(*) AS discovered, count(*) AS valid, count(DISTINCT sha256('paper:' || lower(paper_url))) AS unique_keys,
+WITH p AS (""" + ALL_PAPERS_SQL.replace("SELECT CASE", "SELECT o_orderkey, CASE", 1) + """)
+SELECT count(*) AS discovered, count(*) FILTER (WHERE paper_url LIKE 'http://%') AS valid,
+       count(DISTINCT sha256('paper:' || lower(paper_url))) AS unique_keys,
        count(*) FILTER (WHERE github_repository_url IS NOT NULL) AS with_repo,
-       count(*) FILTER (WHERE github_repository_url IS NULL) AS without_repo FROM p""")
+       count(*) FILTER (WHERE github_repository_url IS NULL) AS without_repo,
+       count(*) FILTER (WHERE o_orderkey % 3 = 0 AND o_orderkey % 4 = 0) AS stars_enriched FROM p""")
 def q_coverage_report(spark, sf):
-    p = scan_papers_atom(atom_paper_payloads(spark, sf))
-    p = p.withColumn("dedup_key", dedup_key("paper", paper_url=F.col("paper_url")))
-    return coverage_report(p, "dedup_key", None, "github_repository_url")
+    """Papers of all orders after validation and star enrichment; some have an id that is no web address."""
+    p = with_violations(scan_papers_atom(atom_paper_payloads(spark, sf, complete=True)), "paper")
+    p = p.withColumns({"dedup_key": dedup_key("paper", paper_url=F.col("paper_url")), "is_valid": F.size("violations") == 0})
+    p = enrich_stars(p, scan_stars_json(star_payloads(spark, sf)))
+    return coverage_report(p, "dedup_key", "is_valid", "github_repository_url", "github_stars")
 
 
 @register("table_counts", " UNION ALL ".join(
@@ -139,7 +145,7 @@ def q_table_counts(spark, sf):
 
 
 @register("export_tabs", """
-WITH p AS (""" + PAPERS_SQL.replace("SELECT 'http", "SELECT o_custkey, o_orderkey, 'http") + """)
+WITH p AS (""" + ALL_PAPERS_SQL.replace("SELECT CASE", "SELECT o_custkey, o_orderkey, CASE", 1) + """)
 SELECT sha256('paper:' || lower(paper_url)) AS "ID", title AS "Title",
        '["Author ' || o_custkey || '", "Clerk ' || (o_orderkey % 7) || '"]' AS "Authors",
        paper_url AS "Paper URL", paper_url AS "Source URL", abstract AS "Abstract",
@@ -147,7 +153,7 @@ SELECT sha256('paper:' || lower(paper_url)) AS "ID", title AS "Title",
        '' AS "GitHub Stars", 'arxiv' AS "Source", '""" + LOG_TS + """' AS "Collected At"
 FROM p""")
 def q_export_tabs(spark, sf):
-    p = scan_papers_atom(atom_paper_payloads(spark, sf))
+    p = scan_papers_atom(atom_paper_payloads(spark, sf, complete=True))
     p = (p.withColumn("id", dedup_key("paper", paper_url=F.col("paper_url")))
           .withColumn("collected_at", F.lit(LOG_TS)))
     return export_tab(p, "Research Papers")
@@ -164,9 +170,9 @@ def q_append_mapping_log(spark, sf):
                                           "timestamp")
 
 
-@register("scan_tables", "SELECT paper_url, title FROM (" + PAPERS_SQL + ")")
+@register("scan_tables", "SELECT paper_url, title FROM (" + ALL_PAPERS_SQL + ")")
 def q_scan_tables(spark, sf):
     """Writes the paper table to the shared folder, then full-scans the stored table."""
     path = scratch_path(spark, f"papers_{uuid.uuid4().hex}")
-    scan_papers_atom(atom_paper_payloads(spark, sf)).write.parquet(path)
+    scan_papers_atom(atom_paper_payloads(spark, sf, complete=True)).write.parquet(path)
     return scan_table(spark, path).select("paper_url", "title")

@@ -152,12 +152,12 @@ def q_count_matches(spark, sf):
 
 
 _JOB_NAMES = f"""
-SELECT DISTINCT {company_sql('o_custkey')} AS raw_name FROM orders WHERE o_orderkey % 13 <> 0"""
+SELECT DISTINCT {company_sql('o_custkey')} AS raw_name FROM orders"""
 
 
 @register("attach_canonical", resolve_sql(_JOB_NAMES) + f"""
 SELECT 'https://jobs.example.com/o/' || o_orderkey AS job_url, res.canonical_name AS canonical_company_name
-FROM orders JOIN res ON {company_sql('o_custkey')} = res.raw_name WHERE o_orderkey % 13 <> 0""")
+FROM orders JOIN res ON {company_sql('o_custkey')} = res.raw_name""")
 def q_attach_canonical(spark, sf):
-    jobs = scan_jobs_json(job_json_payloads(spark, sf))
+    jobs = scan_jobs_json(job_json_payloads(spark, sf, complete=True))
     return attach_canonical(jobs, "company_name", "canonical_company_name").select("job_url", "canonical_company_name")

@@ -22,6 +22,9 @@ SELECT 'http://arxiv.example.org/abs/' || o_orderkey AS paper_url,
        CASE WHEN o_orderkey % 3 = 0 THEN 'https://github.com/c' || o_custkey || '/r' || o_orderkey
             WHEN o_orderkey % 5 = 1 THEN 'https://github.com/x/y' || o_orderkey END AS github_repository_url
 FROM orders WHERE o_orderkey % 11 <> 0"""
+#: All orders: the payloads of the column queries.
+ALL_PAPERS_SQL = PAPERS_SQL.replace("'http://arxiv.example.org/abs/' ||", "CASE WHEN o_orderkey % 11 = 0 THEN 'urn:paper:' "
+                                    "ELSE 'http://arxiv.example.org/abs/' END ||").replace(" WHERE o_orderkey % 11 <> 0", "")
 
 
 @register("scan_papers_atom", PAPERS_SQL)
@@ -31,14 +34,14 @@ def q_scan_papers_atom(spark, sf):
                     "publication_date", "github_repository_url")
 
 
-@register("collapse_ws", "SELECT paper_url, title, abstract FROM (" + PAPERS_SQL + ")")
+@register("collapse_ws", "SELECT paper_url, title, abstract FROM (" + ALL_PAPERS_SQL + ")")
 def q_collapse_ws(spark, sf):
-    return scan_papers_atom(atom_paper_payloads(spark, sf)).select("paper_url", "title", "abstract")
+    return scan_papers_atom(atom_paper_payloads(spark, sf, complete=True)).select("paper_url", "title", "abstract")
 
 
-@register("extract_repo_url", "SELECT paper_url, github_repository_url FROM (" + PAPERS_SQL + ")")
+@register("extract_repo_url", "SELECT paper_url, github_repository_url FROM (" + ALL_PAPERS_SQL + ")")
 def q_extract_repo_url(spark, sf):
-    return scan_papers_atom(atom_paper_payloads(spark, sf)).select("paper_url", "github_repository_url")
+    return scan_papers_atom(atom_paper_payloads(spark, sf, complete=True)).select("paper_url", "github_repository_url")
 
 
 @register("paged_limit", "SELECT paper_url, title FROM (" + PAPERS_SQL.replace(
@@ -64,9 +67,9 @@ def q_scan_news_feed(spark, sf):
     return scan_news_feed(p).select("title", "article_url", "author", "summary", "source_name", "source_url")
 
 
-@register("strip_html", "SELECT title, summary FROM (" + NEWS_SQL + ")")
+@register("strip_html", "SELECT title, summary FROM (" + NEWS_SQL.replace(" WHERE (event_id // 16) % 7 <> 3", "") + ")")
 def q_strip_html(spark, sf):
-    return scan_news_feed(news_feed_payloads(spark, sf)).select("title", "summary")
+    return scan_news_feed(news_feed_payloads(spark, sf, complete=True)).select("title", "summary")
 
 
 @register("multi_source_union", "SELECT source_name, count(*) AS records FROM (" + NEWS_SQL + ") GROUP BY source_name")
@@ -83,6 +86,7 @@ SELECT 'https://jobs.example.com/o/' || k AS job_url, {company_sql('c')} AS comp
        {role_family_sql(role_sql('k') + " || ' ' || coalesce(" + note_sql('k') + ", '')")} AS role_family,
        'JobBoardAPI' AS source_name
 FROM o WHERE k % 13 <> 0"""
+ALL_JOBS_JSON_SQL = JOBS_JSON_SQL.replace(" WHERE k % 13 <> 0", "")
 
 
 @register("scan_jobs_json", JOBS_JSON_SQL)
@@ -96,14 +100,14 @@ def q_filter_required(spark, sf):
     return scan_jobs_json(job_json_payloads(spark, sf)).select("job_url")
 
 
-@register("default_location", "SELECT job_url, location FROM (" + JOBS_JSON_SQL + ")")
+@register("default_location", "SELECT job_url, location FROM (" + ALL_JOBS_JSON_SQL + ")")
 def q_default_location(spark, sf):
-    return scan_jobs_json(job_json_payloads(spark, sf)).select("job_url", "location")
+    return scan_jobs_json(job_json_payloads(spark, sf, complete=True)).select("job_url", "location")
 
 
-@register("role_family", "SELECT job_url, role_family FROM (" + JOBS_JSON_SQL + ")")
+@register("role_family", "SELECT job_url, role_family FROM (" + ALL_JOBS_JSON_SQL + ")")
 def q_role_family(spark, sf):
-    return scan_jobs_json(job_json_payloads(spark, sf)).select("job_url", "role_family")
+    return scan_jobs_json(job_json_payloads(spark, sf, complete=True)).select("job_url", "role_family")
 
 
 _LI_ROLE = role_sql("l_partkey")
@@ -143,10 +147,11 @@ SELECT k AS custkey, {company_sql('k')} AS name,
   CASE WHEN k % 7 = 0 THEN 'AI' ELSE 'tag' || (k % 3) || '|ai|' || c_mktsegment END AS categories,
   CASE WHEN k % 2 = 0 THEN c_mktsegment END AS funding_stage
 FROM c WHERE k % 17 <> 0"""
+ALL_STARTUPS_SQL = STARTUPS_SQL.replace(" WHERE k % 17 <> 0", "")
 
 
-def _startups(spark, sf):
-    s = scan_startups_json(startup_payloads(spark, sf))
+def _startups(spark, sf, complete=False):
+    s = scan_startups_json(startup_payloads(spark, sf, complete))
     return s.withColumn("custkey", F.col("ord.page") * 8 + F.col("ord.pos")) \
             .withColumn("categories", F.array_join("categories", "|"))
 
@@ -163,9 +168,9 @@ for _rid, _cols in [("employee_count", ["employee_count"]), ("founding_year", ["
                     ("startup_provenance", ["source_url", "website_url", "headquarters", "funding_stage"])]:
     def _mk(cols):
         def q(spark, sf):
-            return _startups(spark, sf).select("custkey", *cols)
+            return _startups(spark, sf, complete=True).select("custkey", *cols)
         return q
-    register(_rid, f"SELECT custkey, {', '.join(_cols)} FROM (" + STARTUPS_SQL + ")")(_mk(_cols))
+    register(_rid, f"SELECT custkey, {', '.join(_cols)} FROM (" + ALL_STARTUPS_SQL + ")")(_mk(_cols))
 
 
 PRODUCTS_SQL = """
@@ -182,10 +187,11 @@ SELECT k AS partkey, owner || '/' || lname AS listing_id, CAST(p_size AS BIGINT)
   owner AS company_name,
   CASE WHEN k % 5 IN (0, 1) THEN sdk || '|AI' ELSE p_type || '|t1|t2|t3|t4|t5' END AS categories
 FROM p WHERE k % 10 <> 0 AND k % 4 <> 0 AND p_size >= 3"""
+ALL_PRODUCTS_SQL = PRODUCTS_SQL.replace(" WHERE k % 10 <> 0 AND k % 4 <> 0 AND p_size >= 3", "")
 
 
-def _products(spark, sf):
-    p = scan_products_json(product_payloads(spark, sf))
+def _products(spark, sf, complete=False):
+    p = scan_products_json(product_payloads(spark, sf, complete))
     return p.withColumn("partkey", F.col("ord.page") * 8 + F.col("ord.pos")) \
             .withColumn("categories", F.array_join("categories", "|"))
 
@@ -198,11 +204,12 @@ def q_scan_products_json(spark, sf):
 
 for _rid, _cols in [("pricing_from_license", ["pricing_type"]), ("product_description", ["description"]),
                     ("product_categories", ["categories"]), ("filter_engagement", ["likes"])]:
-    def _mk2(cols):
+    def _mk2(cols, complete):
         def q(spark, sf):
-            return _products(spark, sf).select("partkey", *cols)
+            return _products(spark, sf, complete).select("partkey", *cols)
         return q
-    register(_rid, f"SELECT partkey, {', '.join(_cols)} FROM (" + PRODUCTS_SQL + ")")(_mk2(_cols))
+    _all = _rid != "filter_engagement"
+    register(_rid, f"SELECT partkey, {', '.join(_cols)} FROM (" + (ALL_PRODUCTS_SQL if _all else PRODUCTS_SQL) + ")")(_mk2(_cols, _all))
 
 
 @register("scan_stars_json", """

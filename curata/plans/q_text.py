@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chunking import chunk_udf, estimate_tokens
 from ..functions.html import article_text, html_date
-from ..operators.enrich import enrich_article, enrich_readme, enrich_stars
+from ..operators.enrich import enrich_article, enrich_readme, enrich_stars, filter_content
 from ..operators.extract import needs_extraction
 from ..operators.validate import with_violations
 from ..sources.payloads import scan_papers_atom, scan_stars_json
@@ -64,7 +64,7 @@ def q_article_text_pages(spark, sf):
 SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars FROM documents WHERE length(text) > 100""")
 def q_filter_content(spark, sf):
     d = table(spark, sf, "documents")
-    return d.filter(F.length("text") > 100).select("doc_id", F.length("text").cast("long").alias("n_chars"))
+    return filter_content(d, "text").select("doc_id", F.length("text").cast("long").alias("n_chars"))
 
 
 @register("estimate_tokens", """
@@ -176,11 +176,11 @@ def q_needs_extraction(spark, sf):
 
 
 @register("enrich_stars", """
-SELECT 'http://arxiv.example.org/abs/' || o_orderkey AS paper_url,
+SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'urn:paper:' ELSE 'http://arxiv.example.org/abs/' END || o_orderkey AS paper_url,
        CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 4 = 0 THEN CAST(o_orderkey % 5000 AS INTEGER) END AS github_stars
-FROM orders WHERE o_orderkey % 11 <> 0""")
+FROM orders""")
 def q_enrich_stars(spark, sf):
-    papers = scan_papers_atom(atom_paper_payloads(spark, sf))
+    papers = scan_papers_atom(atom_paper_payloads(spark, sf, complete=True))
     stars = scan_stars_json(star_payloads(spark, sf))
     return enrich_stars(papers, stars).select("paper_url", "github_stars")
 

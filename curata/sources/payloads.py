@@ -267,7 +267,7 @@ def _vtype(path: str) -> Column:
 
 def scan_jobs_json(payloads: DataFrame, kind: str = "jobs_json") -> DataFrame:
     """JSON list (or {jobs: [...]}) -> job rows; rows missing company/position/url dropped."""
-    from ..functions.rules import DEFAULT_LOCATION, role_family
+    from ..functions.rules import default_location, role_family
     it = _json_items(payloads, kind, list_key="jobs")
     company = blank_to_null(_vs("company"))
     position = py_or(_vs("position"), _vs("title"))
@@ -276,7 +276,7 @@ def scan_jobs_json(payloads: DataFrame, kind: str = "jobs_json") -> DataFrame:
     desc = _vs("description")
     rows = it.select(_ord(F.col("pos")).alias("ord"), company.alias("company_name"),
                      position.alias("role_title"), url.alias("job_url"),
-                     F.coalesce(blank_to_null(_vs("location")), F.lit(DEFAULT_LOCATION)).alias("location"),
+                     default_location(_vs("location")).alias("location"),
                      F.lit(True).alias("is_remote"), desc.alias("description"),
                      date.alias("pub_date_raw"), "source_name", F.col("url").alias("source_url"))
     rows = rows.filter(F.col("company_name").isNotNull() & F.col("role_title").isNotNull() & F.col("job_url").isNotNull())
