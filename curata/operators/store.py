@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -82,17 +83,20 @@ def _write(df: DataFrame, store: str, partition_by: list[str]) -> tuple[str, int
 
 
 def commit_batch(incoming: DataFrame, store: str, batch_id: str, key: str = "dedup_key", order: str = "ord",
-                 partition_by: list[str] | None = None) -> int:
+                 partition_by: list[str] | None = None, finish: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Store the first row (by ``order``) of every key of ``incoming`` that the store lacks, as batch
     ``batch_id``; returns the number of rows this call saved: 0 if the batch is there already.
 
-    ``incoming`` is evaluated once.  Of the stored rows only the key column is read.
+    ``finish`` adds what only new rows need (texts, names, ids) before they are written.  ``incoming``
+    is evaluated once.  Of the stored rows only the key column is read.
     """
     spark = incoming.sparkSession
     seen = _records(spark, store)
     if any(r["batch_id"] == batch_id for r in seen):
         return 0
-    attempt, keys = _write(insert_if_absent(incoming, _attempts(spark, store, seen), key, order), store, partition_by or [])
+    new = insert_if_absent(incoming, _attempts(spark, store, seen), key, order)
+    new = finish(new) if finish else new
+    attempt, keys = _write(new, store, partition_by or [])
     while True:
         version = seen[-1]["version"] + 1 if seen else 0
         if _claim(spark, store, {"version": version, "batch_id": batch_id, "attempt": attempt, "keys": keys}):
@@ -103,7 +107,7 @@ def commit_batch(incoming: DataFrame, store: str, batch_id: str, key: str = "ded
         if any(r["batch_id"] == batch_id for r in later):  # the other writer stored this very batch
             attempt, keys = "", 0
         elif keys and (taken := _attempts(spark, store, later)) is not None:
-            mine = spark.read.schema(incoming.schema).parquet(lost)
+            mine = spark.read.schema(new.schema).parquet(lost)
             attempt, keys = _write(mine.join(taken.select(key), key, "left_anti").select(*mine.columns), store, partition_by or [])
         else:
             continue

@@ -33,7 +33,8 @@ def _keep(stages: dict | None, **frames) -> None:
         stages.update(frames)
 
 
-def _finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str | None) -> DataFrame:
+def finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str | None) -> DataFrame:
+    """Rows that ``store`` lacks, with id, collected_at and record_type."""
     out = df if store is None else dedup_seen(df, store, "dedup_key")
     # collected_at: the caller's run timestamp, else the query's own (one value per query)
     ts = F.lit(collected_at) if collected_at else iso_utc_string(F.current_timestamp())
@@ -60,7 +61,7 @@ def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, stor
     unique = dedup_first(keyed, "dedup_key", "ord")
     if repo_payloads is not None:
         unique = enrich_stars(unique, scan_stars_json(repo_payloads))
-    return _finish(unique, "paper", store, collected_at)
+    return finish(unique, "paper", store, collected_at)
 
 
 def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=None,
@@ -78,7 +79,7 @@ def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=
     s = s.withColumn("extraction_status", needs_extraction("startup", raw_text="description"))
     if providers:
         s = _extract_and_merge(s, "startup", "description", providers, merge_startup)
-    return _finish(s, "startup", store, collected_at)
+    return finish(s, "startup", store, collected_at)
 
 
 def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: DataFrame | None = None,
@@ -106,7 +107,7 @@ def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: D
     k = k.withColumn("extraction_status", needs_extraction("product", raw_text="readme")).drop("needs_extraction")
     if providers:
         k = _extract_and_merge(k, "product", "readme", providers, merge_product)
-    return _finish(k, "product", store, collected_at)
+    return finish(k, "product", store, collected_at)
 
 
 def product_company_log(payloads: DataFrame) -> DataFrame:
@@ -115,27 +116,37 @@ def product_company_log(payloads: DataFrame) -> DataFrame:
     return resolve_names(p.filter(F.col("company_name") != ""), "company_name")
 
 
-def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
-             providers=None, max_age_hours: float = 24.0, collected_at: str | None = None, checkpoint: bool = False,
-             stages: dict | None = None) -> DataFrame:
-    n = with_freshness(scan_news_feed(payloads, html_text=False), "pub_date_raw", reference_time, max_age_hours,
-                       out="fresh")
-    n = cut_lineage(n, checkpoint)
-    _keep(stages, stale=n.filter(F.col("fresh.verdict") == "STALE"))
-    n = n.filter(F.col("fresh.is_fresh"))
-    n = n.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
-                       "published_at": F.col("fresh.published_at"),
-                       "freshness_verified": F.lit(True)}).drop("fresh")
+def _fresh_rows(df: DataFrame, reference_time, max_age_hours: float, checkpoint: bool, stages: dict | None) -> DataFrame:
+    f = cut_lineage(with_freshness(df, "pub_date_raw", reference_time, max_age_hours, out="fresh"), checkpoint)
+    _keep(stages, stale=f.filter(F.col("fresh.verdict") == "STALE"))
+    return f.filter(F.col("fresh.is_fresh")).withColumns(
+        {"publication_date": iso_utc_string(F.col("fresh.published_at")), "published_at": F.col("fresh.published_at"),
+         "freshness_verified": F.lit(True)}).drop("fresh")
+
+
+def news_candidates(payloads: DataFrame, reference_time, max_age_hours: float = 24.0, checkpoint: bool = False,
+                    stages: dict | None = None) -> DataFrame:
+    """Fresh, valid news rows with their dedup_key, repeats included (batch or stream)."""
+    n = _fresh_rows(scan_news_feed(payloads, html_text=False), reference_time, max_age_hours, checkpoint, stages)
     valid, _rejected = validate_entities(n, "news")
     _keep(stages, discovered=n, rejected=_rejected)
-    k = valid.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
-    k = news_text(dedup_first(k, "dedup_key", "ord"))  # dedup before the Python step and the page join
+    return valid.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
+
+
+def news_details(unique: DataFrame, pages: DataFrame | None = None, providers=None) -> DataFrame:
+    """What one row per key still needs: texts, article pages, extraction (Python steps)."""
+    k = news_text(unique)
     if pages is not None:
         k = enrich_article(k, pages, "article_url")
     k = k.withColumn("extraction_status", needs_extraction("news", raw_text="content"))
-    if providers:
-        k = _extract_and_merge(k, "news", "content", providers, merge_news)
-    return _finish(k, "news", store, collected_at)
+    return _extract_and_merge(k, "news", "content", providers, merge_news) if providers else k
+
+
+def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
+             providers=None, max_age_hours: float = 24.0, collected_at: str | None = None, checkpoint: bool = False,
+             stages: dict | None = None) -> DataFrame:
+    k = dedup_first(news_candidates(payloads, reference_time, max_age_hours, checkpoint, stages), "dedup_key", "ord")
+    return finish(news_details(k, pages, providers), "news", store, collected_at)
 
 
 def _ranked(jobs: DataFrame, kind_rank: int) -> DataFrame:
@@ -144,33 +155,36 @@ def _ranked(jobs: DataFrame, kind_rank: int) -> DataFrame:
                                            "source_name", "source_url"))
 
 
-def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
-             store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str | None = None,
-             checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
+def job_candidates(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
+                   max_age_hours: float = 24.0, checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
+    """Fresh, valid job rows with their dedup_key, repeats included (batch or stream)."""
     j = _ranked(scan_jobs_json(json_payloads), 0).withColumn("desc_raw", F.lit(None).cast("string"))
     if feed_payloads is not None:
         j = j.unionByName(_ranked(scan_jobs_feed(feed_payloads, html_text=False), 1), allowMissingColumns=True)
-    j = with_freshness(j, "pub_date_raw", reference_time, max_age_hours, out="fresh")
-    j = cut_lineage(j, checkpoint)
-    _keep(stages, stale=j.filter(F.col("fresh.verdict") == "STALE"))
-    j = j.filter(F.col("fresh.is_fresh"))
-    j = j.withColumns({"publication_date": iso_utc_string(F.col("fresh.published_at")),
-                       "published_at": F.col("fresh.published_at"),
-                       "freshness_verified": F.lit(True)}).drop("fresh")
+    j = _fresh_rows(j, reference_time, max_age_hours, checkpoint, stages)
     if stages is not None:
         log = attach_canonical(j.select("company_name"), "company_name", "_canonical")
         _keep(stages, discovered=j, resolutions=log.select(F.col("_canonical_method").alias("match_method")))
     valid, _rejected = validate_entities(j, "job")
     _keep(stages, rejected=_rejected)
-    k = valid.withColumn("dedup_key", dedup_key("job", company_name=F.col("company_name"),
-                                                role_title=F.col("role_title"), job_url=F.col("job_url")))
+    return valid.withColumn("dedup_key", dedup_key("job", company_name=F.col("company_name"),
+                                                   role_title=F.col("role_title"), job_url=F.col("job_url")))
+
+
+def job_details(unique: DataFrame) -> DataFrame:
+    """Canonical company and description of one row per key."""
     # the key does not use the canonical name, so names are resolved on the rows that stay
-    k = attach_canonical(dedup_first(k, "dedup_key", "ord"), "company_name", "canonical_company_name") \
-        .drop("canonical_company_name_method")
+    k = attach_canonical(unique, "company_name", "canonical_company_name").drop("canonical_company_name_method")
     # JSON items carry a plain description; feed items get their tags stripped now (fewer rows)
-    k = job_text(k.withColumn("_plain", F.col("description"))).withColumn(
+    return job_text(k.withColumn("_plain", F.col("description"))).withColumn(
         "description", F.when(F.col("_plain").isNotNull(), F.col("_plain")).otherwise(F.col("description"))).drop("_plain")
-    return _finish(k, "job", store, collected_at)
+
+
+def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, reference_time,
+             store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str | None = None,
+             checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
+    k = job_candidates(json_payloads, feed_payloads, reference_time, max_age_hours, checkpoint, stages)
+    return finish(job_details(dedup_first(k, "dedup_key", "ord")), "job", store, collected_at)
 
 
 def job_export(tables: dict[str, DataFrame], target_dir: str | None = None) -> DataFrame:

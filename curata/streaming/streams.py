@@ -1,82 +1,64 @@
-"""Streaming news / jobs: landed payload files -> fresh, de-duplicated store rows.
-
-The stream reads payload files (Parquet, payload schema) with a file source,
-applies the same parse and freshness columns as the batch jobs, and inserts
-through ``foreachBatch``: keep-first per key inside the micro-batch, anti-join
-against the stored keys, append.  Re-running a micro-batch after a failure is
-idempotent (keys written by the failed attempt are found in the store), and the
-store anti-join also covers duplicates across restarts.  The reference time is
-the micro-batch time unless a fixed one is given.  Future-dated rows are
-rejected by the verdict before anything is stored, so a bad clock in a feed
-cannot move results.
+"""Streaming news / jobs: landed payload files -> the rows the batch jobs store, in the same store.
+
+The stream reads payload files (Parquet, payload schema) and applies the batch jobs' own parse,
+freshness, validation and key rules.  A record that is landed again within the freshness window is
+dropped by the state store (``dropDuplicatesWithinWatermark`` on the key and the record's place).
+Each micro-batch is committed as one batch of the store: first row per key, minus the stored keys,
+finished as the batch jobs finish theirs.  A micro-batch that runs again after a failure has the id
+of its first run, so it saves nothing twice; a stream started anew without its checkpoint has another
+id and finds the stored keys.
+
+The reference time is the micro-batch's unless a fixed one is given.  Future-dated rows are
+rejected by the verdict before the watermark sees them, so a bad clock in a feed cannot move it.
+Of one key the first to arrive is stored; the batch job takes the first in source, page and place.
 """
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import iso_utc_string, with_freshness
-from ..operators.dedup import dedup_first, dedup_key
-from ..operators.sinks import read_store
+from ..operators.store import commit_batch
+from ..plans.jobs import finish, job_candidates, job_details, news_candidates, news_details
 from ..schemas import PAYLOAD
-from ..sources.payloads import scan_jobs_feed, scan_jobs_json, scan_news_feed
-
-
-def _store_keys(spark: SparkSession, store_path: str):
-    store = read_store(spark, store_path)
-    return None if store is None else store.select("dedup_key")
 
 
-def _sink(store_path: str, order: str = "ord"):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = dedup_first(batch, "dedup_key", order)
-        stored = _store_keys(spark, store_path)
-        new = first if stored is None else first.join(stored, "dedup_key", "left_anti")
-        new.write.mode("append").parquet(store_path)
-    return write
-
-
-def _fresh(df: DataFrame, reference_time, max_age_hours: float) -> DataFrame:
-    ref = reference_time if reference_time is not None else F.current_timestamp()
-    f = with_freshness(df, "pub_date_raw", ref, max_age_hours, out="fresh").filter(F.col("fresh.is_fresh"))
-    return (f.withColumn("publication_date", iso_utc_string(F.col("fresh.published_at")))
-             .withColumn("published_at", F.col("fresh.published_at"))
-             .withColumn("freshness_verified", F.lit(True)).drop("fresh"))
-
-
-def _early_dedup(df: DataFrame, max_age_hours: float) -> DataFrame:
-    """Optional stateful pre-dedup: drop keys already seen within the freshness
-    horizon (+5 min skew).  Future-dated rows are already rejected, so they cannot
-    advance the watermark.  Within one micro-batch the surviving row is not chosen
-    by ``ord``; the exact keep-first happens in the sink."""
+def _first_landing(df: DataFrame, max_age_hours: float) -> DataFrame:
+    """Drops records landed before, within the freshness horizon and five minutes of clock skew."""
     delay = f"{int(max_age_hours * 60) + 5} minutes"
-    return df.withWatermark("published_at", delay).dropDuplicatesWithinWatermark(["dedup_key"])
+    return df.withWatermark("published_at", delay).dropDuplicatesWithinWatermark(["dedup_key", "ord"])
 
 
-def _start(df: DataFrame, store_path: str, checkpoint: str, available_now: bool, name: str):
-    w = df.writeStream.foreachBatch(_sink(store_path)).option("checkpointLocation", checkpoint).queryName(name)
+def _start(rows: DataFrame, entity: str, details: Callable[[DataFrame], DataFrame], store_path: str, checkpoint: str,
+           available_now: bool, collected_at: str | None):
+    query, started = [], threading.Event()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        # the id of the query lives in its checkpoint: a restart goes on with the same one
+        commit_batch(batch, store_path, f"{query[0].id}/{batch_id}",
+                     finish=lambda new: finish(details(new), entity, None, collected_at))
+    w = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"stream_{entity}")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    query.append(w.start())
+    started.set()
+    return query[0]
 
 
 def stream_news(spark: SparkSession, payload_dir: str, store_path: str, checkpoint: str, reference_time=None,
-                max_age_hours: float = 24.0, available_now: bool = True, early_dedup: bool = False):
-    src = spark.readStream.schema(PAYLOAD).parquet(payload_dir)
-    n = _fresh(scan_news_feed(src), reference_time, max_age_hours)
-    n = n.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
-    if early_dedup:
-        n = _early_dedup(n, max_age_hours)
-    return _start(n, store_path, checkpoint, available_now, "stream_news")
+                max_age_hours: float = 24.0, available_now: bool = True, pages: DataFrame | None = None,
+                collected_at: str | None = None):
+    ref = reference_time if reference_time is not None else F.current_timestamp()
+    rows = news_candidates(spark.readStream.schema(PAYLOAD).parquet(payload_dir), ref, max_age_hours)
+    return _start(_first_landing(rows, max_age_hours), "news", lambda new: news_details(new, pages), store_path, checkpoint,
+                  available_now, collected_at)
 
 
 def stream_jobs(spark: SparkSession, payload_dir: str, store_path: str, checkpoint: str, reference_time=None,
-                max_age_hours: float = 24.0, available_now: bool = True, early_dedup: bool = False):
+                max_age_hours: float = 24.0, available_now: bool = True, collected_at: str | None = None):
+    ref = reference_time if reference_time is not None else F.current_timestamp()
     src = spark.readStream.schema(PAYLOAD).parquet(payload_dir)
-    j = scan_jobs_json(src).unionByName(scan_jobs_feed(src))
-    j = _fresh(j, reference_time, max_age_hours)
-    j = j.withColumn("dedup_key", dedup_key("job", company_name=F.col("company_name"),
-                                            role_title=F.col("role_title"), job_url=F.col("job_url")))
-    if early_dedup:
-        j = _early_dedup(j, max_age_hours)
-    return _start(j, store_path, checkpoint, available_now, "stream_jobs")
+    rows = job_candidates(src, src, ref, max_age_hours)
+    return _start(_first_landing(rows, max_age_hours), "job", job_details, store_path, checkpoint, available_now, collected_at)

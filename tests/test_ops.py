@@ -126,7 +126,7 @@ def test_chunks_keep_order_budget_and_overlap():
         assert split_chunks(text, 1500, 1000, overlap, first_only=True) == chunks[:1]
 
 
-def test_stream_early_dedup_and_checkpointed_job(spark):
+def test_stream_and_checkpointed_job(spark):
     import os
     import uuid
     sf = "/root/testdata/sf0.001"
@@ -136,12 +136,13 @@ def test_stream_early_dedup_and_checkpointed_job(spark):
     from curata.plans.jobs import job_news
     from curata.plans.q_stream import _land
     from curata.session import scratch_path
+    from curata.operators.store import read_store
     from curata.streaming.streams import stream_news
     base = scratch_path(spark, f"t_{uuid.uuid4().hex}")
     _land(news_feed_payloads(spark, sf), f"{base}/p")
-    q = stream_news(spark, f"{base}/p", f"{base}/s", f"{base}/c", REFERENCE_TIME, early_dedup=True)
+    q = stream_news(spark, f"{base}/p", f"{base}/s", f"{base}/c", REFERENCE_TIME)
     q.awaitTermination()
-    streamed = {r.dedup_key for r in spark.read.parquet(f"{base}/s").select("dedup_key").collect()}
+    streamed = {r.dedup_key for r in read_store(spark, f"{base}/s").select("dedup_key").collect()}
     batch = job_news(news_feed_payloads(spark, sf), REFERENCE_TIME, checkpoint=True)
     assert streamed == {r.dedup_key for r in batch.select("dedup_key").collect()}
 
@@ -212,14 +213,15 @@ def test_stream_restart_without_state_inserts_nothing_twice(spark):
     from curata.plans.derive import REFERENCE_TIME, news_feed_payloads
     from curata.plans.q_stream import _land
     from curata.session import scratch_path
+    from curata.operators.store import read_store
     from curata.streaming.streams import stream_news
     base = scratch_path(spark, f"t_{uuid.uuid4().hex}")
     _land(news_feed_payloads(spark, sf), f"{base}/p")
     stream_news(spark, f"{base}/p", f"{base}/s", f"{base}/c1", REFERENCE_TIME).awaitTermination()
-    first = spark.read.parquet(f"{base}/s").count()
+    first = read_store(spark, f"{base}/s").count()
     # same files, lost checkpoint: everything is re-read, nothing is inserted again
     stream_news(spark, f"{base}/p", f"{base}/s", f"{base}/c2", REFERENCE_TIME).awaitTermination()
-    again = spark.read.parquet(f"{base}/s")
+    again = read_store(spark, f"{base}/s")
     assert first > 0 and again.count() == first
     assert again.select("dedup_key").distinct().count() == first
 
