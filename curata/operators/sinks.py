@@ -47,6 +47,7 @@ TAB_COLUMNS = {
                            ("Timestamp", "timestamp", "raw")],
 }
 # ---------------------------------------------------------------------------
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def py_json_list(c: Column) -> Column:
@@ -87,11 +88,46 @@ def export_tab(df: DataFrame, tab: str) -> DataFrame:
 
 
 def export_tabs(tables: dict[str, DataFrame], target_dir: str | None = None) -> dict[str, DataFrame]:
-    """Project every tab; with ``target_dir`` replace one CSV folder per tab."""
+    """Project every tab; with ``target_dir`` replace one CSV folder per tab (one after the other: see
+    :func:`publish_tabs`).  Values keep their white space, quotes and line ends."""
     out = {tab: export_tab(df, tab) for tab, df in tables.items()}
     if target_dir:
         for tab, df in out.items():
-            df.write.mode("overwrite").option("header", True).csv(f"{target_dir}/{tab.replace(' ', '_')}")
+            df.write.mode("overwrite").options(**_CSV).csv(f"{target_dir}/{_tab_folder(tab)}")
+    return out
+
+
+def _tab_folder(tab: str) -> str:
+    return tab.replace(" ", "_")
+
+
+def publish_tabs(tables: dict[str, DataFrame], target_dir: str) -> None:
+    """Replace the export at ``target_dir``, all tabs as one.
+
+    The tabs are written to a folder of their own, and one commit record at the end makes it the
+    current version (see :mod:`.store`): readers see all old tabs or all new ones, and a write
+    that fails leaves the old version.
+    """
+    from .store import new_version
+    new_version(next(iter(tables.values())).sparkSession, target_dir, lambda folder: export_tabs(tables, folder))
+
+
+def read_export(spark: SparkSession, target_dir: str) -> dict[str, DataFrame]:
+    """The tabs that :func:`publish_tabs` wrote last, all values text ("" where a tab has none)."""
+    from .store import current_version
+    folder = current_version(spark, target_dir)
+    if folder is None:
+        return {}
+    out = {}
+    for tab, columns in TAB_COLUMNS.items():
+        schema = ", ".join(f"`{header}` string" for header, _, _ in columns)
+        try:
+            df = spark.read.schema(schema).options(multiLine=True, **_CSV).csv(f"{folder}/{_tab_folder(tab)}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue  # a tab that this export does not have
+        out[tab] = df.fillna("")
     return out
 
 

@@ -131,3 +131,21 @@ def remove_abandoned(spark: SparkSession, store: str, older_than_s: float = 7 *
     for p in gone:
         fs.delete(p, True)
     return len(gone)
+
+
+def new_version(spark: SparkSession, store: str, write: Callable[[str], None]) -> None:
+    """``write`` a whole new state of ``store`` into the folder it is given, then make it the current one.
+    Of two writers the one that ends last wins; if ``write`` fails nothing changes."""
+    attempt = uuid.uuid4().hex
+    write(_folder(store, attempt))
+    while True:
+        seen = _records(spark, store)
+        version = seen[-1]["version"] + 1 if seen else 0
+        if _claim(spark, store, {"version": version, "batch_id": attempt, "attempt": attempt, "keys": 0}):
+            return
+
+
+def current_version(spark: SparkSession, store: str) -> str | None:
+    """The folder that the last commit record names."""
+    seen = _records(spark, store)
+    return _folder(store, seen[-1]["attempt"]) if seen else None

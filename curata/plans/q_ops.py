@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -14,11 +15,13 @@ from ..operators.sinks import append_mapping_log, export_tab
 from ..session import scratch_path
 from ..operators.enrich import enrich_stars
 from ..operators.validate import with_violations
-from ..sources.payloads import scan_papers_atom, scan_products_json, scan_stars_json, scan_table
+from ..sources.payloads import (scan_jobs_json, scan_news_feed, scan_papers_atom, scan_products_json, scan_stars_json,
+                                scan_table)
 from .catalog import register
-from .derive import atom_paper_payloads, product_payloads, star_payloads
+from .derive import (atom_paper_payloads, job_json_payloads, news_feed_payloads, product_payloads,
+                     star_payloads)
 from .q_resolve import JOINED as RESOLVED_SQL, _resolved, LOG_TS
-from .q_scans import ALL_PAPERS_SQL, ALL_PRODUCTS_SQL
+from .q_scans import ALL_JOBS_JSON_SQL, ALL_NEWS_SQL, ALL_PAPERS_SQL, ALL_PRODUCTS_SQL, ALL_STARTUPS_SQL
 from .tables import TABLES, table
 
 
@@ -159,6 +162,58 @@ def q_export_tabs(spark, sf):
     return export_tab(p, "Research Papers")
 
 
+def _joined(values: str, by: str = ", ") -> str:
+    """JSON list of strings that the SQL of a scan keeps joined by a bar."""
+    return f"""'["' || replace({values}, '|', '"{by}"') || '"]'"""
+
+
+_EXPORT_SQL = f"""
+SELECT 'Startups' AS tab, concat_ws('|', sha256('startup:' || custkey), name, '', coalesce(description, ''), coalesce(website_url, ''),
+  source_url, coalesce(CAST(employee_count AS VARCHAR), ''), coalesce(CAST(founding_year AS VARCHAR), ''),
+  coalesce(headquarters, ''), {_joined('categories')}, coalesce(funding_stage, ''), '{LOG_TS}') AS line FROM ({ALL_STARTUPS_SQL})
+UNION ALL
+SELECT 'Products', concat_ws('|', sha256('product:' || partkey), name, '', coalesce(description, ''), product_url, product_url,
+  pricing_type, '', company_name, {_joined('categories')}, '{LOG_TS}') FROM ({ALL_PRODUCTS_SQL})
+UNION ALL
+SELECT 'Research Papers', concat_ws('|', sha256('paper:' || paper_url), title, {_joined('authors')}, paper_url, paper_url, abstract,
+  publication_date, coalesce(github_repository_url, ''), '', 'arxiv', '{LOG_TS}') FROM ({ALL_PAPERS_SQL})
+UNION ALL
+SELECT 'Jobs', concat_ws('|', sha256('job:' || job_url), company_name, '', role_title, job_url,
+  'https://jobs.example.com/api?page=' || (CAST(split_part(job_url, '/', 5) AS BIGINT) // 8), location, 'True', role_family, '',
+  'None', source_name, '{LOG_TS}') FROM ({ALL_JOBS_JSON_SQL})
+UNION ALL
+SELECT 'News', concat_ws('|', sha256('news:' || title), title, article_url, source_url, author, summary, '', 'None', source_name,
+  '{LOG_TS}') FROM ({ALL_NEWS_SQL})
+UNION ALL
+SELECT 'Entity Mapping Log', concat_ws('|', '', raw_name, canonical_name, match_method, CAST(confidence AS VARCHAR), source_url,
+  '{LOG_TS}') FROM ({RESOLVED_SQL})"""
+
+
+@register("export_all_tabs", _EXPORT_SQL)
+def q_export_all_tabs(spark, sf):
+    """All six tabs written as one version over an older one, and read back from it line by line."""
+    from ..operators.resolve import mapping_log
+    from ..operators.sinks import publish_tabs, read_export
+    from .q_scans import _products, _startups
+    path = scratch_path(spark, f"export_{uuid.uuid4().hex}")
+    listed = F.split("categories", r"\|")
+
+    def tab(df, kind, key):
+        return df.withColumns({"id": F.sha2(F.concat(F.lit(f"{kind}:"), F.col(key).cast("string")), 256), "collected_at": F.lit(LOG_TS)})
+    tables = {
+        "Startups": tab(_startups(spark, sf, complete=True).withColumn("categories", listed), "startup", "custkey"),
+        "Products": tab(_products(spark, sf, complete=True).withColumn("categories", listed), "product", "partkey"),
+        "Research Papers": tab(scan_papers_atom(atom_paper_payloads(spark, sf, complete=True)), "paper", "paper_url"),
+        "Jobs": tab(scan_jobs_json(job_json_payloads(spark, sf, complete=True)), "job", "job_url"),
+        "News": tab(scan_news_feed(news_feed_payloads(spark, sf, complete=True)), "news", "title"),
+        "Entity Mapping Log": mapping_log(_resolved(spark, sf), "raw_name", "source_url", LOG_TS)}
+    publish_tabs({"Startups": tables["Startups"]}, path)
+    publish_tabs(tables, path)
+    lines = [df.select(F.lit(name).alias("tab"), F.concat_ws("|", *(F.col(f"`{c}`") for c in df.columns)).alias("line"))
+             for name, df in read_export(spark, path).items()]
+    return reduce(lambda a, b: a.unionAll(b), lines)
+
+
 @register("append_mapping_log", RESOLVED_SQL.replace("SELECT names.custkey, names.raw_name", "SELECT names.raw_name", 1)
           .replace("CAST(res.confidence AS DOUBLE) AS confidence FROM names", f"CAST(res.confidence AS DOUBLE) AS confidence, '{LOG_TS}' AS timestamp FROM names"))
 def q_append_mapping_log(spark, sf):

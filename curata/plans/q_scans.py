@@ -59,6 +59,7 @@ SELECT 'Story ' || event_id AS title,
        event_type AS source_name,
        'https://news.example.com/' || event_type || '/feed?page=' || (event_id // 16) AS source_url
 FROM events WHERE (event_id // 16) % 7 <> 3"""
+ALL_NEWS_SQL = NEWS_SQL.replace(" WHERE (event_id // 16) % 7 <> 3", "")
 
 
 @register("scan_news_feed", NEWS_SQL)
@@ -67,7 +68,7 @@ def q_scan_news_feed(spark, sf):
     return scan_news_feed(p).select("title", "article_url", "author", "summary", "source_name", "source_url")
 
 
-@register("strip_html", "SELECT title, summary FROM (" + NEWS_SQL.replace(" WHERE (event_id // 16) % 7 <> 3", "") + ")")
+@register("strip_html", "SELECT title, summary FROM (" + ALL_NEWS_SQL + ")")
 def q_strip_html(spark, sf):
     return scan_news_feed(news_feed_payloads(spark, sf, complete=True)).select("title", "summary")
 
