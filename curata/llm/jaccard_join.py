@@ -76,7 +76,7 @@ def _block(percent: int) -> int:
 def _sets(df: DataFrame, width: int) -> DataFrame:
     """doc_id, n, and digest of the set (null if empty)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 8 << 20):
+        for batch in slices(batches, 4 << 20):
             sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
@@ -86,18 +86,20 @@ def _sets(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(run, f"doc_id {kind}, n long, digest binary")
 
 
-def _low(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, h): the entries of each text (doc_id, text) in column block 1."""
-    edge = _block(percent)
+def _low(df: DataFrame, bits: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(doc_id, h): the entries in column block 1 of the texts whose id the filter lets through."""
+    shared, edge = df.sparkSession.sparkContext.broadcast(bits), _block(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):
+            batch = _chosen(batch, shared.value)
             sets = [np.unique(shingle_set(t, width) >> np.uint64(16)).view(np.int64) for t in batch.column(1).to_pylist()]
             low = [s[:np.searchsorted(s, edge)] for s in sets]
             at = np.repeat(np.arange(len(low)), [len(x) for x in low])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at)), pa.array(np.concatenate([*low, np.zeros(0, np.int64)]))], ["doc_id", "h"])
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, h long")
+    return df.select("doc_id", "text", _slot(F.col("doc_id")).alias("slot")).mapInArrow(
+        run, f"doc_id {dict(df.dtypes)['doc_id']}, h long")
 
 
 def up(value: Column, by: int) -> Column:
@@ -123,27 +125,18 @@ def _slot(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS)).cast("long")
 
 
-def _chosen(df: DataFrame, bits: np.ndarray) -> DataFrame:
-    """The rows (doc_id, text) whose id the filter lets through."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(2).to_numpy(zero_copy_only=False)
-            chosen = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(chosen)) for c in batch.columns[:2]], ["doc_id", "text"])
-    kind = dict(df.dtypes)["doc_id"]
-    return df.select("doc_id", "text", _slot(F.col("doc_id")).alias("slot")).mapInArrow(run, f"doc_id {kind}, text string")
+def _chosen(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    """The rows (doc_id, text, slot) that the filter lets through."""
+    at = batch.column(2).to_numpy(zero_copy_only=False)
+    return batch.take(pa.array(np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)))
 
 
 def _whole_sets(df: DataFrame, bits: np.ndarray, width: int) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 8 << 20):
-            at = batch.column(2).to_numpy(zero_copy_only=False)
-            chosen = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            batch = batch.take(pa.array(chosen))
+        for batch in slices(batches, 4 << 20):
+            batch = _chosen(batch, shared.value)
             sets = [np.unique(shingle_set(t, width) >> np.uint64(16)) for t in batch.column(1).to_pylist()]
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
@@ -209,7 +202,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), work + "classes")
     miss = F.col("n") - up(F.col("n") * percent, 100)  # entries that a link may lack
     # a column is of a single id if the least and the largest id in it are one
-    alone = _low(_chosen(docs, _row_filter(classes)), width, percent).groupBy("h").agg(
+    alone = _low(docs, _row_filter(classes), width, percent).groupBy("h").agg(
         F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).filter(F.col("doc_id") == F.col("last")) \
         .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
     # an id with several sets is not judged by their sum: it stays
