@@ -1,14 +1,16 @@
 """Operator 1, quality rules: weak supervision over rules that vote or abstain.
 
-Nine rules look at a text and vote good (1), bad (-1) or abstain (0).  The rows
-are grouped into vote patterns (at most 3^9, whatever the input size) and
-expectation-maximisation over that small table estimates, for each rule, how
-often it is right about good and about bad texts, and the share of good texts.
-The posterior probability of "good" given a row's votes replaces all-must-pass
-filtering.  Everything is DataFrame expressions.
+Rules look at a text and vote good (1), bad (-1) or abstain (0).  Rules that look at the
+same signal form a family: the model holds one joint table of a family's votes per class,
+so that correlated rules do not count twice, and takes families as independent.  The rows
+that pass the base are grouped into vote patterns (at most 3^7, whatever the input size) and
+expectation-maximisation over that small table estimates the share of good texts and each
+family's tables.  The posterior probability of "good" given a row's votes replaces
+all-must-pass filtering.  Everything is DataFrame expressions.
 """
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import SPACE_RUN, let, materialize, words_of
 
 SYMBOLS = "#*$%&|<>"
+#: A word with a letter or digit and no sign but punctuation.
+PLAIN_WORD = r"^[^\p{S}#%&*]*[\p{L}\p{N}][^\p{S}#%&*]*$"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜ"
 
 
@@ -64,32 +68,38 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     .alias("lines"),
                     repeated_words(F.col("words")).alias("n_repeat_words"),
                     count_chars(F.col("text"), UPPER).alias("n_upper"),
-                    count_chars(F.col("text"), ".!?").alias("n_ends"))
+                    count_chars(F.col("text"), ".!?").alias("n_ends"),
+                    (F.length("text") - F.length(F.regexp_replace("text", r"\p{L}+", ""))).cast("long").alias("n_letters"),
+                    F.size(F.filter("words", lambda w: w.rlike(PLAIN_WORD))).cast("long").alias("n_plain_words"))
             .select("doc_id", "n_words", "word_chars", "n_symbols", F.col("lines.dup").alias("n_dup_lines"),
-                    "n_repeat_words", F.col("lines.n_lines").alias("n_lines"), "n_upper", "n_ends"))
+                    "n_repeat_words", F.col("lines.n_lines").alias("n_lines"), "n_upper", "n_ends", "n_letters", "n_plain_words"))
 
 
 def _vote(bad: Column, good: Column) -> Column:
     return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
+#: Rules by signal.  Word counts and repeated windows have no rule: the base decides on them.
+FAMILIES = {"signs": ("symbols", "letters"), "wordlike": ("plain_words",), "capitals": ("capitals",),
+            "dup_lines": ("dup_lines",), "word_length": ("word_length",), "sentences": ("sentences",)}
+
+
 def votes() -> dict[str, Column]:
     """The rules, over the columns of :func:`measures`; no words: every ratio rule abstains."""
     n, c = F.col("n_words"), F.col
     some = n > 0
+
+    def ratio(bad: Column, good: Column) -> Column:
+        return F.when(some, _vote(bad, good)).otherwise(0)
     return {
-        "length": _vote(n < 50, n >= 100),
-        "symbols": F.when(some, _vote(c("n_symbols") * 10 > n, c("n_symbols") * 50 <= n)).otherwise(0),
-        "markup": F.when(some, _vote(c("n_symbols") * 25 > c("word_chars"), c("n_symbols") * 250 <= c("word_chars")))
-        .otherwise(0),
-        "decoration": F.when(some, _vote(c("n_symbols") * 4 > n, c("n_symbols") * 100 <= n)).otherwise(0),
-        "capitals": F.when(some, _vote(c("n_upper") * 10 > c("word_chars") * 3, c("n_upper") * 10 < c("word_chars")))
-        .otherwise(0),
+        "symbols": ratio(c("n_symbols") * 10 > n, c("n_symbols") * 50 <= n),
+        "letters": ratio(c("n_letters") * 10 < c("word_chars") * 8, c("n_letters") * 10 >= c("word_chars") * 9),
+        "plain_words": ratio(c("n_plain_words") * 10 < n * 8, c("n_plain_words") * 10 >= n * 9),
+        "capitals": ratio(c("n_upper") * 10 > c("word_chars") * 3, c("n_upper") * 10 < c("word_chars")),
         "dup_lines": F.when(c("n_lines") > 1, _vote(c("n_dup_lines") * 10 > c("n_lines") * 3, c("n_dup_lines") == 0))
         .otherwise(0),
-        "repeats": F.when(n >= 20, _vote(c("n_repeat_words") * 10 > n * 3, c("n_repeat_words") * 10 <= n)).otherwise(0),
-        "word_length": F.when(some, _vote((c("word_chars") < n * 2) | (c("word_chars") > n * 15),
-                                          c("word_chars").between(n * 3, n * 10))).otherwise(0),
+        "word_length": ratio((c("word_chars") < n * 2) | (c("word_chars") > n * 15),
+                             c("word_chars").between(n * 3, n * 10)),
         "sentences": F.when(n >= 20, _vote((c("n_ends") * 2 > n) | (c("n_ends") * 100 < n), c("n_ends") * 40 >= n))
         .otherwise(0),
     }
@@ -97,18 +107,59 @@ def votes() -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class Fit:
-    """Share of good rows; per rule P(vote good | good) and P(vote bad | bad), given that it votes."""
+    """Share of good rows; per family and pattern of its votes (all abstain left out), P(pattern | good)
+    and P(pattern | bad)."""
     share: float
-    right_on_good: dict[str, float]
-    right_on_bad: dict[str, float]
+    families: dict[str, tuple[str, ...]]
+    tables: dict[str, dict[tuple[int, ...], tuple[float, float]]]
+
+    def _right(self, vote: int) -> dict[str, float]:
+        out = {}
+        for name, rules in self.families.items():
+            for i, rule in enumerate(rules):
+                of = [(p[i] == vote, pair[vote == -1]) for p, pair in self.tables[name].items() if p[i]]
+                out[rule] = sum(x for hit, x in of if hit) / sum(x for _, x in of)
+        return out
+
+    @property
+    def right_on_good(self) -> dict[str, float]:
+        """P(a rule votes good | good), given that it votes."""
+        return self._right(1)
+
+    @property
+    def right_on_bad(self) -> dict[str, float]:
+        """P(a rule votes bad | bad), given that it votes."""
+        return self._right(-1)
+
+    def useful(self, margin: float = 0.1) -> set[str]:
+        """Families with a rule that tells the classes apart the way its votes say; the others carry no weight."""
+        g, b = self.right_on_good, self.right_on_bad
+        return {name for name, rules in self.families.items() if any(g[r] + b[r] - 1 >= margin for r in rules)}
+
+
+def _start(families: dict[str, tuple[str, ...]]) -> Fit:
+    """Half of the rows good, each family right four times in five, whatever the number of its rules."""
+    def pair(p: tuple[int, ...]) -> tuple[float, float]:
+        odds = 4.0 ** (sum(p) / sum(map(abs, p)))
+        return odds / (1 + odds), 1 / (1 + odds)
+    return Fit(0.5, families, {name: {p: pair(p) for p in itertools.product((1, 0, -1), repeat=len(rules)) if any(p)}
+                               for name, rules in families.items()})
+
+
+def _is(rules: tuple[str, ...], pattern: tuple[int, ...]) -> Column:
+    out = F.lit(True)
+    for rule, vote in zip(rules, pattern, strict=True):
+        out = out & (F.col(rule) == vote)
+    return out
 
 
 def _log_odds(fit: Fit) -> Column:
     out = F.lit(0.0) + F.log(F.lit(fit.share) / F.lit(1 - fit.share))
-    for rule, g in fit.right_on_good.items():
-        b = fit.right_on_bad[rule]
-        out = out + (F.when(F.col(rule) == 1, F.log(F.lit(g) / F.lit(1 - b)))
-                     .when(F.col(rule) == -1, F.log(F.lit(1 - g) / F.lit(b))).otherwise(F.lit(0.0)))
+    for name in sorted(fit.useful()):
+        term = F.lit(0.0)
+        for p, (g, b) in fit.tables[name].items():
+            term = F.when(_is(fit.families[name], p), F.log(F.lit(g) / F.lit(b))).otherwise(term)
+        out = out + term
     return out
 
 
@@ -116,62 +167,66 @@ def posterior(fit: Fit) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(fit)))
 
 
-def expectation_maximisation(patterns: DataFrame, rules: list[str], iterations: int = 20,
+def expectation_maximisation(patterns: DataFrame, rules: list[str] | dict[str, tuple[str, ...]], iterations: int = 20,
                              tolerance: float = 1e-4, smoothing: float = 1.0) -> Fit:
-    """``patterns``: one row per vote pattern with its row count ``n``.
-
-    Starts from rules that are right four times in five and keeps each accuracy at
-    one half at least (a rule's polarity is given, not learned).  Each step is one
-    aggregate over the pattern table; only 2 * rules + 1 sums come back.  An empty
-    table leaves the start values.
+    """``patterns``: one row per vote pattern with its row count ``n``; ``rules``: the families, or
+    a list of rules of a family each.
+
+    Starts from families that are right four times in five.  No accuracy is bounded from below:
+    what a family that does not tell the classes apart says has no weight (:meth:`Fit.useful`).
+    If fewer than two families do, nothing in the votes speaks for two kinds of texts and the
+    start stands.  Each step is one aggregate over the pattern table; only its sums come back.
+    An empty table leaves the start values.
     """
-    fit = Fit(0.5, dict.fromkeys(rules, 0.8), dict.fromkeys(rules, 0.8))
+    families = rules if isinstance(rules, dict) else {r: (r,) for r in rules}
+    start = fit = _start(families)
+    s = smoothing
+    cells = [(name, p) for name, table in start.tables.items() for p in table]
     for _ in range(iterations):
         p, n = F.col("p"), F.col("n")
         sums = [F.sum(n).alias("n"), F.sum(n * p).alias("good")]
-        for r in rules:
-            says = F.col(r)
-            sums += [F.sum(F.when(says == 1, n * p).otherwise(0.0)).alias(f"{r}_gg"),
-                     F.sum(F.when(says != 0, n * p).otherwise(0.0)).alias(f"{r}_g"),
-                     F.sum(F.when(says == -1, n * (1 - p)).otherwise(0.0)).alias(f"{r}_bb"),
-                     F.sum(F.when(says != 0, n * (1 - p)).otherwise(0.0)).alias(f"{r}_b")]
+        for k, (name, votes_) in enumerate(cells):
+            hit = _is(families[name], votes_)
+            sums += [F.sum(F.when(hit, n * p).otherwise(0.0)).alias(f"g{k}"),
+                     F.sum(F.when(hit, n * (1 - p)).otherwise(0.0)).alias(f"b{k}")]
         got = patterns.withColumn("p", posterior(fit)).agg(*sums).first()
         if not got["n"]:
-            return fit
-        s = smoothing
-
-        def rate(x: float, of: float) -> float:
-            return min(0.999, max(0.5, (x + 4 * s) / (of + 5 * s)))
-
-        new = Fit(min(0.999, max(0.001, (got["good"] + s) / (got["n"] + 2 * s))),
-                  {r: rate(got[f"{r}_gg"], got[f"{r}_g"]) for r in rules},
-                  {r: rate(got[f"{r}_bb"], got[f"{r}_b"]) for r in rules})
-        moved = max(abs(new.share - fit.share), *(abs(new.right_on_good[r] - fit.right_on_good[r]) for r in rules),
-                    *(abs(new.right_on_bad[r] - fit.right_on_bad[r]) for r in rules))
+            return start
+        tables = {name: {} for name in families}
+        for k, (name, votes_) in enumerate(cells):
+            tables[name][votes_] = tuple(got[f"{c}{k}"] + s * x for c, x in
+                                         zip("gb", start.tables[name][votes_], strict=True))
+        for name, table in tables.items():
+            total = [sum(pair[c] for pair in table.values()) for c in (0, 1)]
+            tables[name] = {v: (pair[0] / total[0], pair[1] / total[1]) for v, pair in table.items()}
+        new = Fit(min(0.999, max(0.001, (got["good"] + s) / (got["n"] + 2 * s))), families, tables)
+        moved = max(abs(new.share - fit.share), *(abs(x - y) for name, v in cells for x, y in
+                                                  zip(tables[name][v], fit.tables[name][v], strict=True)))
         fit = new
         if moved < tolerance:
             break
-    return fit
+    return fit if len(fit.useful()) > 1 else start
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_from: float = 0.5) -> DataFrame:
     """Counts, votes' posterior and verdict, one row per input row.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated
-    3-word windows.  ``kept``: not base_failed and posterior of "good" >= ``keep_from``.
+    3-word windows.  ``kept``: not base_failed and posterior of "good" >= ``keep_from``;
+    the model is fitted on the rows that pass the base, every row of them.
     Null or empty text: no words, so base_failed.  Null ids and repeated rows are kept
     as they are, one result row each.  Other columns of ``df`` are not read, so their
     names cannot clash.  Empty table: no rows.
     """
-    rules = votes()
-    rows = materialize(measures(df, id_col, text_col).select("*", *(v.alias(k) for k, v in rules.items())), "quality")
-    names = list(rules)
-    patterns = materialize(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "patterns").coalesce(1)
-    fit = expectation_maximisation(patterns, names)
     n = F.col("n_words")
+    rows = materialize(measures(df, id_col, text_col).select(
+        "*", ((n < 50) | (F.col("n_repeat_words") * 100 > n * 50)).alias("base_failed"),
+        *(v.alias(k) for k, v in votes().items())), "quality")
+    patterns = materialize(rows.filter(~F.col("base_failed")).groupBy(*votes()).agg(F.count(F.lit(1)).alias("n")),
+                           "patterns").coalesce(1)
+    fit = expectation_maximisation(patterns, FAMILIES)
     return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        ((n < 50) | (F.col("n_repeat_words") * 100 > n * 50)).alias("base_failed"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.round(posterior(fit), 9).alias("p_good"),
     ).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
              (~F.col("base_failed") & (F.col("p_good") >= keep_from)).alias("kept"), "p_good")
