@@ -72,7 +72,8 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     (F.length("text") - F.length(F.regexp_replace("text", r"\p{L}+", ""))).cast("long").alias("n_letters"),
                     F.size(F.filter("words", lambda w: w.rlike(PLAIN_WORD))).cast("long").alias("n_plain_words"))
             .select("doc_id", "n_words", "word_chars", "n_symbols", F.col("lines.dup").alias("n_dup_lines"),
-                    "n_repeat_words", F.col("lines.n_lines").alias("n_lines"), "n_upper", "n_ends", "n_letters", "n_plain_words"))
+                    "n_repeat_words", F.col("lines.n_lines").alias("n_lines"), "n_upper", "n_ends", "n_letters",
+                    "n_plain_words"))
 
 
 def _vote(bad: Column, good: Column) -> Column:
