@@ -6,20 +6,20 @@ value keeps its meaning:
 
 * payment cards (13 to 19 digits, Luhn-valid, with or without blanks or hyphens): all
   digits but the last are permuted and the check digit is made right again.  Among other
-  digits the longest valid stretch of whole groups counts; there the permutation is
-  repeated (for about one value in ten and rival stretch) while it would make a longer
-  stretch valid, so equal cards may then differ, but every value can be revealed;
-* phone numbers ``(ddd) ddd-dddd`` and ``ddd-ddd-dddd``, with or without a leading 1: numbers with a valid area and
-  exchange code stay valid, others permute their ten digits;
+  digits the longest valid stretch of whole groups counts;
+* phone numbers ``(ddd) ddd-dddd``, ``ddd-ddd-dddd`` and ``ddd.ddd.dddd``, with or without a leading 1, and
+  ``+1 ddd ddd dddd``: numbers with a valid area and exchange code stay valid, others permute their ten digits;
 * social security numbers ``ddd-dd-dddd`` that are valid stay valid;
-* IPv4 addresses; dates ``yyyy-mm-dd`` and ``m/d/yyyy`` from 1900-01-01 to 2099-08-04
+* IPv4 addresses; dates ``yyyy-mm-dd``, ``yyyy/mm/dd`` and ``m/d/yyyy`` from 1900-01-01 to 2099-08-04
   (the permuted days); local parts of e-mail addresses (letters to letters of the same
   case, digits to digits, other signs as they are, the domain stays).
 
 A value that fails its check (no Luhn sum, no such day) is left alone.  The
 permutation is an alternating Feistel network over Z_a x Z_b with a keyed SHA-256
-round function, exact on its domain without any cycle walking; ``reveal`` runs the rounds
-backwards.  Only DataFrame expressions are used.
+round function, exact on its domain without any cycle walking, so a value has one pseudonym
+wherever it stands.  A pseudonym among other digits may happen to make another stretch
+Luhn-valid; so the stretch of each replaced value is returned as a mark, and ``reveal_text`` runs
+the rounds backwards on the marked stretches.  Only DataFrame expressions are used.
 """
 from __future__ import annotations
 
@@ -29,19 +29,19 @@ from pyspark.sql import functions as F
 from .common import let
 
 ROUNDS = 5  # double rounds: each permutes both halves
-TRIES = 400  # a card among other digits needs another one at most this often; 28 stretches give 0.95^400 at worst
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
 PHONE = (r"(?:(?<![\w+])\+?1[ .-]?)?(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w+-])\+?1[ .-]\d{3}-\d{3}-\d{4}(?![\w-])"
-         r"|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])")
+         r"|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])|(?:(?<![\w+.-])\+?1[ .-])?(?<![\w+-])(?<!\d\.)\d{3}\.\d{3}\.\d{4}(?![\w-]|\.\d)"
+         r"|(?<![\w+])\+1 \d{3} \d{3} \d{4}(?![\w-]| \d)")
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?:(?=T\d)|(?![\w-]))"
+ISO_DATE = r"(?:(?<![\w-])\d{4}-\d{2}-\d{2}(?:(?=T\d)|(?![\w-]))|(?<![\w/])\d{4}/\d{2}/\d{2}(?![\w/]))"
 US_DATE = r"(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/])"
 _PRINTED = r"(?:\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})"  # as printed on cards
 _OTHER = "|".join([IPV4, PHONE, SSN, ISO_DATE, US_DATE, r"(?:" + _PRINTED + r"|\d{14,19})(?!\w)"])
 # unbroken, printed form with a short group after it, any other grouping; none goes on into another value
-CARD = (rf"(?<![\w.-])(?:\d{{14,19}}(?![\w-])|{_PRINTED}(?:[ -](?!{_OTHER})\d{{1,3}})?(?![\w-])"
+CARD = (rf"(?<![\w.])(?<![\w.]-)(?:\d{{14,19}}(?![\w-])|{_PRINTED}(?:[ -](?!{_OTHER})\d{{1,3}})?(?![\w-])"
         rf"|\d(?:(?:[ -](?!{_OTHER}))?\d){{12,18}}(?![\w-]))")
 ANY = "|".join([EMAIL, IPV4, PHONE, SSN, ISO_DATE, US_DATE, CARD])
 KINDS = ["email", "ipv4", "phone", "ssn", "iso_date", "us_date", "card"]
@@ -113,37 +113,33 @@ def _permute_digits(d: Column, key: str, tag: str, reveal: bool) -> Column:
                                   F.lpad(p["y"].cast("string"), n - left, "0")))
 
 
-def _card(m: Column, key: str, reveal: bool) -> Column:
-    """``m`` with the longest, then first, Luhn-valid stretch of whole groups replaced."""
+def _stretch(m: Column) -> Column:
+    """Struct (lead, length): the longest, then first, Luhn-valid stretch of whole groups of ``m``; no such: zeros."""
     def valid(x: Column) -> Column:
         return _luhn_digit(F.substring(x, F.lit(1), F.length(x) - 1)) == F.substring(x, F.length(x), F.lit(1))
 
-    def part(d: Column, w: Column) -> Column:
-        return F.substring(d, w["at"] + 1, -w["less"])
-
-    def first(d: Column, windows: Column) -> Column:
-        return F.get(F.filter(windows, lambda w: valid(part(d, w))), F.lit(0))
-
-    def other(d: Column, w: Column) -> Column:
-        card = part(d, w)
-        payload = F.substring(card, F.lit(1), F.length(card) - 1)
-        return let(_permute_digits(payload, key, "card", reveal), lambda p: F.concat(
-            F.substring(d, F.lit(1), w["at"]), p, _luhn_digit(p), F.substring(d, w["at"] - w["less"] + 1, F.length(d))))
-
-    def walked(d: Column, windows: Column, w: Column) -> Column:
-        # on until the same stretch would be chosen again: so it can be undone
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(TRIES)), F.struct(d.alias("d"), F.lit(False).alias("done")),
-            lambda acc, _: F.when(acc["done"], acc).otherwise(let(other(acc["d"], w), lambda x: F.struct(
-                x.alias("d"), F.coalesce(first(x, windows) == w, F.lit(False)).alias("done")))),
-            lambda acc: acc["d"])
-
+    # digits before each group and in all; a stretch from group i up to group j has j - i - 1 signs inside
     cuts = F.aggregate(F.split(m, "[ -]"), F.array(F.lit(0)),
                        lambda acc, g: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(g))))
-    windows = let(cuts, lambda c: F.array_sort(F.flatten(F.transform(c, lambda a: F.transform(
-        F.filter(c, lambda b: (b - a).between(13, 19)), lambda b: F.struct((a - b).alias("less"), a.alias("at")))))))
-    return let(_digits(m), lambda d: let(windows, lambda ws: let(first(d, ws), lambda w: F.when(w.isNull(), m).otherwise(
-        _refill(m, walked(d, ws, w))))))
+    stretches = let(cuts, lambda c: F.array_sort(F.filter(F.flatten(F.transform(c, lambda a, i: F.transform(
+        c, lambda b, j: F.struct((a - b).alias("less"), a.alias("at"), (a + i).alias("lead"),
+                                 (b - a + j - i - 1).alias("length"))))), lambda w: w["less"].between(-19, -13))))
+    hit = let(_digits(m), lambda d: F.get(F.filter(stretches, lambda w: valid(
+        F.substring(d, w["at"] + 1, -w["less"]))), F.lit(0)))
+    return let(hit, lambda w: F.struct(F.coalesce(w["lead"], F.lit(0)).alias("lead"),
+                                       F.coalesce(w["length"], F.lit(0)).alias("length")))
+
+
+def _card(m: Column, mark: Column, key: str, reveal: bool) -> Column:
+    """``m`` with the marked stretch replaced."""
+    def other(card: Column) -> Column:
+        return let(_permute_digits(F.substring(card, F.lit(1), F.length(card) - 1), key, "card", reveal),
+                   lambda p: F.concat(p, _luhn_digit(p)))
+    lead, length = mark["lead"], mark["length"]
+    return F.when(length == 0, m).otherwise(F.concat(
+        F.substring(m, F.lit(1), lead),
+        let(F.substring(m, lead + 1, length), lambda c: _refill(c, let(_digits(c), other))),
+        F.substring(m, lead + length + 1, F.length(m))))
 
 
 def _phone(m: Column, key: str, reveal: bool) -> Column:
@@ -196,7 +192,8 @@ def _other_day(day: Column, key: str, reveal: bool) -> Column:
 
 
 def _iso_date(m: Column, key: str, reveal: bool) -> Column:
-    return F.coalesce(_other_day(m.try_cast("date"), key, reveal).cast("string"), m)
+    day = _other_day(F.translate(m, "/", "-").try_cast("date"), key, reveal).cast("string")
+    return F.coalesce(F.when(m.contains("/"), F.translate(day, "-", "/")).otherwise(day), m)
 
 
 def _us_date(m: Column, key: str, reveal: bool) -> Column:
@@ -245,46 +242,72 @@ def _email(m: Column, key: str, reveal: bool) -> Column:
 def kind_of(m: Column) -> Column:
     """Which of ``KINDS`` a found value has the form of."""
     return (F.when(m.contains("@"), "email").when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ipv4")
-            .when(m.rlike(r"^(?:.*\(|(?:\+?1[ .-])?\d{3}-\d{3}-\d{4}$)"), "phone").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^\d{4}-\d{2}-\d{2}$"), "iso_date").when(m.contains("/"), "us_date").otherwise("card"))
+            .when(m.rlike(r"^(?:.*\(|(?:\+?1[ .-])?\d{3}([ .-])\d{3}\1\d{4}$)"), "phone").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+            .when(m.rlike(r"^\d{4}[/-]\d{2}[/-]\d{2}$"), "iso_date").when(m.contains("/"), "us_date").otherwise("card"))
+
 
+def mark_of(m: Column) -> Column:
+    """Struct (kind, lead, length): which stretch of a found value counts; length 0: nothing passes the check."""
+    return let(kind_of(m), lambda kind: let(
+        F.when(kind == "card", _stretch(m)).otherwise(F.struct(F.lit(0).alias("lead"), F.length(m).alias("length"))),
+        lambda w: F.struct(kind.alias("kind"), w["lead"].alias("lead"), w["length"].alias("length"))))
 
-def pseudonym(m: Column, key: str, reveal: bool = False) -> Column:
+
+def pseudonym(m: Column, mark: Column, key: str, reveal: bool = False) -> Column:
     """Replacement of one found value."""
     how = {"email": _email, "ipv4": _ipv4, "phone": _phone, "ssn": _ssn, "iso_date": _iso_date, "us_date": _us_date}
+    out = _card(m, mark, key, reveal)
+    for name, f in how.items():
+        out = F.when(mark["kind"] == name, f(m, key, reveal)).otherwise(out)
+    return out
+
 
-    def by_kind(kind: Column) -> Column:
-        out = _card(m, key, reveal)
-        for name, f in how.items():
-            out = F.when(kind == name, f(m, key, reveal)).otherwise(out)
-        return out
-    return let(kind_of(m), by_kind)
+def _found() -> Column:
+    # texts without a digit or an @ sign cannot hold a value
+    return F.coalesce(F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))),
+                      F.array().cast("array<string>"))
 
 
-def pseudonymize(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text",
-                 reveal: bool = False) -> DataFrame:
-    """(doc_id, text, n_values, n_<kind>...) with every validated value replaced.
+def _joined() -> Column:
+    """The text with the new values of ``pairs`` between what stands around them."""
+    text = F.array_join(F.flatten(F.zip_with(
+        F.split("text", ANY), F.transform("pairs", lambda p: p["new"]),
+        lambda a, b: F.array(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
+    return F.when(F.col("pairs").isNull(), F.col("text")).otherwise(text)
+
+
+def pseudonymize(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, n_values, n_<kind>..., marks) with every validated value replaced.
 
     One row per input row; a null text stays null with zero counts; the counts are of
     values replaced.  Everything between the values is kept byte for byte.  Null ids and
-    repeated rows are kept.  Other columns are not read.  ``reveal=True`` with the same key
-    undoes it.  Empty table: no rows.
+    repeated rows are kept.  Other columns are not read.  ``marks``: (kind, lead, length) per
+    value found, in order, for :func:`reveal_text`.  Empty table: no rows.
     """
-    base = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # texts without a digit or an @ sign cannot hold a value
-    found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
-    none = F.array().cast("array<string>")
-    rows = base.select("*", F.coalesce(found, none).alias("found"))
-    pairs = F.transform("found", lambda m: F.struct(m.alias("old"), pseudonym(m, key, reveal).alias("new"),
-                                                    kind_of(m).alias("kind")))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select("*", _found().alias("found"))
+    pairs = F.transform("found", lambda m: let(mark_of(m), lambda k: F.struct(
+        m.alias("old"), pseudonym(m, k, key).alias("new"), k.alias("mark"))))
     rows = rows.select("doc_id", "text", F.when(F.size("found") > 0, pairs).alias("pairs"))
-    between = F.split("text", ANY)
-    text = F.array_join(F.flatten(F.zip_with(
-        between, F.transform("pairs", lambda p: p["new"]),
-        lambda a, b: F.array(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
 
     def changed(kind: str | None = None) -> Column:
-        hit = F.filter("pairs", lambda p: (p["old"] != p["new"]) & (F.lit(True) if kind is None else p["kind"] == kind))
+        hit = F.filter("pairs", lambda p: (p["old"] != p["new"]) & (F.lit(True) if kind is None
+                                                                     else p["mark"]["kind"] == kind))
         return F.when(F.col("pairs").isNull(), F.lit(0)).otherwise(F.size(hit)).cast("long")
-    return rows.select("doc_id", F.when(F.col("pairs").isNull(), F.col("text")).otherwise(text).alias("text"),
-                       changed().alias("n_values"), *(changed(k).alias(f"n_{k}") for k in KINDS))
+    marks = F.coalesce(F.transform("pairs", lambda p: p["mark"]),
+                       F.array().cast("array<struct<kind:string,lead:int,length:int>>"))
+    return rows.select("doc_id", _joined().alias("text"), changed().alias("n_values"),
+                       *(changed(k).alias(f"n_{k}") for k in KINDS), marks.alias("marks"))
+
+
+def reveal_text(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text",
+                marks_col: str = "marks") -> DataFrame:
+    """(doc_id, text) as before :func:`pseudonymize` with the same key, from its text and marks.
+
+    The forms of values survive their replacement, so the n-th value found belongs to the
+    n-th mark.  Null texts stay null; null ids and repeated rows are kept.
+    """
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(marks_col).alias("marks")) \
+        .select("*", _found().alias("found"))
+    pairs = F.zip_with("found", "marks", lambda m, k: F.struct(pseudonym(m, k, key, True).alias("new")))
+    return rows.select("doc_id", "text", F.when(F.size("found") > 0, pairs).alias("pairs")) \
+        .select("doc_id", _joined().alias("text"))
