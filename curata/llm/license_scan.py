@@ -13,34 +13,48 @@ found in the words around it.  Only DataFrame expressions are used.
 from __future__ import annotations
 
 import hashlib
+import json
+from functools import reduce
+from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, materialize
 
 WINDOW, STRIDE, BANDS, ROWS = 6, 3, 10, 1
-#: Bytes of template text that may be broadcast to every task.
-MAX_TEMPLATE_BYTES = 4 << 20
-
-# Short notices of common public licenses.
-NOTICES = [
-    ("mit", "Released under the MIT License."),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                 "associated documentation files"),
-]
+#: Bytes of template text that are broadcast to every task at once; more are scanned in blocks.
+BLOCK_BYTES = 1 << 20
+
+# Identifiers of an SPDX line, and the Creative Commons variants with their names.
+SPDX_IDS = ["MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only",
+            "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0",
+            "EPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "Zlib", "BSL-1.0", "CC0-1.0", "0BSD", "CC-BY-4.0",
+            "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-ND-4.0"]
+CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+      "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+      "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def template_rows() -> list[tuple[str, str, str | None]]:
+    """(license_id, text, key): the shipped notices, headers and full texts, the Creative Commons forms and SPDX lines."""
+    shipped = resources.files(__package__).joinpath("license_templates.jsonl").read_text("utf-8")
+    rows = [(r["license_id"], r["text"], r.get("key")) for r in map(json.loads, shipped.splitlines())]
+    for version in ("4.0", "3.0"):
+        form = "International" if version == "4.0" else "Unported"
+        for short, name in CC.items():
+            own = f"cc-{short.lower()}-{version}"
+            rows += [(own, f"Licensed under CC {short} {version}.", f"CC {short} {version}"),
+                     (own, f"This work is licensed under a Creative Commons {name} {version} {form} License.",
+                      f"Creative Commons {name} {version}")]
+    for x in SPDX_IDS:
+        own = x.lower().removesuffix("-only").removesuffix("-or-later")
+        rows.append((own, f"SPDX-License-Identifier: {x}", f"Identifier: {x}"))
+    return rows
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NOTICES, "license_id string, text string")
+    return spark.createDataFrame(template_rows(), "license_id string, text string, key string")
 
 
 def collision_probability(jaccard: float, bands: int = BANDS, rows: int = ROWS) -> float:
@@ -81,38 +95,51 @@ def scan_licenses(df: DataFrame, templates: DataFrame | None = None, id_col: str
                   min_containment: float = 0.8) -> DataFrame:
     """(doc_id, license_id, containment, n_hits, first_word) of every template found.
 
-    ``containment``: best share of the template's distinct shingles among the text's
-    shingles around a retrieved place; ``n_hits``: retrieved places that verified;
-    ``first_word``: about where the first one starts.  The template set is small by
-    nature: its bytes are checked against ``MAX_TEMPLATE_BYTES`` before it is broadcast.
+    ``templates``: (license_id, text) and, if there, key: words of the text that must all stand there,
+    in order and unchanged, so that siblings are told apart (CC BY from CC BY-NC).  A license may have
+    several templates.  ``containment``: best share of a template's distinct shingles among the
+    text's shingles around a retrieved place; ``n_hits``: retrieved places that verified;
+    ``first_word``: about where the first one starts.  Templates are broadcast in blocks of
+    ``BLOCK_BYTES`` (and one template more at most); each block is one pass over the texts.
     Null, empty and one-word texts match nothing, and so do templates of one word.
     Rows that share an id are scanned each and reported together; a null id is an id.
     Other columns are not read.  Empty tables: no rows.
     """
     spark = df.sparkSession
-    own = (templates if templates is not None else notices(spark)).select(
-        F.col("license_id"), F.col("text").alias("t"))
-    size = own.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if size > MAX_TEMPLATE_BYTES:
-        raise ValueError(f"{size} bytes of templates; {MAX_TEMPLATE_BYTES} can be broadcast")
-    keyed = with_band_keys(windows(own.select("license_id", shingles(F.col("t")).alias("hashes")), 1))
-    keyed = keyed.select("license_id", F.array_distinct("hashes").alias("t_set"), F.size("hashes").alias("t_size"),
-                         F.col("start").alias("t_start"), "band") \
-        .dropDuplicates(["license_id", "t_start", "band"])
+    own = templates if templates is not None else notices(spark)
+    own = own.select("license_id", F.col("text").alias("t"),
+                     F.col("key") if "key" in own.columns else F.lit(None).cast("string").alias("key")).distinct()
+    # templates are numbered and cut into blocks by their running size
+    order = Window.orderBy("license_id", "t", "key")
+    own = materialize(own.select(
+        "license_id", F.row_number().over(order).alias("template"), F.floor(
+            (F.sum(F.octet_length("t")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.octet_length("t"))
+            / BLOCK_BYTES).alias("block"), shingles(F.col("t")).alias("hashes"), shingles(F.col("key")).alias("key_set")),
+        "templates")
+    blocks = (own.agg(F.max("block")).first()[0] or 0) + 1
     # the one-element explode keeps filters on the hashes from being pushed below and
     # hashing every text once more for each of them
     texts = df.select(F.col(id_col).alias("doc_id"), F.explode(F.array(shingles(F.col(text_col)))).alias("hashes"))
-    docs = windows(texts, STRIDE)
-    found = (with_band_keys(docs).select("doc_id", "hashes", "start", "band")
-             .join(F.broadcast(keyed), "band"))
+    hits = [_hits(texts, own if blocks == 1 else own.filter(F.col("block") == b), min_containment) for b in range(blocks)]
+    return (reduce(DataFrame.unionAll, hits)
+            .groupBy("doc_id", "license_id")
+            .agg(F.max("share").alias("containment"), F.count(F.lit(1)).alias("n_hits"),
+                 F.min("at").alias("first_word")))
+
+
+def _hits(texts: DataFrame, own: DataFrame, min_containment: float) -> DataFrame:
+    """(doc_id, license_id, at, share) of every verified place for one block of templates."""
+    keyed = with_band_keys(windows(own.select("template", "hashes"), 1)) \
+        .select("template", F.col("start").alias("t_start"), "band").distinct()
+    sets = own.select("template", "license_id", F.array_distinct("hashes").alias("t_set"),
+                      F.size("hashes").alias("t_size"), "key_set")
+    found = (with_band_keys(windows(texts, STRIDE)).select("doc_id", "hashes", "start", "band")
+             .join(F.broadcast(keyed), "band").join(F.broadcast(sets), "template"))
     slack = F.ceil(F.col("t_size") * 0.2).cast("int") + STRIDE
     base = F.col("start") - F.col("t_start")
     low = F.greatest(base - slack, F.lit(0))
     around = F.slice("hashes", low + 1, base + F.col("t_size") + slack - low)
     share = F.size(F.array_intersect("t_set", around)) / F.size("t_set")
-    return (found.select("doc_id", "license_id", F.greatest(base, F.lit(0)).cast("long").alias("at"),
-                         share.alias("share"))
-            .filter(F.col("share") >= min_containment)
-            .groupBy("doc_id", "license_id")
-            .agg(F.max("share").alias("containment"), F.count(F.lit(1)).alias("n_hits"),
-                 F.min("at").alias("first_word")))
+    return found.select("doc_id", "license_id", F.greatest(base, F.lit(0)).cast("long").alias("at"), share.alias("share"),
+                        F.size(F.array_except("key_set", around)).alias("missing")) \
+        .filter((F.col("share") >= min_containment) & (F.col("missing") == 0)).drop("missing")

@@ -1,7 +1,11 @@
 """Operator 3 against an exact scan of every place of every text."""
+import math
 import re
 
-from curata.llm.license_scan import NOTICES, collision_probability, scan_licenses
+from curata.llm import license_scan
+from curata.llm.license_scan import collision_probability, scan_licenses, template_rows
+
+ROWS = [(name, text, key) for name, text, key in template_rows()]
 
 
 def pairs(text):
@@ -10,12 +14,16 @@ def pairs(text):
 
 
 def brute(text):
-    """Licenses of which 80 % of the shingles occur within a stretch of the template's length."""
+    """Licenses of which a template has 80 % of its shingles within a stretch of its length, its key near it."""
     have, found = pairs(text), set()
-    for name, t in NOTICES:
-        want = set(pairs(t))
+    for name, t, key in ROWS:
+        want, must = set(pairs(t)), set(pairs(key))
+        if len(want & set(have)) < 0.8 * len(want):
+            continue
         n = len(pairs(t))
-        if any(len(want & set(have[i:i + n])) >= 0.8 * len(want) for i in range(max(1, len(have)))):
+        slack = math.ceil(0.2 * n) + 3
+        if any(len(want & set(have[i:i + n])) >= 0.8 * len(want) and must <= set(have[max(0, i - slack):i + n + slack])
+               for i in range(max(1, len(have)))):
             found.add(name)
     return found
 
@@ -34,12 +42,13 @@ def test_settings_guarantee_retrieval():
 def test_every_alignment_and_edited_notices(spark):
     filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do".split()
     rows, i = [], 0
-    for _, notice in NOTICES:
+    for name, notice, key in ROWS:
         for shift in range(8):
             words = notice.split()
             rows.append((i, " ".join(filler[:shift] + words + filler)))
+            assert name in brute(rows[-1][1])
             i += 1
-            if len(words) >= 12:
+            if len(words) >= 12 and not key:
                 words[len(words) // 2] = "changed"
                 rows.append((i, " ".join(filler[:shift] + words + filler)))
                 i += 1
@@ -55,3 +64,27 @@ def test_documents(documents, document_rows):
 def test_hostile_and_empty(hostile, no_rows):
     assert got(hostile) == {15: {"mit"}}
     assert scan_licenses(no_rows).collect() == []
+
+
+def test_common_notices_and_their_siblings(spark):
+    texts = {"SPDX-License-Identifier: GPL-2.0-or-later": {"gpl-2.0"}, "// SPDX-License-Identifier: MIT\nint x;": {"mit"},
+             "All of it is licensed under CC BY 4.0.": {"cc-by-4.0"}, "Licensed under CC BY-SA 4.0.": {"cc-by-sa-4.0"},
+             "Licensed under CC BY-NC-SA 4.0.": {"cc-by-nc-sa-4.0"}, "Licensed under CC BY-NC 4.0.": {"cc-by-nc-4.0"},
+             "SPDX-License-Identifier: CC-BY-SA-4.0": {"cc-by-sa-4.0"},
+             next(t for n, t, _ in ROWS if n == "lgpl-2.1"): {"lgpl-2.1"},
+             next(t for n, t, _ in ROWS if n == "agpl-3.0"): {"agpl-3.0"},
+             "This is licensed by hand, version 3.": set(), "Released under the table.": set()}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = got(df)
+    for i, (text, want) in enumerate(texts.items()):
+        assert found.get(i, set()) >= want and not {x for x in found.get(i, set()) if x.startswith("cc")} - want, text
+        assert bool(found.get(i)) == bool(want)
+
+
+def test_own_templates_in_blocks(spark, monkeypatch):
+    """Templates without a key column; a block holds about two of them."""
+    own = [(f"own-{i}", f"notice number {i} of the house of letters may be printed by anyone who owns press {i}") for i in range(9)]
+    monkeypatch.setattr(license_scan, "BLOCK_BYTES", 150)
+    df = spark.createDataFrame([(i, "so. " + t) for i, (_, t) in enumerate(own)] + [(99, "nothing here")], "doc_id long, text string")
+    out = scan_licenses(df, spark.createDataFrame(own, "license_id string, text string"), min_containment=1.0).collect()
+    assert {(r.doc_id, r.license_id) for r in out} == {(i, n) for i, (n, _) in enumerate(own)}
