@@ -40,6 +40,8 @@ def encoded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     parts, lengths = [], []
     for t in texts:
         s = NOT_LETTERS.sub(" ", (t or "").lower()).strip()
+        if not any(map(str.isalpha, s)):  # signs such as one half or a circled one are no letters
+            s = ""
         raw = ("\0\0\0 " + s + " ").encode("utf-16-le", "surrogatepass") if s else b""
         parts.append(raw)
         lengths.append(len(raw) // 2)

@@ -74,3 +74,10 @@ def test_hostile_and_empty(hostile, hostile_rows, no_rows):
     assert len(out) == len(hostile_rows)
     assert all((r.lang_pred == "und") == (r.doc_id in (0, 1, 2)) for r in out)
     assert identify(no_rows, F.lit(False)).collect() == []
+
+
+def test_signs_that_are_no_letters_are_undetermined(spark):
+    rows = [(i, "der die das und nicht ein", "de") for i in range(8)] + [(8 + i, t, None) for i, t in enumerate(["½ ¾ ²", "①", "Ⅷ 7"])]
+    got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+                                                   F.lit(False)).collect()}
+    assert [got[i] for i in (8, 9, 10)] == ["und"] * 3 and got[0] == "de"
