@@ -33,19 +33,27 @@ def _keep(stages: dict | None, **frames) -> None:
         stages.update(frames)
 
 
-def finish(df: DataFrame, entity: str, store: DataFrame | None, collected_at: str | None) -> DataFrame:
-    """Rows that ``store`` lacks, with id, collected_at and record_type."""
-    out = df if store is None else dedup_seen(df, store, "dedup_key")
+def _new(unique: DataFrame, store: DataFrame | None, stages: dict | None) -> DataFrame:
+    """Rows that ``store`` lacks: taken out before joins, page texts and provider calls, not after them."""
+    if store is None:
+        return unique
+    _keep(stages, unique=unique)
+    return dedup_seen(unique, store, "dedup_key")
+
+
+def finish(df: DataFrame, entity: str, collected_at: str | None) -> DataFrame:
+    """The rows with id, collected_at and record_type."""
     # collected_at: the caller's run timestamp, else the query's own (one value per query)
     ts = F.lit(collected_at) if collected_at else iso_utc_string(F.current_timestamp())
-    return out.withColumns({"id": F.sha2(F.col("dedup_key"), 256), "collected_at": ts,
+    return df.withColumns({"id": F.sha2(F.col("dedup_key"), 256), "collected_at": ts,
                             "record_type": F.lit(RECORD_TYPE_OF[entity])})
 
 
-def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge) -> DataFrame:
+def _extract_and_merge(df: DataFrame, entity: str, text: str, providers, merge, stages: dict | None = None) -> DataFrame:
     """Run the provider tiers on 'attempt' rows only and merge valid answers back."""
     todo = df.filter(F.col("extraction_status") == "attempt").select("dedup_key", F.col(text).alias("_text"))
     resp = extract_batch(todo, "dedup_key", "_text", entity, providers)
+    _keep(stages, extractions=resp)
     good = resp.filter("answered > 0").select(F.col("id").alias("dedup_key"), "parsed")
     j = df.join(good, "dedup_key", "left")
     merged = merge(j)
@@ -58,10 +66,10 @@ def job_papers(payloads: DataFrame, repo_payloads: DataFrame | None = None, stor
     valid, _rejected = validate_entities(p, "paper")
     _keep(stages, discovered=valid, rejected=_rejected)
     keyed = valid.withColumn("dedup_key", dedup_key("paper", paper_url=F.col("paper_url")))
-    unique = dedup_first(keyed, "dedup_key", "ord")
+    unique = _new(dedup_first(keyed, "dedup_key", "ord"), store, stages)
     if repo_payloads is not None:
         unique = enrich_stars(unique, scan_stars_json(repo_payloads))
-    return finish(unique, "paper", store, collected_at)
+    return finish(unique, "paper", collected_at)
 
 
 def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=None,
@@ -75,11 +83,11 @@ def job_startups(payloads: DataFrame, store: DataFrame | None = None, providers=
     s = s.drop("canonical_name_method")
     s = s.withColumn("dedup_key", dedup_key("startup", name=F.col("name"), canonical_name=F.col("canonical_name"),
                                             website_url=F.col("website_url"), source_url=F.col("source_url")))
-    s = dedup_first(s, "dedup_key", "ord")
+    s = _new(dedup_first(s, "dedup_key", "ord"), store, stages)
     s = s.withColumn("extraction_status", needs_extraction("startup", raw_text="description"))
     if providers:
-        s = _extract_and_merge(s, "startup", "description", providers, merge_startup)
-    return finish(s, "startup", store, collected_at)
+        s = _extract_and_merge(s, "startup", "description", providers, merge_startup, stages)
+    return finish(s, "startup", collected_at)
 
 
 def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: DataFrame | None = None,
@@ -97,7 +105,7 @@ def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: D
               resolutions=log.select(F.col("_company_canonical_method").alias("match_method")))
     k = valid.withColumn("dedup_key", dedup_key("product", name=F.col("name"), canonical_name=F.col("canonical_name"),
                                                 product_url=F.col("product_url"), source_url=F.col("source_url")))
-    k = dedup_first(k, "dedup_key", "ord")
+    k = _new(dedup_first(k, "dedup_key", "ord"), store, stages)
     complete = (F.col("description").isNotNull() & (F.col("description") != "") & (F.size("categories") > 0))
     k = k.withColumn("needs_extraction", ~complete)
     if readmes is not None:
@@ -106,8 +114,8 @@ def job_products(payloads: DataFrame, readmes: DataFrame | None = None, store: D
         k = k.withColumn("readme", F.lit(None).cast("string"))
     k = k.withColumn("extraction_status", needs_extraction("product", raw_text="readme")).drop("needs_extraction")
     if providers:
-        k = _extract_and_merge(k, "product", "readme", providers, merge_product)
-    return finish(k, "product", store, collected_at)
+        k = _extract_and_merge(k, "product", "readme", providers, merge_product, stages)
+    return finish(k, "product", collected_at)
 
 
 def product_company_log(payloads: DataFrame) -> DataFrame:
@@ -133,20 +141,20 @@ def news_candidates(payloads: DataFrame, reference_time, max_age_hours: float =
     return valid.withColumn("dedup_key", dedup_key("news", article_url=F.col("article_url")))
 
 
-def news_details(unique: DataFrame, pages: DataFrame | None = None, providers=None) -> DataFrame:
+def news_details(unique: DataFrame, pages: DataFrame | None = None, providers=None, stages: dict | None = None) -> DataFrame:
     """What one row per key still needs: texts, article pages, extraction (Python steps)."""
     k = news_text(unique)
     if pages is not None:
         k = enrich_article(k, pages, "article_url")
     k = k.withColumn("extraction_status", needs_extraction("news", raw_text="content"))
-    return _extract_and_merge(k, "news", "content", providers, merge_news) if providers else k
+    return _extract_and_merge(k, "news", "content", providers, merge_news, stages) if providers else k
 
 
 def job_news(payloads: DataFrame, reference_time, pages: DataFrame | None = None, store: DataFrame | None = None,
              providers=None, max_age_hours: float = 24.0, collected_at: str | None = None, checkpoint: bool = False,
              stages: dict | None = None) -> DataFrame:
     k = dedup_first(news_candidates(payloads, reference_time, max_age_hours, checkpoint, stages), "dedup_key", "ord")
-    return finish(news_details(k, pages, providers), "news", store, collected_at)
+    return finish(news_details(_new(k, store, stages), pages, providers, stages), "news", collected_at)
 
 
 def _ranked(jobs: DataFrame, kind_rank: int) -> DataFrame:
@@ -184,7 +192,7 @@ def job_jobs(json_payloads: DataFrame, feed_payloads: DataFrame | None, referenc
              store: DataFrame | None = None, max_age_hours: float = 24.0, collected_at: str | None = None,
              checkpoint: bool = False, stages: dict | None = None) -> DataFrame:
     k = job_candidates(json_payloads, feed_payloads, reference_time, max_age_hours, checkpoint, stages)
-    return finish(job_details(dedup_first(k, "dedup_key", "ord")), "job", store, collected_at)
+    return finish(job_details(_new(dedup_first(k, "dedup_key", "ord"), store, stages)), "job", collected_at)
 
 
 def job_export(tables: dict[str, DataFrame], target_dir: str | None = None) -> DataFrame:
@@ -207,8 +215,10 @@ def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None =
     graph), the one-row parts are unioned and folded by a final global aggregate.
 
     discovered: records a job accepted from its source (news and jobs: fresh ones);
-    duplicates: discovered minus saved; rejected: validation failures; stale: stale
-    verdicts; entity_matches: resolutions whose method is not UNRESOLVED.
+    duplicates: valid records beyond the first of their key in this run (not those the store had);
+    rejected: validation failures; stale: stale verdicts; entity_matches: resolutions whose
+    method is not UNRESOLVED; gemini_429s: provider calls that met a rate limit; llm_fallbacks:
+    records answered by a later tier than the first.
     """
     from ..operators.reports import METRIC_NAMES
     parts = []
@@ -222,13 +232,19 @@ def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None =
     for entity, df in outputs.items():
         cols = set(df.columns)
         status = F.col("extraction_status") if "extraction_status" in cols else F.lit("skipped")
-        add("saved", df, F.lit(entity in ("news", "job")), status)
+        add("saved" if "unique" in (stages or {}).get(entity, {}) else "saved_all", df, F.lit(entity in ("news", "job")), status)
         if "github_stars" in cols:
             add("stars", df, F.col("github_stars").isNotNull())
     for entity, st in (stages or {}).items():
-        for kind in ("discovered", "rejected", "stale"):
+        for kind in ("discovered", "unique", "stale"):
             if kind in st:
                 add(kind, st[kind])
+        if "rejected" in st:  # of news and jobs after they were counted as discovered
+            add("rejected_late" if entity in ("news", "job") else "rejected", st["rejected"])
+        if "extractions" in st:
+            add("extraction", st["extractions"], F.col("tier") > 0)
+            parts.append(st["extractions"].agg(F.coalesce(F.sum("rate_limited"), F.lit(0)).alias("n")).select(
+                F.lit("limited").alias("kind"), "n", *(F.lit(0).cast("long").alias(c) for c in ("f", "att", "skp"))))
         if "resolutions" in st:
             add("resolution", st["resolutions"], F.col("match_method") != "UNRESOLVED")
     u = parts[0]
@@ -237,18 +253,22 @@ def job_metrics(outputs: dict[str, DataFrame], stages: dict[str, dict] | None =
 
     def total(kind, col="n"):
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(col))), F.lit(0))
-    saved, discovered = total("saved"), total("discovered")
+
+    def saved_total(col="n"):
+        return total("saved", col) + total("saved_all", col)
+    saved, discovered = saved_total(), total("discovered")
+    unique = total("unique") + total("saved_all")
     m = u.agg(
         discovered.alias("records_discovered"),
         saved.alias("records_processed"),
-        total("rejected").alias("records_rejected"),
-        (discovered - saved if stages else F.lit(0)).alias("duplicates"),
-        total("saved", "f").alias("fresh_records"),
+        (total("rejected") + total("rejected_late")).alias("records_rejected"),
+        (discovered - total("rejected_late") - unique if stages else F.lit(0)).alias("duplicates"),
+        saved_total("f").alias("fresh_records"),
         total("stale").alias("stale_records"),
         total("resolution", "f").alias("entity_matches"),
         total("stars", "f").alias("github_stars_enriched"),
-        (saved - total("saved", "att")).alias("deterministic_extractions"),
-        total("saved", "att").alias("llm_extractions_attempted"),
-        total("saved", "skp").alias("llm_extractions_skipped"))
-    present = set(m.columns)
-    return m.select(*[(F.col(n) if n in present else F.lit(0)).cast("long").alias(n) for n in METRIC_NAMES])
+        (saved - saved_total("att")).alias("deterministic_extractions"),
+        saved_total("att").alias("llm_extractions_attempted"),
+        saved_total("skp").alias("llm_extractions_skipped"),
+        total("limited").alias("gemini_429s"), total("extraction", "f").alias("llm_fallbacks"))
+    return m.select(*[F.col(n).cast("long").alias(n) for n in METRIC_NAMES])

@@ -8,9 +8,11 @@ from .derive import (REFERENCE_TIME, atom_paper_payloads, job_feed_payloads, job
                      product_payloads, star_payloads, startup_payloads)
 from .jobs import job_export, job_jobs, job_metrics, job_news, job_papers, job_products, job_startups
 from .q_dates import _EXPECTED
+from .q_extract import _chunk_of, first_provider, second_provider
 from .q_resolve import LOG_TS, resolve_sql
 from .q_scans import PAPERS_SQL, PRODUCTS_SQL, STARTUPS_SQL
 from .sqlfrag import company_sql, role_sql
+from .tables import table
 
 JOBS_REFERENCE_TIME = "1996-06-15 12:00:00"
 
@@ -59,6 +61,84 @@ def q_job_products(spark, sf):
                     "dedup_key", "extraction_status")
 
 
+class LimitedAtFirst:
+    """Offline tier 0 whose first call for a prompt meets a rate limit on every fifth length."""
+
+    def __init__(self):
+        self.met = set()
+
+    def __call__(self, prompt: str, entity: str) -> str:
+        if len(_chunk_of(prompt)) % 5 == 0 and prompt not in self.met:
+            self.met.add(prompt)
+            raise RuntimeError("429 rate limit exceeded, try again")
+        return first_provider(prompt, entity)
+
+
+def _listing(p):
+    """listing_id, name and url columns of ``part`` as in the listing payloads."""
+    owner = F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")))
+    name = F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("-"), (F.col("p_partkey") % 97).cast("string"))
+    lid = F.concat(owner, F.lit("/"), name)
+    return p.select("*", lid.alias("listing_id"), name.alias("lname"), F.concat(F.lit("https://huggingface.co/spaces/"), lid).alias("url"))
+
+
+def _products_run(spark, sf, stages=None):
+    """The whole job: readmes for six parts in seven, two provider tiers, a store that has the large parts."""
+    p = _listing(table(spark, sf, "part"))
+    readmes = p.filter("p_partkey % 7 <> 0").select("listing_id", F.concat(
+        F.lit("Readme of "), "listing_id", F.lit(", part "), F.col("p_partkey").cast("string"), F.lit(": "), "p_type",
+        F.lit(" application with everything that it needs")).alias("readme"))
+    store = p.filter("p_size > 40").select(F.sha2(F.concat(F.lit("product:"), "lname", F.lit(":"), "url"), 256).alias("dedup_key"))
+    return job_products(product_payloads(spark, sf), readmes, store, [LimitedAtFirst(), second_provider], LOG_TS,
+                        stages=stages, checkpoint=stages is not None)
+
+
+_RUN_SQL = """
+WITH p AS (""" + PRODUCTS_SQL + """),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY partkey) AS rn FROM p) WHERE rn = 1),
+k AS (SELECT *, sha256('product:' || name || ':' || product_url) AS dedup_key FROM l),
+q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY partkey) AS rn2 FROM k) WHERE rn2 = 1),
+n AS (SELECT *, lower(replace(p_brand, '#', '')) || '/' || replace(p_name, ' ', '-') || '-' || (p_partkey % 97) AS lid FROM part),
+r AS (SELECT lid, max('Readme of ' || lid || ', part ' || p_partkey || ': ' || p_type ||
+                      ' application with everything that it needs') AS readme FROM n WHERE p_partkey % 7 <> 0 GROUP BY lid),
+s AS (SELECT sha256('product:' || split_part(lid, '/', 2) || ':https://huggingface.co/spaces/' || lid) AS dedup_key FROM n
+      WHERE p_size > 40),
+new AS (SELECT q.*, readme, length(readme) AS len, CASE WHEN coalesce(description, '') <> '' THEN 'skipped'
+               WHEN readme IS NOT NULL THEN 'attempt' ELSE 'deterministic' END AS status
+        FROM q LEFT JOIN r ON q.listing_id = r.lid AND coalesce(description, '') = ''
+        WHERE q.dedup_key NOT IN (SELECT dedup_key FROM s)),
+out AS (SELECT *, CASE WHEN status = 'attempt' AND len % 4 >= 2 THEN 0 WHEN status = 'attempt' AND len % 8 <> 0 THEN 1 END AS tier
+        FROM new)"""
+
+
+@register("job_products_run", _RUN_SQL + """
+SELECT partkey, name, dedup_key, status AS extraction_status,
+       CASE WHEN tier IS NOT NULL THEN sha256(readme) ELSE description END AS description, categories FROM out""")
+def q_job_products_run(spark, sf):
+    """Listings as one run: readmes joined, two provider tiers asked, only rows that the store lacks."""
+    j = _products_run(spark, sf)
+    return j.select((F.col("ord.page") * 8 + F.col("ord.pos")).alias("partkey"), "name", "dedup_key", "extraction_status",
+                    "description", F.array_join("categories", "|").alias("categories"))
+
+
+@register("run_metrics_products", _RUN_SQL + """
+SELECT (SELECT count(*) FROM l) AS records_discovered, (SELECT count(*) FROM out) AS records_processed,
+       CAST(0 AS BIGINT) AS records_rejected, (SELECT count(*) FROM l) - (SELECT count(*) FROM q) AS duplicates,
+       CAST(0 AS BIGINT) AS fresh_records, CAST(0 AS BIGINT) AS stale_records,
+       CAST(0 AS BIGINT) AS github_stars_enriched,
+       (SELECT count(*) FROM out WHERE status <> 'attempt') AS deterministic_extractions,
+       (SELECT count(*) FROM out WHERE status = 'attempt') AS llm_extractions_attempted,
+       (SELECT count(*) FROM out WHERE status = 'skipped') AS llm_extractions_skipped,
+       (SELECT count(*) FROM out WHERE status = 'attempt' AND len % 5 = 0) AS gemini_429s,
+       (SELECT count(*) FROM out WHERE tier = 1) AS llm_fallbacks""")
+def q_run_metrics_products(spark, sf):
+    """Counters of a run with readmes, provider tiers and a store: rate limits, fallbacks, in-run
+    duplicates apart from rows that the store had (entity matches are in run_metrics)."""
+    stages: dict = {}
+    out = _products_run(spark, sf, stages)
+    return job_metrics({"product": out}, {"product": stages}).drop("entity_matches")
+
+
 @register("job_news", _EXPECTED + """,
 n AS (SELECT event_id, 'Story ' || event_id AS title,
              'https://news.example.com/' || event_type || '/' || user_id AS article_url, pub_us
@@ -125,7 +205,7 @@ def q_job_export(spark, sf):
 
 @register("run_metrics")
 def q_run_metrics(spark, sf):
-    """The 13 run counters over the five jobs (one row, one pass over each job)."""
+    """The 13 run counters over the five jobs (one row); no provider is asked, so its two counters are 0."""
     stages: dict = {}
     papers, startups, products, news, jobs = _all_jobs(spark, sf, stages)
     return job_metrics({"paper": papers, "startup": startups, "product": products, "news": news, "job": jobs},

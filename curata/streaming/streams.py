@@ -39,7 +39,7 @@ def _start(rows: DataFrame, entity: str, details: Callable[[DataFrame], DataFram
         started.wait()
         # the id of the query lives in its checkpoint: a restart goes on with the same one
         commit_batch(batch, store_path, f"{query[0].id}/{batch_id}",
-                     finish=lambda new: finish(details(new), entity, None, collected_at))
+                     finish=lambda new: finish(details(new), entity, collected_at))
     w = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"stream_{entity}")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     query.append(w.start())
