@@ -154,9 +154,12 @@ def _parity(word: int) -> Column:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets reach the threshold."""
-    both = (pairs.join(sets.withColumnsRenamed({"doc_id": "x", "entries": "a"}), "x")
-            .join(sets.withColumnsRenamed({"doc_id": "y", "entries": "b"}), "y")
+    """The pairs (x, y) whose whole sets reach the threshold.
+
+    A hot row is y of many pairs (the centre of a star): its set is joined while the pairs are
+    narrow, so that no task reads the sets of all its partners."""
+    both = (pairs.join(sets.withColumnsRenamed({"doc_id": "y", "entries": "b"}), "y")
+            .join(sets.withColumnsRenamed({"doc_id": "x", "entries": "a"}), "x")
             .select("x", "y", F.size("a").alias("n"), F.size("b").alias("m"),
                     F.size(F.array_intersect("a", "b")).alias("common")))
     common = F.col("common")
