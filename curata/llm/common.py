@@ -5,6 +5,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +50,11 @@ def words_of(text: Column) -> Column:
 
 def slices(batches: Iterator, max_bytes: int = 16 << 20) -> Iterator:
     """Arrow batches cut into pieces of about ``max_bytes`` (one row at least), so
-    that a task's working memory does not depend on how long the texts are."""
+    that a task's working memory does not depend on how long the texts are; after the
+    last one Arrow's free memory goes back to the system."""
     for batch in batches:
         step = max(1, int(batch.num_rows * max_bytes / max(1, batch.nbytes)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+        del batch
+    pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
