@@ -12,10 +12,19 @@ from ..session import checkpoint_dir
 
 #: A word is a maximal run of characters other than ASCII whitespace.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of about 4 MB where the session names no size of its own: Spark's are bounded by
+    10,000 rows and 64 MB, and both sides of a Python stage hold one or two of them."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, "4m")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One whole input table, through Spark's reader (any file system)."""
+    small_batches(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -26,6 +35,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     fixed state (row order and partition numbers included) and a lost executor
     costs a re-read, never another computation.
     """
+    small_batches(df.sparkSession)
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
