@@ -30,6 +30,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of benchmark text in one broadcast block; a larger benchmark takes more passes.
 BLOCK_BYTES = 4 << 20
 WINDOW, STRIDE = 200, 25  # bytes: about 30 words
+#: Pairs of equal q-grams (one in a text, one in an item) that are laid out at once.
+MAX_PAIRS = 1 << 20
 
 
 def normal(text: str | None) -> bytes:
@@ -118,6 +120,39 @@ def verified(text: bytes, pattern: bytes, k: int, low: int) -> tuple[int, int]:
     return edits, begin + max(0, at)
 
 
+def pieces(text: np.ndarray, where: np.ndarray, block: Block) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """The hits (text number, number of the q-gram in the index) in pieces of at most ``MAX_PAIRS`` pairs:
+    (hits, items or None for all).  A piece holds whole (text, item) pairs, so what is found does not
+    depend on the cut; a single such pair may be larger."""
+    total = np.bincount(text, block.times[where])
+    part = np.zeros(len(total), np.int64)
+    filled = number = 0
+    for t in np.flatnonzero(total):
+        if filled and filled + total[t] > MAX_PAIRS:
+            filled, number = 0, number + 1
+        part[t], filled = number, filled + total[t]
+    for n in range(number + 1):
+        own = np.flatnonzero(part[text] == n)
+        if block.times[where[own]].sum() <= MAX_PAIRS:
+            yield own, None
+            continue
+        # one text alone: pairs of each item, then runs of items
+        keys, count = np.unique(where[own], return_counts=True)
+        per_item = np.zeros(len(block.texts), np.int64)
+        for a in range(0, len(keys), 4096):
+            times = block.times[keys[a:a + 4096]]
+            np.add.at(per_item, block.item[spread(block.first[keys[a:a + 4096]], times)], np.repeat(count[a:a + 4096], times))
+        run = (np.cumsum(per_item) - 1) // MAX_PAIRS
+        for r in np.unique(run[per_item > 0]):
+            items = (run == r) & (per_item > 0)
+            yield own, items
+
+
+def spread(first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for ``times`` numbers each."""
+    return np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+
+
 def find(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, int, int]]:
     """(text number, item number, edits, about where), one per pair: the best occurrence of the
     whole item, else of any of its windows."""
@@ -131,10 +166,30 @@ def find(texts: list[bytes], block: Block) -> Iterator[tuple[int, int, int, int]
     hits, where = hits[real], where[real]
     if not len(hits):
         return
-    times = block.times[where]
-    pos = np.repeat(hits, times)
-    offset = np.arange(len(pos)) - np.repeat(np.cumsum(times) - times, times)
-    index = np.repeat(block.first[where], times) + offset
+    text = np.searchsorted(starts, hits, "right") - 1
+    for own, items in pieces(text, where, block):
+        pos, index = lay_out(hits[own], where[own], items, block)
+        yield from matches(texts, starts, pos, index, block)
+
+
+def lay_out(hits: np.ndarray, where: np.ndarray, items: np.ndarray | None, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """(position in the texts, number in the index) of every pair of equal q-grams, of the marked items only."""
+    if items is None:
+        return np.repeat(hits, block.times[where]), spread(block.first[where], block.times[where])
+    pos, index = [], []
+    most = max(1, MAX_PAIRS // int(block.times[where].max()))  # hits at once, before items are chosen
+    for a in range(0, len(hits), most):
+        times = block.times[where[a:a + most]]
+        i = spread(block.first[where[a:a + most]], times)
+        chosen = items[block.item[i]]
+        pos.append(np.repeat(hits[a:a + most], times)[chosen])
+        index.append(i[chosen])
+    return np.concatenate(pos), np.concatenate(index)
+
+
+def matches(texts: list[bytes], starts: np.ndarray, pos: np.ndarray, index: np.ndarray,
+            block: Block) -> Iterator[tuple[int, int, int, int]]:
+    """What ``find`` gives, from the pairs of equal q-grams."""
     item, at_item = block.item[index], block.at[index]
     shift = max(map(len, block.texts))  # diagonals may be negative
     diagonal = pos - at_item + shift

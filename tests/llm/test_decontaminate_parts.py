@@ -43,3 +43,17 @@ def test_passages_of_long_items(spark, monkeypatch):
     assert got(d, b) == want
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)  # several passes
     assert got(d, b) == want
+
+
+def test_pieces_of_pairs_change_nothing(monkeypatch):
+    rnd = random.Random(8)
+    passage = words(rnd, 60)
+    items = [(i, normal(f"{words(rnd, 20)} {passage} {words(rnd, 20)} the same end of many items " * (1 + i % 3))) for i in range(40)]
+    texts = [normal(x) for x in (items[3][1].decode(), f"{words(rnd, 50)} {passage} {passage}", words(rnd, 200), "", passage * 3,
+                                 " ".join(i[1].decode() for i in items[5:9]))]
+    block = decontaminate.Block(items, 0.08)
+    want = sorted(decontaminate.find(texts, block))
+    assert len(want) > 80
+    for most in (1, 500, 20_000, 100_000):
+        monkeypatch.setattr(decontaminate, "MAX_PAIRS", most)
+        assert sorted(decontaminate.find(texts, block)) == want
