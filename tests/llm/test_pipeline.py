@@ -56,3 +56,13 @@ def test_one_row_of_each_group_stays(spark, hostile, sf):
     rows = cp.near_duplicates(spark, hostile, sf).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [
         (False, i) for i in range(18) if i not in (8, 10, 11)] + [(True, 0)]
+
+
+def test_the_row_that_stays_of_a_repeated_id_does_not_depend_on_the_order(spark, sf):
+    rows = [(i % 7, f"text {i % 20} of some words that differ {i}", "x" * (i % 3)) for i in range(60)]
+    want = None
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[1])):
+        df = spark.createDataFrame(order, "doc_id long, text string, hash string").repartition(1 + len(order[0][1]) % 3)
+        got = sorted(tuple(r) for r in cp.near_duplicates(spark, df, sf).collect())
+        assert len(got) == 7 and set(got) <= set(rows) and got == (want or got)
+        want = got
