@@ -8,19 +8,10 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import BATCH_BYTES, checkpoint_dir, small_batches  # noqa: F401
 
 #: A word is a maximal run of characters other than ASCII whitespace.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of about 4 MB where the session names no size of its own: Spark's are bounded by
-    10,000 rows and 64 MB, and both sides of a Python stage hold one or two of them."""
-    if spark.conf.get(BATCH_BYTES, None) is None:
-        spark.conf.set(BATCH_BYTES, "4m")
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One whole input table, through Spark's reader (any file system)."""
