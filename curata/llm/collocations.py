@@ -9,14 +9,16 @@ overlap: an n-gram that starts in the overlap belongs to the next chunk, so each
 Words are counted first, then pairs of frequent words, then what only holds frequent pairs, and so
 on, which leaves most rare n-grams out of the shuffle and loses no frequent one.
 
-Tasks count in bounded dictionaries and Spark adds the counts up, pre-aggregated, so a word pair
+Tasks cut and count in NumPy and Arrow over blocks of bounded size, where Python touches distinct words
+and chunks only and a word is a number of its block.  Spark adds the counts up, pre-aggregated, so a word pair
 held by a third of all texts costs a row per task.  Scores are exact decimal arithmetic.
 """
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from .common import materialize, slices
 TRIGGER = 16
 #: Entries of a task's dictionary before it is handed on.
 HELD = 1 << 18
+#: Bytes of text that a task cuts at once, or one piece.
+BLOCK = 4 << 20
 #: Bytes of chunks in which a task counts at once.
 GATHERED = 8 << 20
 #: Bits of the filter of frequent shorter grams, of fixed size; only the work depends on it.
@@ -59,7 +63,9 @@ def pieces_of(text: str | None) -> Iterator[list[bytes]]:
 
 
 def chunks_of(words: list[bytes], triggers: dict, max_words: int) -> Iterator[tuple[int, list[bytes]]]:
-    """(own, words): a chunk and the number of its words before the overlap."""
+    """(own, words): a chunk and the number of its words before the overlap.
+
+    The rule for one piece, word by word; ``cut_block`` cuts whole blocks by it."""
     start = 0
     for at, word in enumerate(words):
         if at and triggers[word]:
@@ -75,22 +81,75 @@ def _table(counts: dict, names: list[str], kinds: list[pa.DataType]) -> pa.Recor
            for k, kind in zip(keys, kinds, strict=True)), pa.array(counts.values(), pa.int64())], [*names, "c"])
 
 
+def _bytes(held: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of an array without nulls (``to_pylist`` makes an object of Arrow's for each)."""
+    at = np.frombuffer(held.buffers()[1], np.int64)[held.offset:held.offset + len(held) + 1].tolist()
+    data = held.buffers()[2].to_pybytes() if len(held) else b""
+    return [data[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+
+def _words(text: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """(numbers, words) of a text in which each word ends at one of ``stops``, a blank, and the next
+    one begins right behind it: the words once each, and the number of each word of the text."""
+    ends = np.append(0, stops + 1).astype(np.int64)
+    held = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(stops), [None, pa.py_buffer(ends), pa.py_buffer(text)]).dictionary_encode()
+    return held.indices.to_numpy(), pc.binary_slice(held.dictionary, 0, -1)
+
+
+def cut_block(block: bytes, triggers: dict, max_words: int) -> tuple[np.ndarray, list[int], list[bytes]]:
+    """(place, own, chunk) of the chunks of a block of text that is lower-cased, with its pieces ended
+    by newlines: what ``chunks_of`` makes of each piece, for all pieces at once.  Place: a byte of the
+    block that belongs to the chunk."""
+    raw = np.frombuffer(block, np.uint8)
+    line = raw == 10
+    inside = (raw != 32) & ~line
+    after = np.zeros(len(raw), bool)  # the byte behind each word
+    after[1:] = inside[:-1] & ~inside[1:]
+    kept = inside | after
+    flat, stops = raw[kept], np.flatnonzero(after[kept])
+    if not len(stops):
+        return stops, [], []
+    flat[stops] = 32
+    last_byte = np.flatnonzero(after) - 1
+    first = np.flatnonzero(np.diff(np.cumsum(line)[last_byte], prepend=-1))  # words that begin a piece
+    numbers, words = _words(flat, stops)
+    words = _bytes(words)
+    begins = np.fromiter(map(triggers.__getitem__, words), bool, len(words))[numbers]
+    begins[first] = True
+    at = np.flatnonzero(begins)
+    to, bounds = np.append(at[1:], len(stops)), np.append(first, len(stops))
+    until = np.minimum(to + max_words - 1, bounds[np.searchsorted(bounds, at, "right")])
+    text = flat.tobytes()
+    starts = np.concatenate([[0], stops[:-1] + 1])[at]
+    return last_byte[at], (to - at).tolist(), [text[i:j] for i, j in zip(starts.tolist(), stops[until - 1].tolist(), strict=True)]
+
+
 def dictionary(texts: DataFrame, max_words: int) -> DataFrame:
     """(lang, own, chunk, c): the distinct chunks of ``texts`` (lang, text) and their parse frequency."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        triggers, counts = _Triggers(), defaultdict(int)
+        triggers, counts = _Triggers(), Counter()
 
         def flush() -> pa.RecordBatch:
             out = _table(counts, ["lang", "own", "chunk"], [pa.string(), pa.int32(), pa.string()])
             counts.clear()
             return out
-        for batch in slices(batches, 4 << 20):
-            for lang, text in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for words in pieces_of(text):
-                    for own, chunk in chunks_of(words, triggers, max_words):
-                        counts[lang, own, b" ".join(chunk)] += 1
+        for batch in slices(batches, BLOCK):
+            langs, rows = (c.cast(pa.binary()).to_pylist() for c in batch.columns)
+            rows = [t or b"" for t in rows]
+            row_ends = np.cumsum([len(t) + 1 for t in rows])
+            text = (b"\n".join(rows) + b"\n").lower().translate(ENDS)
+            start = 0
+            while start < len(text):  # a long text in blocks of whole pieces
+                stop = text.find(b"\n", min(start + BLOCK, len(text)) - 1) + 1
+                place, own, chunk = cut_block(text[start:stop], triggers, max_words)
+                lang = map(langs.__getitem__, np.searchsorted(row_ends, place + start, "right").tolist())
+                keys = zip(lang, own, chunk, strict=True)
+                while some := list(islice(keys, HELD)):
+                    counts.update(some)
                     if len(counts) >= HELD:
                         yield flush()
+                start = stop
         yield flush()
     return texts.mapInArrow(run, "lang string, own int, chunk string, c long") \
         .groupBy("lang", "own", "chunk").agg(F.sum("c").alias("c"))
@@ -109,20 +168,12 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-class _Words(dict):
-    """Words of one language -> numbers in a list that all languages of a batch share."""
-    def __init__(self, lang: bytes, words: list[bytes], hashes: list[int]):
-        self.lang, self.words, self.hashes = xxhash.xxh64_intdigest(lang), words, hashes
-
-    def __missing__(self, word: bytes) -> int:
-        out = self[word] = len(self.words)
-        self.words.append(word)
-        self.hashes.append(xxhash.xxh64_intdigest(word, self.lang))
-        return out
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def _slots(words: np.ndarray, size: int, bits: int) -> np.ndarray:
-    """The filter bit of the ``size``-gram at each start in an array of word hashes."""
+    """The filter bit of the ``size``-gram at each start in an array of hashes of words and language."""
     h = words[:max(0, len(words) - size + 1)].copy()
     for j in range(1, size):
         h = (h ^ (h >> np.uint64(32))) * MIX + words[j:len(words) - size + 1 + j]
@@ -137,45 +188,40 @@ def ngram_counts(chunks: DataFrame, size: int, shorter: np.ndarray | None) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
-            words, hashes, parts, rows = [], [], [], []
+            text = pc.binary_join_element_wise(
+                batch.column(2).cast(pa.large_binary()), *(pa.scalar(x, pa.large_binary()) for x in (b"", b" ")))
+            text = np.frombuffer(text.buffers()[2], np.uint8, pc.sum(pc.binary_length(text)).as_py())
+            ids, words = _words(text, np.flatnonzero(text == 32))
+            lens = pc.count_substring(batch.column(2), " ").to_numpy().astype(np.int64) + 1
+            own, weight = batch.column(1).to_numpy(), batch.column(3).to_numpy()
             lang_of = batch.column(0).dictionary_encode()
-            code = lang_of.indices.to_numpy()
-            for i, lang in enumerate(lang_of.dictionary.cast(pa.binary()).to_pylist()):
-                rows.append(np.flatnonzero(code == i))
-                text = b" \n ".join(batch.column(2).take(pa.array(rows[-1])).cast(pa.binary()).to_pylist()).split(b" ")
-                number = _Words(lang, words, hashes)
-                number[b"\n"] = -1  # between chunks
-                parts += [np.fromiter(map(number.__getitem__, text), np.int64, len(text)), np.full(1, -1)]
-            rows = np.concatenate(rows)
-            ids = np.concatenate(parts)
-            lens = np.diff(np.flatnonzero(ids < 0), prepend=-1) - 1
-            ids = ids[ids >= 0]
-            own, weight = (batch.column(i).to_numpy()[rows] for i in (1, 3))
+            row = np.repeat(np.arange(len(lens)), lens)
             place = np.arange(len(ids)) - np.repeat(np.cumsum(lens) - lens, lens)
-            good = (place < np.repeat(own, lens)) & (place + size <= np.repeat(lens, lens))
+            good = place < np.minimum(own, lens - size + 1)[row]
             if known is not None and size > 1:
                 bits = known.value
-                slot = _slots(np.array(hashes, np.uint64)[ids], size - 1, len(bits) * 8)
+                langs = _hashes(lang_of.dictionary.cast(pa.binary()).to_pylist())[lang_of.indices.to_numpy()]
+                slot = _slots(_hashes(_bytes(words))[ids] + langs[row], size - 1, len(bits) * 8)
                 held = np.zeros(len(ids) + 1, bool)
                 held[:len(slot)] = bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
                 good &= held[:-1] & held[1:]
             at = np.flatnonzero(good)
-            code = ids[at]
-            for j in range(1, size):
+            code = lang_of.indices.to_numpy().astype(np.int64)[row[at]]
+            for j in range(size):
                 if int(code.max(initial=0)) >= (1 << 62) // len(words):
                     code = np.unique(code, return_inverse=True)[1]
                 code = code * len(words) + ids[at + j]
-            order = np.argsort(code, kind="stable")
-            code, at, weight = code[order], at[order], np.repeat(weight, lens)[at[order]]
+            order = np.argsort(code)
+            code, at = code[order], at[order]
             first = np.flatnonzero(np.diff(code, prepend=-1))
+            weight = weight[row[at]]
             f = np.add.reduceat(weight, first) if len(first) else weight
             at = at[first]
-            word = pa.array(words, pa.binary()).cast(pa.string())
+            word = words.cast(pa.large_string()).cast(pa.string())
             grams = [word.take(pa.array(ids[at + j])) for j in range(size)]
             grams = pc.binary_join_element_wise(*grams, " ") if size > 1 else grams[0]
-            langs = batch.column(0).take(pa.array(rows[np.repeat(np.arange(len(lens)), lens)[at]]))
             yield pa.RecordBatch.from_arrays(
-                [langs, grams, pa.array(f, pa.int64())], ["lang", "gram", "c"])
+                [batch.column(0).take(pa.array(row[at])), grams, pa.array(f, pa.int64())], ["lang", "gram", "c"])
     return chunks.mapInArrow(run, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("f"))
 
 
@@ -184,9 +230,9 @@ def gram_filter(grams: DataFrame, size: int, bits: int) -> np.ndarray:
     a gram of the table is always found, and few others are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [xxhash.xxh64_intdigest(w, xxhash.xxh64_intdigest(lang)) for lang, g in zip(
-                *(c.cast(pa.binary()).to_pylist() for c in batch.columns), strict=True) for w in g.split(b" ")]
-            slot = _slots(np.array(hashes, np.uint64), size, bits)[::size]
+            langs, words = (c.cast(pa.binary()).to_pylist() for c in batch.columns)
+            hashes = _hashes([w for g in words for w in g.split(b" ")]) + np.repeat(_hashes(langs), size)
+            slot = _slots(hashes, size, bits)[::size]
             yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64))], ["slot"])
     rows = grams.select("lang", "gram").mapInArrow(run, "slot long").groupBy(F.shiftright("slot", 6).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, int(slot & 63L))")).alias("word"))

@@ -117,6 +117,48 @@ def test_a_passage_is_cut_alike_wherever_it_stands():
     assert len(alone - moved) <= 2 and len(alone) > 5
 
 
+class Asked(dict):
+    """Triggers that note each question."""
+    def __init__(self):
+        super().__init__()
+        self.asked = Counter()
+
+    def __getitem__(self, word):
+        self.asked[word] += 1
+        return module._Triggers()[word]
+
+
+def test_blocks_are_cut_as_their_pieces_and_ask_once_a_word():
+    rng = np.random.default_rng(3)
+    words = ["a", "B", "ab", "abcdefg", "abcdefgh", "abcdefghi", "abcdefgh" * 3, "Ünï", "日本", "x\x00", "x", *(f"w{i}" for i in range(40))]
+    for _ in range(40):
+        text = "".join(w + rng.choice([" ", "\t ", ".", "\n\n", " , ", "\r\n", "\x0b"], p=[.7, .1, .05, .05, .04, .03, .03])
+                       for w in rng.choice(words, size=rng.integers(0, 400)))
+        block = (text + "\n").encode().lower().translate(module.ENDS)
+        for n in (1, 2, 3, 5):
+            asked = Asked()
+            place, own, chunk = module.cut_block(block, asked, n)
+            assert list(zip(own, chunk, strict=True)) == [
+                (k, b" ".join(c)) for words_ in pieces_of(text) for k, c in chunks_of(words_, module._Triggers(), n)]
+            assert max(asked.asked.values(), default=1) == 1
+            assert all(block[p:p + 1] not in (b" ", b"\n") for p in place) and sorted(place) == list(place)
+    assert module.cut_block(b" \n \n", {}, 3)[1:] == ([], [])
+
+
+def test_small_blocks_do_not_change_counts(spark, monkeypatch):
+    rows = made_rows(seed=5, n=60)
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    monkeypatch.setattr(module, "BLOCK", 40)
+    assert got(df, min_count=5) == brute([r[1:] for r in rows], min_count=5)
+
+
+def test_words_are_numbered_exactly():
+    text = b"a \x00 a\x00 a abcdefgh abcdefghi abcdefgh \xc3\xbc a "
+    flat = np.frombuffer(text, np.uint8)
+    numbers, words = module._words(flat, np.flatnonzero(flat == 32))
+    assert [module._bytes(words)[i] for i in numbers] == text.split() and len(words) == len(set(text.split()))
+
+
 def test_pieces():
     assert list(pieces_of("A b\tÉ.c;;d\x0be f, \n!")) == [[b"a", b"b", "É".encode()], [b"c"], [b"d"], ["e f".encode()]]
     assert list(pieces_of(None)) == list(pieces_of("")) == []
