@@ -33,7 +33,7 @@ TRIGGER = 16
 #: Entries of a task's dictionary before it is handed on.
 HELD = 1 << 18
 #: Bytes of text that a task cuts at once, or one piece.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Bytes of chunks in which a task counts at once.
 GATHERED = 8 << 20
 #: Bits of the filter of frequent shorter grams, of fixed size; only the work depends on it.
@@ -195,9 +195,10 @@ def ngram_counts(chunks: DataFrame, size: int, shorter: np.ndarray | None) -> Da
             lens = pc.count_substring(batch.column(2), " ").to_numpy().astype(np.int64) + 1
             own, weight = batch.column(1).to_numpy(), batch.column(3).to_numpy()
             lang_of = batch.column(0).dictionary_encode()
-            row = np.repeat(np.arange(len(lens)), lens)
-            place = np.arange(len(ids)) - np.repeat(np.cumsum(lens) - lens, lens)
-            good = place < np.minimum(own, lens - size + 1)[row]
+            row = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
+            # an n-gram starts before the overlap and ends in its chunk
+            until = np.cumsum(lens) - lens + np.minimum(own, lens - size + 1)
+            good = np.arange(len(ids)) < until[row]
             if known is not None and size > 1:
                 bits = known.value
                 langs = _hashes(lang_of.dictionary.cast(pa.binary()).to_pylist())[lang_of.indices.to_numpy()]
@@ -205,6 +206,7 @@ def ngram_counts(chunks: DataFrame, size: int, shorter: np.ndarray | None) -> Da
                 held = np.zeros(len(ids) + 1, bool)
                 held[:len(slot)] = bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
                 good &= held[:-1] & held[1:]
+                del slot, held
             at = np.flatnonzero(good)
             code = lang_of.indices.to_numpy().astype(np.int64)[row[at]]
             for j in range(size):
