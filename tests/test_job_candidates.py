@@ -88,3 +88,27 @@ def test_stream_stores_what_the_batch_job_finds(spark, tmp_path):
             F.unix_micros("published_at").alias("at"), "dedup_key", "id"]
     batch = job_jobs(api, feed, REF, collected_at="now")
     assert _rows(read_store(spark, f"{base}/store").select(*cols)) == _rows(batch.select(*cols))
+
+
+def test_repair_numbers_every_entity_and_nothing_else(spark):
+    from curata.sources.payloads import HTML_ENTITIES, repair_xml
+    texts = {**{f"a&{name};b": f"a&#{code};b" for name, code in HTML_ENTITIES.items()}, "&nbsp;&copy;&nbsp;": "&#160;&#169;&#160;",
+             "a & b &amp; &#7; &NBSP; &nbsp": "a &amp; b &amp; &#7; &amp;NBSP; &amp;nbsp", "a\x01b": "ab", "": "", None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.fixed for r in df.select("t", repair_xml(F.col("t")).alias("fixed")).collect()} == texts
+
+
+def test_job_pages_keep_their_text(spark, tmp_path):
+    from curata.plans.derive import job_json_payloads
+    spark.sql("SELECT * FROM VALUES (1L, 60L, TIMESTAMP'2024-01-15 00:00:00'), (2L, NULL, NULL), (26L, 3L, TIMESTAMP'2024-01-16 00:00:00') "
+              "AS t(o_orderkey, o_custkey, o_orderdate)").write.parquet(f"{tmp_path}/orders.parquet")
+    payloads = job_json_payloads(spark, str(tmp_path))
+    # url and apply_url are rendered once each
+    assert payloads._jdf.queryExecution().optimizedPlan().toString().count("https://jobs.example.com/o/") == 2
+    pages = {r.page: json.loads(r.body) for r in payloads.collect()}
+    assert pages[0] == [
+        {"company": "STABILITY AI, Inc.", "title": "AI Researcher", "url": "https://jobs.example.com/o/1", "date": "2024-01-15T00:00:00Z",
+         "location": "", "description": "Fulfillment team"},
+        {"position": "Backend Developer", "apply_url": "https://jobs.example.com/o/2"}]
+    assert pages[3]["jobs"] == [{"company": "", "position": "Backend Developer", "apply_url": "https://jobs.example.com/o/26",
+                                 "date": "2024-01-16T00:00:00Z"}]
